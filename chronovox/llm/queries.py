@@ -38,7 +38,8 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.assess(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+    docs = common.table(spark, sf_dir, "documents")
+    judged = quality.assess(docs, quality.fit(docs, common.table(spark, sf_dir, "labels")))
     return judged.select("doc_id", *quality.METRICS, "base_failed", "kept", "score")
 
 
@@ -50,7 +51,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    return found.select(F.col("key").alias("doc_id"), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

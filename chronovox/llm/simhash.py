@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
@@ -66,16 +67,17 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """doc_id and fingerprint (long, the bits as they are)."""
+def fingerprints(docs: DataFrame, width: int = 4, key_col: str = "doc_id") -> DataFrame:
+    """key and fingerprint (long, the bits as they are)."""
     common.text_session(docs.sparkSession)
+    source = docs.select(F.col(key_col).alias("key"), "text")
 
     def run(batches):
         for batch in batches:
             own = np.array([fingerprint(shingle_hashes(t, width)) for t in common.text_bytes(batch)], np.uint64)
-            yield pa.RecordBatch.from_arrays([common.column(batch, "doc_id"), pa.array(own.view(np.int64))], names=["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([common.column(batch, "key"), pa.array(own.view(np.int64))], names=["key", "fingerprint"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fingerprint long")
+    return source.mapInArrow(run, T.StructType([source.schema["key"], T.StructField("fingerprint", T.LongType())]))
 
 
 class Ball:
@@ -212,19 +214,27 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
         edges = common.written(small.where("a != b").distinct(), "small-star")
         now = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
-        if now == before:
+        if now == before or not now[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
         before = now
 
 
-def near_duplicates(docs: DataFrame, width: int = 4, bits: int = 4) -> DataFrame:
-    """doc_id, fingerprint (long) and component_id (least doc_id reachable) of every row."""
-    rows = common.written(fingerprints(docs, width), "fingerprints")
-    known = common.written(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    linked = common.written(components(links(known.select("fingerprint"), bits)), "components")
+def near_duplicates(docs: DataFrame, width: int = 4, bits: int = 4, key_col: str = "doc_id") -> DataFrame:
+    """key, fingerprint (long) and component (the least key reachable) of every row; the key may be any column that can be ordered."""
+    rows = common.written(fingerprints(docs, width, key_col), "fingerprints")
+    known = common.written(rows.groupBy("fingerprint").agg(F.min("key").alias("least")), "distinct-fingerprints")
+    linked = components(links(known.select("fingerprint"), bits))
     # Unlinked fingerprints are their own components.
     rooted = known.join(linked, known["fingerprint"] == linked["node"], "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
     rooted = common.written(rooted, "rooted")
-    of_root = common.written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "roots")
-    named = common.written(rooted.join(of_root, "root").select("fingerprint", "component_id"), "named")
-    return rows.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    of_root = common.written(rooted.groupBy("root").agg(F.min("least").alias("component")), "roots")
+    named = common.written(rooted.join(of_root, "root").select("fingerprint", "component"), "named")
+    return rows.join(named, "fingerprint").select("key", "fingerprint", "component")
+
+
+def one_of_each(docs: DataFrame, width: int = 4, bits: int = 4) -> DataFrame:
+    """``docs`` with one row of each component, that of the least doc_id (null first; of repeated ids any one)."""
+    numbered = common.written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
+    found = near_duplicates(numbered.select(F.struct("doc_id", "__row").alias("place"), "text"), width, bits, "place")
+    lost = found.where("key <> component").select(F.col("key.__row").alias("__row"))
+    return numbered.join(lost, "__row", "left_anti").select(*docs.columns)
