@@ -1,0 +1 @@
+"""Nothing here: the analyses are of whole scans, so every operator is a batch."""
