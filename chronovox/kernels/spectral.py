@@ -20,7 +20,9 @@ def fill_gaps(x: np.ndarray, tr: float, kept: np.ndarray, rescale: bool = True)
     shift = np.arctan2(np.sin(2 * np.outer(w, good)).sum(axis=1), np.cos(2 * np.outer(w, good)).sum(axis=1)) / (2 * w)
     fit, everywhere = (times[:, None] * w - w * shift for times in (good, t))
     c, s = np.cos(fit), np.sin(fit)
-    model = np.cos(everywhere) @ (c.T @ x / (c**2).sum(axis=0)[:, None]) + np.sin(everywhere) @ (s.T @ x / (s**2).sum(axis=0)[:, None])
+    # at the Nyquist frequency one of the two may be 0 at every kept frame: then it says nothing
+    part = lambda b: np.where((size := (b**2).sum(axis=0)) > 1e-9 * len(good), 1 / np.maximum(size, 1e-300), 0.0)[:, None] * (b.T @ x)
+    model = np.cos(everywhere) @ part(c) + np.sin(everywhere) @ part(s)
     if rescale:
         own = model[kept]
         with np.errstate(invalid="ignore", divide="ignore"):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import options
 from ..functions.guards import ratio, zero_if_null
 from ..kernels import linear, spatial, spectral
+from ..sources.shared import written
 from . import aggregates, frames, joins, series
 
 MOTION_6 = ["mov1", "mov2", "mov3", "rot1", "rot2", "rot3"]
@@ -315,8 +316,10 @@ def clean(
         keep = frames.trim_edges(keep, frames_total, edge_seconds, tr) if filtered else keep
         keep = keep.join(frames.scans_with_enough_frames(keep, least), "scan_id", "left_semi")
         keep = frames.matched_frames(keep, least, seed)
+    # used several times below, so written once
+    keep = written(keep, "frame-mask")
     kept = frames.kept_frames(own, keep)
-    trend = detrend(series.to_series(kept), frames_total, order)
+    trend = written(detrend(series.to_series(kept), frames_total, order), "detrended")
     intercepts = trend.select("scan_id", "voxel_id", "intercept")
     data = trend.drop("intercept")
     wanted = [r for r in regressors if r in ("mot_6", "mot_24")] or ([] if regressors else ["mot_6"])
@@ -326,9 +329,8 @@ def clean(
     if filtered:
         data, moves = (band_filter(fill_gaps(s, frames_total, tr), tr, high_pass, low_pass) for s in (data, moves))
         keep = frames.trim_edges(keep, frames_total, edge_seconds, tr)
-        data, moves = (series.to_series(frames.kept_frames(series.to_bold(s), keep)) for s in (data, moves))
         enough = frames.scans_with_enough_frames(keep, least)
-        data, moves = data.join(enough, "scan_id", "left_semi"), moves.join(enough, "scan_id", "left_semi")
+        data, moves = (written(series.to_series(frames.kept_frames(series.to_bold(s), keep)).join(enough, "scan_id", "left_semi"), "filtered") for s in (data, moves))
     design = moves.groupBy("scan_id").agg(F.array_sort(F.collect_list(F.struct("voxel_id", "v"))).alias("d")).select("scan_id", F.col("d.v").alias("x"))
     if tissue is not None and any(r in SIGNALS for r in regressors):
         signals = series.to_design(signal_regressors(series.to_bold(data), tissue, list(regressors))).select("scan_id", F.col("x").alias("s"))
@@ -336,7 +338,7 @@ def clean(
     if tissue is not None and any(r.startswith("aCompCor") for r in regressors):
         scores = component_regressors(data, tissue.where(F.col("mask_name").isin("WM_signal", "CSF_signal")), "aCompCor_percent" in regressors).select("scan_id", F.col("x").alias("s"))
         design = design.join(scores, "scan_id", "full").select("scan_id", F.concat(F.coalesce("x", F.expr("array()").cast("array<array<double>>")), F.coalesce("s", F.expr("array()").cast("array<array<double>>"))).alias("x"))
-    fit = regress(data, design, subtract=bool(regressors))
+    fit = written(regress(data, design, subtract=bool(regressors)), "fit")
     out = series.to_bold(fit)
     out = homogenized(out, scaling) if even_variance else out
     out = scaled(out, scaling, intercepts)

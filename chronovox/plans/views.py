@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import shared_dir as work_dir  # noqa: F401  for the queries
+
 #: Voxels and frames of the view ``line``; its last quarter is incomplete and left out.
 LINE_VOXELS, LINE_FRAMES = 50, 27
 
@@ -16,15 +15,6 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the cluster's shared folder, or a local one where none is named."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="chronovox-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def emb(spark, d) -> DataFrame:
     """One scan: a voxel per vector, a frame per component."""
     e = table(spark, d, "embeddings")
