@@ -93,7 +93,7 @@ def non_binary(mask_values: DataFrame) -> DataFrame:
 def top_percent(maps: DataFrame, percent: float, *keys: str) -> DataFrame:
     """Adds ``top``: whether abs(value) reaches the value at index int((1 - percent/100) n) of all, ascending."""
     size = maps.groupBy(*keys).agg(F.count("*").alias("__n"))
-    w = Window.partitionBy(*keys).orderBy(F.abs("value"))
+    w = Window.partitionBy(*keys).orderBy(F.abs("value").asc_nulls_last())
     ranked = maps.withColumn("__rank", F.row_number().over(w))
     at = F.floor(F.lit(1 - percent / 100) * F.col("__n")) + 1
     bound = ranked.join(size, list(keys)).where(F.col("__rank") == at).select(*keys, F.abs("value").alias("threshold"))
@@ -103,7 +103,7 @@ def top_percent(maps: DataFrame, percent: float, *keys: str) -> DataFrame:
 def value_at(frame: DataFrame, share: float, *keys: str) -> DataFrame:
     """The value at index int(n share) of all, ascending."""
     size = frame.groupBy(*keys).agg(F.count("*").alias("__n"))
-    ranked = frame.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy("value")))
+    ranked = frame.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.asc_nulls_last("value"))))
     return ranked.join(size, list(keys)).where(F.col("__rank") == F.floor(F.col("__n") * share) + 1).select(*keys, F.col("value").alias("bound"))
 
 
