@@ -230,6 +230,8 @@ class LibraryBpe(Bpe):
             ranks = {bytes(back[c] for c in s): i for s, i in self.vocab.items()}
             self.compiled = tiktoken.Encoding("words", pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=ranks, special_tokens=self.special)
             self.allowed = set(self.special)
+            # the tables of merges are not needed beside the compiled ones
+            self.library, self.rank_of, self.made_by, self.vocab = None, {}, [], {}
 
     def packed(self, text: str) -> np.ndarray:
         if self.compiled is None:

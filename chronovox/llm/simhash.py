@@ -39,7 +39,7 @@ from . import common
 #: Buckets that share out the variants at least; more once a bucket would hold over FINGERPRINTS_PER_BUCKET.
 BUCKETS, FINGERPRINTS_PER_BUCKET = 64, 8_000_000
 #: Variants that a task holds at once.
-VARIANTS_HELD = 4_000_000
+VARIANTS_HELD = 1_000_000
 SEED = 42
 
 
