@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import options
@@ -123,6 +126,14 @@ def k3(spark, d):
     return back.groupBy("scan_id").agg(F.count_if("False = Masked Frames").alias("kept"))
 
 
+@query("K4_named_outputs", "output rows", "", "SELECT 'atlas' AS output, count(*) AS rows FROM atlas UNION ALL SELECT 'masks', count(*) FROM tissues UNION ALL SELECT 'traces', count(*) FROM traces")
+def k4(spark, d):
+    folder, outputs = work_dir(spark, "outputs"), {"masks": tissues(spark, d), "atlas": atlas(spark, d), "traces": traces(spark, d)}
+    tables.write_outputs(outputs, folder)
+    counts = [tables.read_stage(spark, f"{folder}/{name}", df.schema).agg(F.lit(name).alias("output"), F.count("*").alias("rows")) for name, df in outputs.items()]
+    return functools.reduce(DataFrame.union, counts)
+
+
 @query("K5_options", "value", "", """SELECT '{"fd_threshold": 0.05, "order": 1}' AS value""")
 def k5(spark, d):
     folder = work_dir(spark, "options")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggregates, aroma, connect, frames, qc, regress, series, volumes
+from ..sources import tables
 from . import views
 from .registry import corr, query
-from .views import atlas, bold, emb, emb_series, grid, label_mask, line, motion, table, tissues, traces
+from .views import atlas, bold, emb, emb_series, grid, label_mask, line, motion, table, tissues, traces, work_dir
 
 MAPS = ("maps", "SELECT scan_id, voxel_id, avg(value) AS value FROM line GROUP BY ALL")
 GS = ("gs", "SELECT t, avg(value) AS trace FROM emb GROUP BY t")
@@ -603,12 +604,26 @@ def w6(spark, d):
 FEATURES = f"SELECT comp, edge_fraction, csf_fraction, hfc, (comp % 10) / 10.0::DOUBLE AS max_rp_corr FROM (SELECT comp, {FRACTIONS} FROM ({WEIGHTS_SQL})) JOIN ({HFC}) USING (comp)"
 
 
-@query("M5_classifier", "comp noise", "", f"SELECT comp, -14 + 9.951 * max_rp_corr + 24.833 * edge_fraction > 0 OR csf_fraction > 0.1 OR hfc > 0.6 AS noise FROM ({FEATURES})")
-def m5(spark, d):
+CLASSIFIED = f"SELECT comp, -14 + 9.95127547670627::DOUBLE * max_rp_corr + 24.8333160239175::DOUBLE * edge_fraction > 0 OR csf_fraction > 0.1 OR hfc > 0.6 AS noise, max_rp_corr FROM ({FEATURES})"
+
+
+def classified_components(spark, d):
     f = aroma.fractions(weights(spark, d)).join(aroma.high_frequency_content(power(spark, d), 1.0), "comp")
     return aroma.classified(f.withColumn("max_rp_corr", (F.col("comp") % 10) / 10.0))
 
 
+@query("M5_classifier", "comp noise", "", f"SELECT comp, noise FROM ({CLASSIFIED})")
+def m5(spark, d):
+    return classified_components(spark, d)
+
+
+@query("K7_component_report", "ic noise", "max_rp_corr", f"SELECT (comp + 1)::INT AS ic, noise, max_rp_corr FROM ({CLASSIFIED})")
+def k7(spark, d):
+    folder = work_dir(spark, "components")
+    tables.write_component_report(classified_components(spark, d), folder)
+    return tables.read_component_overview(spark, folder)
+
+
 @query("M6_denoise", "voxel_id t", "value", """
     SELECT voxel_id, t, value - (a * q - b * p) / nullif(a * c - b * b, 0) * x2 AS value FROM xy
     JOIN (SELECT voxel_id, sum(x1 * x1) AS a, sum(x1 * x2) AS b, sum(x2 * x2) AS c, sum(x1 * value) AS p, sum(x2 * value) AS q FROM xy GROUP BY voxel_id) USING (voxel_id)""",

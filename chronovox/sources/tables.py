@@ -7,6 +7,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import shared
+
 
 def read_csv(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True, sep=sep)
@@ -51,6 +53,34 @@ def read_options(spark: SparkSession, folder: str) -> dict:
     return json.loads(spark.read.text(folder).first()["value"])
 
 
+def write_outputs(outputs: dict[str, DataFrame], folder: str) -> None:
+    """A stage's named outputs, one Parquet folder each."""
+    for name, df in outputs.items():
+        write_stage(df, f"{folder}/{name}")
+
+
+def write_component_report(classified: DataFrame, folder: str) -> None:
+    """Three texts: scores, numbers of the noise components (from 1), and an overview with headings.
+
+    ``classified`` has a row per component (comp from 0, max_rp_corr,
+    edge_fraction, hfc, csf_fraction, noise), few enough for one file.
+    """
+    scores = ["max_rp_corr", "edge_fraction", "hfc", "csf_fraction"]
+    classified = shared.written(classified, "components")
+    rows = classified.repartition(1).sortWithinPartitions("comp")
+    rows.select(F.concat_ws(" ", *[F.format_string("%.18e", c) for c in scores])).write.mode("overwrite").text(f"{folder}/feature_scores")
+    numbers = F.array_sort(F.collect_list(F.when(F.col("noise"), F.col("comp") + 1)))
+    classified.agg(F.array_join(numbers.cast("array<string>"), ",")).write.mode("overwrite").text(f"{folder}/classified_motion_ICs")
+    headings = ["maximum RP correlation", "Edge-fraction", "High-frequency content", "CSF-fraction"]
+    overview = rows.select((F.col("comp") + 1).alias("IC"), F.when(F.col("noise"), "True").otherwise("False").alias("Motion/noise"), *[F.format_string("%.2f", c).alias(h) for c, h in zip(scores, headings)])
+    write_csv(overview, f"{folder}/classification_overview", "\t")
+
+
+def read_component_overview(spark: SparkSession, folder: str) -> DataFrame:
+    """ic, noise, max_rp_corr, edge_fraction, hfc, csf_fraction."""
+    return read_csv(spark, f"{folder}/classification_overview", "ic int, noise boolean, max_rp_corr double, edge_fraction double, hfc double, csf_fraction double", "\t")
+
+
 def boilerplate(options: dict) -> str:
     """A paragraph of methods for the chosen options."""
     said = []

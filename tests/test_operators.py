@@ -207,6 +207,19 @@ def test_classifier_special_cases(spark):
     assert got[0] == (0, 0) and got[1] == (1, 1) and got[2] == (pytest.approx(2 / 3), 0.25)
 
 
+def test_component_report(spark, tmp_path):
+    f = spark.createDataFrame([(1, 0.9, 0.8, 0.2, 0.0), (0, 0.1, 0.2, 0.3, 0.05), (2, 0.0, 0.0, 0.1, 0.5)], "comp int, max_rp_corr double, edge_fraction double, hfc double, csf_fraction double")
+    tables.write_component_report(aroma.classified(f), str(tmp_path))
+    read = lambda name: [r.value for r in spark.read.text(f"{tmp_path}/{name}").collect()]
+    assert read("classified_motion_ICs") == ["2,3"]
+    assert [float(x) for x in read("feature_scores")[0].split()] == [0.1, 0.2, 0.3, 0.05]
+    assert read("classification_overview")[1:3] == ["1\tFalse\t0.10\t0.20\t0.30\t0.05", "2\tTrue\t0.90\t0.80\t0.20\t0.00"]
+    assert [r.noise for r in tables.read_component_overview(spark, str(tmp_path)).orderBy("ic").collect()] == [False, True, True]
+    # none is noise: an empty line
+    tables.write_component_report(aroma.classified(f.where("comp = 0")), str(tmp_path))
+    assert read("classified_motion_ICs") == [""]
+
+
 def test_edge_mask_against_slices(spark):
     mask = np.random.default_rng(8).random((5, 6, 7)) < 0.9
     ids = {}
