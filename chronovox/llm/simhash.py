@@ -223,13 +223,18 @@ def near_duplicates(docs: DataFrame, width: int = 4, bits: int = 4, key_col: str
     """key, fingerprint (long) and component (the least key reachable) of every row; the key may be any column that can be ordered."""
     rows = common.written(fingerprints(docs, width, key_col), "fingerprints")
     known = common.written(rows.groupBy("fingerprint").agg(F.min("key").alias("least")), "distinct-fingerprints")
-    linked = components(links(known.select("fingerprint"), bits))
+    return named(rows, known, links(known.select("fingerprint"), bits))
+
+
+def named(rows: DataFrame, known: DataFrame, edges: DataFrame) -> DataFrame:
+    """``rows`` (key, fingerprint) with component, the least key that the edges (a, b) reach; ``known`` has each fingerprint's least key."""
+    linked = components(edges)
     # Unlinked fingerprints are their own components.
     rooted = known.join(linked, known["fingerprint"] == linked["node"], "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
     rooted = common.written(rooted, "rooted")
     of_root = common.written(rooted.groupBy("root").agg(F.min("least").alias("component")), "roots")
-    named = common.written(rooted.join(of_root, "root").select("fingerprint", "component"), "named")
-    return rows.join(named, "fingerprint").select("key", "fingerprint", "component")
+    of_print = common.written(rooted.join(of_root, "root").select("fingerprint", "component"), "named")
+    return rows.join(of_print, "fingerprint").select("key", "fingerprint", "component")
 
 
 def one_of_each(docs: DataFrame, width: int = 4, bits: int = 4) -> DataFrame:
