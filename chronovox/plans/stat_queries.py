@@ -477,6 +477,11 @@ def c3(spark, d):
     return connect.voxel_matrix(series.to_series(line(spark, d).where("scan_id = 'AF'")), 16)
 
 
+@query("C3_voxel_matrix_scans", "scan_id voxel_i voxel_j", "r", f"SELECT scan_id, a.voxel_id AS voxel_i, b.voxel_id AS voxel_j, {corr('a.value', 'b.value')} AS r FROM line a JOIN line b USING (scan_id, t) GROUP BY ALL", digits=5)
+def c3_scans(spark, d):
+    return connect.voxel_matrix(series.to_series(line(spark, d)), 16)
+
+
 TWO = ("two", "SELECT voxel_id, avg(value) FILTER (WHERE t < 32) AS w1, avg(value) FILTER (WHERE t >= 32) AS w2 FROM emb GROUP BY voxel_id")
 DUAL = """
     g AS (SELECT sum(w1 * w1) AS a, sum(w1 * w2) AS b, sum(w2 * w2) AS c FROM two),
