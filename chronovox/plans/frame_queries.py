@@ -98,6 +98,15 @@ def s12(spark, d):
     return tables.read_matrix(spark, folder)
 
 
+@query("S12_matrix_text_whole", "row col", "value", "SELECT (dense_rank() OVER (ORDER BY label) - 1)::INT AS row, t AS col, avg(value) AS value FROM emb GROUP BY label, t")
+def s12_whole(spark, d):
+    folder = work_dir(spark, "matrix")
+    m = emb(spark, d).groupBy("label", "t").agg(F.avg("value").alias("v"))
+    rows = m.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("t", "v"))).alias("r")).orderBy("label").coalesce(1)
+    rows.select(F.concat_ws("  ", F.transform("r.v", lambda x: x.cast("string")))).write.text(folder)
+    return tables.read_matrix(spark, folder)
+
+
 @query("S13_synthetic_scans", "scan_id t voxel_id", "value")
 def s13(spark, d):
     return synthetic.scans(spark, 3)
