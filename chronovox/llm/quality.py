@@ -20,8 +20,8 @@ document, and every document is scored.
 
 Defined cases: a null text has no words and fails; repeated rows count each;
 labels with a null or repeated id: null ids are ignored, an id counts as good
-if every label of it says so; without any good label all scores are 0 and
-every document that passes the rules is kept.
+if every label of it says so; without any good label all scores are 0; without
+labels of both kinds every document that passes the rules is kept.
 """
 
 from __future__ import annotations
@@ -43,9 +43,9 @@ LEAST_WORDS, MOST_REPEATED = 20, (30, 100)
 ORDERS, BUCKETS = (4,), 1 << 16
 #: Labelled ids that may be sent to the tasks (8 bytes each).
 MOST_LABELS = 200_000
-#: Share of the good labelled documents below the bound from which the threshold starts, and how far it then goes
-#: towards the median of the bad ones below the bound, to spare clean documents that are unlike the labelled ones.
-GOOD_BELOW, MARGIN = 0.001, 0.3
+#: How far the threshold goes from the score that separates the labelled documents best towards the median of the bad
+#: ones below it, to spare clean documents that are unlike the labelled ones.
+MARGIN = 0.3
 #: Bytes that are counted at once.
 BLOCK = 256 << 10
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -223,13 +223,22 @@ def quantile_of(values: np.ndarray, times: np.ndarray, share: float) -> float:
     return float(values[order][np.searchsorted(upto, int(share * upto[-1]), side="right")])
 
 
-def threshold_of(scores: np.ndarray, good: np.ndarray, times: np.ndarray, below: float = GOOD_BELOW, margin: float = MARGIN) -> float:
-    """A low quantile of the good documents' scores, less a share of its distance to the median of the bad ones below it."""
-    if not good.any():
+def threshold_of(scores: np.ndarray, good: np.ndarray, times: np.ndarray, margin: float = MARGIN) -> float:
+    """The good score that separates both classes best, less a share of its distance to the median of the bad ones below it.
+
+    Best is the greatest share of bad ones below less the share of good ones
+    below, the least such score if there are several; so a few wrong labels
+    hardly move it.  Without labels of both kinds nothing is rejected.
+    """
+    if not good.any() or good.all():
         return -np.inf
-    bound = quantile_of(scores[good], times[good], below)
+    order = np.argsort(scores, kind="stable")
+    s, n = scores[order], np.where(good, [[0], [1]], [[1], [0]])[:, order] * times[order]
+    below = np.concatenate([np.zeros((2, 1)), np.cumsum(n, axis=1)], axis=1)[:, np.searchsorted(s, s, side="left")]
+    gain = below[0] / n[0].sum() - below[1] / n[1].sum()
+    bound = float(s[np.argmax(np.where(good[order], gain, -np.inf))])
     bad = ~good & (scores < bound)
-    return bound - margin * (bound - quantile_of(scores[bad], times[bad], 0.5)) if bad.any() else -np.inf
+    return bound - margin * (bound - quantile_of(scores[bad], times[bad], 0.5)) if bad.any() else bound
 
 
 @dataclasses.dataclass

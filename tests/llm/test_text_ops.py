@@ -184,6 +184,17 @@ def test_threshold_spares_the_good():
     assert quality.threshold_of(scores, ~good & False, np.ones(6, int)) == -np.inf
 
 
+def test_threshold_survives_wrong_labels():
+    rng = np.random.default_rng(1)
+    scores, good = np.concatenate([rng.normal(0, 0.1, 1700), rng.normal(-3, 0.1, 150)]), np.arange(1850) < 1700
+    for wrong in (0, 4, 20):  # labelled good, though they score like the bad
+        flag = good | (np.arange(1850) >= 1850 - wrong)
+        limit = quality.threshold_of(scores, flag, np.ones(1850, int))
+        assert scores[~good].max() < limit < scores[good].min()
+    # no bad one scores below a good one: still a bound
+    assert quality.threshold_of(np.array([0.0, 1.0]), np.array([True, False]), np.ones(2, int)) == 0.0
+
+
 # near duplicates
 
 
