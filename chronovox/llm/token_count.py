@@ -10,8 +10,11 @@ characters in a row are one piece, or one piece for each byte if the
 vocabulary has all byte pieces.
 
 White space becomes the word mark, which also goes before a text; a word is
-what runs from one mark to before the next.  Words repeat, so a worker keeps
-a bounded cache from word to count.
+what runs from one mark to before the next.  Where a piece of the vocabulary
+has two marks in a row, marks in a row stay together before their word.  No
+piece then spans the end of a word, so the counts are those of one Viterbi
+over the whole text; a vocabulary with such a piece is refused.  Words repeat,
+so a worker keeps a bounded cache from word to count.
 
 Defined cases: a null or empty text has no tokens; rows are counted each.
 """
@@ -19,6 +22,7 @@ Defined cases: a null or empty text has no tokens; rows are counted each.
 from __future__ import annotations
 
 import functools
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,14 +34,19 @@ from .bpe import TwoAges
 #: The word mark, and what an unknown character costs below the least score.
 MARK, UNKNOWN_COST = "▁", 10.0
 CACHE_WORDS = 700_000
+MARKED_WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 
 
 class Unigram:
-    """Counts for pieces with scores."""
+    """Counts for pieces with scores; ``runs`` keeps marks in a row in one word."""
 
-    def __init__(self, vocabulary: list[tuple[str, float]], byte_pieces: bool, cache_words: int = CACHE_WORDS):
+    def __init__(self, vocabulary: list[tuple[str, float]], byte_pieces: bool, cache_words: int = CACHE_WORDS, runs: bool = False):
         import ahocorasick
 
+        if runs and any(re.search(f"[^{MARK}]{MARK}", p) for p, _ in vocabulary):
+            raise ValueError("a piece goes on into the next word")
+        self.runs = runs
+
         self.find = ahocorasick.Automaton()
         for piece, score in vocabulary:
             if piece:
@@ -82,6 +91,9 @@ class Unigram:
         if not text:
             return 0
         text = text.replace(" ", MARK)
+        if self.runs and MARK * 2 in text:
+            known = self.of_word
+            return sum([known[w] for w in MARKED_WORDS.findall(text if text.startswith(MARK) else MARK + text)])
         words = text.split(MARK)
         # what stands before the first mark gets one; a mark alone is a word too
         first = words[1:] if text.startswith(MARK) else words
@@ -105,7 +117,7 @@ def pieces_of(path: str) -> tuple[list[tuple[str, float]], bool]:
 
 @functools.lru_cache(maxsize=2)
 def loaded(path: str) -> Unigram:
-    return Unigram(*pieces_of(path))
+    return Unigram(*pieces_of(path), runs=True)
 
 
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

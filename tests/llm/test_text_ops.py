@@ -60,6 +60,18 @@ def test_count_frame(spark):
     assert token_count.count_tokens(documents(spark, []), path).count() == 0
 
 
+def test_pieces_of_several_marks_are_in_reach():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    vocabulary, _ = token_count.pieces_of(path)
+    library = Tokenizer(models.Unigram([("<unk>", 0.0), *vocabulary, *[(f"<0x{b:02X}>", -1e6) for b in range(256)]], unk_id=0, byte_fallback=True))
+    library.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=False)
+    own = token_count.loaded(path)
+    for text in ("def f():\n" + " " * 8 + "return  1" + " " * 16, "   a b", "a" + " " * 40 + "b  ", " ", "  ", "one two", "\u2581\u2581x y"):
+        assert own.count(text) == len(library.encode(text, add_special_tokens=False).ids), text
+    with pytest.raises(ValueError):
+        token_count.Unigram([("a\u2581", -1.0), ("a", -1.0)], False, runs=True)
+
+
 # line dedup
 
 
