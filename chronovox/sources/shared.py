@@ -9,16 +9,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path below spark.checkpoint.dir; a local folder only where that setting is absent (local tests)."""
+    """A fresh path below spark.checkpoint.dir.
+
+    Where that setting is absent, a local master gets a temporary folder; any
+    other raises, as its executors would not see one.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="chronovox-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet and read it back."""
+    """Cut lineage: write ``df`` as Parquet to the shared folder and read it back with the same schema."""
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables of written() that nothing reads any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
