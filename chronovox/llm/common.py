@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..sources.shared import dropped, shared_dir, written  # noqa: F401  for the operators
+
 #: Rows per Arrow batch for whole-text columns. Texts may be long, so a batch holds fewer rows than Spark's default.
 TEXT_ROWS_PER_BATCH = 1000
 
@@ -27,30 +27,6 @@ def text_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path below spark.checkpoint.dir; a local folder only where that setting is absent (local tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="chronovox-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` as Parquet to the shared folder and read it back with the same schema."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def removed(spark: SparkSession, path: str) -> None:
-    """Delete a shared folder through Hadoop's file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def scan_partitions(df: DataFrame) -> int:
     """Partitions of the plan as it stands; follows the input's size for a file scan."""
     return max(1, df.rdd.getNumPartitions())
