@@ -6,9 +6,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.guards import pearson, ratio, zero_if_null
+from ..functions.guards import pearson, zero_if_null
 from ..kernels import linear
-from . import aggregates, frames, series
+from ..sources.shared import written
+from . import aggregates, series
 
 
 def seed_maps(bold: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -60,33 +61,52 @@ def voxel_matrix(data: DataFrame, block: int = 512) -> DataFrame:
     return out.withColumn("r", F.when(F.isnan("r"), None).otherwise(F.col("r")))
 
 
+def with_priors(data: DataFrame, priors: DataFrame) -> tuple[list[int], DataFrame]:
+    """The priors' numbers, and ``data`` with their weights at each voxel (``p``, 0 where a prior has none)."""
+    comps = sorted(r["comp"] for r in priors.select("comp").distinct().collect())  # one row per prior map
+    own = [F.coalesce(F.max(F.when(F.col("comp") == c, F.col("weight").cast("double"))), F.lit(0.0)) for c in comps]
+    wide = priors.groupBy("voxel_id").agg(F.array(*own).alias("p"))
+    none = F.array(*[F.lit(0.0)] * len(comps)) if comps else F.expr("array()").cast("array<double>")
+    return comps, data.select("scan_id", "voxel_id", "v").join(wide, "voxel_id", "left").select("scan_id", "voxel_id", "v", F.coalesce("p", none).alias("p"))
+
+
+def moments(data: DataFrame) -> DataFrame:
+    """scan_id, gram: inner products over voxels of a scan's frames (``v``), its priors (``p``, if there are any) and the constant 1."""
+    own = ["v", "p"] if "p" in data.columns else ["v"]
+    return series.frame_gram(data.select("scan_id", F.concat(*own, F.array(F.lit(1.0))).alias("v")), centre=False)
+
+
+def laid_out(data: DataFrame, weights: DataFrame, comps: list[int] | None = None) -> DataFrame:
+    """scan_id, comp, voxel_id, value: the maps whose weights (scan_id, z: a list per component) of frames, priors and constant are given."""
+    own = ["v", "p"] if "p" in data.columns else ["v"]
+    rows = data.select("scan_id", "voxel_id", F.concat(*own, F.array(F.lit(1.0))).alias("v")).join(weights.select("scan_id", "z"), "scan_id")
+    out = series.per_voxel(rows, lambda y, z: np.array(z, float) @ y, "value array<double>", "z").select("scan_id", "voxel_id", F.posexplode("value").alias("comp", "value"))
+    named = out if comps is None else out.withColumn("comp", F.element_at(F.array(*map(F.lit, comps)), F.col("comp") + 1))
+    return named.select("scan_id", "comp", "voxel_id", "value")
+
+
 def dual_regression(data: DataFrame, priors: DataFrame) -> dict[str, DataFrame]:
     """Traces W (scan_id, comp, t, value), maps C and amplitudes S of given priors; nothing is centred.
 
-    The priors' Gram matrix and their products with each frame are sums over
-    voxels.  What is left per scan is small: components by frames.
+    Everything but the maps follows from inner products over voxels, so the
+    data are read twice: once for those and once for the maps.
     """
-    mine = priors.join(data.select("voxel_id").distinct(), "voxel_id", "left_semi")
-    other = mine.select(F.col("comp").alias("other"), "voxel_id", F.col("weight").alias("w2"))
-    gram = mine.join(other, "voxel_id").groupBy("comp", "other").agg(F.sum(F.col("weight") * F.col("w2")).alias("g"))
-    rows = gram.collect()  # components squared
-    comps = sorted({r["comp"] for r in rows})
-    g = np.zeros((len(comps), len(comps)))
-    for r in rows:
-        g[comps.index(r["comp"]), comps.index(r["other"])] = r["g"]
-    back = np.linalg.inv(g)
-    products = series.to_bold(data).join(mine, "voxel_id").groupBy("scan_id", "t", "comp").agg(F.sum(F.col("weight") * F.col("value")).alias("p"))
-    mix = F.explode(F.array(*[F.struct(F.lit(c).alias("comp"), F.element_at(F.create_map(*[F.lit(x) for k, d in enumerate(comps) for x in (d, float(back[i, k]))]), F.col("from")).alias("h")) for i, c in enumerate(comps)])).alias("m")
-    raw = products.withColumnRenamed("comp", "from").select("scan_id", "t", "p", mix).groupBy("scan_id", "t", F.col("m.comp").alias("comp")).agg(F.sum(F.col("p") * F.col("m.h")).alias("value"))
-    size = raw.groupBy("scan_id", "comp").agg(F.sqrt(F.avg(F.col("value") * F.col("value"))).alias("size"))
-    traces = raw.join(size, ["scan_id", "comp"]).select("scan_id", "comp", "t", ratio("value", "size").alias("value"))
-    one = traces.groupBy("scan_id", "comp").agg(F.array_sort(F.collect_list(F.struct("t", "value"))).alias("s"))
-    design = one.groupBy("scan_id").agg(F.array_sort(F.collect_list(F.struct("comp", F.col("s.value").alias("x")))).alias("d")).select("scan_id", F.col("d.x").alias("x"))
-    fit = series.per_voxel(data.join(design, "scan_id"), lambda y, x: linear.solve(np.array(x, float).T, y), "c array<double>", "x")
-    raw_maps = fit.select("scan_id", "voxel_id", F.posexplode("c").alias("k", "value")).withColumn("comp", F.element_at(F.array(*map(F.lit, comps)), F.col("k") + 1)).drop("k")
-    amplitudes = raw_maps.groupBy("scan_id", "comp").agg(F.sqrt(F.avg(F.col("value") * F.col("value"))).alias("amplitude"))
-    maps = raw_maps.join(amplitudes, ["scan_id", "comp"]).select("scan_id", "comp", "voxel_id", ratio("value", "amplitude").alias("value"))
-    return {"traces": traces, "maps": maps, "amplitudes": amplitudes}
+    comps, rows = with_priors(data, priors)
+
+    def one(row):
+        at = linear.Coordinates(series.square(row["gram"]), len(comps))
+        f = linear.standard(at, at.maps)
+        yield row["scan_id"], f["traces"].T.tolist(), f["amplitudes"].tolist(), at.weights(f["maps"]).T.tolist()
+
+    fit = written(series.per_row(moments(rows), one, "scan_id string, w array<array<double>>, s array<double>, z array<array<double>>"), "dual-regression")
+    comp = F.element_at(F.array(*map(F.lit, comps)), F.col("k") + 1).alias("comp")
+    times = data.groupBy("scan_id").agg(F.first("t").alias("times")) if "t" in data.columns else fit.select("scan_id", F.sequence(F.lit(0), F.size(F.col("w")[0]) - 1).alias("times"))
+    traces = fit.join(times, "scan_id").select("scan_id", "times", F.posexplode("w").alias("k", "w")).select("scan_id", comp, F.explode(F.arrays_zip("times", "w")).alias("x"))
+    return {
+        "traces": traces.select("scan_id", "comp", F.col("x.times").cast("int").alias("t"), F.col("x.w").alias("value")),
+        "maps": laid_out(rows, fit, comps),
+        "amplitudes": fit.select("scan_id", F.posexplode("s").alias("k", "amplitude")).select("scan_id", comp, "amplitude"),
+    }
 
 
 def weighted_maps(maps: DataFrame, amplitudes: DataFrame, how: str = "absolute") -> DataFrame:
@@ -98,133 +118,124 @@ def weighted_maps(maps: DataFrame, amplitudes: DataFrame, how: str = "absolute")
     return maps.join(amplitudes, ["scan_id", "comp"]).withColumn("value", F.col("value") * F.col("amplitude")).drop("amplitude")
 
 
-def _whole(pdf, priors):
-    """A scan's (frames, voxels) matrix, its voxels, and the priors at those voxels."""
-    order = np.argsort(pdf["voxel_id"].to_numpy(), kind="stable")
-    voxels = pdf["voxel_id"].to_numpy()[order]
-    data = np.array([np.array(v, float) for v in pdf["v"].to_numpy()[order]]).T
-    return data, voxels, None if priors is None else np.array([priors.get(int(v), [0.0] * priors["n"]) for v in voxels], float)
-
-
-def _sent(priors: DataFrame) -> dict:
-    """Priors of one brain as a dict; they are a few maps over one mask, checked to be under a million voxels."""
-    rows = priors.groupBy("voxel_id").agg(F.array_sort(F.collect_list(F.struct("comp", "weight"))).alias("w")).limit(1_000_001).collect()
-    if len(rows) > 1_000_000:
-        raise ValueError("priors have over a million voxels")
-    return {int(r["voxel_id"]): [x["weight"] for x in r["w"]] for r in rows} | {"n": max((len(r["w"]) for r in rows), default=0)}
-
-
 RESULT = "scan_id string, kind string, comp int, idx long, value double"
+FITTED = "scan_id string, w array<array<double>>, s array<double>, r array<double>, z array<array<double>>"
 
 
-def _long(scan, kind, columns, idx):
-    return [(scan, kind, c, int(i), float(columns[k, c])) for c in range(columns.shape[1]) for k, i in enumerate(idx)]
+def long_result(rows: DataFrame, fit: DataFrame) -> DataFrame:
+    """Kinds map (idx voxel), trace (idx frame), amplitude and prior_corr (idx 0) of a fit."""
+    maps = laid_out(rows, fit).select("scan_id", F.lit("map").alias("kind"), "comp", F.col("voxel_id").alias("idx"), "value")
+    traces = fit.select("scan_id", F.posexplode("w").alias("comp", "w")).select("scan_id", F.lit("trace"), "comp", F.posexplode("w"))
+    single = lambda kind, c: fit.select("scan_id", F.lit(kind), F.posexplode(c).alias("comp", "value")).select("scan_id", F.lit(kind), "comp", F.lit(0), "value")
+    out = maps.union(traces).union(single("amplitude", "s")).union(single("prior_corr", "r"))
+    return out.select("scan_id", "kind", F.col("comp").cast("int"), F.col("idx").cast("long"), "value")
 
 
 def alternating_fit(data: DataFrame, components: int, priors: DataFrame | None = None, seed: int = 0) -> DataFrame:
-    """New components of each scan beside fixed maps; kinds ``map`` (idx voxel) and ``trace`` (idx frame). A group is one scan."""
-    known = _sent(priors) if priors is not None else None
-
-    def one(pdf):
-        import pandas as pd
+    """New components of each scan beside fixed maps; kinds ``map`` (idx voxel) and ``trace`` (idx frame)."""
+    comps, rows = with_priors(data, priors) if priors is not None else ([], data)
 
-        y, voxels, p = _whole(pdf, known)
-        own, _, w = linear.alternate(y, components, np.random.default_rng(seed), maps=p)
-        scan = pdf["scan_id"].iloc[0]
-        return pd.DataFrame(_long(scan, "map", own, voxels) + _long(scan, "trace", w[:, :components], range(len(y))), columns=["scan_id", "kind", "comp", "idx", "value"])
+    def one(row):
+        at = linear.Coordinates(series.square(row["gram"]), len(comps))
+        f = linear.Fit(at.frames, components, np.random.default_rng(seed), maps=linear.unit(at.maps))
+        yield row["scan_id"], f.traces.T.tolist(), [], [], at.weights(f.maps).T.tolist()
 
-    return series.per_scan(data.select("scan_id", "voxel_id", "v"), one, RESULT)
+    return long_result(rows, written(series.per_row(moments(rows), one, FITTED), "alternating-fit"))
 
 
 def prior_recovery(data: DataFrame, priors: DataFrame, temporal: int, spatial: int, seed: int = 0) -> DataFrame:
     """Maps, traces, amplitudes and prior correlations of neural prior recovery; priors come first, then spatial, then temporal components."""
-    known = _sent(priors)
-
-    def one(pdf):
-        import pandas as pd
+    comps, rows = with_priors(data, priors)
 
-        y, voxels, p = _whole(pdf, known)
-        f = linear.recover_priors(y, p, temporal, spatial, seed)
-        scan = pdf["scan_id"].iloc[0]
-        rows = _long(scan, "map", f["maps"], voxels) + _long(scan, "trace", f["traces"], range(len(y)))
-        rows += [(scan, "amplitude", c, 0, float(s)) for c, s in enumerate(f["amplitudes"])] + [(scan, "prior_corr", c, 0, float(r)) for c, r in enumerate(f["prior_corr"])]
-        return pd.DataFrame(rows, columns=["scan_id", "kind", "comp", "idx", "value"])
+    def one(row):
+        at = linear.Coordinates(series.square(row["gram"]), len(comps))
+        f = linear.recover_priors(at, temporal, spatial, seed)
+        yield row["scan_id"], f["traces"].T.tolist(), f["amplitudes"].tolist(), f["prior_corr"].tolist(), at.weights(f["maps"]).T.tolist()
 
-    return series.per_scan(data.select("scan_id", "voxel_id", "v"), one, RESULT)
+    return long_result(rows, written(series.per_row(moments(rows), one, FITTED), "prior-recovery"))
 
 
-def dimension_search(data: DataFrame, priors: DataFrame, most: int = 8, window: int = 3, least_corr: float = 0.5, most_diff: float = 0.03, seed: int = 0) -> DataFrame:
-    """Steps (scan_id, i, temporal, spatial, corr, diff, chosen): components are added in turn, and the first stable step is chosen.
+def dimension_search(data: DataFrame, priors: DataFrame, most: int = 20, window: int = 5, least_corr: float = 0.5, most_diff: float = 0.03, whole: bool = False, seed: int = 0) -> DataFrame:
+    """Steps (scan_id, i, temporal, spatial, corr, diff, chosen) up to the first stable one, of ``most`` at most.
 
     corr is the worst correlation with a prior, diff the worst change of a
-    fitted prior map since the step before (0 alike, 1 unrelated).
+    fitted prior map since the step before (0 alike, 1 unrelated).  A step is
+    stable if its corr reaches ``least_corr`` and the ``window`` steps after
+    it change by ``most_diff`` at most; the search ends there, unless
+    ``whole`` asks for all steps.  If no step is stable, the last is chosen.
     """
-    known = _sent(priors)
-
-    def one(pdf):
-        import pandas as pd
+    comps, rows = with_priors(data, priors)
 
-        y, _, p = _whole(pdf, known)
-        rows, before = [], None
-        for i in range(most + 1):
+    def one(row):
+        at = linear.Coordinates(series.square(row["gram"]), len(comps))
+        steps, before, chosen, run = [], None, None, 0
+        for i in range(most):
             temporal, spatial = (i + 1) // 2, i // 2
-            f = linear.recover_priors(y, p, temporal, spatial, seed)
-            maps = linear.unit(f["maps"][:, : p.shape[1]])
-            diff = None if before is None else float(max(1 - abs((maps * before).sum(axis=0))))
-            rows.append((pdf["scan_id"].iloc[0], i, temporal, spatial, float(f["prior_corr"].min()), diff))
+            f = linear.recover_priors(at, temporal, spatial, seed)
+            maps = linear.unit(f["maps"][:, : len(comps)])
+            diff = None if before is None else float(np.abs(1 - np.abs((maps * before).sum(axis=0))).max())
+            steps.append((i, temporal, spatial, float(f["prior_corr"].min()), diff))
+            run = run + 1 if diff is not None and diff <= most_diff else 0
+            if chosen is None and run >= window and steps[i - window][3] >= least_corr:
+                chosen = i - window
+                if not whole:
+                    break
             before = maps
-        return pd.DataFrame(rows, columns=["scan_id", "i", "temporal", "spatial", "corr", "diff"])
+        chosen = len(steps) - 1 if chosen is None else chosen
+        for step in steps:
+            yield (row["scan_id"], *step, chosen)
 
-    steps = series.per_scan(data.select("scan_id", "voxel_id", "v"), one, "scan_id string, i int, temporal int, spatial int, corr double, diff double")
-    chosen = frames.convergence(steps.withColumnRenamed("scan_id", "key"), window, least_corr, most_diff).select(F.col("key").alias("scan_id"), F.col("i").alias("chosen"))
-    return steps.join(chosen, "scan_id", "left")
+    return series.per_row(moments(rows), one, "scan_id string, i int, temporal int, spatial int, corr double, diff double, chosen int")
 
 
-def group_components(data: DataFrame, components: int, seed: int = 0) -> DataFrame:
-    """Group ICA: (comp, voxel_id, value).
+def separated(data: DataFrame, components: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """ICA of every scan_id: rows (scan_id, x, z) with traces and maps' weights, and the data.
 
-    Scans are put after one another in time.  Their voxels' second moments
-    over frames come from Gram matrices, principal components of the group
-    from a projection of every scan, and FastICA turns those; only the
-    projection, components by voxels of one brain, is in one place.
+    Whitening follows from second moments over voxels, and the cubic FastICA
+    from fourth moments of the white variables.  Both are sums over voxels,
+    so the voxels of a scan are never in one place.
     """
-    frames_of = data.groupBy("scan_id").agg(F.max(F.size("v")).alias("n"))
-    if frames_of.select("n").distinct().count() > 1:
-        raise ValueError("scans have different numbers of frames")
-    # reduce each scan to its own leading frame patterns, then put the scans together
-    gram = series.frame_gram(data, centre=True)
-
-    def patterns(pdf):
-        rows = []
-        for flat in pdf["gram"]:
-            n = int(np.sqrt(len(flat)))
-            values, vectors = np.linalg.eigh(np.array(flat, float).reshape(n, n))
-            rows.append(vectors[:, ::-1][:, :components].T.tolist())
-        return pdf[["scan_id"]].assign(x=rows)
-
-    basis = series.per_scan(gram, patterns, "scan_id string, x array<array<double>>")
-    low = series.per_voxel(data.join(basis, "scan_id"), lambda y, x: np.array(x, float) @ (y - y.mean(axis=0)), "low array<double>", "x")
-    merged = low.groupBy("voxel_id").agg(F.array_sort(F.collect_list(F.struct("scan_id", "low"))).alias("s")).select("voxel_id", F.flatten("s.low").alias("v"))
+    gram = written(moments(data), "second-moments")
 
-    def one(pdf):
-        import pandas as pd
+    def white(row):
+        yield row["scan_id"], linear.whitening(series.square(row["gram"]), components).tolist()
 
-        y, voxels, _ = _whole(pdf, None)
-        maps, _ = linear.independent_components(y, components, seed)
-        return pd.DataFrame([(c, int(v), float(maps[k, c])) for c in range(maps.shape[1]) for k, v in enumerate(voxels)], columns=["comp", "voxel_id", "value"])
+    turn = written(series.per_row(gram, white, "scan_id string, x array<array<double>>"), "whitening")
+    rows = data.select("scan_id", F.concat("v", F.array(F.lit(1.0))).alias("v")).join(turn, "scan_id")
+    products = series.per_voxel(rows, lambda y, x: linear.pairs((np.array(x, float) @ y).T).T, "pairs array<double>", "x")
+    fourth = series.frame_gram(products.select("scan_id", F.col("pairs").alias("v")), centre=False).withColumnRenamed("gram", "fourth")
 
-    return merged.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(one, "comp int, voxel_id long, value double")
+    def split(row):
+        x, g = np.array([list(r) for r in row["x"]], float), series.square(row["gram"])
+        w = linear.independent_turn(series.square(row["fourth"]) / g[-1, -1], len(x), seed) @ x
+        # traces are the frames' covariances with the maps
+        traces = (g[:-1] @ w.T - np.outer(g[:-1, -1], g[-1] @ w.T) / g[-1, -1]) / g[-1, -1]
+        yield row["scan_id"], traces.T.tolist(), [], [], w.tolist()
 
+    return data, written(series.per_row(fourth.join(turn, "scan_id").join(gram, "scan_id"), split, FITTED), "separated")
 
-def scan_components(data: DataFrame, components: int, seed: int = 0) -> DataFrame:
-    """ICA of each scan: kinds map and trace. A group is one scan."""
 
-    def one(pdf):
-        import pandas as pd
+def group_components(data: DataFrame, components: int, seed: int = 0) -> DataFrame:
+    """Group ICA: (comp, voxel_id, value).
+
+    Every scan is reduced to its own leading frame patterns, from its Gram
+    matrix; the patterns of all scans are put after one another, voxel by
+    voxel, and separated like one scan.
+    """
+    if data.agg(F.min(F.size("v")) != F.max(F.size("v"))).first()[0]:
+        raise ValueError("scans have different numbers of frames")
 
-        y, voxels, _ = _whole(pdf, None)
-        maps, traces = linear.independent_components(y, components, seed)
-        scan = pdf["scan_id"].iloc[0]
-        return pd.DataFrame(_long(scan, "map", maps, voxels) + _long(scan, "trace", traces, range(len(y))), columns=["scan_id", "kind", "comp", "idx", "value"])
+    def patterns(row):
+        values, vectors = np.linalg.eigh(series.square(row["gram"]))
+        yield row["scan_id"], vectors[:, ::-1][:, :components].T.tolist()
 
-    return series.per_scan(data.select("scan_id", "voxel_id", "v"), one, RESULT)
+    basis = series.per_row(series.frame_gram(data, centre=True), patterns, "scan_id string, x array<array<double>>")
+    low = series.per_voxel(data.join(basis, "scan_id"), lambda y, x: np.array(x, float) @ (y - y.mean(axis=0)), "low array<double>", "x")
+    merged = low.groupBy("voxel_id").agg(F.array_sort(F.collect_list(F.struct("scan_id", "low"))).alias("s"))
+    merged = written(merged.select(F.lit("all").alias("scan_id"), "voxel_id", F.flatten("s.low").alias("v")), "merged-scans")
+    return laid_out(*separated(merged, components, seed)).select("comp", "voxel_id", "value")
+
+
+def scan_components(data: DataFrame, components: int, seed: int = 0) -> DataFrame:
+    """ICA of each scan: kinds map and trace."""
+    return long_result(*separated(data.select("scan_id", "voxel_id", "v"), components, seed))

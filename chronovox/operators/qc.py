@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.guards import finite_or_zero, pearson, ratio, zero_if_null
 from ..kernels import spatial, spectral
+from ..sources.shared import dropped, written
 from . import aggregates, frames, series
 
 
@@ -21,20 +22,25 @@ def outliers(frame: DataFrame, column: str, threshold: float = 3.5, *keys: str)
     return keyed.join(center, by).join(spread, by).withColumn("outlier", z > threshold).select(*frame.columns, "outlier")
 
 
-def passing(scans: DataFrame, least_dice: float | None = None, most_conf: float | None = None, use_amplitude: bool = False, threshold: float = 3.5, most: int = 20) -> DataFrame:
-    """Adds ``included``. Amplitude outliers are taken out in turns, as each turn changes the distribution; the table has a row per scan."""
+def passing(scans: DataFrame, least_dice: float | None = None, most_conf: float | None = None, use_amplitude: bool = False, threshold: float = 3.5) -> DataFrame:
+    """Adds ``included``. Amplitude outliers are taken out in turns until there are none, as each turn changes the distribution; the table has a row per scan."""
     ok = F.lit(True)
     if least_dice is not None:
         ok = ok & (F.col("dice") > least_dice)
     if most_conf is not None:
         ok = ok & (F.col("conf_corr") < most_conf)
     out = scans.withColumn("included", ok)
-    for _ in range(most if use_amplitude else 0):
-        bad = outliers(out.where("included"), "amplitude", threshold).where("outlier").select("scan_id")
-        if bad.isEmpty():
-            break
-        out = out.join(bad.withColumn("__bad", F.lit(True)), "scan_id", "left").withColumn("included", F.col("included") & F.col("__bad").isNull()).drop("__bad").cache()
-    return out
+    if not use_amplitude:
+        return out
+    out = written(out, "included-scans")
+    while True:
+        bad = outliers(out.where("included"), "amplitude", threshold).where("outlier").select("scan_id", F.lit(True).alias("__bad"))
+        new = written(out.join(bad, "scan_id", "left").withColumn("included", F.col("included") & F.col("__bad").isNull()).select(out.columns), "included-scans")
+        same = new.where("included").count() == out.where("included").count()
+        dropped(out)
+        out = new
+        if same:
+            return out
 
 
 def threshold_of(thresholds: dict, network: int) -> dict:

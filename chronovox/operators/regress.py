@@ -16,16 +16,22 @@ MOTION_6 = ["mov1", "mov2", "mov3", "rot1", "rot2", "rot3"]
 SIGNALS = ["WM_signal", "CSF_signal", "vascular_signal", "global_signal"]
 
 
-def outlier_frames(trace: np.ndarray, threshold: float = 2.5, most: int = 1000) -> np.ndarray:
-    """Frames within ``threshold`` deviations of the mean of those kept, until the set stays the same; a frame may come back."""
-    kept = np.ones(len(trace), bool)
-    for _ in range(most):
+def outlier_frames(trace: np.ndarray, threshold: float = 2.5) -> np.ndarray:
+    """Frames within ``threshold`` deviations of the mean of those kept, until the set stays the same; a frame may come back.
+
+    Sets can only be met again, not go on for ever; if they come round to an
+    earlier one without staying, there is no answer, and that raises.
+    """
+    kept, before = np.ones(len(trace), bool), set()
+    while kept.tobytes() not in before:
+        before.add(kept.tobytes())
+        own = trace[kept]
         with np.errstate(invalid="ignore", divide="ignore"):
-            now = np.abs((trace - trace[kept].mean()) / trace[kept].std()) < threshold
+            now = np.abs((trace - own.mean()) / own.std()) < threshold if len(own) else np.zeros(len(trace), bool)
         if (now == kept).all():
             return now
         kept = now
-    return kept
+    raise ValueError("outlier censoring goes round in a circle")
 
 
 def censor_outliers(traces: DataFrame, column: str, threshold: float = 2.5) -> DataFrame:
@@ -112,29 +118,22 @@ def component_regressors(data: DataFrame, tissue: DataFrame, percent: bool = Fal
     enough = own.groupBy("scan_id").count().where("count >= 5").select("scan_id")
     gram = series.frame_gram(own.join(enough, "scan_id", "left_semi").select(*data.columns))
 
-    def scores(pdf):
-        import pandas as pd
+    def scores(row):
+        x = linear.principal_scores(series.square(row["gram"]), None if percent else components)
+        if linear.full_rank(x):
+            yield row["scan_id"], x.T.tolist()
 
-        rows = []
-        for scan, flat in zip(pdf["scan_id"], pdf["gram"]):
-            n = int(np.sqrt(len(flat)))
-            x = linear.principal_scores(np.array(flat, float).reshape(n, n), None if percent else components)
-            if linear.full_rank(x):
-                rows.append((scan, x.T.tolist()))
-        return pd.DataFrame(rows, columns=["scan_id", "x"])
-
-    return series.per_scan(gram, scores, "scan_id string, x array<array<double>>")
+    return series.per_row(gram, scores, "scan_id string, x array<array<double>>")
 
 
 def checked_rank(design: DataFrame) -> DataFrame:
     """Designs without full rank become empty."""
 
-    def check(pdf):
-        x = pdf["x"].iloc[0]
-        m = np.array([np.array(r, float) for r in x]).T if len(x) else np.zeros((0, 0))
-        return pdf[["scan_id"]].assign(x=[[list(map(float, r)) for r in x] if linear.full_rank(m) else []])
+    def check(row):
+        x = np.array([list(r) for r in row["x"]], float).T if len(row["x"]) else np.zeros((0, 0))
+        yield row["scan_id"], x.T.tolist() if linear.full_rank(x) else []
 
-    return series.per_scan(design.select("scan_id", "x"), check, "scan_id string, x array<array<double>>")
+    return series.per_row(design.select("scan_id", "x"), check, "scan_id string, x array<array<double>>")
 
 
 def fill_gaps(data: DataFrame, total_frames: int, tr: float) -> DataFrame:
@@ -204,12 +203,11 @@ def null_design(design: DataFrame, frame_mask: DataFrame, tr: float, seed: int =
     """Phase-randomised regressors of each scan's design; the same for the same seed."""
     kept = frame_mask.groupBy("scan_id").agg(F.array_sort(F.collect_list(F.struct("t", "keep"))).alias("k")).select("scan_id", F.col("k.keep").alias("keep"))
 
-    def one(pdf):
-        x = np.array([np.array(r, float) for r in pdf["x"].iloc[0]]).T
-        y = spectral.null_regressors(x, tr, np.array(pdf["keep"].iloc[0], bool), seed)
-        return pdf[["scan_id"]].assign(x=[y.T.tolist()])
+    def one(row):
+        x = np.array([list(r) for r in row["x"]], float).T
+        yield row["scan_id"], spectral.null_regressors(x, tr, np.array(row["keep"], bool), seed).T.tolist()
 
-    return series.per_scan(design.select("scan_id", "x").join(kept, "scan_id"), one, "scan_id string, x array<array<double>>")
+    return series.per_row(design.select("scan_id", "x").join(kept, "scan_id"), one, "scan_id string, x array<array<double>>")
 
 
 def corrected_std(predicted: DataFrame, randomized: DataFrame) -> DataFrame:

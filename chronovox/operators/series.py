@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DOUBLES = pa.list_(pa.float64())
+#: Cells of Gram matrices that a task holds before it passes them on.
+HELD_CELLS = 4_000_000
 
 
 def to_series(bold: DataFrame) -> DataFrame:
@@ -38,8 +40,24 @@ def to_design(regressors: DataFrame) -> DataFrame:
     return both.select("scan_id", F.col("d.name").alias("names"), F.col("d.x").alias("x"))
 
 
-def matrix(column: pa.Array) -> list[np.ndarray]:
-    return [np.array(x, float) if x is not None else np.zeros((0, 0)) for x in column.to_pylist()]
+def rows_of(column: pa.Array, rows: np.ndarray) -> np.ndarray:
+    """Lists of equal length as a matrix (rows, length); nulls in them are NaN."""
+    lists = column.take(pa.array(rows))
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(rows), -1)
+
+
+def lists_of(matrix: np.ndarray) -> pa.Array:
+    """A matrix's rows as lists."""
+    offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(matrix, float).ravel()))
+
+
+def by_scan(batch: pa.RecordBatch, names: list[str]):
+    """(scan, its row numbers) of a batch."""
+    codes = batch.column(names.index("scan_id")).dictionary_encode()
+    own = codes.indices.to_numpy(zero_copy_only=False)
+    for k, scan in enumerate(codes.dictionary.to_pylist()):
+        yield scan, np.flatnonzero(own == k)
 
 
 def per_voxel(series: DataFrame, kernel: Callable, added: str, *more: str) -> DataFrame:
@@ -51,25 +69,22 @@ def per_voxel(series: DataFrame, kernel: Callable, added: str, *more: str) -> Da
     fields = T._parse_datatype_string(added).fields
     schema = T.StructType([*series.schema.fields, *fields])
     names = series.columns
+    kinds = [DOUBLES if isinstance(f.dataType, T.ArrayType) else pa.float64() for f in fields]
 
     def run(batches):
         for batch in batches:
-            scans = np.array(batch.column(names.index("scan_id")).to_pylist(), object)
-            values = batch.column(names.index("v")).to_pylist()
-            outs = [[None] * len(scans) for _ in fields]
-            for scan in dict.fromkeys(scans.tolist()):
-                rows = np.flatnonzero(scans == scan)
-                y = np.array([values[i] for i in rows], float).T
+            order, outs = [np.zeros(0, np.int64)], [[pa.array([], k)] for k in kinds]
+            for scan, rows in by_scan(batch, names):
                 extra = [batch.column(names.index(m))[int(rows[0])].as_py() for m in more]
+                order.append(rows)
                 try:
-                    got = kernel(y, *extra)
+                    got = kernel(rows_of(batch.column(names.index("v")), rows).T, *extra)
                 except np.linalg.LinAlgError:
-                    continue
-                for out, g in zip(outs, got if isinstance(got, tuple) else (got,)):
-                    for k, i in enumerate(rows):
-                        out[i] = g[:, k].tolist() if np.ndim(g) == 2 else float(g[k])
-            kinds = [DOUBLES if isinstance(f.dataType, T.ArrayType) else pa.float64() for f in fields]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(o, k) for o, k in zip(outs, kinds))], names=schema.names)
+                    got = (None,) * len(fields)
+                for out, kind, g in zip(outs, kinds, got if isinstance(got, tuple) else (got,)):
+                    out.append(pa.nulls(len(rows), kind) if g is None else lists_of(g.T) if np.ndim(g) == 2 else pa.array(g, pa.float64()))
+            back = pa.array(np.argsort(np.concatenate(order), kind="stable"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.concat_arrays(o).take(back) for o in outs)], names=schema.names)
 
     return series.mapInArrow(run, schema)
 
@@ -77,28 +92,77 @@ def per_voxel(series: DataFrame, kernel: Callable, added: str, *more: str) -> Da
 def frame_gram(series: DataFrame, centre: bool = True) -> DataFrame:
     """scan_id, gram: per scan the Gram matrix of its voxels over frames; with ``centre`` each voxel's mean is removed.
 
-    Tasks sum their own voxels first; a scan's matrix is frames by frames.
+    Tasks sum their own voxels, up to HELD_CELLS at once; the lines of all
+    tasks' matrices are then summed each by itself.  A scan's matrix, frames
+    by frames, is one row of the result.
     """
 
+    def lines(sums):
+        scans, places, rows = [], [], []
+        for scan, total in sums.items():
+            scans += [scan] * len(total)
+            places += range(len(total))
+            rows.append(lists_of(total))
+        return pa.RecordBatch.from_arrays([pa.array(scans, pa.string()), pa.array(places, pa.int32()), pa.concat_arrays([pa.array([], DOUBLES), *rows])], names=["scan_id", "line", "sums"])
+
     def part(batches):
+        sums, held = {}, 0
         for batch in batches:
-            scans = np.array(batch.column(0).to_pylist(), object)
-            values = batch.column(1).to_pylist()
-            ids, grams = [], []
-            for scan in dict.fromkeys(scans.tolist()):
-                y = np.array([values[i] for i in np.flatnonzero(scans == scan)], float)
+            for scan, rows in by_scan(batch, ["scan_id", "v"]):
+                y = rows_of(batch.column(1), rows)
                 y = y - y.mean(axis=1, keepdims=True) if centre else y
-                ids.append(scan)
-                grams.append((y.T @ y).ravel().tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(grams, DOUBLES)], names=["scan_id", "gram"])
+                held += 0 if scan in sums else y.shape[1] ** 2
+                sums[scan] = sums.get(scan, 0) + y.T @ y
+            if held > HELD_CELLS:
+                yield lines(sums)
+                sums, held = {}, 0
+        if sums:
+            yield lines(sums)
+
+    def whole(batches):
+        """Rows come sorted by scan and line."""
+        at, total = None, None
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([at[0]], pa.string()), pa.array([at[1]], pa.int32()), lists_of(total[None])], names=["scan_id", "line", "sums"])
+        for batch in batches:
+            for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                own = batch.column(2)[i].values.to_numpy(zero_copy_only=False)
+                if key == at:
+                    total = total + own
+                    continue
+                if at is not None:
+                    yield done()
+                at, total = key, own
+        if at is not None:
+            yield done()
+
+    kind = "scan_id string, line int, sums array<double>"
+    parts = series.select("scan_id", "v").mapInArrow(part, kind).repartition("scan_id", "line").sortWithinPartitions("scan_id", "line").mapInArrow(whole, kind)
+    return parts.groupBy("scan_id").agg(F.flatten(F.array_sort(F.collect_list(F.struct("line", "sums")))["sums"]).alias("gram"))
+
+
+def square(cells) -> np.ndarray:
+    cells = np.array(cells, float)
+    return cells.reshape(round(np.sqrt(len(cells))), -1)
+
+
+def per_row(frame: DataFrame, kernel: Callable, schema: str) -> DataFrame:
+    """kernel(row as a dict) yields tuples; for frames with one short row per scan."""
+
+    names = T._parse_datatype_string(schema).names
+
+    def run(batches):
+        import pandas as pd
+
+        for batch in batches:
+            rows = [out for row in batch.to_dict("records") for out in kernel(row)]
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
 
-    parts = series.select("scan_id", "v").mapInArrow(part, "scan_id string, gram array<double>")
-    cell = parts.select("scan_id", F.posexplode("gram").alias("i", "g")).groupBy("scan_id", "i").agg(F.sum("g").alias("g"))
-    return cell.groupBy("scan_id").agg(F.array_sort(F.collect_list(F.struct("i", "g"))).alias("c")).select("scan_id", F.col("c.g").alias("gram"))
+    return frame.mapInPandas(run, schema)
 
 
 def per_scan(frame: DataFrame, kernel: Callable, schema: str) -> DataFrame:
-    """kernel(pandas frame of one scan) for operators that need a whole scan's voxels at once."""
+    """kernel(pandas frame of one scan) for operators that need one scan's short table at once."""
     return frame.groupBy("scan_id").applyInPandas(kernel, schema)
 
 

@@ -45,40 +45,87 @@ def test_principal_scores_match_svd():
     assert linear.principal_scores(c @ c.T, None).shape[1] == want and share[want - 1] > 0.5
 
 
-def test_scaled_fit_has_unit_rms_and_reproduces_data():
+def coordinates(data, priors=None):
+    """As of a scan (frames, voxels) and maps (voxels, given)."""
+    priors = np.zeros((data.shape[1], 0)) if priors is None else priors
+    everything = np.concatenate([data, priors.T, np.ones((1, data.shape[1]))])
+    return linear.Coordinates(everything @ everything.T, priors.shape[1]), everything
+
+
+def test_coordinates_keep_inner_products():
+    data, priors = RNG.normal(size=(12, 200)) + 5, RNG.normal(size=(200, 2))
+    at, everything = coordinates(data, priors)
+    own = np.concatenate([at.frames, at.maps.T, at.one[None]])
+    assert np.allclose(own @ own.T, everything @ everything.T)
+    c = RNG.normal(size=(own.shape[1], 3))
+    over_voxels = everything.T @ at.weights(c)
+    assert np.allclose(over_voxels.T @ everything.T, c.T @ own.T)
+    assert np.allclose(at.rms(c), np.sqrt((over_voxels**2).mean(axis=0)))
+    assert at.correlation(c[:, 0], c[:, 1]) == pytest.approx(np.corrcoef(over_voxels.T)[0, 1])
+
+
+def test_standard_form_has_unit_rms_and_reproduces_data():
     maps = RNG.normal(size=(50, 3))
     data = RNG.normal(size=(20, 3)) @ maps.T
-    w, c, s = linear.scaled_fit(data, maps)
-    assert np.allclose((w**2).mean(axis=0), 1) and np.allclose((c**2).mean(axis=0), 1)
-    assert np.allclose(w @ (c * s).T, data)
+    at, everything = coordinates(data, maps)
+    f = linear.standard(at, at.maps)
+    c = everything.T @ at.weights(f["maps"])
+    assert np.allclose((f["traces"] ** 2).mean(axis=0), 1) and np.allclose((c**2).mean(axis=0), 1)
+    assert np.allclose(f["traces"] @ (c * f["amplitudes"]).T, data)
 
 
-def test_alternating_fit_finds_the_leading_pattern():
+def test_fit_finds_the_leading_pattern():
     u, v = RNG.normal(size=(30, 1)), RNG.normal(size=(80, 1))
     data = 5 * u @ v.T + 0.1 * RNG.normal(size=(30, 80))
-    own, _, _ = linear.alternate(data, 1, np.random.default_rng(1))
-    lead = np.linalg.svd(data)[2][0]
-    assert abs((own[:, 0] * lead).sum()) > 1 - 1e-5
-    other, _, w = linear.alternate(data, 1, np.random.default_rng(1), maps=v)
-    assert w.shape == (30, 2) and abs((other[:, 0] * linear.unit(v)[:, 0]).sum()) < 0.9
+    at, everything = coordinates(data)
+    own = everything.T @ at.weights(linear.Fit(at.frames, 1, np.random.default_rng(1)).maps)
+    assert abs((own[:, 0] * np.linalg.svd(data)[2][0]).sum()) > 1 - 1e-5
+
+
+@pytest.mark.parametrize("new, maps, traces", [(1, 1, 0), (1, 0, 1), (1, 2, 1), (2, 1, 1)])
+def test_fit_is_a_fixed_point_of_both_regressions(new, maps, traces):
+    """Over all voxels: new traces regress frames on all maps, and new maps regress voxels on all traces."""
+    truth = RNG.normal(size=(25, 6)) * [9, 7, 5, 3, 2, 1]
+    data = truth @ RNG.normal(size=(6, 90)) + 0.1 * RNG.normal(size=(25, 90))
+    fixed, priors = RNG.normal(size=(25, traces)), RNG.normal(size=(90, maps))
+    at, everything = coordinates(data, priors)
+    f = linear.Fit(at.frames, new, np.random.default_rng(2), maps=at.maps, traces=fixed, tolerance=1e-13, most=5000)
+    own, implied = everything.T @ at.weights(f.maps), everything.T @ at.weights(f.implied)
+    w = np.linalg.lstsq(np.concatenate([own, priors, implied], axis=1), data.T, rcond=None)[0].T
+    assert np.allclose(w[:, :new], f.traces, rtol=1e-4, atol=1e-4 * np.abs(f.traces).max())
+    c = np.linalg.lstsq(np.concatenate([w[:, : new + maps], fixed], axis=1), data, rcond=None)[0].T
+    assert np.allclose(linear.unit(c[:, :new]), own, atol=1e-4) and np.allclose(linear.unit(c[:, new + maps :]), implied, atol=1e-4)
 
 
 def test_prior_recovery_follows_the_prior():
     truth = RNG.normal(size=(120, 3))
     data = RNG.normal(size=(40, 3)) * [3, 2, 1] @ truth.T + 0.05 * RNG.normal(size=(40, 120))
     prior = truth[:, :1] + 0.3 * RNG.normal(size=(120, 1))
-    f = linear.recover_priors(data, prior, 1, 1)
-    assert f["prior_corr"][0] > 0.85 and f["maps"].shape == (120, 3) and f["traces"].shape == (40, 3)
-    assert np.allclose((f["maps"] ** 2).mean(axis=0), 1)
-    g = linear.recover_priors(data, -prior, 1, 1)
-    assert g["prior_corr"][0] > 0.85  # the sign follows the prior
+    for sign in (1, -1):  # the map's sign follows the prior
+        at, everything = coordinates(data, sign * prior)
+        f = linear.recover_priors(at, 1, 1)
+        maps = everything.T @ at.weights(f["maps"])
+        assert f["prior_corr"][0] > 0.85 and maps.shape == (120, 3) and f["traces"].shape == (40, 3)
+        assert np.allclose((maps**2).mean(axis=0), 1) and np.allclose((f["traces"] ** 2).mean(axis=0), 1)
+        assert f["prior_corr"][0] == pytest.approx(np.corrcoef(maps[:, 0], sign * prior[:, 0])[0, 1])
 
 
 def test_independent_components_separate_sources():
-    s = np.stack([np.sign(RNG.normal(size=2000)) * RNG.random(2000) ** 3, RNG.laplace(size=2000)])
-    maps, traces = linear.independent_components(RNG.normal(size=(10, 2)) @ s, 2)
-    c = np.abs(np.corrcoef(maps.T, s))[:2, 2:]
-    assert c.max(axis=1).min() > 0.97 and traces.shape == (10, 2)
+    s = np.stack([np.sign(RNG.normal(size=2000)) * RNG.random(2000) ** 3, RNG.laplace(size=2000), RNG.uniform(size=2000)])
+    data = RNG.normal(size=(10, 3)) @ s + 4
+    everything = np.concatenate([data, np.ones((1, 2000))])
+    white = linear.whitening(everything @ everything.T, 3)
+    z = (white @ everything).T
+    assert np.allclose(z.mean(axis=0), 0, atol=1e-8) and np.allclose(z.T @ z / 2000, np.eye(3), atol=1e-8)
+    p = linear.pairs(z)
+    turn = linear.independent_turn(p.T @ p / 2000, 3)
+    maps = z @ turn.T
+    c = np.abs(np.corrcoef(maps.T, s))[:3, 3:]
+    assert c.max(axis=1).min() > 0.97 and len(set(c.argmax(axis=1))) == 3
+    # a fixed point of the step over all voxels
+    step = np.stack([(z * (maps[:, k] ** 3)[:, None]).mean(axis=0) - 3 * turn[k] for k in range(3)])
+    u, _, v = np.linalg.svd(step)
+    assert np.allclose(np.abs((u @ v * turn).sum(axis=1)), 1, atol=1e-6)
 
 
 def test_gap_fill_against_one_frequency_at_a_time():
@@ -152,17 +199,20 @@ def test_high_frequency_content_at_half_power():
     assert spectral.high_frequency_content(power, 1.0)[0] == pytest.approx(0.5, abs=0.02)
 
 
-def test_outlier_frames_may_return():
-    trace = np.array([0.0] * 30 + [1.0] * 3 + [50.0])
+def test_outlier_frames_are_a_fixed_point():
+    trace = np.concatenate([RNG.normal(size=60), [9.0, 9.5, 30.0]])
     kept = outlier_frames(trace)
-    assert not kept[-1]
-    slow = np.ones(len(trace), bool)
-    for _ in range(100):
-        now = np.abs((trace - trace[slow].mean()) / trace[slow].std()) < 2.5
-        if (now == slow).all():
-            break
-        slow = now
-    assert np.array_equal(kept, slow)
+    assert not kept[-3:].any() and kept.sum() > 50
+    # the set of frames kept is the one that it gives rise to
+    assert np.array_equal(kept, np.abs(trace - trace[kept].mean()) < 2.5 * trace[kept].std())
+    assert not outlier_frames(np.ones(5)).any()  # no deviation: no frame is within it
+    for seed in range(200):  # a fixed point, or sets that follow one another for ever
+        x = np.random.default_rng(seed).standard_t(2, size=20)
+        try:
+            kept = outlier_frames(x, 1.2)
+        except ValueError:
+            continue
+        assert not kept.any() or np.array_equal(kept, np.abs(x - x[kept].mean()) < 1.2 * x[kept].std())
 
 
 def test_smoothing_keeps_a_constant_and_the_mask():
