@@ -4,18 +4,26 @@ A record's block is an HTTP response whose body is in chunked transfer
 framing.  Blocks over ``segment`` bytes are cut into a first record and
 continuations, which name the first as their origin; the last also gives the
 total length.  Equal payloads are stored once, as the response of the largest
-page id; the others are revisit records that name it.
+page id; the others are revisit records that name its record.
 
-Archives are written by Spark's text writer, whose separator is the two line
-ends that close a WARC record, and gzipped as a whole.  They are read as
-binary files, inflated and parsed in a stream.  Whole records are decoded at
-once; only segments are shuffled, grouped by origin, ordered by number,
-checked against the total length, and decoded.
+Every record is a gzip member of its own, so that a reader can begin at any
+record.  A file holds records up to FILE_BYTES and is one row of Spark's text
+writer, whose separator is an empty gzip member, so archives reach any store
+that Spark writes to.  They are read as binary files, inflated and parsed in
+a stream.  Whole records are decoded at once; only segments are shuffled,
+grouped by origin, ordered by number, checked against the total length, and
+decoded.
+
+Rows are numbered and written before anything else: a record's name is its
+page's id and number, and so a revisit can give the name of a record that
+another task writes.
 
 Defined cases: a null html is the empty payload; a null page id is never
 another record's target and sorts below all others, so copies refer to a row
 with an id if there is one, and copies without any id are all responses; rows
-with the same id and payload are all responses.
+with the same id and payload are all responses, of which the others refer to
+the one numbered last; a payload may be of any length that a string column
+holds; further columns are passed over.
 """
 
 from __future__ import annotations
@@ -36,8 +44,10 @@ SEGMENT, CHUNK = 8192, 4096
 #: Line ends and the profile of a revisit.
 END = b"\r\n"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Compressed bytes taken from a file at once.
-READ_AT_ONCE = 1 << 20
+#: An empty gzip member (header, no data, sum and length of 0).
+NOTHING = bytes.fromhex("1f8b08000000000000ff0300") + bytes(8)
+#: Bytes of a file, about, and compressed bytes taken from one at once.
+FILE_BYTES, READ_AT_ONCE = 32 << 20, 1 << 16
 RESULT = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -87,13 +97,17 @@ def one_line(text: str | None) -> str:
     return "".join([c if c > " " and c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in text or ""])
 
 
-def records_of(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, place: str, segment: int, chunk: int) -> list[bytes]:
-    """One page's records.  ``place`` makes their names unique where page ids are not."""
-    name = f"urn:page:{'' if page_id is None else page_id}:{place}"
-    same = {"WARC_Target_URI": one_line(url), "Content_Type": "application/http;msgtype=response", "WARC_Payload_Digest": f"sha1:{digest(payload)}"}
+def name_of(page_id: int | None, row: int) -> str:
+    return f"urn:page:{'' if page_id is None else page_id}:{row}"
+
+
+def records_of(name: str, url: str | None, payload: bytes, refers_to: str | None = None, segment: int = SEGMENT, chunk: int = CHUNK) -> list[bytes]:
+    """One page's records; ``refers_to`` names the response that has the payload already."""
+    at = {"WARC_Target_URI": one_line(url)}
+    same = {**at, "Content_Type": "application/http;msgtype=response", "WARC_Payload_Digest": f"sha1:{digest(payload)}"}
     if refers_to is not None:
         head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-        return [record("revisit", name, head, WARC_Profile=SAME_PAYLOAD, WARC_Refers_To=f"<urn:page:{refers_to}>", **same)]
+        return [record("revisit", name, head, WARC_Profile=SAME_PAYLOAD, WARC_Refers_To=f"<{refers_to}>", **same)]
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(payload, chunk)
     if len(block) <= segment:
         return [record("response", name, block, **same)]
@@ -101,10 +115,16 @@ def records_of(page_id: int | None, url: str | None, payload: bytes, refers_to:
     out = [record("response", name, parts[0], WARC_Segment_Number="1", **same)]
     for k, part in enumerate(parts[1:], 2):
         total = {"WARC_Segment_Total_Length": str(len(block))} if k == len(parts) else {}
-        out.append(record("continuation", f"{name}:{k}", part, WARC_Segment_Origin_ID=f"<{name}>", WARC_Segment_Number=str(k), **total))
+        out.append(record("continuation", f"{name}:{k}", part, **at, WARC_Segment_Origin_ID=f"<{name}>", WARC_Segment_Number=str(k), **total))
     return out
 
 
+def member(data: bytes) -> bytes:
+    """A gzip member."""
+    out = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return out.compress(data) + out.flush()
+
+
 def parsed(pieces):
     """(header fields, block) of each record in a stream of inflated bytes."""
     held, at = bytearray(), 0
@@ -139,17 +159,18 @@ def parsed(pieces):
 
 
 def inflated(raw: bytes):
-    """A gzip file's bytes in pieces of bounded size."""
-    out = zlib.decompressobj(31)
-    view = memoryview(raw)
+    """The bytes of a file of gzip members, in pieces of bounded size, none of them empty."""
+    out, view = zlib.decompressobj(31), memoryview(raw)
     for i in range(0, len(raw), READ_AT_ONCE):
         rest = view[i : i + READ_AT_ONCE]
         while len(rest):
-            yield out.decompress(rest, 4 * READ_AT_ONCE)
-            rest = out.unconsumed_tail
-            if out.eof and out.unused_data:
-                rest, out = out.unused_data, zlib.decompressobj(31)
-    yield out.flush()
+            if out.eof:
+                out = zlib.decompressobj(31)
+            if piece := out.decompress(rest, 64 * READ_AT_ONCE):
+                yield piece
+            rest = out.unused_data if out.eof else out.unconsumed_tail
+    if not out.eof and len(raw):
+        raise ValueError("a file is cut short")
 
 
 def page_of(name: str) -> int | None:
@@ -157,26 +178,39 @@ def page_of(name: str) -> int | None:
     return int(number) if number else None
 
 
-def write(pages: DataFrame, folder: str, least_bytes: int = 0, segment: int = SEGMENT, chunk: int = CHUNK) -> None:
-    """Write one record per row of ``pages`` (page_id, url, html), and its continuations, as gzipped WARC files."""
+def write(pages: DataFrame, folder: str, least_bytes: int = 0, segment: int = SEGMENT, chunk: int = CHUNK, file_bytes: int = FILE_BYTES) -> None:
+    """Write one record per row of ``pages`` (page_id, url, html), and its continuations, as WARC files of gzip members."""
     common.text_session(pages.sparkSession)
     html = F.coalesce("html", F.lit(""))
     source = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), html.alias("html"), F.when(F.octet_length(html) >= least_bytes, F.sha1(html)).alias("digest"))
+    numbered = common.written(source.withColumn("row", F.monotonically_increasing_id()), "numbered-pages")
     # Only payloads that occur again are looked up. Written, so that a payload of very many pages is split in the join.
-    again = source.where("digest is not null").groupBy("digest").agg(F.max("page_id").alias("target"), F.count("*").alias("n")).where("n > 1").drop("n")
-    again = common.written(again, "repeated-payloads")
-    matched = source.join(again, "digest", "left").select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("target")), F.col("target")).alias("target"))
+    last = F.max(F.struct("page_id", "row")).alias("last")
+    again = numbered.where("digest is not null").select("digest", "page_id", "row").groupBy("digest").agg(last, F.count("*").alias("n")).where("n > 1").select("digest", "last.*")
+    again = common.written(again.withColumnsRenamed({"page_id": "target", "row": "target_row"}), "repeated-payloads")
+    revisit = ~F.col("page_id").eqNullSafe(F.col("target"))
+    matched = numbered.join(again, "digest", "left").select("page_id", "row", "url", "html", F.when(revisit, F.col("target")).alias("target"), "target_row")
 
     def run(batches):
-        task, row = TaskContext.get().partitionId(), 0
+        held, size = [], 0
+        # the separator that follows is an empty member
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["file"])
         for batch in batches:
-            out = []
-            for page, url, payload, target in zip(common.column(batch, "page_id").to_pylist(), common.column(batch, "url").to_pylist(), common.text_bytes(batch, "html"), common.column(batch, "target").to_pylist()):
-                out += records_of(page, url, payload, target, f"{task}.{row}", segment, chunk)
-                row += 1
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
-
-    matched.mapInArrow(run, "record binary").select(F.col("record").cast("string")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(folder)
+            page, row, url, target, target_row = (common.column(batch, c).to_pylist() for c in ("page_id", "row", "url", "target", "target_row"))
+            for i, payload in enumerate(common.text_bytes(batch, "html")):
+                refers_to = None if target[i] is None else name_of(target[i], target_row[i])
+                for one in records_of(name_of(page[i], row[i]), url[i], payload, refers_to, segment, chunk):
+                    held.append(member(one + END + END))
+                    size += len(held[-1])
+                    if size >= file_bytes:
+                        yield done()
+                        held, size = [], 0
+        if held:
+            yield done()
+
+    files = matched.mapInArrow(run, "file binary").select(F.col("file").cast("string"))
+    files.write.option("lineSep", NOTHING.decode("latin-1")).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 1).text(folder)
+    common.dropped(numbered, again)
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
