@@ -1,26 +1,32 @@
 """Exact top-k search by inner product.
 
 Vectors are integers (each component times ``scale``, rounded down), so
-scores are exact.  Candidates are dealt to tasks by length, longest first.
-Queries come in blocks of bounded size that every task gets; a first block of
-the longest candidates gives each query a score that its k-th best at least
-reaches.
+scores are exact.  Candidates are sorted by length, longest first, and packed
+into parts of bounded size.  Queries are packed into blocks of bounded size.
+A part meets every block in one task, which holds the part and lets the
+blocks pass: a stated query set against all rows, in blocks.
 
 Space is rotated by the singular vectors of the candidates (the eigenvectors
-of their Gram matrix, which is summed in the tasks), so that the first
-dimensions hold most of every length.  A task takes its candidates in blocks
-in order of length.  By Cauchy-Schwarz, a block ends a query's search if the
-product of the lengths cannot reach the query's k-th score; and of the
-candidates left, those whose partial product over the first dimensions plus
-the product of the residual lengths cannot reach it are passed over.  Only
-the rest are scored.  Bounds carry a slack for rounding; a candidate is never
+of their Gram matrix, which is summed in the tasks and in slices), so that
+the first dimensions hold most of every length.  A part is searched in tiles
+in order of length.  By Cauchy-Schwarz, a query leaves the part once the
+product of the lengths cannot reach its k-th score.  Of a tile's pairs, the
+partial sums over the first dimensions are formed in steps, each of twice as
+many dimensions; pairs whose partial sum plus the product of the residual
+lengths cannot reach the k-th score are dropped after each step, and a tile
+shrinks to the rows and columns that are left.  Only pairs that survive all
+steps are scored.  Bounds carry a slack for rounding; a candidate is never
 lost to it, as the score itself is computed in whole numbers.
 
+A query's k-th score begins as that among a first few of the longest
+candidates, which every task gets; they are at most SEED and a sixteenth of
+the table.
+
 Defined cases: vectors that are null, or hold null or non-finite components,
 take no part; so do vectors whose dimension is not the most frequent (of
 ties, the largest) one; ids may be null or repeated: a query is a row whose id
 is divisible, and its own row only is left out; ties go to the smaller id,
-and among equal ids to any.
+and among equal ids to any; further columns are passed over.
 """
 
 from __future__ import annotations
@@ -32,10 +38,13 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Queries a task holds at once, candidates scored at once, and candidates that give the first thresholds.
-QUERIES_AT_ONCE, BLOCK, SEED = 16_384, 2048, 2048
-#: Dimensions of the first partial product, as a share of all.
-HEAD = 0.5
+#: Bytes of a part of candidates and of a block of queries, and the longest candidates that give the first scores.
+PART_BYTES, BLOCK_BYTES, SEED = 32 << 20, 8 << 20, 1024
+#: Candidates and queries of a tile, and dimensions of the first partial sum.
+TILE, ROWS, FIRST = 1024, 512, 8
+#: A pair is scored by itself if under this share of a tile is left, and in one product of the tile otherwise.
+SPARSE = 0.05
+NO_ID, LARGE = np.iinfo(np.int64).max - 1, np.iinfo(np.int64).max
 
 
 class Best:
@@ -43,7 +52,7 @@ class Best:
 
     def __init__(self, queries: int, k: int):
         self.score = np.full((queries, k), -np.inf)
-        self.id = np.full((queries, k), np.iinfo(np.int64).max)
+        self.id = np.full((queries, k), LARGE)
         self.k = k
 
     def offer(self, query: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
@@ -62,119 +71,182 @@ class Best:
 
 
 class Space:
-    """The rotation and both kinds of length."""
+    """The rotation, and the ends of the steps."""
 
-    def __init__(self, gram: np.ndarray, head: float = HEAD):
+    def __init__(self, gram: np.ndarray):
         values, vectors = np.linalg.eigh(gram)
         self.turn = vectors[:, np.argsort(-values, kind="stable")]
-        self.head = max(1, min(len(gram), round(head * len(gram))))
-
-    def split(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rotated first dimensions, and the length of the rest."""
-        turned = x @ self.turn
-        return turned[:, : self.head], np.sqrt((turned[:, self.head :] ** 2).sum(axis=1))
-
-
-def search(best: Best, threshold: np.ndarray, queries: dict, candidates: dict, space: Space) -> None:
-    """Offer to ``best`` every candidate that may be among a query's k best; candidates in descending order of length."""
-    slack = 1e-6
-    c_head, c_rest = space.split(candidates["x"])
-    for at in range(0, len(candidates["x"]), BLOCK):
-        part = slice(at, at + BLOCK)
-        need = np.maximum(threshold, best.score[:, -1])
-        margin = slack * (1 + queries["length"] * candidates["length"][at])
-        open_to = np.flatnonzero(queries["length"] * candidates["length"][at] + margin >= need)
+        self.steps = [0]
+        while self.steps[-1] < len(gram):
+            self.steps.append(min(len(gram), 2 * self.steps[-1] or FIRST))
+
+
+class Vectors:
+    """Rows with their ids, row numbers and lengths; turned, also the rotated rows and what is left of each length after every step."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, rows: np.ndarray, space: Space | None = None):
+        self.x, self.id, self.row = x, ids, rows
+        self.length = np.sqrt((x**2).sum(axis=1))
+        if space is not None:
+            self.turned = x @ space.turn
+            parts = [(self.turned[:, a:b] ** 2).sum(axis=1) for a, b in zip(space.steps, space.steps[1:])]
+            self.rest = np.sqrt(np.cumsum([np.zeros(len(x)), *parts[:0:-1]], axis=0)[::-1])
+
+    @classmethod
+    def packed(cls, row: dict, space: Space | None = None) -> Vectors:
+        ids = np.frombuffer(row["ids"], np.int64)
+        return cls(np.frombuffer(row["x"]).reshape(len(ids), -1), ids, np.frombuffer(row["rows"], np.int64), space)
+
+
+def search(best: Best, threshold: np.ndarray, queries: Vectors, candidates: Vectors, space: Space) -> int:
+    """Offer to ``best`` every candidate that may be among a query's k best; candidates in descending order of length.
+
+    Returns the number of pairs that were scored.
+    """
+    slack, scored, n = 1e-6, 0, len(queries.x)
+    for at in range(0, len(candidates.x), TILE):
+        reach = slack * (1 + queries.length * candidates.length[at])
+        need = np.maximum(threshold, best.score[:, -1]) - reach
+        open_to = np.flatnonzero(queries.length * candidates.length[at] >= need)
         if not len(open_to):
-            return  # candidates only get shorter
-        for some in np.array_split(open_to, max(1, len(open_to) // 2048)):
-            bound = queries["head"][some] @ c_head[part].T + queries["rest"][some][:, None] * c_rest[part]
-            q, c = np.nonzero(bound + margin[some][:, None] >= need[some][:, None])
-            q, c = some[q], c + at
-            other = queries["row"][q] != candidates["row"][c]
-            q, c = q[other], c[other]
-            score = np.concatenate([np.einsum("ij,ij->i", queries["x"][q[i : i + 65536]], candidates["x"][c[i : i + 65536]]) for i in range(0, len(q), 65536)]) if len(q) else np.zeros(0)
-            reach = score >= need[q]
-            best.offer(q[reach], score[reach], candidates["id"][c[reach]])
-
-
-def arranged(rows: list, ids: list, numbers: list, space: Space | None = None) -> dict:
-    x = np.array(rows, float)
-    out = {"x": x, "id": np.array([np.iinfo(np.int64).max - 1 if i is None else i for i in ids], np.int64), "row": np.array(numbers, np.int64), "length": np.sqrt((x**2).sum(axis=1))}
-    if space is not None:
-        out["head"], out["rest"] = space.split(x)
-    return out
-
-
-def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding", queries_at_once: int = QUERIES_AT_ONCE) -> DataFrame:
+            break  # candidates only get shorter
+        for i in range(0, len(open_to), ROWS):
+            q, c = open_to[i : i + ROWS], np.arange(at, min(at + TILE, len(candidates.x)))
+            partial = np.zeros((len(q), len(c)))
+            alive = np.ones((len(q), len(c)), bool)
+            for k, (a, b) in enumerate(zip(space.steps, space.steps[1:])):
+                partial += queries.turned[q, a:b] @ candidates.turned[c, a:b].T
+                alive &= partial + queries.rest[k][q][:, None] * candidates.rest[k][c] >= need[q][:, None]
+                rows, columns = alive.any(axis=1), alive.any(axis=0)
+                if not rows.all() or not columns.all():
+                    q, c = q[rows], c[columns]
+                    partial, alive = partial[rows][:, columns], alive[rows][:, columns]
+            alive &= queries.row[q][:, None] != candidates.row[c]
+            rows, columns = np.nonzero(alive)
+            if not len(rows):
+                continue
+            scored += len(rows)
+            if len(rows) < SPARSE * alive.size:
+                score = np.einsum("ij,ij->i", queries.x[q[rows]], candidates.x[c[columns]])
+            else:
+                score = (queries.x[q] @ candidates.x[c].T)[rows, columns]
+            enough = score >= need[q[rows]]
+            best.offer(q[rows[enough]], score[enough], candidates.id[c[columns[enough]]])
+    return scored
+
+
+def packs(rows: DataFrame, per_pack: int, dimension: int) -> DataFrame:
+    """``rows`` (id, row, x) packed: ids, rows and x of up to ``per_pack`` rows in a row's order, as bytes."""
+
+    def run(batches):
+        held, size = [], 0
+
+        def done():
+            columns = [pa.array([np.concatenate([h[k] for h in held]).tobytes()], pa.binary()) for k in range(3)]
+            return pa.RecordBatch.from_arrays(columns, names=["ids", "rows", "x"])
+
+        for batch in batches:
+            ids = common.column(batch, "id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
+            numbers = common.column(batch, "row").to_numpy(zero_copy_only=False)
+            x = common.column(batch, "x").flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension)
+            for i in range(0, len(ids), per_pack):
+                part = slice(i, i + per_pack)
+                if size + len(ids[part]) > per_pack:
+                    yield done()
+                    held, size = [], 0
+                held.append((ids[part], numbers[part], x[part].ravel()))
+                size += len(ids[part])
+        if size:
+            yield done()
+
+    return rows.select("id", "row", "x").mapInArrow(run, "ids binary, rows binary, x binary")
+
+
+def gram_of(rows: DataFrame, dimension: int) -> np.ndarray:
+    """Sum of the outer products of all rows; tasks sum their own rows, and each of its lines is summed by itself."""
+
+    def own(batches):
+        total = np.zeros((dimension, dimension))
+        for batch in batches:
+            x = common.column(batch, "x").flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension)
+            total += x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array(range(dimension), pa.int32()), pa.array([r.tobytes() for r in total], pa.binary())], names=["line", "sums"])
+
+    def both(batches):
+        sums = {}
+        for batch in batches:
+            for line, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                sums[line] = sums.get(line, 0) + np.frombuffer(raw)
+        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["line", "sums"])
+
+    parts = rows.select("x").mapInArrow(own, "line int, sums binary")
+    lines = parts.repartition(min(dimension, 64), "line").mapInArrow(both, "line int, sums binary").collect()  # dimension squared numbers
+    total = np.zeros((dimension, dimension))
+    for r in lines:
+        total[r["line"]] = np.frombuffer(r["sums"])
+    return total
+
+
+def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding", part_bytes: int = PART_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """query_id, rank, vec_id and score: for each row whose id is divisible by ``every``, the k best of all other rows."""
     spark = vectors.sparkSession
     v = F.col(vector_col)
     usable = v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     whole = F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("double"))
-    # Also the square of the length, an exact integer, to deal rows out by.
+    # Also the square of the length, an exact integer, to sort rows by.
     source = vectors.where(usable).select(F.col(id_col).cast("long").alias("id"), whole.alias("x")).withColumn("square", F.aggregate("x", F.lit(0.0), lambda a, b: a + b * b))
     sizes = source.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
     schema = "query_id long, rank int, vec_id long, score long"
     if not sizes or not sizes[0]["n"]:
         return spark.createDataFrame([], schema)
-    dimension = sizes[0]["n"]
-    parts = common.scan_partitions(source)
-    ordered = source.where(F.size("x") == dimension).repartitionByRange(parts, F.desc("square")).withColumn("row", F.monotonically_increasing_id())
-    known = common.written(ordered, "vectors")
+    dimension, count = sizes[0]["n"], sizes[0]["count"]
+    per_part, per_block = (max(1, size // (8 * dimension)) for size in (part_bytes, block_bytes))
+    ordered = source.where(F.size("x") == dimension).repartitionByRange(max(common.scan_partitions(source), -(-count // per_part)), F.desc("square")).sortWithinPartitions(F.desc("square"))
+    known = common.written(ordered.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    space = Space(gram_of(known, dimension))
+    seed = known.orderBy(F.desc("square"), "id").limit(max(1, min(SEED, count // 16))).collect()
+    asked = known.where(F.pmod("id", F.lit(every)) == 0)
+    first = spark.sparkContext.broadcast((space, np.array([r["x"] for r in seed]), np.array([NO_ID if r["id"] is None else r["id"] for r in seed], np.int64), np.array([r["row"] for r in seed], np.int64)))
 
-    def gram(batches):
-        total = np.zeros((dimension, dimension))
+    def begun(batches):
+        """Each block's first k-th scores."""
+        space, x, ids, rows = first.value
+        longest = Vectors(x, ids, rows, space)
         for batch in batches:
-            x = common.column(batch, "x").flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension)
-            total += x.T @ x
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["gram"])
-
-    total = np.zeros((dimension, dimension))
-    for r in known.select("x").mapInArrow(gram, "gram binary").toLocalIterator():  # one matrix a task
-        total += np.frombuffer(r["gram"]).reshape(dimension, dimension)
-    space = Space(total)
-    seed = known.orderBy(F.desc("square"), "id").limit(SEED).collect()
-    first = arranged([r["x"] for r in seed], [r["id"] for r in seed], [r["row"] for r in seed])
-
-    asked = known.where(F.pmod("id", F.lit(every)) == 0)
-    count = asked.count()
-    blocks = max(1, -(-count // queries_at_once))
-    dealt = common.written(asked.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")), "top-k-queries")
-    results = None
-    for b in range(blocks):
-        rows = dealt.where(F.col("block") == b).collect()  # about queries_at_once rows
-        if not rows:
-            continue
-        queries = arranged([r["x"] for r in rows], [r["id"] for r in rows], [r["row"] for r in rows], space)
-        best = Best(len(rows), k)
-        search(best, np.full(len(rows), -np.inf), queries, first, space)
-        sent = spark.sparkContext.broadcast((queries, best.score[:, -1].copy(), space))
-
-        def run(batches, sent=sent):
-            queries, threshold, space = sent.value
-            best, any_rows = Best(len(queries["id"]), k), False
-            for batch in batches:
-                if not len(batch):
+            scores = []
+            for row in batch.to_pylist():
+                queries = Vectors.packed(row, space)
+                best = Best(len(queries.x), k)
+                search(best, np.full(len(queries.x), -np.inf), queries, longest, space)
+                scores.append(best.score[:, -1].tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.binary())], names=[*batch.schema.names, "least"])
+
+    # Packs of candidates are numbered; every block of queries goes to every part, after the part itself.
+    parts = common.written(packs(known, per_part, dimension).withColumn("part", F.monotonically_increasing_id()), "candidates")
+    blocks = common.written(packs(asked.repartition(common.scan_partitions(asked)), per_block, dimension).mapInArrow(begun, "ids binary, rows binary, x binary, least binary"), "queries")
+    numbers = [r["part"] for r in parts.select("part").collect()]  # one number per PART_BYTES of the table
+    places = parts.select("part", "ids", "rows", "x", F.lit(None).cast("binary").alias("least"))
+    passing = blocks.select(F.explode(F.lit(numbers)).alias("part"), "ids", "rows", "x", "least")
+    meeting = places.union(passing).repartition(len(numbers), "part").sortWithinPartitions("part", F.asc_nulls_first("least"))
+
+    def run(batches):
+        space, held = first.value[0], None
+        for batch in batches:
+            for i in range(len(batch)):
+                row = {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
+                if row["least"] is None:
+                    held = Vectors.packed(row, space)
                     continue
-                any_rows = True
-                square = common.column(batch, "square").to_numpy(zero_copy_only=False)
-                order = np.argsort(-square, kind="stable")
-                x = common.column(batch, "x").flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension)[order]
-                ids = common.column(batch, "id").to_pylist()
-                numbers = common.column(batch, "row").to_numpy(zero_copy_only=False)[order]
-                search(best, threshold, queries, arranged(x, [ids[i] for i in order], numbers), space)
-            if any_rows:
+                queries = Vectors.packed(row, space)
+                best = Best(len(queries.x), k)
+                search(best, np.frombuffer(row["least"]), queries, held, space)
                 q, place = np.nonzero(np.isfinite(best.score))
                 ids = best.id[q, place]
-                null = ids == np.iinfo(np.int64).max - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(queries["row"][q]), pa.array(queries["id"][q]), pa.array(ids, mask=null), pa.array(best.score[q, place].astype(np.int64))],
+                    [pa.array(queries.row[q]), pa.array(queries.id[q]), pa.array(ids, mask=ids == NO_ID), pa.array(best.score[q, place].astype(np.int64))],
                     names=["query", "query_id", "vec_id", "score"],
                 )
 
-        found = known.mapInArrow(run, "query long, query_id long, vec_id long, score long")
-        results = found if results is None else results.union(found)
-    if results is None:
-        return spark.createDataFrame([], schema)
+    found = meeting.mapInArrow(run, "query long, query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id")))
-    return results.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
