@@ -1,23 +1,23 @@
 """Removal of lines that many documents share.
 
-1. Every task hashes the distinct line keys of its documents.  Keys met in
-   one document and in several are sent as packed hashes to shards, where two
-   Bloom filters take them up: a hash that is already in the once-seen filter
-   goes into the twice-seen filter.
-2. Only lines in the twice-seen filter are suspected repeats.  Their keys,
-   summed in each task, are shuffled for an exact count of documents and the
-   choice of the first occurrence.
+1. Every task hashes the distinct line keys of its documents.  Hashes go to
+   shards of bounded size, where two Bloom filters take them up: a hash that
+   is already in the once-seen filter goes into the twice-seen filter.  The
+   shard then puts its hashes to the twice-seen filter; those found are the
+   suspected repeats.  Filters never leave their shard.
+2. Lines whose hash is suspected are counted by their whole keys, and the
+   first occurrence is chosen.  The suspects meet the lines in a join, which
+   Spark does without a shuffle as long as the suspects are small.
 3. Keys in enough documents lose their lines.  If the keys are small enough
-   they are sent to every task; otherwise suspected lines are joined with
-   them.
+   they are sent to every task; otherwise lines are joined with them.
 
-A filter can err only towards suspicion, so the result is exact however full
-the filters are; beyond ``filter_bytes`` more lines are shuffled, no more.
+A filter can err only towards suspicion, so the result is exact.
 
 Defined cases: a null or empty text is one empty line, whose key is too short
 to count; rows are documents, also where ids repeat or are null; a line that
 occurs several times in a document counts once; the first occurrence is that
-with the least (id, line), null ids first.
+with the least (id, line), null ids first; a text is taken whole, however
+long.
 """
 
 from __future__ import annotations
@@ -27,16 +27,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
 #: Fixed value: what counts as white space at a line's ends.
 BLANK = b" \t\n\x0b\x0c\r"
 BITS_PER_KEY, PROBES = 12, 4
-#: Most bytes of the twice-seen filters together, and of frequent keys that are sent to every task.
-FILTER_BYTES, SENT_BYTES = 256 << 20, 64 << 20
-#: Keys that a task holds before it passes on their sums.
-HELD_KEYS = 200_000
+#: Hashes of a shard, about, and of a task before it deals them to shards.
+HASHES_PER_SHARD, HELD_HASHES = 4_000_000, 1_000_000
+#: Most bytes, as Python objects, of frequent keys that are sent to every task, and what one key takes besides its own bytes.
+SENT_BYTES, BYTES_PER_KEY = 64 << 20, 300
 
 
 def key_of(line: bytes) -> bytes:
@@ -59,9 +60,8 @@ def hashes(keys) -> np.ndarray:
 class Filter:
     """A Bloom filter over 64-bit hashes."""
 
-    def __init__(self, bits: int, data: bytes | None = None):
-        self.bits = np.uint64(bits)
-        self.data = np.zeros(bits // 8, np.uint8) if data is None else np.frombuffer(data, np.uint8)
+    def __init__(self, bits: int):
+        self.bits, self.data = np.uint64(bits), np.zeros(bits // 8, np.uint8)
 
     def _places(self, h: np.ndarray):
         step = common.doubling_hash(h, 0x51ED270B) | np.uint64(1)
@@ -84,108 +84,105 @@ def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
     return (common.doubling_hash(h, 0x2545F491) % np.uint64(shards)).astype(np.int64)
 
 
-class Suspects:
-    """The twice-seen filters of all shards."""
-
-    def __init__(self, filters: dict[int, bytes], shards: int):
-        self.filters, self.shards = {s: Filter(len(d) * 8, d) for s, d in filters.items()}, shards
-
-    def among(self, h: np.ndarray) -> np.ndarray:
-        found, shard = np.zeros(len(h), bool), shard_of(h, self.shards)
-        order = np.argsort(shard, kind="stable")
-        ends = np.searchsorted(shard[order], np.arange(self.shards + 1))
-        for s, f in self.filters.items():
-            if ends[s] < ends[s + 1]:
-                at = order[ends[s] : ends[s + 1]]
-                found[at] = f.has(h[at])
-        return found
-
-
-def suspects(docs: DataFrame, least: int, filter_bytes: int) -> Suspects:
-    """Pass 1."""
-    shards = min(4096, max(16, common.power_of_two(common.scan_partitions(docs))))
+def suspects(docs: DataFrame, least: int) -> DataFrame:
+    """Pass 1: the hashes (h) of keys that probably occur in several documents, each once."""
 
     def hashed(batches):
         for batch in batches:
             # once per document; a batch sees the same key again if several of its documents have it
             all_of = [hashes({k for k in keys_of(t, least) if k is not None}) for t in common.text_bytes(batch)]
             h, n = np.unique(np.concatenate(all_of) if all_of else np.zeros(0, np.uint64), return_counts=True)
-            shard = shard_of(h, shards)
-            order = np.argsort(shard, kind="stable")
-            h, n, shard = h[order], n[order], shard[order]
-            ends = np.searchsorted(shard, np.arange(shards + 1))
-            full = [s for s in range(shards) if ends[s] < ends[s + 1]]
-            part = lambda s, keep: h[ends[s] : ends[s + 1]][keep(n[ends[s] : ends[s + 1]])].tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([part(s, lambda c: c == 1) for s in full], pa.binary()), pa.array([part(s, lambda c: c > 1) for s in full], pa.binary())], names=["shard", "once", "twice"])
-
-    sent = common.written(docs.select("text").mapInArrow(hashed, "shard int, once binary, twice binary"), "line-hashes")
-    total = sent.agg(F.coalesce(F.sum(F.octet_length("once") + F.octet_length("twice")), F.lit(0)).alias("n")).first()["n"] // 8
-    bits = max(1024, min(BITS_PER_KEY * total // shards, filter_bytes * 8 // shards) // 8 * 8)
-
-    def filled(batches):
-        """Rows come sorted by shard, so that two filters are held at a time."""
-        at, once, twice = None, None, None
-        done = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([twice.data.tobytes()], pa.binary())], names=["shard", "filter"])
-        for batch in batches:
-            for shard, a, b in zip(*(c.to_pylist() for c in batch.columns)):
-                if shard != at:
-                    if at is not None and twice.data.any():
-                        yield done()
-                    at, once, twice = shard, Filter(bits), Filter(bits)
-                single, several = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                twice.add(np.concatenate([single[once.has(single)], several]))
-                once.add(np.concatenate([single, several]))
-        if at is not None and twice.data.any():
-            yield done()
-
-    merged = sent.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(filled, "shard int, filter binary")
-    return Suspects({r["shard"]: bytes(r["filter"]) for r in merged.toLocalIterator()}, shards)
+            yield pa.RecordBatch.from_arrays([pa.array([h[n == 1].tobytes()], pa.binary()), pa.array([h[n > 1].tobytes()], pa.binary())], names=["once", "twice"])
 
+    found = common.written(docs.select("text").mapInArrow(hashed, "once binary, twice binary"), "line-hashes")
+    total = found.agg(F.coalesce(F.sum(F.octet_length("once") + F.octet_length("twice")), F.lit(0)).alias("n")).first()["n"] // 8
+    shards = common.power_of_two(max(16, -(-total // HASHES_PER_SHARD)))
 
-def repeated(docs: DataFrame, least_documents: int, least: int, filters) -> DataFrame:
-    """Pass 2: key, n_documents, first (doc_id, line) of every key in enough documents."""
+    def dealt(batches):
+        held, size = ([], []), 0
 
-    def suspected(batches):
-        sums: dict[bytes, list] = {}
+        def split(parts):
+            h = np.concatenate(parts)
+            own = shard_of(h, shards)
+            order = np.argsort(own, kind="stable")
+            ends = np.searchsorted(own[order], np.arange(shards + 1))
+            return h[order], ends
 
-        def passed():
-            keys = list(sums)
-            out = pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([sums[k][0] for k in keys], pa.int64()), pa.array([sums[k][1] for k in keys], pa.int64()), pa.array([sums[k][2] for k in keys], pa.int32())], names=["key", "n", "doc_id", "line"])
-            sums.clear()
-            return out
+        def sent():
+            (once, i), (twice, j) = map(split, held)
+            full = np.flatnonzero((i[1:] > i[:-1]) | (j[1:] > j[:-1])).tolist()
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([once[i[s] : i[s + 1]].tobytes() for s in full], pa.binary()), pa.array([twice[j[s] : j[s + 1]].tobytes() for s in full], pa.binary())], names=["shard", "once", "twice"])
 
         for batch in batches:
-            ids = common.column(batch, "doc_id").to_pylist()
-            places, keys, own = [], [], []
-            for d, text in zip(ids, common.text_bytes(batch)):
+            for raw in zip(*(c.to_pylist() for c in batch.columns)):
+                for part, x in zip(held, raw):
+                    part.append(np.frombuffer(x, np.uint64))
+                size += (len(raw[0]) + len(raw[1])) // 8
+                if size >= HELD_HASHES:
+                    yield sent()
+                    held, size = ([], []), 0
+        if size:
+            yield sent()
+
+    def repeats(once: list, twice: list) -> pa.RecordBatch:
+        """A shard's hashes that are in its twice-seen filter."""
+        bits = max(1024, BITS_PER_KEY * sum(map(len, once + twice)) // 8 * 8)
+        seen, again = Filter(bits), Filter(bits)
+        for single, several in zip(once, twice):
+            again.add(np.concatenate([single[seen.has(single)], several]))
+            seen.add(np.concatenate([single, several]))
+        out = [h[again.has(h)] for h in once + twice]
+        return pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(out)).view(np.int64))], names=["h"])
+
+    def filtered(batches):
+        """Rows come sorted by shard."""
+        at, once, twice = None, [], []
+        for batch in batches:
+            for shard, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard != at and once:
+                    yield repeats(once, twice)
+                    once, twice = [], []
+                at = shard
+                once.append(np.frombuffer(a, np.uint64))
+                twice.append(np.frombuffer(b, np.uint64))
+        if once:
+            yield repeats(once, twice)
+
+    parts = found.mapInArrow(dealt, "shard int, once binary, twice binary")
+    out = common.written(parts.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(filtered, "h long"), "suspected-lines")
+    common.dropped(found)
+    return out
+
+
+def lines_of(docs: DataFrame, least: int, *more: str) -> DataFrame:
+    """h, key and line (its number) of every distinct key of every document, with the document's columns ``more``."""
+    source = docs.select(*more, "text")
+
+    def run(batches):
+        for batch in batches:
+            rows, lines, keys = [], [], []
+            for i, text in enumerate(common.text_bytes(batch)):
                 seen = set()
-                for i, k in enumerate(keys_of(text, least)):
+                for n, k in enumerate(keys_of(text, least)):
                     if k is not None and k not in seen:
                         seen.add(k)
-                        keys.append(k)
-                        places.append((d, i))
-            own = filters.value.among(hashes(keys))
-            for i in np.flatnonzero(own):
-                d, line = places[i]
-                if (s := sums.get(keys[i])) is None:
-                    sums[keys[i]] = [1, d, line]
-                else:
-                    s[0] += 1
-                    if s[1] is not None and (d is None or (d, line) < (s[1], s[2])) or d is None and s[1] is None and line < s[2]:
-                        s[1:] = d, line
-            if len(sums) >= HELD_KEYS:
-                yield passed()
-        if sums:
-            yield passed()
-
-    found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(suspected, "key binary, n long, doc_id long, line int")
-    exact = found.groupBy("key").agg(F.sum("n").alias("n_documents"), F.min(F.struct("doc_id", "line")).alias("first"))
+                        rows.append(i), lines.append(n), keys.append(k)
+            at = pa.array(rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(hashes(keys).view(np.int64)), pa.array(keys, pa.binary()), pa.array(lines, pa.int32()), *(common.column(batch, c).take(at) for c in more)], names=["h", "key", "line", *more])
+
+    schema = T.StructType([T.StructField("h", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("line", T.IntegerType()), *(source.schema[c] for c in more)])
+    return source.mapInArrow(run, schema)
+
+
+def repeated(docs: DataFrame, least_documents: int, least: int, first: bool = True) -> DataFrame:
+    """Pass 2: key, n_documents and, if wanted, first (doc_id, line) of every key in enough documents."""
+    lines = lines_of(docs.select(F.col("doc_id").cast("long"), "text"), least, *["doc_id"] * first)
+    found = lines.join(suspects(docs, least), "h", "left_semi").groupBy("key")
+    exact = found.agg(F.count("*").alias("n_documents"), *[F.min(F.struct("doc_id", "line")).alias("first")] * first)
     return common.written(exact.where(F.col("n_documents") >= least_documents), "repeated-lines")
 
 
-def drop_repeated_lines(
-    docs: DataFrame, least_documents: int = 10, least_chars: int = 1, keep: str = "none", filter_bytes: int = FILTER_BYTES, sent_bytes: int = SENT_BYTES, counts: bool = True
-) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, least_documents: int = 10, least_chars: int = 1, keep: str = "none", sent_bytes: int = SENT_BYTES, counts: bool = True) -> DataFrame:
     """``docs`` with the lines of repeated keys taken out of ``text``.
 
     keep: "none" drops all their lines, "first" keeps the first occurrence.
@@ -196,9 +193,8 @@ def drop_repeated_lines(
     if keep not in ("none", "first"):
         raise ValueError("keep is none or first")
     spark = common.text_session(docs.sparkSession)
-    filters = spark.sparkContext.broadcast(suspects(docs, least_chars, filter_bytes))
-    frequent = repeated(docs, least_documents, least_chars, filters)
-    size = frequent.agg(F.coalesce(F.sum(F.octet_length("key") + 64), F.lit(0)).alias("n")).first()["n"]
+    frequent = repeated(docs, least_documents, least_chars, keep == "first")
+    size = frequent.agg(F.coalesce(F.sum(F.octet_length("key") + BYTES_PER_KEY), F.lit(0)).alias("n")).first()["n"]
     docs = docs.drop("n_lines", "n_dropped") if counts else docs
     schema = common.wider(docs.schema, n_lines="long", n_dropped="long") if counts else docs.schema
     at, id_at, width, names = docs.columns.index("text"), docs.columns.index("doc_id"), len(docs.columns), schema.names
@@ -219,43 +215,31 @@ def drop_repeated_lines(
         return pa.RecordBatch.from_arrays([*columns, *extra], names=names)
 
     if size <= sent_bytes:
-        sent = spark.sparkContext.broadcast({bytes(r["key"]): (r["first"]["doc_id"], r["first"]["line"]) for r in frequent.toLocalIterator()})
+        sent = spark.sparkContext.broadcast({bytes(r["key"]): (r["first"]["doc_id"], r["first"]["line"]) if keep == "first" else None for r in frequent.collect()})
 
         def clean(batches):
             first = sent.value
             for batch in batches:
-                ids = batch.column(id_at).to_pylist()
-
-                def dropped(i, ids=ids):
-                    if keep == "none":
-                        return lambda k, line: key_of(line) in first
-                    return lambda k, line: (place := first.get(key_of(line))) is not None and place != (ids[i], k)
-
-                yield cleaned(batch, dropped)
+                if keep == "none":
+                    yield cleaned(batch, lambda i: lambda k, line: key_of(line) in first)
+                else:
+                    ids = batch.column(id_at).to_pylist()
+                    yield cleaned(batch, lambda i, ids=ids: lambda k, line: (place := first.get(key_of(line))) is not None and place != (ids[i], k))
 
         return docs.mapInArrow(clean, schema)
 
-    # Too many keys to send: rows get a number that is fixed by writing them, and their suspected lines are joined.
-    numbered = common.written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
-
-    def suspected(batches):
-        for batch in batches:
-            rows, lines, keys = [], [], []
-            for row, text in zip(common.column(batch, "__row").to_pylist(), common.text_bytes(batch)):
-                for i, k in enumerate(keys_of(text, least_chars)):
-                    if k is not None:
-                        rows.append(row), lines.append(i), keys.append(k)
-            own = np.flatnonzero(filters.value.among(hashes(keys))).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array([rows[i] for i in own], pa.int64()), pa.array([lines[i] for i in own], pa.int32()), pa.array([keys[i] for i in own], pa.binary())], names=["__row", "__line", "key"])
-
-    lines = numbered.select("__row", "text").mapInArrow(suspected, "__row long, __line int, key binary").join(frequent, "key")
+    # Too many keys to send: rows get a number that is fixed by writing them, and their lines are joined. A column holds the whole row, so no name can clash.
+    numbered = common.written(docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("row")), "numbered-documents")
+    lines = lines_of(numbered.select("row", F.col("whole.doc_id").cast("long").alias("doc_id"), "whole.text"), least_chars, "row", "doc_id").join(frequent, "key")
     if keep == "first":
-        lines = lines.join(numbered.select("__row", F.col("doc_id").alias("__doc")), "__row").where(~(F.col("__doc").eqNullSafe(F.col("first.doc_id")) & (F.col("__line") == F.col("first.line"))))
-    lost = lines.groupBy("__row").agg(F.collect_list("__line").alias("__lost"))
+        lines = lines.withColumn("kept", F.when(F.col("doc_id").eqNullSafe(F.col("first.doc_id")), F.col("first.line")))
+    else:
+        lines = lines.withColumn("kept", F.lit(None).cast("int"))
+    lost = lines.groupBy("row").agg(F.collect_list(F.struct("key", "kept")).alias("lost"))
 
     def clean_joined(batches):
         for batch in batches:
-            lost = [set(x or ()) for x in batch.column(width).to_pylist()]
-            yield cleaned(batch, lambda i, lost=lost: lambda k, line: k in lost[i])
+            lost = [{x["key"]: x["kept"] for x in of_row or ()} for of_row in batch.column(width).to_pylist()]
+            yield cleaned(batch, lambda i, lost=lost: lambda k, line: (key := key_of(line)) in lost[i] and lost[i][key] != k)
 
-    return numbered.join(lost, "__row", "left").select(*[numbered[c] for c in docs.columns], "__lost").mapInArrow(clean_joined, schema)
+    return numbered.join(lost, "row", "left").select(*[F.col(f"whole.`{c}`").alias(c) for c in docs.columns], F.col("lost").alias("lost lines of the row")).mapInArrow(clean_joined, schema)

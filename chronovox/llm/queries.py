@@ -84,17 +84,18 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": """
-        WITH lines AS (
-            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
-            FROM documents
+        WITH numbered AS (
+            SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+        ), lines AS (
+            SELECT row, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM numbered
         ), keyed AS (
             SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
         ), frequent AS (
-            SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+            SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row) >= 10
         )
         SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
-        FROM keyed LEFT JOIN frequent f USING (key) GROUP BY doc_id
+        FROM keyed LEFT JOIN frequent f USING (key) GROUP BY row, doc_id
     """,
     "op7_warc": """
         WITH payloads AS (
