@@ -1,8 +1,10 @@
 """WARC round trips, exact top-k search and the whole pipeline."""
 
 import base64
+import glob
 import hashlib
 import math
+import os
 import random
 import zlib
 
@@ -32,13 +34,38 @@ def test_chunks():
         warc.unchunked(b"5\r\nabc\r\n0\r\n\r\n")
 
 
+def names_in(folder):
+    """Every record of the archives, read member by member; the records' names and those that revisits give."""
+    own, kinds, asked = [], {}, []
+    for path in glob.glob(f"{folder}/part-*"):
+        raw, ends = open(path, "rb").read(), []
+        while raw:
+            one = zlib.decompressobj(31)
+            data = one.decompress(raw)
+            assert one.eof
+            raw = one.unused_data
+            ends.append(data)
+        assert ends[-1] == b"" and b"" not in ends[:-1]
+        for data in ends[:-1]:
+            [(head, _)] = warc.parsed([data])  # a member is a record
+            assert "warc-target-uri" in head and "warc-date" in head
+            own.append(head["warc-record-id"])
+            kinds[own[-1]] = head["warc-type"]
+            asked += [head[k] for k in ("warc-refers-to", "warc-segment-origin-id") if k in head]
+    assert len(set(own)) == len(own) and all(kinds[name] == "response" for name in asked)
+    return kinds, asked
+
+
 @pytest.mark.parametrize("segment", [8192, 700])
 def test_round_trip(spark, tmp_path, segment):
     texts = payloads()
     rows = [(i, f"http://a/{i} b\nc" if i % 3 else None, t) for i, t in enumerate([*texts, *texts[:5], None])] + [(None, None, "é" * 9000), (3, None, "again 3"), (40, "u", "same row"), (40, "u", "same row")]
     pages = spark.createDataFrame([(*r, "x") for r in rows], PAGES + ", record string").repartition(5)
     folder = f"file://{tmp_path}/warc"
-    warc.write(pages, folder, segment=segment)
+    warc.write(pages, folder, segment=segment, file_bytes=20_000)
+    kinds, asked = names_in(f"{tmp_path}/warc")
+    assert list(kinds.values()).count("revisit") == 7 and len(asked) > 7
+    assert max(map(os.path.getsize, glob.glob(f"{tmp_path}/warc/part-*"))) < 40_000
     last = {}
     for i, _, t in rows:
         if i is not None:
@@ -61,12 +88,16 @@ def test_small_payloads_are_not_matched_and_empty_table(spark, tmp_path):
 
 
 def test_damaged_archives_raise():
-    good = b"".join(r + b"\r\n\r\n" for r in warc.records_of(1, "u", b"abc", None, "0.0", 8192, 10))
+    good = b"".join(r + b"\r\n\r\n" for r in warc.records_of("urn:page:1:0", "u", b"abc", None, 8192, 10))
     assert len(list(warc.parsed([good[:20], good[20:]]))) == 1
     with pytest.raises(ValueError):
         list(warc.parsed([good[:-3]]))
     with pytest.raises(ValueError):
         list(warc.parsed([b"xx" + good]))
+    packed = warc.member(good) + warc.NOTHING + warc.member(good)
+    assert b"".join(warc.inflated(packed)) == 2 * good and len(list(warc.parsed(warc.inflated(packed)))) == 2
+    with pytest.raises(ValueError):
+        list(warc.inflated(packed[:-3]))
 
 
 # top-k
@@ -84,18 +115,33 @@ def brute(rows, k, every):
 
 @pytest.mark.parametrize("skewed", [False, True])
 def test_top_k_against_brute_force(spark, skewed, monkeypatch):
-    monkeypatch.setattr(top_k, "BLOCK", 32)
-    monkeypatch.setattr(top_k, "SEED", 16)
+    for name, value in (("TILE", 32), ("ROWS", 5), ("FIRST", 2), ("SEED", 16)):
+        monkeypatch.setattr(top_k, name, value)
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 12)) * (np.exp(-np.arange(12)) if skewed else 1) * rng.lognormal(0, 1 if skewed else 0.1, (400, 1))
     x[50:70] = x[10]  # ties
     rows = [(i, [float(np.float32(v)) for v in r]) for i, r in enumerate(x)]
     rows += [(500, None), (510, [None] + [1.0] * 11), (520, [math.nan] * 12), (530, [math.inf] * 12), (None, rows[3][1])]
     frame = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, score int").repartition(6)
-    got = top_k.top_k(frame, 5, 10, queries_at_once=17).collect()
+    got = top_k.top_k(frame, 5, 10, part_bytes=50 * 96, block_bytes=17 * 96).collect()
     assert sorted([tuple(r) for r in got], key=str) == brute(rows, 5, 10)
 
 
+def test_bounds_spare_most_pairs_of_a_decaying_spectrum():
+    rng = np.random.default_rng(5)
+    x = np.floor(256 * rng.normal(size=(4000, 64)) * 0.9 ** np.arange(64) @ np.linalg.qr(rng.normal(size=(64, 64)))[0])
+    x = x[np.argsort(-(x**2).sum(axis=1), kind="stable")]
+    space = top_k.Space(x.T @ x)
+    everything = top_k.Vectors(x, np.arange(4000), np.arange(4000), space)
+    queries = top_k.Vectors(x[::40], np.arange(0, 4000, 40), np.arange(0, 4000, 40), space)
+    best = top_k.Best(100, 5)
+    scored = top_k.search(best, np.full(100, -np.inf), queries, everything, space)
+    score = x[::40] @ x.T
+    score[np.arange(100), np.arange(0, 4000, 40)] = -np.inf
+    assert (best.score == -np.sort(-score, axis=1)[:, :5]).all()
+    assert scored < 0.5 * 100 * 4000
+
+
 def test_top_k_of_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     assert top_k.top_k(spark.createDataFrame([], schema)).count() == 0

@@ -91,16 +91,26 @@ def plain_dedup(texts, least_documents, keep="none"):
 
 
 @pytest.mark.parametrize("keep", ["none", "first"])
-@pytest.mark.parametrize("limits", [{}, {"sent_bytes": -1}, {"filter_bytes": 64}])
-def test_lines_against_brute_force(spark, keep, limits):
+@pytest.mark.parametrize("limits", [{}, {"sent_bytes": -1}])
+def test_lines_against_brute_force(spark, keep, limits, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HASHES_PER_SHARD", 1500)
+    monkeypatch.setattr(line_dedup, "HELD_HASHES", 300)
     rng = random.Random(6)
     pool = ["Same LINE", " same line\t", "other", "É", "é", "", "   ", "rare", "x y\x0b", "long " * 300]
     texts = ["\n".join(rng.choice([*pool, f"own {rng.random()}"]) for _ in range(rng.randint(1, 6))) for _ in range(80)] + ["", None, "\n", "A\r\nB"]
-    docs = documents(spark, texts).withColumnRenamed("source", "n_lines").repartition(7)
+    texts.append("\n".join(f"line {i}" for i in range(20_000)))
+    docs = documents(spark, texts).withColumnsRenamed({"source": "n_lines", "lang": "row", "n_chars": "lost"}).repartition(7)
     got = {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in line_dedup.drop_repeated_lines(docs, 4, keep=keep, **limits).collect()}
     assert got == dict(enumerate(plain_dedup(texts, 4, keep)))
 
 
+def test_a_full_filter_suspects_more_and_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BITS_PER_KEY", 0.001)
+    texts = [f"a\nb{i}\nc{i % 3}" for i in range(3000)]
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in line_dedup.drop_repeated_lines(documents(spark, texts).repartition(3), 4).collect()}
+    assert got == dict(enumerate(plain_dedup(texts, 4)))
+
+
 def test_lines_keep_columns_and_nulls(spark):
     docs = documents(spark, ["a\nb", None, "a", "a"])
     clean = line_dedup.drop_repeated_lines(docs, 3, counts=False)
@@ -293,3 +303,45 @@ def test_line_query_columns(spark, tmp_path):
     rows = {r.doc_id: r for r in queries.op4_line_dedup(spark, str(tmp_path)).collect()}
     assert rows[0].kept_sha256 == hashlib.sha256(b"a\nb").hexdigest() and rows[1].kept_sha256 == hashlib.sha256(b"").hexdigest()
     assert (rows[1].n_lines, rows[1].n_dropped) == (1, 0)
+
+
+def test_buckets_keep_their_bound():
+    for n in (10, 10**6, 10**7, 10**8, 10**9):
+        buckets = simhash.buckets_for(n, 2)
+        assert n * min(1, simhash.ball_size(2) / buckets) <= simhash.FINGERPRINTS_PER_BUCKET
+    rng = np.random.default_rng(3)
+    prints = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    for buckets in (64, 1 << 13):  # all fingerprints everywhere, and only where they have a variant
+        dealt = Counter()
+        for k, x in simhash.dealt(prints, 2, buckets):
+            assert 0 <= k < buckets
+            dealt.update(x.tolist())
+        reach = len(np.unique(simhash.classes_of(simhash.flips_of(2), buckets)))
+        assert set(dealt.values()) == {reach} and reach <= min(buckets, simhash.ball_size(2))
+
+
+@pytest.mark.parametrize("buckets", [64, 1 << 13])
+def test_a_forest_of_many_buckets_finds_every_link(buckets, monkeypatch):
+    monkeypatch.setattr(simhash, "VARIANTS_HELD", 500)
+    monkeypatch.setattr(simhash, "EDGES_HELD", 10)
+    rng = random.Random(2)
+    prints = [rng.getrandbits(64) for _ in range(20)]
+    for x in list(prints):
+        for distance in (1, 3, 4, 5):
+            y = x
+            for b in rng.sample(range(64), distance):
+                y ^= 1 << b
+            prints.append(y)
+    prints += prints[:5]
+    root = {x: x for x in prints}
+    edges, held = [], defaultdict(list)
+    for k, x in simhash.dealt(np.array(prints, np.uint64), 2, buckets):
+        held[k].append(x)
+    for k, parts in held.items():
+        edges += zip(*simhash.forest(np.concatenate(parts), 2, k, buckets).tolist())
+    for a, b in edges:
+        low, high = sorted((root[a], root[b]))
+        root = {x: low if r == high else r for x, r in root.items()}
+    want = plain_components(prints, 4)
+    groups = lambda of: sorted(sorted(x for x, r in of if r == g) for g in {r for _, r in of})
+    assert groups([(x, root[x]) for x in set(prints)]) == groups([(x, prints[want[prints.index(x)]]) for x in set(prints)])
