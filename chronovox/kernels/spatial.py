@@ -86,3 +86,56 @@ def reorder(direction: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         free.remove(source)
         axes[world], signs[world] = source, 1 if d[world, source] >= 0 else -1
     return axes, signs
+
+
+def mirrored(i: np.ndarray, n: int) -> np.ndarray:
+    """Indices reflected about the first and the last."""
+    if n == 1:
+        return np.zeros_like(i)
+    i = np.abs(i) % (2 * n - 2)
+    return np.where(i < n, i, 2 * n - 2 - i)
+
+
+def spline_coefficients(volume: np.ndarray) -> np.ndarray:
+    """Coefficients of the cubic B-spline that runs through all values, mirrored at the edges."""
+    out = np.array(volume, float)
+    for axis, n in enumerate(volume.shape):
+        if n > 1:
+            bands = np.zeros((n, n))
+            for shift, weight in ((-1, 1 / 6), (0, 4 / 6), (1, 1 / 6)):
+                np.add.at(bands, (np.arange(n), mirrored(np.arange(n) + shift, n)), weight)
+            out = np.moveaxis(np.linalg.solve(bands, np.moveaxis(out, axis, 0).reshape(n, -1)).reshape(n, *np.delete(out.shape, axis)), 0, axis)
+    return out
+
+
+def cubic(d: np.ndarray) -> np.ndarray:
+    d = np.abs(d)
+    return np.where(d < 1, 2 / 3 - d**2 + d**3 / 2, np.where(d < 2, np.maximum(2 - d, 0) ** 3 / 6, 0.0))
+
+
+#: Interpolators by name: reach in voxels, weight of a distance, and what lies beyond an edge.
+INTERPOLATORS = {
+    "linear": (1, lambda d: np.maximum(1 - np.abs(d), 0), "edge"),
+    "bspline": (2, cubic, "mirror"),
+    "lanczos": (3, lambda d: np.sinc(d) * np.sinc(d / 3) * (np.abs(d) < 3), "edge"),
+    "cosine": (3, lambda d: np.sinc(d) * np.cos(np.pi * d / 6) * (np.abs(d) < 3), "edge"),
+}
+
+
+def interpolated(volume: np.ndarray, points: np.ndarray, kind: str) -> np.ndarray:
+    """Values at points (n, 3) in voxel coordinates; 0 over half a voxel outside the grid."""
+    reach, weight, beyond = INTERPOLATORS[kind]
+    source = spline_coefficients(volume) if kind == "bspline" else np.array(volume, float)
+    base, steps = np.floor(points).astype(int), np.arange(1 - reach, reach + 1)
+    inside = ((points >= -0.5) & (points < np.array(volume.shape) - 0.5)).all(axis=1)
+    index, w = [], []
+    for axis, n in enumerate(volume.shape):
+        at = base[:, axis, None] + steps
+        index.append(mirrored(at, n) if beyond == "mirror" else np.clip(at, 0, n - 1))
+        w.append(weight(at - points[:, axis, None]))
+    out = np.zeros(len(points))
+    for i in range(len(steps)):
+        for j in range(len(steps)):
+            row = source[index[0][:, i, None], index[1][:, j, None], index[2]]
+            out += w[0][:, i] * w[1][:, j] * (row * w[2]).sum(axis=1)
+    return np.where(inside, out, 0.0)

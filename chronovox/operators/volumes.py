@@ -92,6 +92,33 @@ def resampled(values: DataFrame, target: DataFrame, matrix: list[list[float]] |
     return out.withColumn("value", F.greatest("value", F.lit(0.0))) if clip else out
 
 
+def resampled_volumes(values: DataFrame, source: tuple[int, int, int], target: tuple[int, int, int], matrix: list[list[float]] | np.ndarray, kind: str = "bspline", clip: bool = False) -> DataFrame:
+    """``values`` (keys..., x, y, z, value) of a whole grid on another grid, whose indices the matrix takes to those of the source.
+
+    kind: linear, bspline (cubic), or the windowed sincs lanczos and cosine of
+    three voxels' reach.  Splines take in a whole volume, so a group is one
+    volume, that is one frame of a scan; voxels without a row count as 0.
+    clip sets negative values to 0.
+    """
+    if kind not in spatial.INTERPOLATORS:
+        raise ValueError(f"unknown interpolator: {kind}")
+    keys = [c for c in values.columns if c not in ("x", "y", "z", "value", "voxel_id")]
+    grid = np.indices(target).reshape(3, -1)
+    move = np.array(matrix, float)
+
+    def one(pdf):
+        import pandas as pd
+
+        volume = np.zeros(source)
+        volume[pdf["x"], pdf["y"], pdf["z"]] = pdf["value"]
+        out = spatial.interpolated(volume, (move[:3, :3] @ grid + move[:3, 3:]).T, kind)
+        return pd.DataFrame({**{k: pdf[k].iloc[0] for k in keys}, **dict(zip("xyz", grid)), "value": np.maximum(out, 0) if clip else out})
+
+    schema = ", ".join([*(f"`{k}` {values.schema[k].dataType.simpleString()}" for k in keys), "x int, y int, z int, value double"])
+    by = keys or [F.lit("all")]
+    return values.select(*keys, "x", "y", "z", "value").groupBy(*by).applyInPandas(one, schema)
+
+
 def respaced(shape: tuple[int, int, int], old: tuple[float, ...], new: tuple[float, ...]) -> tuple[tuple[int, ...], np.ndarray]:
     """Size of the grid at a new spacing (whole voxels only), and the matrix from its indices to the old ones."""
     return tuple(int(n * o / w) for n, o, w in zip(shape, old, new)), np.diag([*(w / o for o, w in zip(old, new)), 1.0])

@@ -89,17 +89,8 @@ def s10(spark, d):
     return tables.read_stage(spark, folder, "voxel_id long, target string").groupBy("target").agg(F.count("*").alias("n"))
 
 
-@query("S12_matrix_text", "row col", "value", "SELECT label::INT AS row, t AS col, avg(value) AS value FROM emb WHERE t < 5 AND label < 8 GROUP BY ALL")
+@query("S12_matrix_text", "row col", "value", "SELECT (dense_rank() OVER (ORDER BY label) - 1)::INT AS row, t AS col, avg(value) AS value FROM emb GROUP BY label, t")
 def s12(spark, d):
-    folder = work_dir(spark, "matrix")
-    m = emb(spark, d).where("t < 5 AND label < 8").groupBy("label", "t").agg(F.avg("value").alias("v"))
-    rows = m.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("t", "v"))).alias("r")).orderBy("label").coalesce(1)
-    rows.select(F.concat_ws("  ", F.transform("r.v", lambda x: x.cast("string")))).write.text(folder)
-    return tables.read_matrix(spark, folder)
-
-
-@query("S12_matrix_text_whole", "row col", "value", "SELECT (dense_rank() OVER (ORDER BY label) - 1)::INT AS row, t AS col, avg(value) AS value FROM emb GROUP BY label, t")
-def s12_whole(spark, d):
     folder = work_dir(spark, "matrix")
     m = emb(spark, d).groupBy("label", "t").agg(F.avg("value").alias("v"))
     rows = m.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("t", "v"))).alias("r")).orderBy("label").coalesce(1)
@@ -112,11 +103,24 @@ def s13(spark, d):
     return synthetic.scans(spark, 3)
 
 
-@query("K1_recover_grid", "x y z", "value", "SELECT x, y, z, coalesce(value, 0.0) AS value FROM grid LEFT JOIN (SELECT voxel_id, avg(value) AS value FROM emb WHERE label = 1 GROUP BY ALL) USING (voxel_id)")
+#: Where K1 puts its image: spacing, origin and direction (second axis first and backward).
+PLACED = (2.0, 3.0, 4.0, 1.0), (-5.0, 7.5, 11.0), ((0, -1, 0), (1, 0, 0), (0, 0, 1))
+
+
+@query("K1_recover_grid", "x y z", "value sx sy sz ox oy oz d01 d10", """
+    SELECT x, y, z, coalesce(value, 0.0)::FLOAT::DOUBLE AS value, 2.0 AS sx, 3.0 AS sy, 4.0 AS sz, -5.0 AS ox, 7.5 AS oy, 11.0 AS oz, -1.0 AS d01, 1.0 AS d10
+    FROM grid LEFT JOIN (SELECT voxel_id, avg(value) AS value FROM emb WHERE label = 1 GROUP BY ALL) USING (voxel_id)""")
 def k1(spark, d):
+    """A masked map on its whole grid, written with its place in space, and read back."""
     from ..operators import volumes
 
-    return volumes.on_grid(grid(spark, d), emb(spark, d).where("label = 1").groupBy("voxel_id").agg(F.avg("value").alias("value")))
+    g, folder = grid(spark, d), work_dir(spark, "maps")
+    own = emb(spark, d).where("label = 1").groupBy("voxel_id").agg(F.avg("value").alias("value"))
+    shape = (10, 10, g.agg(F.max("z")).first()[0] + 1)
+    images.write(volumes.on_grid(g, own).where("value <> 0").withColumns({"scan_id": F.lit("emb"), "t": F.lit(0)}), folder, PLACED[0], shape, images.affine_of(*PLACED))
+    at = images.headers(spark, folder).select(images.scan_of("path").alias("scan_id"), "spacing", "origin", "direction")
+    parts = {**{f"s{c}": F.col("spacing")[i] for i, c in enumerate("xyz")}, **{f"o{c}": F.col("origin")[i] for i, c in enumerate("xyz")}, "d01": F.col("direction")[0][1], "d10": F.col("direction")[1][0]}
+    return images.read(spark, folder).join(at, "scan_id").withColumns(parts)
 
 
 @query("K2_csv_sink", "scan_id t", "value", "SELECT scan_id, t, avg(value) AS value FROM line GROUP BY ALL", digits=4)

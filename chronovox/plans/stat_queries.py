@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aggregates, aroma, connect, frames, qc, regress, series, volumes
@@ -472,13 +475,8 @@ def c2(spark, d):
     return connect.roi_matrix(bold(spark, d), atlas(spark, d))
 
 
-@query("C3_voxel_matrix", "voxel_i voxel_j", "r", f"SELECT a.voxel_id AS voxel_i, b.voxel_id AS voxel_j, {corr('a.value', 'b.value')} AS r FROM line2 a JOIN line2 b USING (scan_id, t) GROUP BY ALL", (("line2", "SELECT * FROM line WHERE scan_id = 'AF'"),), digits=5)
+@query("C3_voxel_matrix", "scan_id voxel_i voxel_j", "r", f"SELECT scan_id, a.voxel_id AS voxel_i, b.voxel_id AS voxel_j, {corr('a.value', 'b.value')} AS r FROM line a JOIN line b USING (scan_id, t) GROUP BY ALL", digits=5)
 def c3(spark, d):
-    return connect.voxel_matrix(series.to_series(line(spark, d).where("scan_id = 'AF'")), 16)
-
-
-@query("C3_voxel_matrix_scans", "scan_id voxel_i voxel_j", "r", f"SELECT scan_id, a.voxel_id AS voxel_i, b.voxel_id AS voxel_j, {corr('a.value', 'b.value')} AS r FROM line a JOIN line b USING (scan_id, t) GROUP BY ALL", digits=5)
-def c3_scans(spark, d):
     return connect.voxel_matrix(series.to_series(line(spark, d)), 16)
 
 
@@ -739,15 +737,39 @@ def q13(spark, d):
 # volumes
 
 
-@query("X1_respaced", "voxel_id", "value", """
-    WITH v AS (SELECT x, y, z, avg(value) AS value FROM emb JOIN grid USING (voxel_id) GROUP BY ALL), g AS (SELECT voxel_id, x, y, z FROM grid WHERE x < 5 AND y < 5 AND z < (SELECT (max(z) + 1) // 2 FROM grid))
-    SELECT g.voxel_id, greatest(v.value, 0) AS value FROM g JOIN v ON v.x = 2 * g.x AND v.y = 2 * g.y AND v.z = 2 * g.z""")
+# A cubic spline through f has the coefficients sum of sqrt(3) z^|k| f[m + k], with z = sqrt(3) - 2 and f mirrored at its ends; z^28 is below 1e-15.
+CUBIC = "CASE WHEN abs(d) < 1 THEN 2 / 3.0::DOUBLE - d * d + abs(d) ** 3 / 2 ELSE greatest(2 - abs(d), 0) ** 3 / 6 END"
+MIRRORED = "CASE WHEN abs(m + k) % (2 * n - 2) < n THEN abs(m + k) % (2 * n - 2) ELSE 2 * n - 2 - abs(m + k) % (2 * n - 2) END"
+SPLINE = f"SELECT n, i, {MIRRORED} AS j, sum(({CUBIC}) * sqrt(3.0::DOUBLE) * (sqrt(3.0::DOUBLE) - 2) ** abs(k)) AS w FROM taps, (SELECT unnest(range(-28, 29)) AS k) GROUP BY ALL"
+SPACING = 1.6
+
+
+@query("X1_respaced", "x y z", "value", """
+    SELECT a.i::INT AS x, b.i::INT AS y, c.i::INT AS z, greatest(sum(a.w * b.w * c.w * v.value), 0) AS value FROM v
+    JOIN w a ON a.n = 10 AND a.j = v.x JOIN w b ON b.n = 10 AND b.j = v.y JOIN w c ON c.n = (SELECT max(z) + 1 FROM grid) AND c.j = v.z GROUP BY ALL""",
+    (("v", "SELECT x, y, z, avg(value) AS value FROM emb JOIN grid USING (voxel_id) GROUP BY ALL"), ("axes", "SELECT DISTINCT unnest([10, (SELECT max(z) + 1 FROM grid)]) AS n"),
+     ("taps", f"SELECT n, i, floor(i * {SPACING})::INT + o AS m, floor(i * {SPACING}) + o - i * {SPACING}::DOUBLE AS d FROM (SELECT n, unnest(range(floor(n / {SPACING})::INT)) AS i FROM axes), (SELECT unnest([-1, 0, 1, 2]) AS o)"), ("w", SPLINE)))
 def x1(spark, d):
     g = grid(spark, d)
     values = bold(spark, d).groupBy("voxel_id").agg(F.avg("value").alias("value")).join(g, "voxel_id").select("x", "y", "z", "value")
-    nz = g.agg(F.max("z")).first()[0] + 1
-    shape, matrix = volumes.respaced((10, 10, nz), (1.0, 1.0, 1.0), (2.0, 2.0, 2.0))
-    return volumes.resampled(values, g.where(f"x < {shape[0]} AND y < {shape[1]} AND z < {shape[2]}"), matrix, clip=True)
+    source = (10, 10, g.agg(F.max("z")).first()[0] + 1)
+    shape, matrix = volumes.respaced(source, (1.0, 1.0, 1.0), (SPACING,) * 3)
+    return volumes.resampled_volumes(values, source, shape, matrix, clip=True)
+
+
+@query("X2_interpolators", "kind t voxel_id", "value", """
+    SELECT kind, t, voxel_id, sum(w * a.value) AS value FROM grid g JOIN w ON w.i = g.x JOIN (SELECT t, x, y, z, value FROM emb JOIN grid USING (voxel_id)) a ON a.y = g.y AND a.z = g.z AND a.x = w.j GROUP BY ALL""",
+    (("taps", "SELECT 10 AS n, i, i + o AS m, o - 0.25::DOUBLE AS d FROM (SELECT unnest(range(10)) AS i), (SELECT unnest(range(-2, 4)) AS o)"), ("spline", SPLINE),
+     ("sincs", "SELECT kind, i, greatest(0, least(9, m)) AS j, sin(pi() * d) / (pi() * d) * CASE kind WHEN 'cosine' THEN cos(pi() * d / 6) ELSE sin(pi() * d / 3) / (pi() * d / 3) END AS w FROM taps, (SELECT unnest(['cosine', 'lanczos']) AS kind)"),
+     ("w", "SELECT kind, i, j, sum(w) AS w FROM sincs GROUP BY ALL UNION ALL SELECT 'bspline', i, j, w FROM spline UNION ALL SELECT 'linear', i, greatest(0, least(9, m)), sum(greatest(0, 1 - abs(d))) FROM taps GROUP BY ALL")))
+def x2_kinds(spark, d):
+    """A shift of a quarter of a voxel along x."""
+    g = grid(spark, d)
+    shape = (10, 10, g.agg(F.max("z")).first()[0] + 1)
+    values = bold(spark, d).join(g, "voxel_id").select("t", "x", "y", "z", "value")
+    move = [[1, 0, 0, 0.25], [0, 1, 0, 0], [0, 0, 1, 0], [0, 0, 0, 1]]
+    out = [volumes.resampled_volumes(values, shape, shape, move, kind).withColumn("kind", F.lit(kind)) for kind in ("bspline", "cosine", "lanczos", "linear")]
+    return functools.reduce(DataFrame.union, out).join(g, ["x", "y", "z"])
 
 
 @query("X2_transformed", "scan_id t voxel_id", "value", """

@@ -1,14 +1,17 @@
 """NIfTI images as tables, and tables as NIfTI images.
 
 Files are read as binary rows by Spark, so any store that Spark reads will
-do; a task parses whole files.  The header alone needs the first kilobyte of
-the content.  The format is the published NIfTI-1 layout.
+do; a task parses whole files.  Headers alone are read from the first bytes
+of a file where tasks can open it (paths of scheme file), and from its
+content elsewhere, as Spark's readers give no part of a file.  The format is
+the published NIfTI-1 layout.
 """
 
 from __future__ import annotations
 
 import gzip
 import struct
+import urllib.parse
 import zlib
 
 import numpy as np
@@ -104,13 +107,21 @@ def scan_of(path: str):
 
 
 def headers(spark: SparkSession, folder: str) -> DataFrame:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    opened = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
+
+    def first_bytes(name):
+        with open(urllib.parse.unquote(urllib.parse.urlparse(name).path), "rb") as file:
+            return file.read(4096)
+
     def run(batches):
         for batch in batches:
-            rows = [header(inflated(raw, 352)) for raw in batch.column(1).to_pylist()]
+            found = map(first_bytes, batch.column(0).to_pylist()) if opened else batch.column(1).to_pylist()
+            rows = [header(inflated(raw, 352)) for raw in found]
             pick = lambda k: [r[k] for r in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pick("shape"), pa.list_(pa.int32())), pa.array(pick("spacing"), pa.list_(pa.float64())), pa.array(pick("origin"), pa.list_(pa.float64())), pa.array(pick("direction"), pa.list_(pa.list_(pa.float64()))), pa.array(pick("kind")), pa.array(pick("tr"), pa.float64())], names=["path", "shape", "spacing", "origin", "direction", "kind", "tr"])
 
-    return _images(spark, folder).select("path", "content").mapInArrow(run, HEADER)
+    return _images(spark, folder).select("path", *([] if opened else ["content"])).mapInArrow(run, HEADER)
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,20 +141,29 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     return _images(spark, folder).select(scan_of("path").alias("scan_id"), "content").mapInArrow(run, "scan_id string, t int, voxel_id long, x int, y int, z int, value double")
 
 
-def to_files(bold: DataFrame, spacing=(1.0, 1.0, 1.0, 1.0)) -> DataFrame:
-    """scan_id and content (a gzipped image) from rows with x, y, z, t and value; unset voxels are 0. A group is one scan."""
+def affine_of(spacing, origin, direction) -> np.ndarray:
+    """The matrix from a grid's indices to space."""
+    return np.r_[np.c_[np.array(direction, float) * np.array(spacing[:3], float), np.array(origin, float)], [[0, 0, 0, 1]]]
+
+
+def to_files(bold: DataFrame, spacing=(1.0, 1.0, 1.0, 1.0), shape: tuple[int, int, int] | None = None, affine: np.ndarray | None = None) -> DataFrame:
+    """scan_id and content (a gzipped image) from rows with x, y, z, t and value; unset voxels are 0. A group is one scan.
+
+    shape is that of the grid that the voxels belong to; without it, the grid
+    ends at the greatest coordinates.  affine places the grid in space.
+    """
 
     def one(pdf):
         import pandas as pd
 
-        shape = tuple(int(pdf[c].max()) + 1 for c in ("x", "y", "z", "t"))
-        a = np.zeros(shape)
+        size = (*(shape or (int(pdf[c].max()) + 1 for c in "xyz")), int(pdf["t"].max()) + 1)
+        a = np.zeros(size)
         a[pdf["x"], pdf["y"], pdf["z"], pdf["t"]] = pdf["value"]
-        return pd.DataFrame({"scan_id": [pdf["scan_id"].iloc[0]], "content": [encoded(a if shape[3] > 1 else a[..., 0], spacing)]})
+        return pd.DataFrame({"scan_id": [pdf["scan_id"].iloc[0]], "content": [encoded(a if size[3] > 1 else a[..., 0], spacing, affine)]})
 
     return bold.select("scan_id", "x", "y", "z", "t", "value").groupBy("scan_id").applyInPandas(one, "scan_id string, content binary")
 
 
-def write(bold: DataFrame, folder: str, spacing=(1.0, 1.0, 1.0, 1.0)) -> None:
+def write(bold: DataFrame, folder: str, spacing=(1.0, 1.0, 1.0, 1.0), shape: tuple[int, int, int] | None = None, affine: np.ndarray | None = None) -> None:
     """One image per scan, at scan_id=.../part-..., through Spark's writer; the line end after an image is not read."""
-    to_files(bold, spacing).select("scan_id", F.col("content").cast("string")).write.partitionBy("scan_id").text(folder)
+    to_files(bold, spacing, shape, affine).select("scan_id", F.col("content").cast("string")).write.partitionBy("scan_id").text(folder)
