@@ -19,6 +19,11 @@ def mask_traces(bold: DataFrame, masks: DataFrame) -> DataFrame:
     return bold.join(masks, "voxel_id").groupBy("scan_id", "mask_name", "t").agg(F.avg("value").alias("value"))
 
 
+def weighted_sums(bold: DataFrame, maps: DataFrame) -> DataFrame:
+    """Sum over voxels of value times each map's weight (comp, voxel_id, weight), per frame."""
+    return bold.join(maps, "voxel_id").groupBy("scan_id", "comp", "t").agg(F.sum(F.col("value") * F.col("weight")).alias("value"))
+
+
 def global_signal(bold: DataFrame) -> DataFrame:
     return bold.groupBy("scan_id", "t").agg(F.avg("value").alias("value"))
 

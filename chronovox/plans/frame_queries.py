@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import options
-from ..operators import aggregates, frames, joins
+from ..operators import aggregates, connect, frames, joins
 from ..sources import images, manifest, synthetic, tables
 from . import views
-from .registry import query
+from .registry import corr, query
 from .views import atlas, bold, emb, grid, label_mask, line, motion, table, tissues, traces, work_dir
 
 # sources and sinks
@@ -89,6 +89,16 @@ def s10(spark, d):
     return tables.read_stage(spark, folder, "voxel_id long, target string").groupBy("target").agg(F.count("*").alias("n"))
 
 
+@query("S11_one_output", "scan_id label t", "value", "SELECT 'emb' AS scan_id, label, t, avg(value) AS value FROM emb GROUP BY ALL")
+def s11(spark, d):
+    """Of a stage's outputs, one target is read; the others' folders are not."""
+    folder = work_dir(spark, "stage-targets")
+    rows = lambda df, target: df.select(F.lit(target).alias("target"), "scan_id", "label", "t", "value")
+    both = rows(aggregates.roi_traces(bold(spark, d), atlas(spark, d)), "traces").union(rows(motion(spark, d).select("scan_id", F.lit(0).alias("label"), "t", F.col("mov1").alias("value")), "motion"))
+    tables.write_stage(both, folder, "target")
+    return tables.read_stage(spark, folder, "scan_id string, label int, t int, value double, target string").where("target = 'traces'")
+
+
 @query("S12_matrix_text", "row col", "value", "SELECT (dense_rank() OVER (ORDER BY label) - 1)::INT AS row, t AS col, avg(value) AS value FROM emb GROUP BY label, t")
 def s12(spark, d):
     folder = work_dir(spark, "matrix")
@@ -296,6 +306,44 @@ def p21(spark, d):
 # joins
 
 
+@query("J1_masked_matrix", "scan_id t voxel_id", "value", "SELECT scan_id, t, voxel_id, value FROM line WHERE voxel_id IN (SELECT voxel_id FROM tissues)")
+def j1(spark, d):
+    return frames.in_mask(line(spark, d), tissues(spark, d))
+
+
+HALVES = ("halves", "SELECT 'emb' || voxel_id % 2 AS scan_id, t, voxel_id, label, value FROM emb")
+
+
+def halves(spark, d):
+    """Two scans of every other voxel."""
+    return bold(spark, d).withColumn("scan_id", F.concat(F.lit("emb"), (F.col("voxel_id") % 2).cast("string")))
+
+
+@query("J2_matrix_by_label", "scan_id label t", "value", "SELECT scan_id, label, t, avg(value) AS value FROM halves GROUP BY ALL", (HALVES,))
+def j2(spark, d):
+    return aggregates.roi_traces(halves(spark, d), atlas(spark, d))
+
+
+@query("J3_matrix_by_priors", "scan_id comp t", "value", "SELECT scan_id, label AS comp, t, sum(value * (1 + voxel_id % 7)) AS value FROM halves GROUP BY ALL", (HALVES,))
+def j3(spark, d):
+    weights = atlas(spark, d).select(F.col("label").alias("comp"), "voxel_id", (1 + F.col("voxel_id") % 7).cast("double").alias("weight"))
+    return aggregates.weighted_sums(halves(spark, d), weights)
+
+
+@query("J4_label_pairs", "scan_id roi_i roi_j", "r", f"""
+    WITH roi AS (SELECT scan_id, label, t, avg(value) AS value FROM line JOIN atlas USING (voxel_id) GROUP BY ALL)
+    SELECT scan_id, a.label::VARCHAR AS roi_i, b.label::VARCHAR AS roi_j, {corr('a.value', 'b.value')} AS r FROM roi a JOIN roi b USING (scan_id, t) GROUP BY ALL""", digits=5)
+def j4(spark, d):
+    return connect.roi_matrix(line(spark, d), atlas(spark, d))
+
+
+@query("J5_seed_voxels", "scan_id seed_name voxel_id", "r", f"""
+    SELECT scan_id, seed_name, voxel_id, coalesce({corr('value', 's')}, 0) AS r FROM line JOIN (SELECT scan_id, 'seed' || label AS seed_name, t, avg(value) AS s FROM line JOIN atlas USING (voxel_id) WHERE label < 3 GROUP BY ALL) USING (scan_id, t) GROUP BY ALL""", digits=5)
+def j5(spark, d):
+    seeds = atlas(spark, d).where("label < 3").select(F.concat(F.lit("seed"), "label").alias("seed_name"), "voxel_id")
+    return connect.seed_maps(line(spark, d), seeds)
+
+
 @query("J6_outputs_of_scans", "scan_id n_customer", "", "SELECT scan_id, o_custkey AS n_customer FROM manifest JOIN orders ON run = o_orderkey::VARCHAR")
 def j6(spark, d):
     o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("run"), F.col("o_custkey").alias("n_customer"))
@@ -406,6 +454,14 @@ def o1(spark, d):
     return frames.value_at(bold(spark, d), 0.95, "t")
 
 
+@query("O2_strongest_voxels", "scan_id voxel_id", "value", """
+    SELECT scan_id, voxel_id, value FROM (SELECT *, row_number() OVER (PARTITION BY scan_id ORDER BY abs(value)) AS r, count(*) OVER (PARTITION BY scan_id) AS n FROM (SELECT scan_id, voxel_id, avg(value) AS value FROM line GROUP BY ALL))
+    QUALIFY abs(value) >= max(CASE WHEN r = floor(0.9 * n) + 1 THEN abs(value) END) OVER (PARTITION BY scan_id)""", digits=4)
+def o2(spark, d):
+    means = line(spark, d).groupBy("scan_id", "voxel_id").agg(F.avg("value").alias("value"))
+    return frames.top_percent(means, 10, "scan_id").where("top")
+
+
 @query("O4_matched_frames", "scan_id kept", "", "SELECT scan_id, least(count(*), 60) AS kept FROM traces GROUP BY scan_id")
 def o4(spark, d):
     return frames.matched_frames(traces(spark, d).withColumn("keep", F.lit(True)), 60).groupBy("scan_id").agg(F.count_if("keep").alias("kept"))

@@ -32,3 +32,13 @@ def query(name: str, keys: str, doubles: str = "", sql: str | None = None, more:
 
 def corr(x: str, y: str) -> str:
     return f"covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0)"
+
+
+def orthogonal(source: str, keys: str, columns: list[str]) -> tuple[tuple[str, str], ...]:
+    """Views g0, g1, ... of ``source``: by turns each column is made orthogonal to those before it, over the rows of a key; the last is named q."""
+    out, own = [], f"SELECT * FROM {source}"
+    for k, c in enumerate(columns[:-1]):
+        out.append((f"g{k}", own))
+        rest = ", ".join(f"{x} - {c} * sum({x} * {c}) OVER w / nullif(sum({c} * {c}) OVER w, 0) AS {x}" for x in columns[k + 1 :])
+        own = f"SELECT * REPLACE ({rest}) FROM g{k} WINDOW w AS (PARTITION BY {keys})"
+    return (*out, ("q", own))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import functools
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aggregates, aroma, connect, frames, qc, regress, series, volumes
 from ..sources import tables
 from . import views
-from .registry import corr, query
+from .registry import corr, orthogonal, query
 from .views import atlas, bold, emb, emb_series, grid, label_mask, line, motion, table, tissues, traces, work_dir
 
 MAPS = ("maps", "SELECT scan_id, voxel_id, avg(value) AS value FROM line GROUP BY ALL")
@@ -34,6 +35,10 @@ def covariate(spark, d):
 
 COVARIATE = ("covariate", "SELECT scan_id, avg(mov1) AS x FROM motion GROUP BY ALL")
 
+MOTION = regress.MOTION_6
+CENTRED = ("centred", "SELECT scan_id, t, " + ", ".join(f"{c} - avg({c}) OVER (PARTITION BY scan_id) AS {c}" for c in MOTION) + " FROM motion")
+SHARE = " + ".join(f"coalesce(sum({c} * y) ** 2 / nullif(sum({c} * {c}), 0), 0)" for c in MOTION)
+
 # aggregates
 
 
@@ -196,10 +201,15 @@ def a26(spark, d):
     return qc.scan_features(bold(spark, d), tissues(spark, d))["correlation"]
 
 
-@query("A27_tdof", "scan_id tdof", "", "SELECT scan_id, count(*) - (1 + 6) + 2 AS tdof FROM motion GROUP BY scan_id")
+@query("A27_tdof", "scan_id tdof", "", "SELECT scan_id, count(*) FILTER (WHERE mov1 < 25.5) - (count(*) FILTER (WHERE mov2 > 0.05) % 5 + 6) + count(*) FILTER (WHERE mov1 >= 25.5) % 4 AS tdof FROM motion GROUP BY scan_id")
 def a27(spark, d):
-    n = motion(spark, d).groupBy("scan_id").agg(F.count("*").alias("frames"))
-    return aggregates.degrees_of_freedom(n.withColumns({"aroma_removed": F.lit(1), "regressors": F.lit(6), "dropped": F.lit(2)}))
+    return tdof(spark, d)
+
+
+def tdof(spark, d):
+    kept = F.count_if(F.col("mov1") < 25.5)
+    n = motion(spark, d).groupBy("scan_id").agg(kept.alias("frames"), (F.count_if(F.col("mov2") > 0.05) % 5).alias("aroma_removed"), (F.count_if(F.col("mov1") >= 25.5) % 4).alias("dropped"))
+    return aggregates.degrees_of_freedom(n.withColumn("regressors", F.lit(6)))
 
 
 @query("A28_display_bound", "voxel_id", "bound", "SELECT voxel_id, value AS bound FROM (SELECT *, row_number() OVER (PARTITION BY voxel_id ORDER BY value) AS r, count(*) OVER (PARTITION BY voxel_id) AS n FROM emb) WHERE r = floor(n * 0.99) + 1")
@@ -217,7 +227,9 @@ def motion_design(spark, d, wanted=("mot_6",)):
     return series.to_design(regress.motion_regressors(motion(spark, d), list(wanted)))
 
 
-@query("A30_motion_r2", "scan_id voxel_id", "r2")
+@query("A30_motion_r2", "scan_id voxel_id", "r2", f"""
+    SELECT scan_id, voxel_id, coalesce(({SHARE}) / nullif(sum(y * y), 0), 0) AS r2
+    FROM (SELECT scan_id, t, voxel_id, value - avg(value) OVER (PARTITION BY scan_id, voxel_id) AS y FROM line) JOIN q USING (scan_id, t) GROUP BY scan_id, voxel_id""", (CENTRED, *orthogonal("centred", "scan_id", MOTION)), digits=5)
 def a30(spark, d):
     return volumes.motion_r2(series.to_series(line(spark, d)), motion_design(spark, d))
 
@@ -277,12 +289,30 @@ def r1_kernel(spark, d):
     return series.to_bold(regress.regress(emb_series(spark, d), series.to_design(s))).withColumnRenamed("value", "residual")
 
 
-@query("R2_outlier_censoring", "scan_id t keep", "")
+def settled(source: str, keys: str, column: str, threshold: float = 2.5) -> str:
+    """SQL of the frames kept once a trace's outliers no longer change: ``keys``, t, keep."""
+    own = "list_transform(list_filter(list_zip(v, kept), lambda z: z[2]), lambda z: z[1])"
+    return f"""WITH RECURSIVE per AS (SELECT {keys}, list(t ORDER BY t) AS ts, list({column} ORDER BY t) AS v FROM {source} WHERE {column} IS NOT NULL GROUP BY {keys}),
+        turn AS (SELECT *, list_transform(v, lambda x: true) AS kept, 0 AS i FROM per UNION ALL
+            SELECT {keys}, ts, v, now, i + 1 FROM (SELECT *, list_transform(v, lambda x: abs((x - m) / d) < {threshold}) AS now FROM (SELECT *, list_aggregate({own}, 'avg') AS m, list_aggregate({own}, 'stddev_pop') AS d FROM turn)) WHERE now <> kept)
+        SELECT {keys}, unnest(ts) AS t, unnest(kept) AS keep FROM (SELECT * FROM turn QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY i DESC) = 1)"""
+
+
+@query("R2_outlier_censoring", "scan_id t keep", "", settled("traces", "scan_id", "fd"))
 def r2(spark, d):
     return regress.censor_outliers(traces(spark, d), "fd")
 
 
-@query("R3_combined_censoring", "scan_id t keep", "")
+TRIMEAN = "(quantile_cont(value, 0.2::DOUBLE) + quantile_cont(value, 0.5::DOUBLE) + quantile_cont(value, 0.8::DOUBLE)) / 3"
+
+
+@query("R3_combined_censoring", "scan_id t keep", "", """
+    SELECT scan_id, t, keep FROM (SELECT scan_id, t, near.keep AND coalesce(d.keep, false) AND coalesce(m.keep, false) AS keep FROM (SELECT scan_id, t, NOT bool_or(mov1 >= 26.5) OVER (PARTITION BY scan_id ORDER BY t ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) AS keep FROM motion) near
+        LEFT JOIN (SELECT * FROM outlying WHERE kind = 'dvars') d USING (scan_id, t) LEFT JOIN (SELECT * FROM outlying WHERE kind = 'mse') m USING (scan_id, t))
+    QUALIFY count(*) FILTER (WHERE keep) OVER (PARTITION BY scan_id) >= 3""",
+    (("changes", "SELECT 'dvars' AS kind, scan_id, t, sqrt(avg(c * c)) AS value FROM (SELECT scan_id, t, value - lag(value) OVER (PARTITION BY scan_id, voxel_id ORDER BY t) AS c FROM line) GROUP BY ALL"),
+     ("distances", f"SELECT 'mse' AS kind, scan_id, t, avg((value - r) ** 2) AS value FROM line JOIN (SELECT scan_id, voxel_id, {TRIMEAN} AS r FROM line GROUP BY ALL) USING (scan_id, voxel_id) GROUP BY ALL"),
+     ("both_kinds", "SELECT * FROM changes UNION ALL SELECT * FROM distances"), ("outlying", settled("both_kinds", "kind, scan_id", "value"))))
 def r3(spark, d):
     b = line(spark, d)
     t = motion(spark, d).select("scan_id", "t", F.col("mov1").alias("fd")).join(aggregates.dvars(b), ["scan_id", "t"]).join(aggregates.mse_to_reference(b), ["scan_id", "t"])
@@ -308,8 +338,11 @@ def r5_interval(spark, d):
     return series.to_bold(regress.detrend(s, 64, 1, "10-50"))
 
 
-@query("R5_detrend_quadratic", "voxel_id t", "value")
+@query("R5_detrend_quadratic", "voxel_id t", "value", """
+    SELECT voxel_id, t, value - (s0 - c2 * s2) / 64 - a * s1 / s2 - c2 * a * a AS value FROM (SELECT *, (64 * sa - s2 * s0) / (64 * s4 - s2 * s2) AS c2 FROM (
+        SELECT *, sum(value) OVER v AS s0, sum(a * value) OVER v AS s1, sum(a * a) OVER v AS s2, sum(a * a * value) OVER v AS sa, sum(a ** 4) OVER v AS s4 FROM (SELECT voxel_id, t, value, -32 + t * 64.0::DOUBLE / 63 AS a FROM emb) WINDOW v AS (PARTITION BY voxel_id)))""")
 def r5_quadratic(spark, d):
+    """The axis is symmetric, so its odd moments vanish and the line's slope is by itself."""
     return series.to_bold(regress.detrend(emb_series(spark, d), 64, 2))
 
 
@@ -330,26 +363,46 @@ def r8(spark, d):
     return regress.signal_regressors(bold(spark, d), tissues(spark, d), ["WM_signal", "CSF_signal", "vascular_signal"])
 
 
-@query("R9_component_regressors", "scan_id components frames", "")
+def leverage(x):
+    """scan_id, t and the diagonal of the projection on the regressors: as they have no common length or sign, only this is theirs."""
+    def one(row):
+        u = np.linalg.qr(np.array([list(r) for r in row["x"]], float).T)[0]
+        yield from ((row["scan_id"], t, float(v)) for t, v in enumerate((u**2).sum(axis=1)))
+
+    return series.per_row(x, one, "scan_id string, t int, value double")
+
+
+@query("R9_component_regressors", "scan_id t", "value")
 def r9(spark, d):
-    x = regress.component_regressors(emb_series(spark, d), tissues(spark, d).where("mask_name <> 'vascular_signal'"))
-    return x.select("scan_id", F.size("x").alias("components"), F.size(F.col("x")[0]).alias("frames"))
+    return leverage(regress.component_regressors(emb_series(spark, d), tissues(spark, d).where("mask_name <> 'vascular_signal'")))
+
+
+@query("O3_first_components", "scan_id t", "value")
+def o3(spark, d):
+    return leverage(regress.component_regressors(series.to_series(line(spark, d)), atlas(spark, d), components=3))
 
 
-@query("R9_component_regressors_percent", "scan_id frames", "")
+@query("R9_component_regressors_percent", "scan_id t", "value")
 def r9_percent(spark, d):
-    x = regress.component_regressors(emb_series(spark, d), tissues(spark, d).where("mask_name <> 'vascular_signal'"), percent=True)
-    return x.select("scan_id", F.size(F.col("x")[0]).alias("frames"))
+    return leverage(regress.component_regressors(emb_series(spark, d), tissues(spark, d).where("mask_name <> 'vascular_signal'"), percent=True))
 
 
-@query("R10_rank_guard", "scan_id regressors", "", "SELECT scan_id, 0 AS regressors FROM motion GROUP BY scan_id")
+@query("R10_rank_guard", "scan_id regressors", "", """
+    SELECT scan_id || other AS scan_id, CASE WHEN 1 - sum(a * b) ** 2 / (sum(a * a) * sum(b * b)) > 1e-12 THEN 2 ELSE 0 END::INT AS regressors
+    FROM (SELECT scan_id, '/twice' AS other, mov1 AS a, 2 * mov1 AS b FROM motion UNION ALL SELECT scan_id, '/free', mov1, mov2 FROM motion) GROUP BY ALL""")
 def r10(spark, d):
     m = motion(spark, d)
-    twice = m.select("scan_id", F.lit("a").alias("name"), "t", F.col("mov1").alias("value")).union(m.select("scan_id", F.lit("b"), "t", F.col("mov1") * 2))
-    return regress.checked_rank(series.to_design(twice)).select("scan_id", F.size("x").alias("regressors"))
+    pair = lambda other, b: m.select(F.concat("scan_id", F.lit(other)).alias("scan_id"), "t", F.explode(F.array(F.struct(F.lit("a").alias("name"), F.col("mov1").alias("value")), F.struct(F.lit("b").alias("name"), b.alias("value")))).alias("p")).select("scan_id", "p.name", "t", "p.value")
+    both = pair("/twice", F.col("mov1") * 2).union(pair("/free", F.col("mov2")))
+    return regress.checked_rank(series.to_design(both)).select("scan_id", F.size("x").alias("regressors"))
 
 
-@query("R11_gap_fill", "voxel_id t", "value")
+@query("R11_gap_fill", "voxel_id t", "value", """
+    SELECT voxel_id, t, coalesce(x, (m - mo) * sx / so + mx) AS value FROM (SELECT *, avg(m) FILTER (WHERE x IS NOT NULL) OVER v AS mo, stddev_pop(m) FILTER (WHERE x IS NOT NULL) OVER v AS so, avg(x) OVER v AS mx, stddev_pop(x) OVER v AS sx FROM (
+        SELECT voxel_id, t, any_value(x) AS x, sum(c * pc + s * ps) AS m FROM waves JOIN parts USING (k) JOIN (SELECT voxel_id, t, CASE WHEN t NOT IN (5, 6, 20, 41, 42, 43) THEN value END AS x FROM emb) USING (voxel_id, t) GROUP BY voxel_id, t) WINDOW v AS (PARTITION BY voxel_id))""",
+    (("harmonics", "SELECT k, w, atan2(sum(sin(2 * w * (t + 1))), sum(cos(2 * w * (t + 1)))) / (2 * w) AS shift FROM (SELECT k, k * pi() / 32 AS w, t FROM (SELECT unnest(range(1, 33)) AS k), (SELECT unnest(range(64)) AS t)) WHERE t NOT IN (5, 6, 20, 41, 42, 43) GROUP BY k, w"),
+     ("waves", "SELECT k, t::INT AS t, cos(w * (t + 1) - w * shift) AS c, sin(w * (t + 1) - w * shift) AS s FROM harmonics, (SELECT unnest(range(64)) AS t)"),
+     ("parts", "SELECT k, voxel_id, CASE WHEN sum(c * c) > 58e-9 THEN sum(c * value) / sum(c * c) ELSE 0 END AS pc, CASE WHEN sum(s * s) > 58e-9 THEN sum(s * value) / sum(s * s) ELSE 0 END AS ps FROM waves JOIN emb USING (t) WHERE t NOT IN (5, 6, 20, 41, 42, 43) GROUP BY ALL")))
 def r11(spark, d):
     return series.to_bold(regress.fill_gaps(series.to_series(bold(spark, d).where("t NOT IN (5, 6, 20, 41, 42, 43)")), 64, 1.0))
 
@@ -369,6 +422,30 @@ def r13(spark, d):
     return regress.regress_one(b, x).select("voxel_id", "t", F.col("residual").alias("value"))
 
 
+TREND = "(sum(a * {0}) OVER v - sum({0}) OVER v * avg(a) OVER v) / (sum(a * a) OVER v - sum(a) OVER v * avg(a) OVER v)"
+DETRENDED = lambda columns, source, keys: "SELECT * EXCLUDE (a) REPLACE (" + ", ".join(f"{c} - avg({c}) OVER v - (a - avg(a) OVER v) * {TREND.format(c)} AS {c}" for c in columns) + f") FROM (SELECT *, t::DOUBLE AS a FROM {source}) WINDOW v AS (PARTITION BY {keys})"
+PREDICTED = " + ".join(f"{c} * coalesce(sum({c} * value) OVER v / nullif(sum({c} * {c}) OVER v, 0), 0)" for c in MOTION)
+
+
+@query("R13_motion_not_subtracted", "scan_id voxel_id t", "value predicted", f"SELECT scan_id, voxel_id, t, value, {PREDICTED} AS predicted FROM flat JOIN q USING (scan_id, t) WINDOW v AS (PARTITION BY scan_id, voxel_id)",
+       (("flat", DETRENDED(["value"], "line", "scan_id, voxel_id")), ("moves", DETRENDED(MOTION, "motion", "scan_id")), *orthogonal("moves", "scan_id", MOTION)), digits=2)
+def r13_motion(spark, d):
+    """With no regressors asked for, motion is fitted for its share of variance, and the series stay as they are."""
+    b, m = line(spark, d), motion(spark, d)
+    fd = m.select("scan_id", "t", F.lit(0.0).alias("fd"))
+    fit = regress.clean(b, b.select("voxel_id").distinct(), m, fd, views.LINE_FRAMES)["fit"]
+    rows = fit.select("scan_id", "voxel_id", F.explode(F.arrays_zip("t", "v", "predicted")).alias("z"))
+    return rows.select("scan_id", "voxel_id", "z.t", F.col("z.v").alias("value"), "z.predicted")
+
+
+@query("R13_motion_subtracted", "scan_id voxel_id t", "value", f"SELECT scan_id, voxel_id, t, value - ({PREDICTED}) AS value FROM flat JOIN q USING (scan_id, t) WINDOW v AS (PARTITION BY scan_id, voxel_id)",
+       (("flat", DETRENDED(["value"], "line", "scan_id, voxel_id")), ("moves", DETRENDED(MOTION, "motion", "scan_id")), *orthogonal("moves", "scan_id", MOTION)), digits=2)
+def r13_subtracted(spark, d):
+    b, m = line(spark, d), motion(spark, d)
+    fd = m.select("scan_id", "t", F.lit(0.0).alias("fd"))
+    return regress.clean(b, b.select("voxel_id").distinct(), m, fd, views.LINE_FRAMES, regressors=("mot_6",))["bold"]
+
+
 @query("R14_slicewise", "voxel_id t", "value", """
     SELECT voxel_id, t, value - coalesce(b, 0) * x AS value FROM xy JOIN (SELECT voxel_id, sum(x * value) / nullif(sum(x * x), 0) AS b FROM xy GROUP BY voxel_id) USING (voxel_id)""",
     (("xy", "SELECT e.voxel_id, e.t, e.value, s.m AS x FROM emb e JOIN grid g USING (voxel_id) JOIN (SELECT z, t, avg(value) AS m FROM emb JOIN grid USING (voxel_id) GROUP BY ALL) s ON g.z = s.z AND e.t = s.t"),))
@@ -379,21 +456,26 @@ def r14(spark, d):
     return series.to_bold(regress.regress(own, series.to_design(x)))
 
 
-@query("R15_null_regressors", "scan_id regressors frames", "")
+@query("R15_null_regressors", "scan_id t", "value")
 def r15(spark, d):
     m = motion(spark, d)
     keep = m.select("scan_id", "t", F.lit(True).alias("keep"))
     centred = regress.motion_regressors(m, ["mot_6"])
     mean = centred.groupBy("scan_id", "name").agg(F.avg("value").alias("m"))
     centred = centred.join(mean, ["scan_id", "name"]).select("scan_id", "name", "t", (F.col("value") - F.col("m")).alias("value"))
-    x = regress.null_design(series.to_design(centred), keep, 1.0)
-    return x.select("scan_id", F.size("x").alias("regressors"), F.size(F.col("x")[0]).alias("frames"))
+    return leverage(regress.null_design(series.to_design(centred), keep, 1.0))
 
 
-@query("R16_corrected_std", "voxel_id", "value", "SELECT voxel_id, sqrt(greatest(var_pop(value) FILTER (WHERE t < 32) - var_pop(value) FILTER (WHERE t >= 32), 0)) AS value FROM emb GROUP BY voxel_id")
+@query("R16_corrected_std", "voxel_id", "value", """
+    SELECT voxel_id, sqrt(greatest(var_pop(trace * b) - var_pop(other * c), 0)) AS value FROM null_traces JOIN (
+        SELECT voxel_id, sum(trace * value) / sum(trace * trace) AS b, sum(other * value) / sum(other * other) AS c FROM emb JOIN null_traces USING (t) GROUP BY voxel_id) ON true GROUP BY voxel_id""",
+    (GS, ("null_traces", "SELECT a.t, a.trace, b.trace AS other FROM gs a JOIN gs b ON a.t = 63 - b.t")))
 def r16(spark, d):
+    """Real: the global signal.  Random: the same backward in time."""
     b = bold(spark, d)
-    return regress.corrected_std(b.where("t < 32"), b.where("t >= 32"))
+    x = aggregates.global_signal(b).withColumnRenamed("value", "x")
+    fits = [regress.regress_one(b, g).select("scan_id", "voxel_id", F.col("predicted").alias("value")) for g in (x, x.withColumn("t", 63 - F.col("t")))]
+    return regress.corrected_std(*fits)
 
 
 SCALING = {
@@ -427,7 +509,10 @@ def r18(spark, d):
     return regress.homogenized(bold(spark, d))
 
 
-@query("R19_smoothing", "voxel_id t", "value")
+@query("R19_smoothing", "voxel_id t", "value", """
+    SELECT a.voxel_id, b.t, sum(w * b.value) / sum(w) AS value FROM (
+        SELECT p.voxel_id, o.voxel_id AS other, exp(-0.5 * ((p.x - o.x) ** 2 + (p.y - o.y) ** 2 + (p.z - o.z) ** 2) * 8 * ln(2) / 4) AS w FROM grid p JOIN grid o ON abs(p.x - o.x) <= 3 AND abs(p.y - o.y) <= 3 AND abs(p.z - o.z) <= 3) a
+    JOIN emb b ON b.voxel_id = a.other GROUP BY a.voxel_id, b.t""")
 def r19(spark, d):
     return regress.smoothed(bold(spark, d), grid(spark, d), 2.0)
 
@@ -599,9 +684,10 @@ def w5(spark, d):
     return power(spark, d).withColumn("share", F.sum("power").over(w.orderBy("frequency").rowsBetween(Window.unboundedPreceding, 0)) / F.sum("power").over(w))
 
 
-@query("W6_cumulative_variance", "scan_id frames", "")
+@query("W6_cumulative_variance", "scan_id components", "")
 def w6(spark, d):
-    return r9_percent(spark, d)
+    x = regress.component_regressors(emb_series(spark, d), tissues(spark, d).where("mask_name <> 'vascular_signal'"), percent=True)
+    return x.select("scan_id", F.size("x").alias("components"))
 
 
 FEATURES = f"SELECT comp, edge_fraction, csf_fraction, hfc, (comp % 10) / 10.0::DOUBLE AS max_rp_corr FROM (SELECT comp, {FRACTIONS} FROM ({WEIGHTS_SQL})) JOIN ({HFC}) USING (comp)"
@@ -640,12 +726,21 @@ def m6(spark, d):
 # quality control
 
 
-@query("Q1_scan_features", "mask_name t", "value", "SELECT mask_name, t, avg(value) AS value FROM emb JOIN tissues USING (voxel_id) GROUP BY ALL")
+@query("Q1_scan_features", "kind name place", "value", f"""
+    SELECT 'trace' AS kind, mask_name AS name, t AS place, avg(value) AS value FROM emb JOIN tissues USING (voxel_id) GROUP BY ALL UNION ALL SELECT 'trace', 'global', t, trace FROM gs
+    UNION ALL SELECT 'covariance', 'global', voxel_id, avg(value * trace) FROM emb JOIN gs USING (t) GROUP BY voxel_id UNION ALL SELECT 'correlation', 'global', voxel_id, {corr('value', 'trace')} FROM emb JOIN gs USING (t) GROUP BY voxel_id""", (GS,))
 def q1(spark, d):
-    return qc.scan_features(bold(spark, d), tissues(spark, d))["traces"]
+    f = qc.scan_features(bold(spark, d), tissues(spark, d))
+    rows = lambda df, kind, name, place, value: df.select(F.lit(kind).alias("kind"), name.alias("name"), F.col(place).cast("long").alias("place"), F.col(value).alias("value"))
+    whole = F.lit("global")
+    parts = [rows(f["traces"], "trace", F.col("mask_name"), "t", "value"), rows(f["global"], "trace", whole, "t", "trace"), rows(f["covariance"], "covariance", whole, "voxel_id", "cov"), rows(f["correlation"], "correlation", whole, "voxel_id", "r")]
+    return functools.reduce(DataFrame.union, parts)
 
 
-@query("Q2_power_spectrum", "scan_id frequency", "mean std")
+@query("Q2_power_spectrum", "scan_id frequency", "mean std", """
+    SELECT 'emb' AS scan_id, f / 64.0::DOUBLE AS frequency, avg(p) AS mean, stddev_pop(p) AS std FROM (
+        SELECT voxel_id, f, (sum(y * cos(2 * pi() * f * t / 64)) ** 2 + sum(y * sin(2 * pi() * f * t / 64)) ** 2) / sum(h * h) * CASE WHEN f IN (0, 32) THEN 1 ELSE 2 END AS p
+        FROM (SELECT voxel_id, t, 0.5 - 0.5 * cos(2 * pi() * t / 64) AS h, (value - avg(value) OVER (PARTITION BY voxel_id)) * (0.5 - 0.5 * cos(2 * pi() * t / 64)) AS y FROM emb), (SELECT unnest(range(33)) AS f) GROUP BY voxel_id, f) GROUP BY f""")
 def q2(spark, d):
     return qc.power_spectrum(emb_series(spark, d), 1.0)
 
@@ -677,6 +772,16 @@ def q5(spark, d):
     return qc.passing(scan_table(spark, d), 0.1, 0.25)
 
 
+TURNS = (("turn0", f"SELECT scan_id, a AS amplitude, dice > 0.1 AS included FROM ({DICE}) JOIN (SELECT scan_id, sqrt(sum(value * value)) AS a FROM maps GROUP BY scan_id) USING (scan_id)"),
+         *((f"turn{k + 1}", f"SELECT scan_id, amplitude, included AND NOT coalesce(abs(0.6745 * (amplitude - m) / nullif(d, 0)) > 1.2, false) AS included FROM turn{k}, (SELECT median(amplitude) AS m FROM turn{k} WHERE included), (SELECT median(abs(amplitude - (SELECT median(amplitude) FROM turn{k} WHERE included))) AS d FROM turn{k} WHERE included)") for k in range(6)))
+
+
+@query("Q5_amplitude_loop", "scan_id included", "", "SELECT scan_id, included FROM turn6", (MAPS, PRIOR, *TURNS))
+def q5_amplitude(spark, d):
+    """Six scans, so that six turns are enough for the SQL."""
+    return qc.passing(scan_table(spark, d), 0.1, use_amplitude=True, threshold=1.2)
+
+
 @query("Q6_threshold_lookup", "network dice", "", "SELECT unnest([0, 1]) AS network, unnest([0.4::DOUBLE, 0.5::DOUBLE]) AS dice")
 def q6(spark, d):
     return spark.createDataFrame([(i, qc.threshold_of({"Dice": [0.4, 0.5], "Conf": [], "Amp": True}, i)["Dice"]) for i in (0, 1)], "network int, dice double")
@@ -707,29 +812,51 @@ def q9(spark, d):
     return qc.group_statistics(qc.group_maps(maps(spark, d), prior(spark, d), covariate(spark, d)), 20)
 
 
-@query("Q10_dataset_guard", "scans covariates", "", "SELECT count(*)::INT AS scans, 'cr_sd,mean_fd' AS covariates FROM covariate", (COVARIATE,))
+@query("Q10_dataset_guard", "data scans covariates", "", """
+    SELECT data, count(*)::INT AS scans, CASE WHEN count(DISTINCT tdof) > 1 THEN 'cr_sd,mean_fd,tdof' ELSE 'cr_sd,mean_fd' END AS covariates
+    FROM (SELECT 'own' AS data, scan_id, count(*) FILTER (WHERE mov1 < 25.5) AS tdof FROM motion GROUP BY scan_id UNION ALL SELECT 'same', scan_id, 20 FROM motion GROUP BY scan_id) GROUP BY data""")
 def q10(spark, d):
-    s = covariate(spark, d).withColumn("tdof", F.lit(20))
-    return spark.createDataFrame([(qc.enough_scans(s), ",".join(qc.covariates(s)))], "scans int, covariates string")
+    own = motion(spark, d).groupBy("scan_id").agg(F.count_if(F.col("mov1") < 25.5).alias("tdof"))
+    both = {"own": own, "same": own.withColumn("tdof", F.lit(20))}
+    return spark.createDataFrame([(name, qc.enough_scans(t), ",".join(qc.covariates(t))) for name, t in both.items()], "data string, scans int, covariates string")
 
 
-@query("Q11_density", "x", "density")
+@query("Q11_density", "", "x density", """
+    SELECT x, sum(n * exp(-0.5 * ((x - middle) / h) ** 2)) / (total * h * sqrt(2 * pi())) AS density FROM (SELECT a + (c + 0.5) * (b - a) / 1000 AS middle, n FROM fine, spread), (SELECT a + (b - a) * k / 49 AS x, s * total ** (-1 / 5.0::DOUBLE) AS h, total FROM spread, (SELECT unnest(range(50)) AS k)) GROUP BY x, h, total""",
+    (("spread", "SELECT count(fd) AS total, min(fd) AS a, max(fd) AS b, stddev_samp(fd) AS s FROM traces"), ("fine", "SELECT least(floor((fd - a) / ((b - a) / 1000)), 999) AS c, count(*) AS n FROM traces, spread GROUP BY c")))
 def q11(spark, d):
     return qc.density(traces(spark, d), "fd")
 
 
+@query("Q11_density_2d", "i j", "x y density", """
+    SELECT i, j, x, y, CASE WHEN f >= 0.2 * max(f) OVER () THEN f END AS density FROM (SELECT i, j, x, y, sum(exp(-0.5 * (vy * (x - mov1) ** 2 - 2 * c * (x - mov1) * (y - mov2) + vx * (y - mov2) ** 2) / (vx * vy - c * c))) / (2 * pi() * sqrt(vx * vy - c * c) * n) AS f FROM motion, points GROUP BY x, y, i, j, vx, vy, c, n)""",
+    (("spread", "SELECT count(*) AS n, var_samp(mov1) * count(*) ** (-1 / 3.0::DOUBLE) AS vx, var_samp(mov2) * count(*) ** (-1 / 3.0::DOUBLE) AS vy, covar_samp(mov1, mov2) * count(*) ** (-1 / 3.0::DOUBLE) AS c, min(mov1) AS x0, max(mov1) AS x1, min(mov2) AS y0, max(mov2) AS y1 FROM motion"),
+     ("points", "SELECT i::INT AS i, j::INT AS j, (x0 + x1) / 2 + (x1 - x0) * 0.75 * (2 * i / 39.0::DOUBLE - 1) AS x, (y0 + y1) / 2 + (y1 - y0) * 0.75 * (2 * j / 39.0::DOUBLE - 1) AS y, n, vx, vy, c FROM spread, (SELECT unnest(range(40)) AS i), (SELECT unnest(range(40)) AS j)")), digits=4)
+def q11_2d(spark, d):
+    return qc.density_2d(motion(spark, d), "mov1", "mov2", 40)
+
+
 @query("Q11_bounds", "", "low high", "SELECT min(fd) + (max(fd) - min(fd)) / 2 - (max(fd) - min(fd)) / 2 * 1.5 AS low, min(fd) + (max(fd) - min(fd)) / 2 + (max(fd) - min(fd)) / 2 * 1.5 AS high FROM traces", digits=4)
 def q11_bounds(spark, d):
     return qc.bounds(traces(spark, d), "fd")
 
 
-@query("Q12_motion_report", "t", "mse", """
-    SELECT t, avg((value - r) ** 2) AS mse FROM emb JOIN (SELECT voxel_id, (quantile_cont(value, 0.2::DOUBLE) + quantile_cont(value, 0.5::DOUBLE) + quantile_cont(value, 0.8::DOUBLE)) / 3 AS r FROM emb GROUP BY voxel_id) USING (voxel_id) GROUP BY t""")
+@query("Q12_motion_report", "kind place", "value", f"""
+    WITH r AS (SELECT voxel_id, {TRIMEAN} AS r FROM emb GROUP BY voxel_id), m AS (SELECT voxel_id, avg(value) AS mean, stddev_pop(value) AS std FROM emb GROUP BY voxel_id)
+    SELECT 'mse' AS kind, t AS place, avg((value - r) ** 2) AS value FROM emb JOIN r USING (voxel_id) GROUP BY t UNION ALL SELECT 'distance', t, 1 - sum(value * r) / (sqrt(sum(value * value)) * sqrt(sum(r * r))) FROM emb JOIN r USING (voxel_id) GROUP BY t
+    UNION ALL SELECT 'mean', voxel_id, mean FROM m UNION ALL SELECT 'std', voxel_id, std FROM m UNION ALL SELECT 'tsnr', voxel_id, coalesce(mean / nullif(std, 0), 0) FROM m""")
 def q12(spark, d):
-    return qc.motion_report(bold(spark, d))["mse"]
+    f = qc.motion_report(bold(spark, d))
+    rows = lambda df, kind, place, value: df.select(F.lit(kind).alias("kind"), F.col(place).cast("long").alias("place"), F.col(value).alias("value"))
+    return functools.reduce(DataFrame.union, [rows(f["mse"], "mse", "t", "mse"), rows(f["distance"], "distance", "t", "distance"), *(rows(f["maps"], c, "voxel_id", c) for c in ("mean", "std", "tsnr"))])
 
 
-@query("Q13_multi_otsu", "class", "threshold")
+@query("Q13_multi_otsu", "class", "threshold", """
+    SELECT unnest([0, 1])::INT AS class, a + (b - a) / 256 * (unnest([i, j]) - 0.5) AS threshold FROM (SELECT p.i, q.i AS j, p.m ** 2 / p.w + (q.m - p.m) ** 2 / (q.w - p.w) + (q.tm - q.m) ** 2 / (q.tw - q.w) AS gain, q.a, q.b
+        FROM below p JOIN below q ON p.i < q.i AND p.w > 0 AND q.w > p.w AND q.w < q.tw ORDER BY gain DESC, q.i, p.i LIMIT 1)""",
+    (("spread", "SELECT min(value) AS a, max(value) AS b FROM emb"),
+     ("bins", "SELECT least(floor((value - a) / ((b - a) / 256)), 255) AS c, count(*) AS n FROM emb, spread GROUP BY c"),
+     ("below", "SELECT i, a, b, sum(n) FILTER (WHERE c < i) AS w, sum(n * (a + (b - a) / 256 * (c + 0.5))) FILTER (WHERE c < i) AS m, sum(n) AS tw, sum(n * (a + (b - a) / 256 * (c + 0.5))) AS tm FROM bins, spread, (SELECT unnest(range(1, 257)) AS i) GROUP BY ALL")))
 def q13(spark, d):
     return qc.intensity_range(bold(spark, d))
 
@@ -788,18 +915,29 @@ def x3(spark, d):
     return volumes.nearest_labels(g.join(atlas(spark, d), "voxel_id"), g, [[1, 0, 0, 0.6], [0, 1, 0, 0.2], [0, 0, 1, -0.3], [0, 0, 0, 1]])
 
 
-@query("X4_transform_chains", "chain steps inverse", "", """SELECT unnest(['anat_to_native', 'common_to_native', 'native_to_anat', 'native_to_common', 'native_to_template', 'template_to_native']) AS chain, unnest([1, 3, 1, 3, 2, 2]) AS steps, unnest([true, true, false, false, false, true]) AS inverse""")
+#: Scales and shifts that take points from native space to the anatomical, on to the template and to common space.
+STEPS = {"a": (2.0, 1.0), "b": (0.5, -3.0), "c": (4.0, 0.25)}
+GO = {k: f"({{0}} * {s} + ({b}))" for k, (s, b) in STEPS.items()} | {k.upper(): f"(({{0}} - ({b})) / {s})" for k, (s, b) in STEPS.items()}
+PATHS = {"native_to_anat": "a", "native_to_template": "ab", "native_to_common": "abc", "anat_to_native": "A", "template_to_native": "BA", "common_to_native": "CBA"}
+
+
+@query("X4_transform_chains", "chain voxel_id", "px py", " UNION ALL ".join(
+    f"SELECT '{k}' AS chain, voxel_id, {functools.reduce(lambda e, step: GO[step].format(e), path, 'x::DOUBLE')} AS px, {functools.reduce(lambda e, step: GO[step].format(e), path, 'y::DOUBLE')} AS py FROM grid" for k, path in PATHS.items()))
 def x4(spark, d):
-    e = [[1, 0, 0, 0], [0, 1, 0, 0], [0, 0, 1, 0], [0, 0, 0, 1]]
-    found = volumes.between_spaces([(e, False)], [(e, False)], [(e, False)])
-    return spark.createDataFrame([(k, len(v), v[0][1]) for k, v in found.items()], "chain string, steps int, inverse boolean")
+    step = lambda k: [([[STEPS[k][0], 0, 0, STEPS[k][1]], [0, STEPS[k][0], 0, STEPS[k][1]], [0, 0, STEPS[k][0], STEPS[k][1]], [0, 0, 0, 1]], False)]
+    found, point = volumes.between_spaces(step("a"), step("b"), step("c")), tuple(F.col(c).cast("double") for c in "xyz")
+    moved = {k: volumes.transform(point, volumes.chain(v).tolist()) for k, v in found.items()}
+    return functools.reduce(DataFrame.union, [grid(spark, d).select(F.lit(k).alias("chain"), "voxel_id", p[0].alias("px"), p[1].alias("py")) for k, p in moved.items()])
 
 
 @query("X6_framewise_displacement", "scan_id t", "fd", """
-    SELECT scan_id, t, coalesce(sqrt((lead(mov1) OVER w - mov1) ** 2 + (lead(mov2) OVER w - mov2) ** 2 + (lead(mov3) OVER w - mov3) ** 2), 0) AS fd FROM motion WINDOW w AS (PARTITION BY scan_id ORDER BY t)""")
+    SELECT scan_id, t, coalesce(avg(sqrt((x2 - x) ** 2 + (y2 - y) ** 2 + (z2 - z) ** 2)), 0) AS fd FROM (SELECT scan_id, t, x, y, z, lead(x) OVER p AS x2, lead(y) OVER p AS y2, lead(z) OVER p AS z2 FROM (
+        SELECT scan_id, t, k, cos(rot3) * v1 + sin(rot3) * v2 AS x, -sin(rot3) * v1 + cos(rot3) * v2 AS y, v3 AS z FROM (
+            SELECT *, cos(rot2) * u1 - sin(rot2) * u3 AS v1, u2 AS v2, sin(rot2) * u1 + cos(rot2) * u3 AS v3 FROM (
+                SELECT *, px - mov1 AS u1, cos(rot1) * (py - mov2) + sin(rot1) * (pz - mov3) AS u2, -sin(rot1) * (py - mov2) + cos(rot1) * (pz - mov3) AS u3
+                FROM motion, (SELECT unnest([0, 1, 2]) AS k, unnest([0, 1, 5]) AS px, unnest([0, 2, 5]) AS py, unnest([0, 3, 5]) AS pz)))) WINDOW p AS (PARTITION BY scan_id, k ORDER BY t)) GROUP BY scan_id, t""")
 def x6(spark, d):
-    still = motion(spark, d).withColumns({c: F.lit(0.0) for c in ("rot1", "rot2", "rot3")})
-    return volumes.framewise_displacement(still, [(0, 0, 0), (1, 2, 3), (5, 5, 5)])
+    return volumes.framewise_displacement(motion(spark, d), [(0, 0, 0), (1, 2, 3), (5, 5, 5)])
 
 
 @query("X8_slice_timing", "voxel_id t", "value", """
