@@ -4,14 +4,16 @@
    shards of bounded size, where two Bloom filters take them up: a hash that
    is already in the once-seen filter goes into the twice-seen filter.  The
    shard then puts its hashes to the twice-seen filter; those found are the
-   suspected repeats.  Filters never leave their shard.
-2. Lines whose hash is suspected are counted by their whole keys, and the
-   first occurrence is chosen.  The suspects meet the lines in a join, which
-   Spark does without a shuffle as long as the suspects are small.
+   suspected repeats, and it counts their documents.  Filters never leave
+   their shard.
+2. Lines whose hash occurs in enough documents are counted by their whole
+   keys, and the first occurrence is chosen.  Hashes meet lines in a join,
+   which Spark does without a shuffle of lines as long as they are few.
 3. Keys in enough documents lose their lines.  If the keys are small enough
    they are sent to every task; otherwise lines are joined with them.
 
-A filter can err only towards suspicion, so the result is exact.
+A filter can err only towards suspicion, and keys of one hash only add up, so
+no repeat is lost; the count by whole keys makes the result exact.
 
 Defined cases: a null or empty text is one empty line, whose key is too short
 to count; rows are documents, also where ids repeat or are null; a line that
@@ -84,71 +86,73 @@ def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
     return (common.doubling_hash(h, 0x2545F491) % np.uint64(shards)).astype(np.int64)
 
 
-def suspects(docs: DataFrame, least: int) -> DataFrame:
-    """Pass 1: the hashes (h) of keys that probably occur in several documents, each once."""
+def suspects(docs: DataFrame, least_documents: int, least: int) -> DataFrame:
+    """Pass 1: the hashes (h) of keys that, if no hashes collide, occur in enough documents; each once."""
 
     def hashed(batches):
         for batch in batches:
             # once per document; a batch sees the same key again if several of its documents have it
             all_of = [hashes({k for k in keys_of(t, least) if k is not None}) for t in common.text_bytes(batch)]
             h, n = np.unique(np.concatenate(all_of) if all_of else np.zeros(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([h[n == 1].tobytes()], pa.binary()), pa.array([h[n > 1].tobytes()], pa.binary())], names=["once", "twice"])
+            again = n > 1
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (h[~again], h[again], n[again].astype(np.int64))], names=["once", "twice", "counts"])
 
-    found = common.written(docs.select("text").mapInArrow(hashed, "once binary, twice binary"), "line-hashes")
+    found = common.written(docs.select("text").mapInArrow(hashed, "once binary, twice binary, counts binary"), "line-hashes")
     total = found.agg(F.coalesce(F.sum(F.octet_length("once") + F.octet_length("twice")), F.lit(0)).alias("n")).first()["n"] // 8
     shards = common.power_of_two(max(16, -(-total // HASHES_PER_SHARD)))
 
     def dealt(batches):
-        held, size = ([], []), 0
-
-        def split(parts):
-            h = np.concatenate(parts)
-            own = shard_of(h, shards)
-            order = np.argsort(own, kind="stable")
-            ends = np.searchsorted(own[order], np.arange(shards + 1))
-            return h[order], ends
+        held, size = ([], [], []), 0
 
         def sent():
-            (once, i), (twice, j) = map(split, held)
-            full = np.flatnonzero((i[1:] > i[:-1]) | (j[1:] > j[:-1])).tolist()
-            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([once[i[s] : i[s + 1]].tobytes() for s in full], pa.binary()), pa.array([twice[j[s] : j[s + 1]].tobytes() for s in full], pa.binary())], names=["shard", "once", "twice"])
+            once, twice, counts = map(np.concatenate, held)
+            columns, ends = [], []
+            for h, *more in ((once,), (twice, counts)):
+                own = shard_of(h, shards)
+                order = np.argsort(own, kind="stable")
+                ends += [np.searchsorted(own[order], np.arange(shards + 1))] * (1 + len(more))
+                columns += [x[order] for x in (h, *more)]
+            full = np.flatnonzero((ends[0][1:] > ends[0][:-1]) | (ends[1][1:] > ends[1][:-1])).tolist()
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array([x[e[s] : e[s + 1]].tobytes() for s in full], pa.binary()) for x, e in zip(columns, ends))], names=["shard", "once", "twice", "counts"])
 
         for batch in batches:
             for raw in zip(*(c.to_pylist() for c in batch.columns)):
-                for part, x in zip(held, raw):
-                    part.append(np.frombuffer(x, np.uint64))
+                for part, x, kind in zip(held, raw, (np.uint64, np.uint64, np.int64)):
+                    part.append(np.frombuffer(x, kind))
                 size += (len(raw[0]) + len(raw[1])) // 8
                 if size >= HELD_HASHES:
                     yield sent()
-                    held, size = ([], []), 0
+                    held, size = ([], [], []), 0
         if size:
             yield sent()
 
-    def repeats(once: list, twice: list) -> pa.RecordBatch:
-        """A shard's hashes that are in its twice-seen filter."""
-        bits = max(1024, BITS_PER_KEY * sum(map(len, once + twice)) // 8 * 8)
+    def repeats(rows: list) -> pa.RecordBatch:
+        """A shard's hashes that are in its twice-seen filter and in enough documents."""
+        parts = [tuple(np.frombuffer(x, kind) for x, kind in zip(row, (np.uint64, np.uint64, np.int64))) for row in rows]
+        bits = max(1024, int(BITS_PER_KEY * sum(len(a) + len(b) for a, b, _ in parts)) // 8 * 8)
         seen, again = Filter(bits), Filter(bits)
-        for single, several in zip(once, twice):
+        for single, several, _ in parts:
             again.add(np.concatenate([single[seen.has(single)], several]))
             seen.add(np.concatenate([single, several]))
-        out = [h[again.has(h)] for h in once + twice]
-        return pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(out)).view(np.int64))], names=["h"])
+        found = [(h[kept := again.has(h)], n[kept]) for a, b, counts in parts for h, n in ((a, np.ones(len(a), np.int64)), (b, counts))]
+        h, at = np.unique(np.concatenate([h for h, _ in found]), return_inverse=True)
+        documents = np.bincount(at, np.concatenate([n for _, n in found]), len(h))
+        return pa.RecordBatch.from_arrays([pa.array(h[documents >= least_documents].view(np.int64))], names=["h"])
 
     def filtered(batches):
         """Rows come sorted by shard."""
-        at, once, twice = None, [], []
+        at, rows = None, []
         for batch in batches:
-            for shard, a, b in zip(*(c.to_pylist() for c in batch.columns)):
-                if shard != at and once:
-                    yield repeats(once, twice)
-                    once, twice = [], []
+            for shard, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard != at and rows:
+                    yield repeats(rows)
+                    rows = []
                 at = shard
-                once.append(np.frombuffer(a, np.uint64))
-                twice.append(np.frombuffer(b, np.uint64))
-        if once:
-            yield repeats(once, twice)
+                rows.append(row)
+        if rows:
+            yield repeats(rows)
 
-    parts = found.mapInArrow(dealt, "shard int, once binary, twice binary")
+    parts = found.mapInArrow(dealt, "shard int, once binary, twice binary, counts binary")
     out = common.written(parts.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(filtered, "h long"), "suspected-lines")
     common.dropped(found)
     return out
@@ -177,7 +181,7 @@ def lines_of(docs: DataFrame, least: int, *more: str) -> DataFrame:
 def repeated(docs: DataFrame, least_documents: int, least: int, first: bool = True) -> DataFrame:
     """Pass 2: key, n_documents and, if wanted, first (doc_id, line) of every key in enough documents."""
     lines = lines_of(docs.select(F.col("doc_id").cast("long"), "text"), least, *["doc_id"] * first)
-    found = lines.join(suspects(docs, least), "h", "left_semi").groupBy("key")
+    found = lines.join(suspects(docs, least_documents, least), "h", "left_semi").groupBy("key")
     exact = found.agg(F.count("*").alias("n_documents"), *[F.min(F.struct("doc_id", "line")).alias("first")] * first)
     return common.written(exact.where(F.col("n_documents") >= least_documents), "repeated-lines")
 
