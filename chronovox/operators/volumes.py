@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..kernels import spatial
-from . import joins, series
+from ..sources.shared import written
+from . import aggregates, frames, joins, series
 
 
 def edge_mask(grid: DataFrame) -> DataFrame:
@@ -143,6 +146,19 @@ def framewise_displacement(motion: DataFrame, points: list[tuple[float, float, f
     return series.per_scan(motion, one, "scan_id string, t int, fd double")
 
 
+def reference_volume(bold: DataFrame, frames_total: int, realign: Callable[[DataFrame, DataFrame], DataFrame], rounds: int = 2, most: int = 50) -> DataFrame:
+    """scan_id, voxel_id, reference: the trimean over frames, after ``rounds`` rounds of realignment to the reference so far.
+
+    ``realign`` takes at most ``most`` frames, evenly spread, and a reference,
+    and gives the frames moved towards it; estimating the motion is up to it.
+    """
+    some = frames.uniform_subset(bold, frames_total, most)
+    reference = aggregates.reference_map(some)
+    for _ in range(rounds):
+        reference = written(aggregates.reference_map(realign(some, reference)), "reference")
+    return reference
+
+
 def slice_timed(bold: DataFrame, grid: DataFrame, tr: float, slices: int, axis: str = "z") -> DataFrame:
     """Values at the middle of each frame's acquisition, by linear interpolation between frames; slices in ascending order."""
     from .frames import by_time

@@ -433,7 +433,7 @@ def r13_motion(spark, d):
     """With no regressors asked for, motion is fitted for its share of variance, and the series stay as they are."""
     b, m = line(spark, d), motion(spark, d)
     fd = m.select("scan_id", "t", F.lit(0.0).alias("fd"))
-    fit = regress.clean(b, b.select("voxel_id").distinct(), m, fd, views.LINE_FRAMES)["fit"]
+    fit = regress.clean(b, b.select("voxel_id").distinct(), m, fd, views.line_frames(spark, d))["fit"]
     rows = fit.select("scan_id", "voxel_id", F.explode(F.arrays_zip("t", "v", "predicted")).alias("z"))
     return rows.select("scan_id", "voxel_id", "z.t", F.col("z.v").alias("value"), "z.predicted")
 
@@ -443,7 +443,7 @@ def r13_motion(spark, d):
 def r13_subtracted(spark, d):
     b, m = line(spark, d), motion(spark, d)
     fd = m.select("scan_id", "t", F.lit(0.0).alias("fd"))
-    return regress.clean(b, b.select("voxel_id").distinct(), m, fd, views.LINE_FRAMES, regressors=("mot_6",))["bold"]
+    return regress.clean(b, b.select("voxel_id").distinct(), m, fd, views.line_frames(spark, d), regressors=("mot_6",))["bold"]
 
 
 @query("R14_slicewise", "voxel_id t", "value", """
@@ -940,6 +940,23 @@ def x6(spark, d):
     return volumes.framewise_displacement(motion(spark, d), [(0, 0, 0), (1, 2, 3), (5, 5, 5)])
 
 
+@query("X7_reference_volume", "voxel_id", "reference", f"""
+    SELECT g.voxel_id, {TRIMEAN} AS reference FROM grid g JOIN (SELECT t, x, y, z, value FROM emb JOIN grid USING (voxel_id) WHERE t IN (SELECT floor(i * 63 / 49.0)::INT FROM range(50) r(i))) e
+    ON e.y = g.y AND e.z = g.z AND e.x = least(9, g.x + e.t % 3) GROUP BY g.voxel_id""")
+def x7(spark, d):
+    """Realignment by a motion that is known: frame t lies t % 3 voxels along x."""
+    g = grid(spark, d)
+
+    def realign(some, reference):
+        # a source voxel goes t % 3 voxels back; that at the far edge also fills what would come from beyond it
+        k = F.col("t") % 3
+        to = F.explode(F.when(F.col("x") == 9, F.sequence(9 - k, F.lit(9))).otherwise(F.array(F.col("x") - k))).alias("to")
+        moved = some.join(g, "voxel_id").select("scan_id", "t", to, "y", "z", "value").withColumnRenamed("to", "x")
+        return moved.join(g, ["x", "y", "z"]).select("scan_id", "t", "voxel_id", "value")
+
+    return volumes.reference_volume(bold(spark, d), 64, realign)
+
+
 @query("X8_slice_timing", "voxel_id t", "value", """
     SELECT voxel_id, t, CASE WHEN o >= 0 THEN value + o * (coalesce(lead(value) OVER w, value) - value) ELSE value + o * (value - coalesce(lag(value) OVER w, value)) END AS value
     FROM (SELECT voxel_id, t, value, 0.5 - y / 10.0::DOUBLE AS o FROM emb JOIN grid USING (voxel_id)) WINDOW w AS (PARTITION BY voxel_id ORDER BY t)""")

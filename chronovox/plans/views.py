@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import shared_dir as work_dir  # noqa: F401  for the queries
 
-#: Voxels and frames of the view ``line``; its last quarter is incomplete and left out.
-LINE_VOXELS, LINE_FRAMES = 50, 27
+#: Voxels of the view ``line``; it has a frame for every quarter up to the last that occurs.
+LINE_VOXELS = 50
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -57,16 +57,21 @@ def quarter() -> F.Column:
     return ((F.year("l_shipdate") - 1995) * 4 + F.quarter("l_shipdate") - 1).cast("int")
 
 
+def line_frames(spark, d) -> int:
+    return table(spark, d, "lineitem").agg(F.max(quarter())).first()[0] + 1
+
+
 def line(spark, d) -> DataFrame:
     """Six scans on a full grid; cells without rows are 0."""
     li = table(spark, d, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("scan_id"), (F.col("l_suppkey") % LINE_VOXELS).alias("voxel_id"), quarter().alias("t"), "l_extendedprice")
-    own = li.where(F.col("t") < LINE_FRAMES).groupBy("scan_id", "voxel_id", "t").agg(F.avg("l_extendedprice").alias("value"))
-    cells = li.select("scan_id").distinct().select("scan_id", F.explode(F.sequence(F.lit(0), F.lit(LINE_VOXELS - 1)).cast("array<long>")).alias("voxel_id")).select("scan_id", "voxel_id", F.explode(F.sequence(F.lit(0), F.lit(LINE_FRAMES - 1))).alias("t"))
+    own = li.groupBy("scan_id", "voxel_id", "t").agg(F.avg("l_extendedprice").alias("value"))
+    frames = F.explode(F.sequence(F.lit(0), F.lit(line_frames(spark, d) - 1))).alias("t")
+    cells = li.select("scan_id").distinct().select("scan_id", F.explode(F.sequence(F.lit(0), F.lit(LINE_VOXELS - 1)).cast("array<long>")).alias("voxel_id")).select("scan_id", "voxel_id", frames)
     return cells.join(own, ["scan_id", "voxel_id", "t"], "left").select("scan_id", "t", "voxel_id", F.coalesce("value", F.lit(0.0)).alias("value"))
 
 
 def motion(spark, d) -> DataFrame:
-    li = table(spark, d, "lineitem").withColumn("t", quarter()).where(F.col("t") < LINE_FRAMES)
+    li = table(spark, d, "lineitem").withColumn("t", quarter())
     price = F.col("l_extendedprice")
     return li.groupBy(F.concat("l_returnflag", "l_linestatus").alias("scan_id"), "t").agg(
         F.avg("l_quantity").alias("mov1"), F.avg("l_discount").alias("mov2"), F.avg("l_tax").alias("mov3"),
@@ -96,10 +101,10 @@ SQL = {
     "tissues": "SELECT CASE label WHEN 1 THEN 'WM_signal' WHEN 2 THEN 'CSF_signal' ELSE 'vascular_signal' END AS mask_name, vec_id AS voxel_id FROM embeddings WHERE label IN (1, 2, 3)",
     "cells": f"SELECT l_returnflag || l_linestatus AS scan_id, l_suppkey % {LINE_VOXELS} AS voxel_id, ((year(l_shipdate) - 1995) * 4 + quarter(l_shipdate) - 1)::INT AS t, l_extendedprice, l_discount, l_tax, l_quantity, l_linenumber FROM lineitem",
     "line": f"""SELECT scan_id, t, voxel_id, coalesce(value, 0.0) AS value
-        FROM (SELECT DISTINCT scan_id FROM cells) CROSS JOIN (SELECT unnest(range({LINE_VOXELS})) AS voxel_id) CROSS JOIN (SELECT unnest(range({LINE_FRAMES}))::INT AS t)
+        FROM (SELECT DISTINCT scan_id FROM cells) CROSS JOIN (SELECT unnest(range({LINE_VOXELS})) AS voxel_id) CROSS JOIN (SELECT unnest(range((SELECT max(t) + 1 FROM cells)))::INT AS t)
         LEFT JOIN (SELECT scan_id, voxel_id, t, avg(l_extendedprice) AS value FROM cells GROUP BY ALL) USING (scan_id, voxel_id, t)""",
     "motion": f"""SELECT scan_id, t, avg(l_quantity) AS mov1, avg(l_discount) AS mov2, avg(l_tax) AS mov3, avg(l_linenumber) AS rot1,
-        avg(l_extendedprice * l_discount / 1e4) AS rot2, avg(l_extendedprice * l_tax / 1e4) AS rot3 FROM cells WHERE t < {LINE_FRAMES} GROUP BY ALL""",
+        avg(l_extendedprice * l_discount / 1e4) AS rot2, avg(l_extendedprice * l_tax / 1e4) AS rot3 FROM cells GROUP BY ALL""",
     "traces": "SELECT event_type AS scan_id, (date_diff('day', DATE '2024-01-01', ts::DATE) * 4 + hour(ts) // 6)::INT AS t, avg(value) AS fd FROM events GROUP BY ALL",
     "manifest": """SELECT concat('sub-', o_custkey, '_ses-', o_orderpriority[1], '_run-', o_orderkey, '_task-rest_bold') AS scan_id, o_custkey::VARCHAR AS subject,
         o_orderpriority[1] AS session, o_orderkey::VARCHAR AS run FROM orders""",

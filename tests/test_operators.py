@@ -160,6 +160,123 @@ def test_dual_regression_against_numpy(spark):
     assert {r.comp: r.amplitude for r in got["amplitudes"].collect()} == pytest.approx(dict(enumerate(s)))
 
 
+def two_scans(spark, seed=11):
+    """Scans of 14 and 18 frames over 60 voxels, and two priors."""
+    rng = np.random.default_rng(seed)
+    maps = rng.laplace(size=(4, 60))
+    data = {f"s{n}": rng.normal(size=(n, 4)) * [4, 3, 2, 1] @ maps + 0.05 * rng.normal(size=(n, 60)) for n in (14, 18)}
+    p = maps[:2].T + 0.3 * rng.normal(size=(60, 2))
+    priors = spark.createDataFrame([(c, v, float(p[v, c])) for c in range(2) for v in range(60)], "comp int, voxel_id long, weight double")
+    frame = None
+    for scan, y in data.items():
+        frame = made(spark, y, scan) if frame is None else frame.union(made(spark, y, scan))
+    return series.to_series(frame).repartition(5), priors, data, p
+
+
+def fitted(rows, scan, kind, shape):
+    out = np.full(shape, np.nan)
+    for r in rows:
+        if (r.scan_id, r.kind) == (scan, kind):
+            out[(r.idx, r.comp) if len(shape) > 1 else r.comp] = r.value
+    assert not np.isnan(out).any()
+    return out
+
+
+def test_frame_gram_over_tasks(spark, monkeypatch):
+    data, _, y, _ = two_scans(spark)
+    for centre in (True, False):
+        for r in series.frame_gram(data, centre).collect():
+            x = y[r.scan_id] - (y[r.scan_id].mean(axis=0) if centre else 0)
+            assert np.allclose(series.square(r.gram), x @ x.T)
+
+
+def test_alternating_fit_beside_priors(spark):
+    data, priors, y, p = two_scans(spark)
+    rows = connect.alternating_fit(data, 1, priors).collect()
+    for scan, x in y.items():
+        own, w = fitted(rows, scan, "map", (60, 1)), fitted(rows, scan, "trace", (len(x), 1))
+        both = np.concatenate([own, p], axis=1)
+        traces = np.linalg.lstsq(both, x.T, rcond=None)[0].T
+        assert np.allclose(traces[:, :1], w, atol=1e-2 * np.abs(w).max())
+        back = np.linalg.lstsq(traces, x, rcond=None)[0][0]
+        assert abs(back / np.linalg.norm(back) @ own[:, 0]) > 1 - 1e-4
+
+
+def test_prior_recovery_over_scans(spark):
+    data, priors, y, p = two_scans(spark)
+    rows = connect.prior_recovery(data, priors, 1, 1).collect()
+    for scan, x in y.items():
+        maps, w = fitted(rows, scan, "map", (60, 4)), fitted(rows, scan, "trace", (len(x), 4))
+        s, r = fitted(rows, scan, "amplitude", (4,)), fitted(rows, scan, "prior_corr", (2,))
+        assert np.allclose((maps**2).mean(axis=0), 1) and np.allclose((w**2).mean(axis=0), 1)
+        assert np.allclose(np.linalg.lstsq(w, x, rcond=None)[0].T, maps * s)
+        assert r == pytest.approx([np.corrcoef(maps[:, i], p[:, i])[0, 1] for i in range(2)]) and r.min() > 0.8
+
+
+def test_dimension_search_stops_where_it_is_stable(spark):
+    data, priors, _, _ = two_scans(spark)
+    whole = connect.dimension_search(data, priors, most=9, window=3, most_diff=0.2, whole=True).collect()
+    short = connect.dimension_search(data, priors, most=9, window=3, most_diff=0.2).collect()
+    assert {r.scan_id for r in whole} == {"s14", "s18"}
+    for scan in ("s14", "s18"):
+        a, b = (sorted((r for r in rows if r.scan_id == scan), key=lambda r: r.i) for rows in (whole, short))
+        assert [r.i for r in a] == list(range(9)) and [(r.temporal, r.spatial) for r in a[:4]] == [(0, 0), (1, 0), (1, 1), (2, 1)]
+        found = [i for i in range(6) if a[i]["corr"] >= 0.5 and all(r["diff"] <= 0.2 for r in a[i + 1 : i + 4])]
+        assert {r.chosen for r in a} == {r.chosen for r in b} == {found[0] if found else 8}
+        assert len(b) == (found[0] + 4 if found else 9)
+    none = connect.dimension_search(data, priors, most=3, window=5).collect()
+    assert {r.chosen for r in none} == {2}  # never stable: the last step
+
+
+def test_scan_components_are_white_and_fit(spark):
+    data, _, y, _ = two_scans(spark)
+    rows = connect.scan_components(data, 3).collect()
+    for scan, x in y.items():
+        maps, w = fitted(rows, scan, "map", (60, 3)), fitted(rows, scan, "trace", (len(x), 3))
+        assert np.allclose(maps.mean(axis=0), 0, atol=1e-6) and np.allclose(maps.T @ maps / 60, np.eye(3), atol=1e-6)
+        assert np.allclose(w, (x - x.mean(axis=1, keepdims=True)) @ maps / 60)
+
+
+def test_amplitude_outliers_leave_in_turns(spark):
+    rng = np.random.default_rng(0)
+    a = [*rng.normal(10, 0.5, 30).tolist(), 14.0, 30.0, 80.0, 500.0]
+    scans = spark.createDataFrame([(f"s{i}", x, 0.5) for i, x in enumerate(a)], "scan_id string, amplitude double, dice double")
+    kept, x = {r.scan_id for r in qc.passing(scans, 0.1, use_amplitude=True).where("included").collect()}, np.array(a)
+    while True:
+        m = np.median(x)
+        stay = np.abs(0.6745 * (x - m) / np.median(np.abs(x - m))) <= 3.5
+        if stay.all():
+            break
+        x = x[stay]
+    assert kept == {f"s{i}" for i, v in enumerate(a) if v in x} and len(kept) <= 31
+
+
+def test_images_keep_their_grid_and_place(spark, tmp_path):
+    affine = images.affine_of((2.0, 3.0, 4.0), (-5.0, 7.5, 11.0), ((0, -1, 0), (1, 0, 0), (0, 0, 1)))
+    rows = spark.createDataFrame([("s", 0, 1, 0, 2, 9.0)], "scan_id string, t int, x int, y int, z int, value double")
+    images.write(rows, f"file://{tmp_path}/maps", (2.0, 3.0, 4.0, 1.0), (4, 5, 6), affine)
+    h = images.headers(spark, f"file://{tmp_path}/maps").first()
+    assert list(h["shape"]) == [4, 5, 6] and np.allclose(h.spacing, [2, 3, 4]) and np.allclose(h.origin, [-5, 7.5, 11])
+    assert np.allclose(h.direction, [[0, -1, 0], [1, 0, 0], [0, 0, 1]])
+    back = {(r.x, r.y, r.z): r.value for r in images.read(spark, f"file://{tmp_path}/maps").collect()}
+    assert len(back) == 120 and back.pop((1, 0, 2)) == 9.0 and set(back.values()) == {0.0}
+
+
+def test_density_in_two_dimensions(spark):
+    rng = np.random.default_rng(4)
+    p = rng.normal(size=(80, 2)) @ [[1, 0.5], [0, 2]]
+    frame = spark.createDataFrame([(float(a), float(b)) for a, b in p] + [(None, 1.0)], "a double, b double").repartition(3)
+    cov = np.cov(p.T) * 80 ** (-1 / 3)
+    rows = qc.density_2d(frame, "a", "b", 12).collect()
+    full = []
+    for r in rows:
+        d = p - [r.x, r.y]
+        full.append(np.exp(-0.5 * (d @ np.linalg.inv(cov) * d).sum(axis=1)).sum() / (80 * 2 * np.pi * np.sqrt(np.linalg.det(cov))))
+    for r, f in zip(rows, full):
+        assert r.density == pytest.approx(f) if f >= 0.2 * max(full) else r.density is None
+    assert len(rows) == 144 and qc.density_2d(frame.where("a > 100"), "a", "b").count() == 0
+
+
 def test_clean_runs_every_step(spark):
     b = synthetic.scans(spark, 2, (4, 4, 4), 40)
     assert b.exceptAll(synthetic.scans(spark, 2, (4, 4, 4), 40)).count() == 0
