@@ -20,7 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_session(spark: SparkSession) -> SparkSession:
-    """Keep Arrow batches of whole texts small, unless the session already asks for smaller ones."""
+    """Keep Arrow batches of whole texts to few rows, unless the session already asks for fewer.
+
+    The setting stays, as results are lazy and their plans read it when they
+    run.  Bytes are bounded besides by Spark's own
+    spark.sql.execution.arrow.maxBytesPerBatch, whose default is left alone.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= TEXT_ROWS_PER_BATCH:
         spark.conf.set(key, str(TEXT_ROWS_PER_BATCH))

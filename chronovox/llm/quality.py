@@ -173,8 +173,9 @@ def corpus_counts(docs: DataFrame, good) -> np.ndarray:
     def count(batches):
         sums = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
-            ids, all_texts = common.column(batch, "doc_id").to_numpy(zero_copy_only=False), common.text_bytes(batch)
-            trusted = np.isin(ids, good.value)
+            ids, all_texts = common.column(batch, "doc_id"), common.text_bytes(batch)
+            # a null becomes a number before numpy could make all ids floats
+            trusted = np.isin(ids.fill_null(0).to_numpy(zero_copy_only=False), good.value) & ids.is_valid().to_numpy(zero_copy_only=False)
             for a, b in blocks(all_texts):
                 for bucket, text in ngrams(all_texts[a:b]):
                     sums[1] += np.bincount(bucket, minlength=BUCKETS)
@@ -191,7 +192,7 @@ def corpus_counts(docs: DataFrame, good) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["slice", "counts"])
 
     out = np.zeros((2, BUCKETS), np.int64)
-    sent = docs.select("doc_id", "text").mapInArrow(count, "slice int, counts binary")
+    sent = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(count, "slice int, counts binary")
     for r in sent.repartition(slices, "slice").mapInArrow(added, "slice int, counts binary").collect():  # a megabyte, whatever the input
         out[:, r["slice"] * width : (r["slice"] + 1) * width] += np.frombuffer(r["counts"], np.int64).reshape(2, width)
     return out

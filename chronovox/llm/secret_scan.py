@@ -7,13 +7,15 @@ hexadecimal strings have no keyword, so their runs are found directly.
 
 Defined cases: a null text is the empty text and has no secrets; offsets are
 code points, end exclusive; matches of a kind never overlap (leftmost first),
-matches of different kinds may.  Columns other than the id and text are not
-read by ``find_secrets`` and pass unchanged through ``redact``.
+matches of different kinds may; a text is scanned whole, however long.
+Columns other than the id and text are not read by ``find_secrets`` and pass
+unchanged through ``redact``.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import re
 import zlib
 
@@ -29,7 +31,10 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 GITHUB = r"gh[pousr]_([A-Za-z0-9]{36})(?![A-Za-z0-9])"
 NPM = r"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])"
-KINDS = ("assign", "access", "hex", "github", "npm")
+XPRV = r"[xt]prv[1-9A-HJ-NP-Za-km-z]{107}(?![1-9A-HJ-NP-Za-km-z])"
+AGE = r"(AGE-SECRET-KEY-)1([QPZRY9X8GF2TVDW0S3JN54KHCE6MUA7L]{58})(?![A-Za-z0-9])"
+NSEC = r"(nsec)1([qpzry9x8gf2tvdw0s3jn54khce6mua7l]{58})(?![A-Za-z0-9])"
+KINDS = ("assign", "access", "hex", "github", "npm", "xprv", "age", "nsec")
 BASE_KINDS = KINDS[:3]
 ASSIGN_LENGTH, ACCESS_LENGTH, HEX_LENGTH = 12, 18, 16
 KEYWORDS = {
@@ -37,7 +42,12 @@ KEYWORDS = {
     "access": ("akia",),
     "github": ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"),
     "npm": ("npm_",),
+    "xprv": ("xprv", "tprv"),
+    "age": ("age-secret-key-1",),
+    "nsec": ("nsec1",),
 }
+BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+BECH32, BECH32_PARTS = "qpzry9x8gf2tvdw0s3jn54khce6mua7l", (0x3B6A57B2, 0x26508E6D, 0x1EA119FA, 0x3D4233DD, 0x2A1462B3)
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 FOUND = "array<struct<kind:string,start:int,end:int,value:string>>"
@@ -52,12 +62,37 @@ def checksummed(body: str) -> bool:
     return body[-6:] == want
 
 
+def base58_checked(text: str) -> bool:
+    """Whether the last four bytes are the start of the twofold SHA-256 of those before them (82 bytes, as of an extended private key)."""
+    number = 0
+    for c in text:
+        number = number * 58 + BASE58.index(c)
+    if number.bit_length() > 8 * 82:
+        return False
+    raw = number.to_bytes(82, "big")
+    return hashlib.sha256(hashlib.sha256(raw[:-4]).digest()).digest()[:4] == raw[-4:]
+
+
+def bech32_checked(prefix: str, body: str) -> bool:
+    """Whether prefix and body are a code word: their polynomial over GF(32) leaves 1."""
+    prefix = prefix.lower()
+    rest = 1
+    for value in [*(ord(c) >> 5 for c in prefix), 0, *(ord(c) & 31 for c in prefix), *map(BECH32.index, body.lower())]:
+        top, rest = rest >> 25, (rest & 0x1FFFFFF) << 5 ^ value
+        for i, part in enumerate(BECH32_PARTS):
+            rest ^= part * (top >> i & 1)
+    return rest == 1
+
+
 #: Per kind: pattern tried at a hit, and the test that a match must pass to count.
 TESTS = {
     "assign": (re.compile(ASSIGN, re.ASCII), lambda m: len(m[1]) >= ASSIGN_LENGTH),
     "access": (re.compile(ACCESS), lambda m: len(m[0]) >= ACCESS_LENGTH),
     "github": (re.compile(GITHUB), lambda m: checksummed(m[1])),
     "npm": (re.compile(NPM), lambda m: checksummed(m[1])),
+    "xprv": (re.compile(XPRV), lambda m: base58_checked(m[0])),
+    "age": (re.compile(AGE), lambda m: bech32_checked(m[1], m[2])),
+    "nsec": (re.compile(NSEC), lambda m: bech32_checked(m[1], m[2])),
 }
 LONG_HEX = re.compile(f"[0-9a-f]{{{HEX_LENGTH},}}")
 

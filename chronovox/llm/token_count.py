@@ -16,7 +16,9 @@ piece then spans the end of a word, so the counts are those of one Viterbi
 over the whole text; a vocabulary with such a piece is refused.  Words repeat,
 so a worker keeps a bounded cache from word to count.
 
-Defined cases: a null or empty text has no tokens; rows are counted each.
+Defined cases: a null or empty text has no tokens; rows are counted each; a
+text may be of any length, and the tables of the dynamic programming, two
+numbers a character, are those of one word and no longer kept than it.
 """
 
 from __future__ import annotations

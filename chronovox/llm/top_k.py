@@ -26,7 +26,9 @@ Defined cases: vectors that are null, or hold null or non-finite components,
 take no part; so do vectors whose dimension is not the most frequent (of
 ties, the largest) one; ids may be null or repeated: a query is a row whose id
 is divisible, and its own row only is left out; ties go to the smaller id,
-and among equal ids to any; further columns are passed over.
+and among equal ids to any; further columns are passed over.  The driver
+holds one matrix of dimension x dimension and the first few candidates, so
+vectors may have some thousands of dimensions.
 """
 
 from __future__ import annotations
