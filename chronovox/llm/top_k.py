@@ -103,7 +103,7 @@ class Vectors:
 def search(best: Best, threshold: np.ndarray, queries: Vectors, candidates: Vectors, space: Space) -> int:
     """Offer to ``best`` every candidate that may be among a query's k best; candidates in descending order of length.
 
-    Returns the number of pairs that were scored.
+    Returns the number of pairs whose products were formed over all dimensions.
     """
     slack, scored, n = 1e-6, 0, len(queries.x)
     for at in range(0, len(candidates.x), TILE):
@@ -117,6 +117,8 @@ def search(best: Best, threshold: np.ndarray, queries: Vectors, candidates: Vect
             partial = np.zeros((len(q), len(c)))
             alive = np.ones((len(q), len(c)), bool)
             for k, (a, b) in enumerate(zip(space.steps, space.steps[1:])):
+                if b == space.steps[-1]:
+                    scored += int(alive.sum())
                 partial += queries.turned[q, a:b] @ candidates.turned[c, a:b].T
                 alive &= partial + queries.rest[k][q][:, None] * candidates.rest[k][c] >= need[q][:, None]
                 rows, columns = alive.any(axis=1), alive.any(axis=0)
@@ -127,7 +129,6 @@ def search(best: Best, threshold: np.ndarray, queries: Vectors, candidates: Vect
             rows, columns = np.nonzero(alive)
             if not len(rows):
                 continue
-            scored += len(rows)
             if len(rows) < SPARSE * alive.size:
                 score = np.einsum("ij,ij->i", queries.x[q[rows]], candidates.x[c[columns]])
             else:
