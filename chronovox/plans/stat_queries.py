@@ -363,6 +363,31 @@ def r8(spark, d):
     return regress.signal_regressors(bold(spark, d), tissues(spark, d), ["WM_signal", "CSF_signal", "vascular_signal"])
 
 
+def principal(source: str, most: int) -> tuple[tuple[str, str], ...]:
+    """Views ending in ``parts``: scan_id, k, share, lev, the share of variance and each frame's leverage of the first k components of ``source``.
+
+    A power of the frames' Gram matrix, squared fourteen times over, is the
+    projection on its first component, whose diagonal is the leverage; the
+    component is then taken off the matrix.
+    """
+    again = "list_transform(p, lambda r: list_transform(p, lambda s: list_inner_product(r, s) / tr))"
+    less = "list_transform(m, lambda r, i: list_transform(r, lambda x, j: x - lam * p[i][j]))"
+    return (
+        ("shifted", f"SELECT scan_id, t, voxel_id, value - avg(value) OVER (PARTITION BY scan_id, voxel_id) AS c FROM {source}"),
+        ("grams", "SELECT scan_id, list(r ORDER BY i) AS m, sum(r[n]) AS total FROM (SELECT scan_id, i, list(g ORDER BY j) AS r, row_number() OVER (PARTITION BY scan_id ORDER BY i) AS n FROM (SELECT a.scan_id, a.t AS i, b.t AS j, sum(a.c * b.c) AS g FROM shifted a JOIN shifted b USING (scan_id, voxel_id) GROUP BY ALL) GROUP BY scan_id, i) GROUP BY scan_id"),
+        ("parts", f"""SELECT scan_id, k, share, lev FROM (WITH RECURSIVE pca AS (
+            SELECT scan_id, m, list_transform(m, lambda r: list_transform(r, lambda x: x / total)) AS p, 0 AS n, 0 AS k, total, total AS rest, 0.0::DOUBLE AS share, list_transform(m, lambda r: 0.0::DOUBLE) AS lev FROM grams
+            UNION ALL SELECT scan_id, CASE WHEN n < 14 THEN m ELSE {less} END, CASE WHEN n < 14 THEN {again} ELSE list_transform(m, lambda r, i: list_transform(r, lambda x, j: (x - lam * p[i][j]) / (rest - lam))) END,
+                (n + 1) % 15, k + n // 14, total, CASE WHEN n < 14 THEN rest ELSE rest - lam END, CASE WHEN n < 14 THEN share ELSE share + lam / total END, CASE WHEN n < 14 THEN lev ELSE list_transform(lev, lambda x, i: x + p[i][i]) END
+            FROM (SELECT *, list_sum(list_transform(p, lambda r: list_inner_product(r, r))) AS tr, list_sum(list_transform(m, lambda r, i: list_inner_product(r, p[i]))) AS lam FROM pca WHERE k < {most})) SELECT * FROM pca WHERE n = 0)"""),
+    )
+
+
+TISSUE_SCAN = ("tissue_scan", "SELECT 'emb' AS scan_id, t, voxel_id, value FROM emb WHERE voxel_id IN (SELECT voxel_id FROM tissues WHERE mask_name <> 'vascular_signal')")
+LEVERAGE = "SELECT scan_id, unnest(range(len(lev)))::INT AS t, unnest(lev) AS value FROM parts WHERE "
+HALF = "share > 0.5 AND k = (SELECT min(k) FROM parts q WHERE q.scan_id = parts.scan_id AND q.share > 0.5)"
+
+
 def leverage(x):
     """scan_id, t and the diagonal of the projection on the regressors: as they have no common length or sign, only this is theirs."""
     def one(row):
@@ -372,17 +397,18 @@ def leverage(x):
     return series.per_row(x, one, "scan_id string, t int, value double")
 
 
-@query("R9_component_regressors", "scan_id t", "value")
+@query("R9_component_regressors", "scan_id t", "value", LEVERAGE + "k = 5", (TISSUE_SCAN, *principal("tissue_scan", 5)))
 def r9(spark, d):
     return leverage(regress.component_regressors(emb_series(spark, d), tissues(spark, d).where("mask_name <> 'vascular_signal'")))
 
 
-@query("O3_first_components", "scan_id t", "value")
+@query("O3_first_components", "scan_id t", "value", LEVERAGE + "k = 3", principal("line", 3))
 def o3(spark, d):
+    """Over all voxels of each scan; those of ``line`` all have a label."""
     return leverage(regress.component_regressors(series.to_series(line(spark, d)), atlas(spark, d), components=3))
 
 
-@query("R9_component_regressors_percent", "scan_id t", "value")
+@query("R9_component_regressors_percent", "scan_id t", "value", LEVERAGE + HALF, (TISSUE_SCAN, *principal("tissue_scan", 20)))
 def r9_percent(spark, d):
     return leverage(regress.component_regressors(emb_series(spark, d), tissues(spark, d).where("mask_name <> 'vascular_signal'"), percent=True))
 
@@ -684,7 +710,7 @@ def w5(spark, d):
     return power(spark, d).withColumn("share", F.sum("power").over(w.orderBy("frequency").rowsBetween(Window.unboundedPreceding, 0)) / F.sum("power").over(w))
 
 
-@query("W6_cumulative_variance", "scan_id components", "")
+@query("W6_cumulative_variance", "scan_id components", "", f"SELECT scan_id, k::INT AS components FROM parts WHERE {HALF}", (TISSUE_SCAN, *principal("tissue_scan", 20)))
 def w6(spark, d):
     x = regress.component_regressors(emb_series(spark, d), tissues(spark, d).where("mask_name <> 'vascular_signal'"), percent=True)
     return x.select("scan_id", F.size("x").alias("components"))
