@@ -13,7 +13,8 @@ finds its place there by its rank among the items of its length.
 Ranks come from counts per task and length, not from a sort of the items, so
 no task ever holds all items of a length.
 
-Defined cases: an item of length 0 does not occur (a document always has its
+Defined cases: columns sequence_id and offset of the input give way to the
+result's, and no other name can clash; an item of length 0 does not occur (a document always has its
 end id); ties between equal lengths are settled by task and place in it;
 repeated rows are separate items; an empty table gives an empty result.
 """
@@ -30,9 +31,6 @@ from pyspark.sql import functions as F
 
 from . import bpe, common
 
-#: Plan rows that may be sent to the tasks (32 bytes each); the plan's size follows the number of lengths, not of items.
-MOST_PLAN_ROWS = 2_000_000
-
 
 def plan(counts: dict[int, int], capacity: int, documents: int, cost: int, weights=(1.0, 1e-3, 1e-3), score: str = "norm") -> list[tuple[int, int, int, int, int]]:
     """Rows (length, first rank, number, first bin, offset): that many items of the length go to as many bins in a row."""
@@ -84,20 +82,20 @@ def plan(counts: dict[int, int], capacity: int, documents: int, cost: int, weigh
 
 
 def ranked(items: DataFrame, length_col: str) -> DataFrame:
-    """``items`` with columns __task and __rank (place among the task's items of that length), written to the shared folder."""
-    schema = items.schema
+    """item (a row of ``items``), length, task and rank (place among the task's items of that length), written to the shared folder."""
+    source = items.select(F.struct(*items.columns).alias("item"), F.col(length_col).cast("long").alias("length"))
 
     def number(batches):
         task, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
-            lengths = common.column(batch, length_col).to_pylist()
+            lengths = common.column(batch, "length").to_pylist()
             ranks = []
             for n in lengths:
                 ranks.append(seen.get(n, 0))
                 seen[n] = ranks[-1] + 1
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([task] * len(lengths), pa.int32()), pa.array(ranks, pa.int64())], names=[*batch.schema.names, "__task", "__rank"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([task] * len(lengths), pa.int32()), pa.array(ranks, pa.int64())], names=["item", "length", "task", "rank"])
 
-    return common.written(items.mapInArrow(number, common.wider(schema, __task="int", __rank="long")), "pieces")
+    return common.written(source.mapInArrow(number, common.wider(source.schema, task="int", rank="long")), "pieces")
 
 
 def pack(items: DataFrame, length_col: str = "length", capacity: int = 1024, documents: int | None = None, cost: int | None = None, weights=(1.0, 1e-3, 1e-3), score: str = "norm") -> DataFrame:
@@ -108,29 +106,28 @@ def pack(items: DataFrame, length_col: str = "length", capacity: int = 1024, doc
     """
     documents = capacity if documents is None else documents
     cost = capacity * capacity if cost is None else cost
+    items = items.drop("sequence_id", "offset")
     known = ranked(items, length_col)
-    n = F.col(length_col)
-    each = known.groupBy("__task", n.alias("__n")).agg(F.count("*").alias("__count"))
-    before = F.coalesce(F.sum("__count").over(Window.partitionBy("__n").orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counts = {r["__n"]: r["c"] for r in each.groupBy("__n").agg(F.sum("__count").alias("c")).collect()}  # a row per length
+    each = known.groupBy("task", "length").agg(F.count("*").alias("count"))
+    before = F.coalesce(F.sum("count").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = {r["length"]: r["c"] for r in each.groupBy("length").agg(F.sum("count").alias("c")).collect()}  # a row per length
     rows = plan(counts, capacity, documents, cost, weights, score)
-    if len(rows) > MOST_PLAN_ROWS:
-        raise ValueError(f"the plan has {len(rows)} rows")
+    # A turn of the plan ends a length or uses up a run, and makes at most two runs for a length: so under capacity squared rows of 40 bytes.
     table = np.array(rows, np.int64).reshape(-1, 5)
     table = table[np.lexsort((table[:, 1], table[:, 0]))]
     shared = items.sparkSession.sparkContext.broadcast(table)
-    placed = known.join(each.select("__task", F.col("__n").alias("__length"), before.alias("__before")), (F.col("__length") == n) & (known["__task"] == each["__task"])).select(*[known[c] for c in items.columns], (F.col("__rank") + F.col("__before")).alias("__rank"))
+    placed = known.join(each.select("task", "length", before.alias("before")), ["task", "length"]).select("item", "length", (F.col("rank") + F.col("before")).alias("rank"))
 
     def place(batches):
         t = shared.value
         keys = t[:, 0] << 40 | t[:, 1]
         for batch in batches:
-            length = common.column(batch, length_col).to_numpy(zero_copy_only=False).astype(np.int64)
-            rank = common.column(batch, "__rank").to_numpy(zero_copy_only=False).astype(np.int64)
-            at = np.searchsorted(keys, length << 40 | rank, side="right") - 1
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(t[at, 3] + rank - t[at, 1]), pa.array(t[at, 4])], names=[*batch.schema.names[:-1], "sequence_id", "offset"])
+            length, rank = (common.column(batch, c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
+            found = np.searchsorted(keys, length << 40 | rank, side="right") - 1
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(t[found, 3] + rank - t[found, 1]), pa.array(t[found, 4])], names=["item", "sequence_id", "offset"])
 
-    return placed.mapInArrow(place, common.wider(items.schema, sequence_id="long", offset="long"))
+    out = placed.mapInArrow(place, common.wider(placed.select("item").schema, sequence_id="long", offset="long"))
+    return out.select(*[F.col(f"item.`{c}`").alias(c) for c in items.columns], "sequence_id", "offset")
 
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.list_(pa.int32()))])
