@@ -2,17 +2,20 @@
 
 Ids of all documents, in ascending order of id, run on through rows of
 ``row`` ids each: a file's batches hold a fixed-size list of ids, a
-fixed-size list of booleans (false where the file's last row is padded) and,
-per row, the documents that begin in it.  Fixed-size lists have no offsets,
-so row r of a memory-mapped file is a slice of one buffer.
+fixed-size list of mask bytes (0 where the file's last row is padded, else 1)
+and, per row, the documents that begin in it.  Fixed-size lists have no
+offsets, so row r of a memory-mapped file is a slice of one buffer
+(``sequence``).
 
-Files are cut at documents' ends and written through Spark's own writer, so
+Documents are encoded where they lie; their ids, not their texts, are dealt
+out in order.  Files are cut at documents' ends and written through Spark's own writer, so
 they reach any store that Spark can write.  The text writer puts a
 separator after a row; here it is the last six bytes of the Arrow file
 format, which complete the file.
 
 Defined cases: a null text is the empty text, with the end id alone; null ids
-sort first; rows with equal ids keep some order among themselves; an empty
+sort first; rows with equal ids keep some order among themselves; a text may
+be of any length, as a file ends with the document that fills it; an empty
 table gives no rows.
 """
 
@@ -42,7 +45,7 @@ def file_bytes(documents: list[tuple[int | None, np.ndarray]], row: int, place:
     rows = max(1, -(-len(ids) // row))
     padded = np.zeros(rows * row, kind)
     padded[: len(ids)] = ids
-    mask = np.arange(rows * row) < len(ids)
+    mask = (np.arange(rows * row) < len(ids)).view(np.uint8)
     one = pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64())])
     starts = np.concatenate([[0], np.cumsum([len(x) for _, x in documents])[:-1]]).astype(np.int64)
     begin = np.concatenate([[0], np.cumsum(np.bincount(starts // row, minlength=rows))]).astype(np.int32)
@@ -63,13 +66,19 @@ def write(docs: DataFrame, folder: str, tokenizer: str, row: int = 2048, end_id:
     """Encode every document and write the files to ``folder``."""
     common.text_session(docs.sparkSession)
 
-    def run(batches):
-        coder, task, number, held, size = bpe.loaded_library(tokenizer), TaskContext.get().partitionId(), 0, [], 0
+    def encode(batches):
+        coder = bpe.loaded_library(tokenizer)
         end = np.array([end_id], coder.kind)
+        for batch in batches:
+            ids = [np.concatenate([coder.packed(text), end]).tobytes() for text in common.texts(batch)]
+            yield pa.RecordBatch.from_arrays([common.column(batch, "doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+
+    def run(batches):
+        kind, task, number, held, size = bpe.loaded_library(tokenizer).kind, TaskContext.get().partitionId(), 0, [], 0
         done = lambda: pa.RecordBatch.from_arrays([pa.array([file_bytes(held, row, (task, number)).removesuffix(MAGIC)], pa.binary())], names=["file"])
         for batch in batches:
-            for doc, text in zip(common.column(batch, "doc_id").to_pylist(), common.texts(batch)):
-                held.append((doc, np.concatenate([coder.packed(text), end])))
+            for doc, ids in zip(common.column(batch, "doc_id").to_pylist(), common.column(batch, "ids").to_pylist()):
+                held.append((doc, np.frombuffer(ids, kind)))
                 size += len(held[-1][1])
                 if size >= IDS_PER_FILE:
                     yield done()
@@ -78,9 +87,11 @@ def write(docs: DataFrame, folder: str, tokenizer: str, row: int = 2048, end_id:
             yield done()
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    ordered = source.repartitionByRange(common.scan_partitions(source), "doc_id").sortWithinPartitions("doc_id")
+    coded = common.written(source.mapInArrow(encode, "doc_id long, ids binary"), "token-ids")
+    ordered = coded.repartitionByRange(common.scan_partitions(source), "doc_id").sortWithinPartitions("doc_id")
     files = ordered.mapInArrow(run, "file binary").select(F.col("file").cast("string"))
     files.write.option("lineSep", MAGIC.decode()).option("maxRecordsPerFile", 1).text(folder)
+    common.dropped(coded)
 
 
 def opened(raw: bytes) -> tuple[dict[str, int], list[pa.RecordBatch]]:
@@ -91,9 +102,15 @@ def opened(raw: bytes) -> tuple[dict[str, int], list[pa.RecordBatch]]:
 
 
 def rows_of(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    """A fixed-size list column as a matrix; for ids a view, not a copy."""
+    """A fixed-size list column as a matrix: a view, not a copy."""
     lists = batch.column(batch.schema.get_field_index(name))
-    return lists.flatten().to_numpy(zero_copy_only=name == "ids").reshape(len(lists), -1)
+    return lists.flatten().to_numpy(zero_copy_only=True).reshape(len(lists), -1)
+
+
+def sequence(source: pa.NativeFile | pa.Buffer, r: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and mask of row r of a file, for instance a memory-mapped one: views of its bytes."""
+    batch = pa.ipc.open_file(source).get_batch(r // ROWS_PER_BATCH)
+    return rows_of(batch, "ids")[r % ROWS_PER_BATCH], rows_of(batch, "mask")[r % ROWS_PER_BATCH]
 
 
 def read_sequences(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,10 +124,10 @@ def read_sequences(spark: SparkSession, folder: str) -> DataFrame:
                 for part in parts:
                     n = len(part)
                     ids, mask = (part.column(i) for i in (0, 1))
-                    yield pa.RecordBatch.from_arrays([pa.array([meta["partition"]] * n, pa.int32()), pa.array([meta["number"]] * n, pa.int32()), pa.array(range(at, at + n), pa.int64()), ids.cast(pa.list_(pa.int32())), mask.cast(pa.list_(pa.bool_()))], names=["partition", "number", "row", "ids", "mask"])
+                    yield pa.RecordBatch.from_arrays([pa.array([meta["partition"]] * n, pa.int32()), pa.array([meta["number"]] * n, pa.int32()), pa.array(range(at, at + n), pa.int64()), ids.cast(pa.list_(pa.int32())), mask.cast(pa.list_(pa.int8()))], names=["partition", "number", "row", "ids", "mask"])
                     at += n
 
-    return _files(spark, folder).mapInArrow(run, "partition int, number int, row long, ids array<int>, mask array<boolean>")
+    return _files(spark, folder).mapInArrow(run, "partition int, number int, row long, ids array<int>, mask array<tinyint>")
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
