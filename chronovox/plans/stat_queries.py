@@ -433,7 +433,25 @@ def r11(spark, d):
     return series.to_bold(regress.fill_gaps(series.to_series(bold(spark, d).where("t NOT IN (5, 6, 20, 41, 42, 43)")), 64, 1.0))
 
 
-@query("R12_butterworth", "voxel_id t", "value")
+def filtered(source: str) -> str:
+    """SQL of lists x run through the band filter once and turned round: voxel_id, x.
+
+    A low-pass of order three, 1 / ((s + 1)(s^2 + s + 1)), whose s becomes
+    q / r, with q and r of degree two in z: r / (q + r), then
+    r^2 / (q^2 + qr + r^2).  Before its start a list was always at its first
+    value, to which the filter gives 0.
+    """
+    zeros = "[0.0::DOUBLE, 0, 0, 0]"
+    return f"""SELECT voxel_id, list_reverse(b[5:]) AS x FROM (WITH RECURSIVE run AS (SELECT voxel_id, x, {zeros} AS a, {zeros} AS b, 0 AS n FROM {source} UNION ALL
+        SELECT voxel_id, x, list_append(a, y), list_append(b, (r * r * (y - 2 * a[i + 2] + a[i]) - 2 * b[i + 3] * (q0 * q1 + r * q1 / 2) - b[i + 2] * (2 * q0 * q0 + q1 * q1 - 2 * r * r) - 2 * b[i + 1] * (q0 * q1 - r * q1 / 2) - b[i] * (q0 * q0 - q0 * r + r * r)) / (q0 * q0 + q0 * r + r * r)), i
+        FROM (SELECT *, (r * (x[i] - x[greatest(i - 2, 1)]) - q1 * a[i + 3] - (q0 - r) * a[i + 2]) / (q0 + r) AS y FROM (SELECT *, n + 1 AS i FROM run, band WHERE n < len(x)))) SELECT * FROM run WHERE n = len(x))"""
+
+
+BAND = ("band", "SELECT 16 + lo * hi AS q0, 2 * lo * hi - 32 AS q1, 4 * (hi - lo) AS r FROM (SELECT 4 * tan(pi() * 0.01) AS lo, 4 * tan(pi() * 0.1) AS hi)")
+WIDE = ("wide", "SELECT voxel_id, list_concat(list_transform(range(21, 0, -1), lambda j: 2 * v[1] - v[j + 1]), v, list_transform(range(62, 41, -1), lambda j: 2 * v[64] - v[j + 1])) AS x FROM (SELECT voxel_id, list(value ORDER BY t) AS v FROM emb GROUP BY voxel_id)")
+
+
+@query("R12_butterworth", "voxel_id t", "value", "SELECT voxel_id, unnest(range(64))::INT AS t, unnest(x[22:85]) AS value FROM back", (BAND, WIDE, ("forth", filtered("wide")), ("back", filtered("forth"))))
 def r12(spark, d):
     return series.to_bold(regress.band_filter(emb_series(spark, d), 1.0, 0.01, 0.1))
 
