@@ -2,13 +2,12 @@
 
 Ids of all documents, in ascending order of id, run on through rows of
 ``row`` ids each: a file's batches hold a fixed-size list of ids, a
-fixed-size list of mask bytes (0 where the file's last row is padded, else 1)
-and, per row, the documents that begin in it.  Fixed-size lists have no
-offsets, so row r of a memory-mapped file is a slice of one buffer
-(``sequence``).
+fixed-size list of bytes whose bits are the mask (lowest first; 0 where the
+file's last row is padded) and, per row, the documents that begin in it.
+Fixed-size lists have no offsets, so row r of a memory-mapped file is a slice
+of one buffer, ids and mask alike (``sequence``).
 
-Documents are encoded where they lie; their ids, not their texts, are dealt
-out in order.  Files are cut at documents' ends and written through Spark's own writer, so
+Files are cut at documents' ends and written through Spark's own writer, so
 they reach any store that Spark can write.  The text writer puts a
 separator after a row; here it is the last six bytes of the Arrow file
 format, which complete the file.
@@ -45,14 +44,14 @@ def file_bytes(documents: list[tuple[int | None, np.ndarray]], row: int, place:
     rows = max(1, -(-len(ids) // row))
     padded = np.zeros(rows * row, kind)
     padded[: len(ids)] = ids
-    mask = (np.arange(rows * row) < len(ids)).view(np.uint8)
+    mask = np.packbits((np.arange(rows * row) < len(ids)).reshape(rows, row), axis=1, bitorder="little")
     one = pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64())])
     starts = np.concatenate([[0], np.cumsum([len(x) for _, x in documents])[:-1]]).astype(np.int64)
     begin = np.concatenate([[0], np.cumsum(np.bincount(starts // row, minlength=rows))]).astype(np.int32)
     items = pa.StructArray.from_arrays([pa.array([d for d, _ in documents], pa.int64()), pa.array(starts), pa.array([len(x) for _, x in documents], pa.int64())], fields=list(one))
     columns = [
         pa.FixedSizeListArray.from_arrays(pa.array(padded), row),
-        pa.FixedSizeListArray.from_arrays(pa.array(mask), row),
+        pa.FixedSizeListArray.from_arrays(pa.array(mask.ravel()), mask.shape[1]),
         pa.ListArray.from_arrays(pa.array(begin), items),
     ]
     schema = pa.schema([("ids", columns[0].type), ("mask", columns[1].type), ("documents", columns[2].type)], metadata={"partition": str(place[0]), "number": str(place[1]), "ids": str(len(ids))})
@@ -66,19 +65,13 @@ def write(docs: DataFrame, folder: str, tokenizer: str, row: int = 2048, end_id:
     """Encode every document and write the files to ``folder``."""
     common.text_session(docs.sparkSession)
 
-    def encode(batches):
-        coder = bpe.loaded_library(tokenizer)
-        end = np.array([end_id], coder.kind)
-        for batch in batches:
-            ids = [np.concatenate([coder.packed(text), end]).tobytes() for text in common.texts(batch)]
-            yield pa.RecordBatch.from_arrays([common.column(batch, "doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
-
     def run(batches):
-        kind, task, number, held, size = bpe.loaded_library(tokenizer).kind, TaskContext.get().partitionId(), 0, [], 0
+        coder, task, number, held, size = bpe.loaded_library(tokenizer), TaskContext.get().partitionId(), 0, [], 0
+        end = np.array([end_id], coder.kind)
         done = lambda: pa.RecordBatch.from_arrays([pa.array([file_bytes(held, row, (task, number)).removesuffix(MAGIC)], pa.binary())], names=["file"])
         for batch in batches:
-            for doc, ids in zip(common.column(batch, "doc_id").to_pylist(), common.column(batch, "ids").to_pylist()):
-                held.append((doc, np.frombuffer(ids, kind)))
+            for doc, text in zip(common.column(batch, "doc_id").to_pylist(), common.texts(batch)):
+                held.append((doc, np.concatenate([coder.packed(text), end])))
                 size += len(held[-1][1])
                 if size >= IDS_PER_FILE:
                     yield done()
@@ -87,11 +80,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str, row: int = 2048, end_id:
             yield done()
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    coded = common.written(source.mapInArrow(encode, "doc_id long, ids binary"), "token-ids")
-    ordered = coded.repartitionByRange(common.scan_partitions(source), "doc_id").sortWithinPartitions("doc_id")
+    ordered = source.repartitionByRange(common.scan_partitions(source), "doc_id").sortWithinPartitions("doc_id")
     files = ordered.mapInArrow(run, "file binary").select(F.col("file").cast("string"))
     files.write.option("lineSep", MAGIC.decode()).option("maxRecordsPerFile", 1).text(folder)
-    common.dropped(coded)
 
 
 def opened(raw: bytes) -> tuple[dict[str, int], list[pa.RecordBatch]]:
@@ -108,7 +99,7 @@ def rows_of(batch: pa.RecordBatch, name: str) -> np.ndarray:
 
 
 def sequence(source: pa.NativeFile | pa.Buffer, r: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of row r of a file, for instance a memory-mapped one: views of its bytes."""
+    """Ids and mask of row r of a file, for instance a memory-mapped one: views of its bytes; np.unpackbits(mask, bitorder="little") spreads the bits."""
     batch = pa.ipc.open_file(source).get_batch(r // ROWS_PER_BATCH)
     return rows_of(batch, "ids")[r % ROWS_PER_BATCH], rows_of(batch, "mask")[r % ROWS_PER_BATCH]
 
@@ -123,11 +114,13 @@ def read_sequences(spark: SparkSession, folder: str) -> DataFrame:
                 at = 0
                 for part in parts:
                     n = len(part)
-                    ids, mask = (part.column(i) for i in (0, 1))
-                    yield pa.RecordBatch.from_arrays([pa.array([meta["partition"]] * n, pa.int32()), pa.array([meta["number"]] * n, pa.int32()), pa.array(range(at, at + n), pa.int64()), ids.cast(pa.list_(pa.int32())), mask.cast(pa.list_(pa.int8()))], names=["partition", "number", "row", "ids", "mask"])
+                    ids = part.column(0)
+                    bits = np.unpackbits(rows_of(part, "mask"), axis=1, count=ids.type.list_size, bitorder="little")
+                    mask = pa.FixedSizeListArray.from_arrays(pa.array(bits.ravel().astype(bool)), ids.type.list_size)
+                    yield pa.RecordBatch.from_arrays([pa.array([meta["partition"]] * n, pa.int32()), pa.array([meta["number"]] * n, pa.int32()), pa.array(range(at, at + n), pa.int64()), ids.cast(pa.list_(pa.int32())), mask.cast(pa.list_(pa.bool_()))], names=["partition", "number", "row", "ids", "mask"])
                     at += n
 
-    return _files(spark, folder).mapInArrow(run, "partition int, number int, row long, ids array<int>, mask array<tinyint>")
+    return _files(spark, folder).mapInArrow(run, "partition int, number int, row long, ids array<int>, mask array<boolean>")
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,7 +136,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                 meta, parts = opened(raw)
                 ids = [rows_of(part, "ids").ravel() for part in parts]
                 ids = (ids[0] if len(ids) == 1 else np.concatenate(ids))[: meta["ids"]]
-                if sum(int(rows_of(part, "mask").sum()) for part in parts) != meta["ids"]:
+                if sum(int(np.bitwise_count(rows_of(part, "mask")).sum()) for part in parts) != meta["ids"]:
                     raise ValueError("mask and ids differ")
                 found = [x for part in parts for x in common.column(part, "documents").flatten().to_pylist()]
                 crc = [zlib.crc32(ids[x["start"] : x["start"] + x["length"]].astype("<u4").tobytes()) for x in found]
