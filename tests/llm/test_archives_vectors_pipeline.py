@@ -203,3 +203,25 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert len({r.sequence_id for r in rows}) <= 1 + 1.1 * sum(r.length for r in rows) / 1024
     whole = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {(r.doc_id, r.piece, r.ids_crc32) for r in whole} == {(r.doc_id, r.piece, r.ids_crc32) for r in rows}
+
+
+def test_stages_with_clashing_names_repeated_and_null_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices(["an", "th", "er", "on"], k=rng.randint(1, 4)))
+    body = [" ".join(word() for _ in range(60)) for _ in range(6)]
+    ids = [None, None, 3, 3, 2**60, 9]
+    more = ["row", "whole", "place", "key", "line", "lost", "secrets", "score", "item", "length", "fingerprint", "component", "h"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in more)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), *more) for i, t in zip([*ids, 7], [*body, body[0]])], schema).repartition(2)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    at = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        at = stage(spark, at, str(tmp_path))
+        assert at.columns == docs.columns, name
+        rows = at.collect()
+        assert all(r[c] == c for r in rows for c in more), name
+        assert sorted(r.text for r in rows) == sorted(body + [body[0]] * (name in ("quality rules", "line dedup"))), name
+    packed = corpus_pipeline.STAGES[-1][1](spark, at, str(tmp_path)).collect()
+    assert len(packed) == 6 and len({(r.sequence_id, r.offset) for r in packed}) == 6

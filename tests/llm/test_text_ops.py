@@ -41,7 +41,6 @@ def test_counts_equal_the_library(byte_pieces):
             vocabulary += [(f"<0x{b:02X}>", -20.0) for b in range(256)]
         library = unigram(vocabulary, byte_pieces)
         own = token_count.Unigram([v for v in vocabulary if not v[0].startswith("<0x")] + ([("\0never", -20.0)] if byte_pieces else []), byte_pieces)
-        own.unknown = min([0.0, *(s for _, s in vocabulary)]) - 10
         for _ in range(60):
             text = "".join(rng.choice("aabbcc dé🙂▁") for _ in range(rng.randint(0, 14)))
             assert own.count(text) == len(library.encode(text, add_special_tokens=False).ids), (turn, text)
@@ -52,19 +51,28 @@ def test_count_frame(spark):
     vocabulary, byte_pieces = token_count.pieces_of(path)
     assert byte_pieces and len(vocabulary) > 30_000
     library = unigram(vocabulary + [(f"<0x{b:02X}>", -1e6) for b in range(256)], True)
-    own = token_count.loaded(path)
     texts = ["Hello world, how are  you?", "", None, "naïve 漢字 tokens", "x" * 400]
     got = {r.doc_id: r.n_tokens for r in token_count.count_tokens(documents(spark, texts).withColumnRenamed("lang", "n_tokens"), path).collect()}
-    assert got == {i: own.count(t or "") for i, t in enumerate(texts)} and got[1] == got[2] == 0
-    assert got[0] == len(library.encode(texts[0], add_special_tokens=False).ids)
+    library.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=False)
+    assert got == {i: len(library.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)} and got[1] == got[2] == 0
     assert token_count.count_tokens(documents(spark, []), path).count() == 0
 
 
+def whole_text_library(vocabulary):
+    library = Tokenizer(models.Unigram([("<unk>", 0.0), *vocabulary, *[(f"<0x{b:02X}>", -1e6) for b in range(256)]], unk_id=0, byte_fallback=True))
+    library.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=False)
+    return library
+
+
+def test_a_word_of_a_million_characters():
+    own = token_count.Unigram([("a", -1.0), ("aa", -1.5), ("\u2581", -1.0)], False)
+    assert own.count("a" * 1_000_000) == 500_001
+
+
 def test_pieces_of_several_marks_are_in_reach():
     path = public_tokenizers.path("piece_bpe_32k.model")
     vocabulary, _ = token_count.pieces_of(path)
-    library = Tokenizer(models.Unigram([("<unk>", 0.0), *vocabulary, *[(f"<0x{b:02X}>", -1e6) for b in range(256)]], unk_id=0, byte_fallback=True))
-    library.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=False)
+    library = whole_text_library(vocabulary)
     own = token_count.loaded(path)
     for text in ("def f():\n" + " " * 8 + "return  1" + " " * 16, "   a b", "a" + " " * 40 + "b  ", " ", "  ", "one two", "\u2581\u2581x y"):
         assert own.count(text) == len(library.encode(text, add_special_tokens=False).ids), text
