@@ -53,11 +53,11 @@ def lists_of(matrix: np.ndarray) -> pa.Array:
 
 
 def by_scan(batch: pa.RecordBatch, names: list[str]):
-    """(scan, its row numbers) of a batch."""
+    """(scan, its row numbers) of a batch; null is a scan too."""
     codes = batch.column(names.index("scan_id")).dictionary_encode()
-    own = codes.indices.to_numpy(zero_copy_only=False)
-    for k, scan in enumerate(codes.dictionary.to_pylist()):
-        yield scan, np.flatnonzero(own == k)
+    own, scans = codes.indices.fill_null(-1).to_numpy(zero_copy_only=False), codes.dictionary.to_pylist()
+    for k in np.unique(own):
+        yield scans[k] if k >= 0 else None, np.flatnonzero(own == k)
 
 
 def per_voxel(series: DataFrame, kernel: Callable, added: str, *more: str) -> DataFrame:

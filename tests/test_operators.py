@@ -190,6 +190,12 @@ def test_frame_gram_over_tasks(spark, monkeypatch):
             assert np.allclose(series.square(r.gram), x @ x.T)
 
 
+def test_voxels_without_a_scan_are_kept(spark):
+    rows = spark.createDataFrame([("a", 1, [1.0, 3.0]), (None, 2, [2.0, 2.0]), ("a", 3, [0.0, 4.0])], "scan_id string, voxel_id long, v array<double>").coalesce(1)
+    got = {r.voxel_id: (r.m, r.w) for r in series.per_voxel(rows, lambda y: (y.mean(axis=0), y * 2), "m double, w array<double>").collect()}
+    assert got == {1: (2.0, [2.0, 6.0]), 2: (2.0, [4.0, 4.0]), 3: (2.0, [0.0, 8.0])}
+
+
 def test_alternating_fit_beside_priors(spark):
     data, priors, y, p = two_scans(spark)
     rows = connect.alternating_fit(data, 1, priors).collect()
