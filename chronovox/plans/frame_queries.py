@@ -118,7 +118,7 @@ PLACED = (2.0, 3.0, 4.0, 1.0), (-5.0, 7.5, 11.0), ((0, -1, 0), (1, 0, 0), (0, 0,
 
 
 @query("K1_recover_grid", "x y z", "value sx sy sz ox oy oz d01 d10", """
-    SELECT x, y, z, coalesce(value, 0.0)::FLOAT::DOUBLE AS value, 2.0 AS sx, 3.0 AS sy, 4.0 AS sz, -5.0 AS ox, 7.5 AS oy, 11.0 AS oz, -1.0 AS d01, 1.0 AS d10
+    SELECT x, y, z, coalesce(value, 0.0)::FLOAT::DOUBLE AS value, 2::DOUBLE AS sx, 3::DOUBLE AS sy, 4::DOUBLE AS sz, -5::DOUBLE AS ox, 7.5::DOUBLE AS oy, 11::DOUBLE AS oz, -1::DOUBLE AS d01, 1::DOUBLE AS d10
     FROM grid LEFT JOIN (SELECT voxel_id, avg(value) AS value FROM emb WHERE label = 1 GROUP BY ALL) USING (voxel_id)""")
 def k1(spark, d):
     """A masked map on its whole grid, written with its place in space, and read back."""
