@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, line_dedup, packing, quality, secret_scan, simhash, token_count, token_files, token_ids, top_k, warc
+from . import common, conversation_repair, line_dedup, packing, quality, secret_scan, simhash, token_count, token_files, token_ids, top_k, warc
 
 BYTE_BPE, WORD_BPE, PIECES = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 END_ID, SEQUENCE = 2, 1024
@@ -69,6 +69,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, folder)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_repair.damage(common.table(spark, sf_dir, "conversations"))
+    return conversation_repair.report(conversation_repair.repair(turns))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_bpe": op2_bpe,
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_token_files": op9_token_files,
     "op10_top_k": op10_top_k,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
