@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, conversation_repair, line_dedup, packing, quality, secret_scan, simhash, token_count, token_files, token_ids, top_k, warc
+from . import alignment, common, conversation_repair, line_dedup, packing, quality, secret_scan, simhash, token_count, token_files, token_ids, top_k, warc
 
 BYTE_BPE, WORD_BPE, PIECES = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 END_ID, SEQUENCE = 2, 1024
@@ -74,6 +74,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.report(conversation_repair.repair(turns))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(common.table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_bpe": op2_bpe,
@@ -86,6 +90,7 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_top_k": op10_top_k,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_alignment": op12_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
