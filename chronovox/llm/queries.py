@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, common, conversation_repair, line_dedup, packing, quality, secret_scan, simhash, token_count, token_files, token_ids, top_k, warc
+from . import alignment, common, conversation_repair, language_id, line_dedup, packing, quality, secret_scan, simhash, token_count, token_files, token_ids, top_k, warc
 
 BYTE_BPE, WORD_BPE, PIECES = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 END_ID, SEQUENCE = 2, 1024
@@ -78,6 +78,13 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(common.table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    docs = common.table(spark, sf_dir, "documents").withColumn("held_out", held)
+    model = language_id.fit(docs.filter("NOT held_out"))
+    return language_id.predict(docs, model, keep=("held_out",))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_bpe": op2_bpe,
@@ -91,6 +98,7 @@ QUERIES = {
     "op10_top_k": op10_top_k,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_alignment": op12_alignment,
+    "op13_language_id": op13_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
