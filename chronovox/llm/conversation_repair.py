@@ -335,7 +335,8 @@ def repair(rows: DataFrame, dropped: str | None = "dropped", turns: int = SEGMEN
     """
     cut = common.written(segments(rows, dropped, turns, size), "conversation-segments")
     kind = _kind(cut, "conv")
-    several = cut.groupBy("conv").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("conv").alias("of"))
+    # written, so that its size is known: it goes to the tasks where it is small, instead of all texts to it
+    several = common.written(cut.groupBy("conv").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("conv").alias("of")), "long-conversations")
     same = F.col("conv").eqNullSafe(F.col("of"))
     out = f"conv {kind}, part long, audit string, repaired {TURNS}, {RESULT}"
     alone = _mapped(cut.join(several, same, "left_anti"), out, _whole)
