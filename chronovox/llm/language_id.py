@@ -174,7 +174,8 @@ def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", per
     counted = sizes.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     limit = max(1, min(per_language, in_all // max(1, counted)))
     # twice the wanted, as copies count once and white space is dropped
-    share = sizes.select("lang", (F.lit(2.0 * limit) / F.col("there")).alias("share"))
+    # written, so that its size is known: it goes to the tasks where it is small, instead of all texts to it
+    share = common.written(sizes.select("lang", (F.lit(2.0 * limit) / F.col("there")).alias("share")), "languages")
     start = F.pmod(F.xxhash64("hash"), F.length("text") - F.col("size") + 1).cast("int") + 1
     drawn = F.shiftrightunsigned("hash", 1).cast("double") / 2.0**63
     chosen = rows.join(share, "lang").filter(drawn < F.col("share")).select("lang", F.substring("text", start, F.lit(PASSAGE)).alias("passage")).distinct()
