@@ -5,6 +5,11 @@ from __future__ import annotations
 import numpy as np
 
 
+def reach(fwhm: float, spacing: float, truncate: float = 4.0) -> int:
+    """Voxels that a sampled Gaussian reaches to each side."""
+    return int(truncate * fwhm / (np.sqrt(8 * np.log(2)) * spacing) + 0.5)
+
+
 def gaussian_weights(sigma: float, truncate: float = 4.0) -> np.ndarray:
     """Weights of a sampled Gaussian, summing to 1."""
     half = int(truncate * sigma + 0.5)
@@ -28,11 +33,11 @@ def along(volume: np.ndarray, weights: np.ndarray, axis: int) -> np.ndarray:
 
 
 def smooth(volume: np.ndarray, mask: np.ndarray, fwhm: float, spacing: tuple[float, float, float]) -> np.ndarray:
-    """Gaussian smoothing inside a mask: divided by the smoothed mask, cut to the mask, 0 where undefined."""
+    """Gaussian smoothing of the last three axes inside a mask: divided by the smoothed mask, cut to the mask, 0 where undefined."""
     weights = [gaussian_weights(fwhm / (np.sqrt(8 * np.log(2)) * s)) for s in spacing]
     top, bottom = volume * mask, mask.astype(float)
     for axis, w in enumerate(weights):
-        top, bottom = along(top, w, axis), along(bottom, w, axis)
+        top, bottom = along(top, w, axis - 3), along(bottom, w, axis - 3)
     with np.errstate(invalid="ignore", divide="ignore"):
         out = np.where(mask, top / bottom, 0.0)
     return np.nan_to_num(out, nan=0.0, posinf=0.0, neginf=0.0)
@@ -96,15 +101,11 @@ def mirrored(i: np.ndarray, n: int) -> np.ndarray:
     return np.where(i < n, i, 2 * n - 2 - i)
 
 
-def spline_coefficients(volume: np.ndarray) -> np.ndarray:
-    """Coefficients of the cubic B-spline that runs through all values, mirrored at the edges."""
-    out = np.array(volume, float)
-    for axis, n in enumerate(volume.shape):
-        if n > 1:
-            bands = np.zeros((n, n))
-            for shift, weight in ((-1, 1 / 6), (0, 4 / 6), (1, 1 / 6)):
-                np.add.at(bands, (np.arange(n), mirrored(np.arange(n) + shift, n)), weight)
-            out = np.moveaxis(np.linalg.solve(bands, np.moveaxis(out, axis, 0).reshape(n, -1)).reshape(n, *np.delete(out.shape, axis)), 0, axis)
+def spline_matrix(n: int) -> np.ndarray:
+    """What takes a line's coefficients of the cubic B-spline to its values, mirrored at the ends."""
+    out = np.zeros((n, n))
+    for shift, weight in ((-1, 1 / 6), (0, 4 / 6), (1, 1 / 6)):
+        np.add.at(out, (np.arange(n), mirrored(np.arange(n) + shift, n)), weight)
     return out
 
 
@@ -122,20 +123,23 @@ INTERPOLATORS = {
 }
 
 
-def interpolated(volume: np.ndarray, points: np.ndarray, kind: str) -> np.ndarray:
-    """Values at points (n, 3) in voxel coordinates; 0 over half a voxel outside the grid."""
+def interpolated(box: np.ndarray, points: np.ndarray, kind: str, shape: tuple[int, int, int], corner: np.ndarray) -> np.ndarray:
+    """Values at points (n, 3) in voxel coordinates of a grid of which ``box`` is the part from ``corner`` on; 0 over half a voxel outside the grid.
+
+    For bspline, the box holds coefficients.
+    """
     reach, weight, beyond = INTERPOLATORS[kind]
-    source = spline_coefficients(volume) if kind == "bspline" else np.array(volume, float)
     base, steps = np.floor(points).astype(int), np.arange(1 - reach, reach + 1)
-    inside = ((points >= -0.5) & (points < np.array(volume.shape) - 0.5)).all(axis=1)
+    inside = ((points >= -0.5) & (points < np.array(shape) - 0.5)).all(axis=1)
     index, w = [], []
-    for axis, n in enumerate(volume.shape):
+    for axis, n in enumerate(shape):
         at = base[:, axis, None] + steps
-        index.append(mirrored(at, n) if beyond == "mirror" else np.clip(at, 0, n - 1))
-        w.append(weight(at - points[:, axis, None]))
+        at = mirrored(at, n) if beyond == "mirror" else np.clip(at, 0, n - 1)
+        index.append(np.clip(at - corner[axis], 0, box.shape[axis] - 1))
+        w.append(weight(base[:, axis, None] + steps - points[:, axis, None]))
     out = np.zeros(len(points))
     for i in range(len(steps)):
         for j in range(len(steps)):
-            row = source[index[0][:, i, None], index[1][:, j, None], index[2]]
+            row = box[index[0][:, i, None], index[1][:, j, None], index[2]]
             out += w[0][:, i] * w[1][:, j] * (row * w[2]).sum(axis=1)
     return np.where(inside, out, 0.0)

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from ..functions import options
 from ..functions.guards import ratio, zero_if_null
-from ..kernels import linear, spatial, spectral
+from ..kernels import linear, spectral
 from ..sources.shared import written
-from . import aggregates, frames, joins, series
+from . import aggregates, bricks, frames, joins, series
 
 MOTION_6 = ["mov1", "mov2", "mov3", "rot1", "rot2", "rot3"]
 SIGNALS = ["WM_signal", "CSF_signal", "vascular_signal", "global_signal"]
@@ -256,17 +256,15 @@ def with_average(bold: DataFrame, intercept: DataFrame, sign: int = 1) -> DataFr
 
 
 def smoothed(bold: DataFrame, grid: DataFrame, fwhm: float, spacing: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
-    """Gaussian smoothing inside the grid's voxels. A group is one frame of a scan."""
-    names = {"scan_id": "string", "t": "int", "voxel_id": "long", "value": "double"}
-
-    def one(pdf):
-        at = [pdf[c].to_numpy() - pdf[c].min() for c in ("x", "y", "z")]
-        shape = tuple(int(a.max()) + 1 for a in at)
-        volume, mask = np.zeros(shape), np.zeros(shape, bool)
-        volume[tuple(at)], mask[tuple(at)] = pdf["value"].to_numpy(), True
-        return pdf[list(names)].assign(value=spatial.smooth(volume, mask, fwhm, spacing)[tuple(at)])
-
-    return bold.join(grid, "voxel_id").groupBy("scan_id", "t").applyInPandas(one, ", ".join(f"{k} {v}" for k, v in names.items()))
+    """Gaussian smoothing inside the grid's voxels. A group is a brick of one frame, with its halo."""
+    ends = grid.agg(*[f(c).alias(f"{n}{c}") for c in "xyz" for n, f in (("least", F.min), ("most", F.max))]).first()
+    if ends["mostx"] is None:
+        return bold.limit(0).select("scan_id", "t", "voxel_id", "value")
+    near = [F.col(c) - ends[f"least{c}"] for c in "xyz"]
+    own = grid.select("voxel_id", *[n.cast("int").alias(c) for n, c in zip(near, "xyz", strict=True)])
+    shape = tuple(ends[f"most{c}"] - ends[f"least{c}"] + 1 for c in "xyz")
+    out = bricks.smoothed(bold.select("scan_id", "t", "voxel_id", "value").join(own, "voxel_id"), shape, fwhm, spacing)
+    return out.join(own, ["x", "y", "z"]).select("scan_id", "t", "voxel_id", "value")
 
 
 def clean(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..kernels import spatial
 from ..sources.shared import written
-from . import aggregates, frames, joins, series
+from . import aggregates, bricks, frames, joins, series
 
 
 def edge_mask(grid: DataFrame) -> DataFrame:
@@ -95,31 +95,85 @@ def resampled(values: DataFrame, target: DataFrame, matrix: list[list[float]] |
     return out.withColumn("value", F.greatest("value", F.lit(0.0))) if clip else out
 
 
-def resampled_volumes(values: DataFrame, source: tuple[int, int, int], target: tuple[int, int, int], matrix: list[list[float]] | np.ndarray, kind: str = "bspline", clip: bool = False) -> DataFrame:
-    """``values`` (keys..., x, y, z, value) of a whole grid on another grid, whose indices the matrix takes to those of the source.
+def field(rows: DataFrame, spacing: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
+    """A displacement field (x, y, z, dx, dy, dz in voxels) from a vector image read as a scan whose frames are the three components, in units of ``spacing``."""
+    part = [(F.max(F.when(F.col("t") == k, F.col("value"))) / s).alias(f"d{c}") for k, (c, s) in enumerate(zip("xyz", spacing, strict=True))]
+    return rows.groupBy("x", "y", "z").agg(*part)
 
-    kind: linear, bspline (cubic), or the windowed sincs lanczos and cosine of
-    three voxels' reach.  Splines take in a whole volume, so a group is one
-    volume, that is one frame of a scan; voxels without a row count as 0.
-    clip sets negative values to 0.
+
+def displaced(points: DataFrame, moves: DataFrame) -> DataFrame:
+    """Points (keys..., x, y, z, px, py, pz) moved by a displacement field, interpolated linearly; outside of the field nothing moves.
+
+    Each point meets the field at its eight corners by an equi-join.
     """
-    if kind not in spatial.INTERPOLATORS:
-        raise ValueError(f"unknown interpolator: {kind}")
-    keys = [c for c in values.columns if c not in ("x", "y", "z", "value", "voxel_id")]
-    grid = np.indices(target).reshape(3, -1)
-    move = np.array(matrix, float)
+    keys = [c for c in points.columns if c not in ("px", "py", "pz")]
+    corners = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(k, "abc")]) for k in np.ndindex(2, 2, 2)])).alias("k")
+    at = [(F.floor(f"p{c}") + F.col(f"k.{a}")).cast("int").alias(f"c{c}") for c, a in zip("xyz", "abc")]
+    weight = F.lit(1.0)
+    for c, a in zip("xyz", "abc"):
+        rest = F.col(f"p{c}") - F.floor(f"p{c}")
+        weight = weight * F.when(F.col(f"k.{a}") == 1, rest).otherwise(1 - rest)
+    spread = points.select("*", corners).select(*points.columns, *at, weight.alias("w"))
+    known = moves.select(*[F.col(c).alias(f"c{c}") for c in "xyz"], "dx", "dy", "dz")
+    met = spread.join(known, ["cx", "cy", "cz"], "left")
+    shift = lambda c: F.sum(F.col("w") * F.coalesce(f"d{c}", F.lit(0.0)))
+    return met.groupBy(*keys).agg(*[(F.max(f"p{c}") + shift(c)).alias(f"p{c}") for c in "xyz"])
 
-    def one(pdf):
-        import pandas as pd
 
-        volume = np.zeros(source)
-        volume[pdf["x"], pdf["y"], pdf["z"]] = pdf["value"]
-        out = spatial.interpolated(volume, (move[:3, :3] @ grid + move[:3, 3:]).T, kind)
-        return pd.DataFrame({**{k: pdf[k].iloc[0] for k in keys}, **dict(zip("xyz", grid)), "value": np.maximum(out, 0) if clip else out})
+def moved(points: DataFrame, transforms: list[tuple[list[list[float]] | np.ndarray | DataFrame, bool]]) -> DataFrame:
+    """Points (keys..., x, y, z, px, py, pz) taken through a list of (matrix or displacement field, inverse), last to first.
 
-    schema = ", ".join([*(f"`{k}` {values.schema[k].dataType.simpleString()}" for k in keys), "x int, y int, z int, value double"])
-    by = keys or [F.lit("all")]
-    return values.select(*keys, "x", "y", "z", "value").groupBy(*by).applyInPandas(one, schema)
+    Neighbouring matrices become one.  A field has no inverse here: where one
+    is needed it is a field of its own, as registration tools write it.
+    """
+    waiting: list = []
+
+    def settle(points):
+        if not waiting:
+            return points
+        p = transform(tuple(F.col(f"p{c}") for c in "xyz"), chain(waiting[::-1]).tolist())
+        waiting.clear()
+        return points.withColumns({f"p{c}": v for c, v in zip("xyz", p)})
+
+    for step, inverse in reversed(transforms):
+        if isinstance(step, DataFrame):
+            if inverse:
+                raise ValueError("a displacement field can't be inverted; give the inverse field")
+            points = displaced(settle(points), step)
+        else:
+            waiting.append((step, inverse))
+    return settle(points)
+
+
+def resampled_volumes(values: DataFrame, source: tuple[int, int, int], target: tuple[int, int, int], transforms, kind: str = "bspline", clip: bool = False, side: int = bricks.SIDE) -> DataFrame:
+    """``values`` (keys..., x, y, z, value) of a whole grid on another grid, whose indices the transforms take to those of the source.
+
+    transforms: a matrix, or a list of (matrix or displacement field, inverse)
+    applied last to first; values are interpolated once.  kind: linear, bspline
+    (cubic), or the windowed sincs lanczos and cosine of three voxels' reach.
+    No group is larger than a brick with its halo, or a line for splines;
+    voxels without a row count as 0.  clip sets negative values to 0.
+    """
+    if kind not in spatial.INTERPOLATORS:
+        raise ValueError(f"unknown interpolator: {kind}")
+    steps = transforms if isinstance(transforms, list) and transforms and isinstance(transforms[0], tuple) else [(transforms, False)]
+    return bricks.resampled(values, source, moved(bricks.grid_points(values, target), steps), kind, clip, side)
+
+
+def realigned(values: DataFrame, shape: tuple[int, int, int], motion: DataFrame, kind: str = "bspline", side: int = bricks.SIDE) -> DataFrame:
+    """Frames (scan_id, t, x, y, z, value) at the places to which their motion parameters take the grid's points."""
+    m = [F.col(c) for c in ("mov1", "mov2", "mov3")]
+    (sa, ca), (sb, cb), (sc, cc) = ((F.sin(f"rot{k}"), F.cos(f"rot{k}")) for k in (1, 2, 3))
+    x, y, z = (F.col(f"p{c}") for c in "xyz")
+    u, v = cc * x - sc * y, sc * x + cc * y  # about z, then y, then x
+    u, w = cb * u + sb * z, -sb * u + cb * z
+    v, w = ca * v - sa * w, sa * v + ca * w
+    at = F.explode(F.sequence(F.lit(0), F.lit(int(np.prod(shape)) - 1))).alias("i")
+    nx, ny, nz = shape
+    grid = [F.floor(F.col("i") / (ny * nz)), F.floor(F.col("i") / nz) % ny, F.col("i") % nz]
+    points = motion.select("*", at).select("*", *[g.cast("int").alias(c) for g, c in zip(grid, "xyz")], *[g.cast("double").alias(f"p{c}") for g, c in zip(grid, "xyz")])
+    points = points.select("scan_id", "t", "x", "y", "z", *[(p + q).alias(n) for p, q, n in zip(m, (u, v, w), ("px", "py", "pz"))])
+    return bricks.resampled(values, shape, points, kind, side=side)
 
 
 def respaced(shape: tuple[int, int, int], old: tuple[float, ...], new: tuple[float, ...]) -> tuple[tuple[int, ...], np.ndarray]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import frame_queries, registry, stat_queries  # noqa: F401  they register their queries
+from . import frame_queries, registry, space_queries, stat_queries  # noqa: F401  they register their queries
 
 
 def queries() -> dict:

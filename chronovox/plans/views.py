@@ -39,6 +39,18 @@ def grid(spark, d) -> DataFrame:
     return table(spark, d, "embeddings").select(v.alias("voxel_id"), (v % 10).cast("int").alias("x"), (F.floor(v / 10) % 10).cast("int").alias("y"), F.floor(v / 100).cast("int").alias("z"))
 
 
+#: The grid of the view ``texture``: 500 vectors of 64 components are one volume.
+TEXTURE = (40, 40, 20)
+
+
+def texture(spark, d) -> DataFrame:
+    """scan_id, x, y, z, value: a volume for every 500 vectors, each vector an 8 x 8 tile of a slice."""
+    v = F.col("vec_id")
+    e = table(spark, d, "embeddings").select(v, F.posexplode("embedding").alias("c", "value"))
+    at = [(v % 5) * 8 + F.col("c") % 8, F.floor(v / 5) % 5 * 8 + F.floor(F.col("c") / 8), F.floor(v / 25) % 20]
+    return e.select(F.concat(F.lit("v"), F.floor(v / 500).cast("string")).alias("scan_id"), *[a.cast("int").alias(c) for a, c in zip(at, "xyz")], F.col("value").cast("double").alias("value"))
+
+
 #: Fixed value: labels that stand for tissues.
 TISSUES = {1: "WM_signal", 2: "CSF_signal", 3: "vascular_signal"}
 

@@ -33,8 +33,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def dropped(*tables: DataFrame) -> None:
-    """Delete tables of written() that nothing reads any more."""
+    """Delete tables of written() or bucketed() that nothing reads any more."""
     for table in tables:
+        if hasattr(table, "table"):
+            table.sparkSession.sql(f"DROP TABLE IF EXISTS {table.table}")
         context = table.sparkSession.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(table.stored_at)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def bucketed(df: DataFrame, name: str, *columns: str) -> DataFrame:
+    """Write ``df`` to the shared folder, dealt and sorted by ``columns``, so that joins on them leave it where it is."""
+    spark, table = df.sparkSession, f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    path = shared_dir(spark, name)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, *columns).write.bucketBy(n, *columns).sortBy(*columns).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    out.stored_at, out.table = path, table
+    return out
