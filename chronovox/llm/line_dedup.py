@@ -17,9 +17,9 @@ no repeat is lost; the count by whole keys makes the result exact.
 
 Defined cases: a null or empty text is one empty line, whose key is too short
 to count; rows are documents, also where ids repeat or are null; a line that
-occurs several times in a document counts once; the first occurrence is that
-with the least (id, line), null ids first; a text is taken whole, however
-long.
+occurs several times in a document counts once; the first occurrence is one
+line of one row, that with the least (id, line), null ids first, of any type of
+id; among rows of one id it is any one; a text is taken whole, however long.
 """
 
 from __future__ import annotations
@@ -179,10 +179,10 @@ def lines_of(docs: DataFrame, least: int, *more: str) -> DataFrame:
 
 
 def repeated(docs: DataFrame, least_documents: int, least: int, first: bool = True) -> DataFrame:
-    """Pass 2: key, n_documents and, if wanted, first (doc_id, line) of every key in enough documents."""
-    lines = lines_of(docs.select(F.col("doc_id").cast("long"), "text"), least, *["doc_id"] * first)
+    """Pass 2: key, n_documents and, if wanted, first (doc_id, line, row) of every key in enough documents; then ``docs`` has ``row``, too."""
+    lines = lines_of(docs, least, *["doc_id", "row"] * first)
     found = lines.join(suspects(docs, least_documents, least), "h", "left_semi").groupBy("key")
-    exact = found.agg(F.count("*").alias("n_documents"), *[F.min(F.struct("doc_id", "line")).alias("first")] * first)
+    exact = found.agg(F.count("*").alias("n_documents"), *[F.min(F.struct("doc_id", "line", "row")).alias("first")] * first)
     return common.written(exact.where(F.col("n_documents") >= least_documents), "repeated-lines")
 
 
@@ -197,11 +197,15 @@ def drop_repeated_lines(docs: DataFrame, least_documents: int = 10, least_chars:
     if keep not in ("none", "first"):
         raise ValueError("keep is none or first")
     spark = common.text_session(docs.sparkSession)
-    frequent = repeated(docs, least_documents, least_chars, keep == "first")
+    # For first occurrences rows get a number, which is fixed by writing them. A column holds the whole row, so no name can clash.
+    number = lambda: common.written(docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("row")), "numbered-documents")
+    numbered = number() if keep == "first" else None
+    frequent = repeated(numbered.select("whole.doc_id", "whole.text", "row") if numbered else docs.select("text"), least_documents, least_chars, keep == "first")
     size = frequent.agg(F.coalesce(F.sum(F.octet_length("key") + BYTES_PER_KEY), F.lit(0)).alias("n")).first()["n"]
     docs = docs.drop("n_lines", "n_dropped") if counts else docs
     schema = common.wider(docs.schema, n_lines="long", n_dropped="long") if counts else docs.schema
-    at, id_at, width, names = docs.columns.index("text"), docs.columns.index("doc_id"), len(docs.columns), schema.names
+    at, width, names = docs.columns.index("text"), len(docs.columns), schema.names
+    whole = [F.col(f"whole.`{c}`").alias(c) for c in docs.columns]
 
     def cleaned(batch, dropped):
         """``dropped`` gives, for a row's number, a test of (line's number, line)."""
@@ -219,7 +223,7 @@ def drop_repeated_lines(docs: DataFrame, least_documents: int = 10, least_chars:
         return pa.RecordBatch.from_arrays([*columns, *extra], names=names)
 
     if size <= sent_bytes:
-        sent = spark.sparkContext.broadcast({bytes(r["key"]): (r["first"]["doc_id"], r["first"]["line"]) if keep == "first" else None for r in frequent.collect()})
+        sent = spark.sparkContext.broadcast({bytes(r["key"]): (r["first"]["row"], r["first"]["line"]) if keep == "first" else None for r in frequent.collect()})
 
         def clean(batches):
             first = sent.value
@@ -227,16 +231,16 @@ def drop_repeated_lines(docs: DataFrame, least_documents: int = 10, least_chars:
                 if keep == "none":
                     yield cleaned(batch, lambda i: lambda k, line: key_of(line) in first)
                 else:
-                    ids = batch.column(id_at).to_pylist()
-                    yield cleaned(batch, lambda i, ids=ids: lambda k, line: (place := first.get(key_of(line))) is not None and place != (ids[i], k))
+                    rows = batch.column(width).to_pylist()
+                    yield cleaned(batch, lambda i, rows=rows: lambda k, line: (place := first.get(key_of(line))) is not None and place != (rows[i], k))
 
-        return docs.mapInArrow(clean, schema)
+        return (numbered.select(*whole, F.col("row").alias("number of the row")) if numbered else docs).mapInArrow(clean, schema)
 
-    # Too many keys to send: rows get a number that is fixed by writing them, and their lines are joined. A column holds the whole row, so no name can clash.
-    numbered = common.written(docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("row")), "numbered-documents")
-    lines = lines_of(numbered.select("row", F.col("whole.doc_id").cast("long").alias("doc_id"), "whole.text"), least_chars, "row", "doc_id").join(frequent, "key")
+    # Too many keys to send: lines are joined with them.
+    numbered = numbered or number()
+    lines = lines_of(numbered.select("row", "whole.text"), least_chars, "row").join(frequent, "key")
     if keep == "first":
-        lines = lines.withColumn("kept", F.when(F.col("doc_id").eqNullSafe(F.col("first.doc_id")), F.col("first.line")))
+        lines = lines.withColumn("kept", F.when(F.col("row") == F.col("first.row"), F.col("first.line")))
     else:
         lines = lines.withColumn("kept", F.lit(None).cast("int"))
     lost = lines.groupBy("row").agg(F.collect_list(F.struct("key", "kept")).alias("lost"))
@@ -246,4 +250,4 @@ def drop_repeated_lines(docs: DataFrame, least_documents: int = 10, least_chars:
             lost = [{x["key"]: x["kept"] for x in of_row or ()} for of_row in batch.column(width).to_pylist()]
             yield cleaned(batch, lambda i, lost=lost: lambda k, line: (key := key_of(line)) in lost[i] and lost[i][key] != k)
 
-    return numbered.join(lost, "row", "left").select(*[F.col(f"whole.`{c}`").alias(c) for c in docs.columns], F.col("lost").alias("lost lines of the row")).mapInArrow(clean_joined, schema)
+    return numbered.join(lost, "row", "left").select(*whole, F.col("lost").alias("lost lines of the row")).mapInArrow(clean_joined, schema)

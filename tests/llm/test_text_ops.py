@@ -119,6 +119,18 @@ def test_a_full_filter_suspects_more_and_changes_nothing(spark, monkeypatch):
     assert got == dict(enumerate(plain_dedup(texts, 4)))
 
 
+@pytest.mark.parametrize("limits", [{}, {"sent_bytes": -1}])
+def test_the_first_occurrence_is_one_line_of_any_type_of_id(spark, limits):
+    for kind, ids, least in (("string", ["b", "a", "a", "c"], "a"), ("long", [5, 1, 1, 2], 1), ("string", ["10", "9", "9", None], None)):
+        rows = [(i, "same\nsame", 1) for i in ids]
+        frame = spark.createDataFrame(rows, f"doc_id {kind}, text string, row int").repartition(3)
+        got = line_dedup.drop_repeated_lines(frame, 3, keep="first", **limits).collect()
+        assert sum(r.n_lines - r.n_dropped for r in got) == 1
+        assert [r.doc_id for r in got if r.text] == [least]
+    none = line_dedup.drop_repeated_lines(spark.createDataFrame([("x", "a", 1)] * 3, "doc_id string, text string, row int"), 3, **limits)
+    assert {r.text for r in none.collect()} == {""}
+
+
 def test_lines_keep_columns_and_nulls(spark):
     docs = documents(spark, ["a\nb", None, "a", "a"])
     clean = line_dedup.drop_repeated_lines(docs, 3, counts=False)
