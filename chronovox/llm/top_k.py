@@ -1,7 +1,9 @@
 """Exact top-k search by inner product.
 
-Vectors are integers (each component times ``scale``, rounded down), so
-scores are exact.  Candidates are sorted by length, longest first, and packed
+Vectors are integers (each component times ``scale``, rounded down), and so are
+scores: sums of doubles where the product of the lengths is below 2^53, where
+every such sum is exact, and 64-bit integers elsewhere.  A score that no long
+holds raises an error.  Candidates are sorted by length, longest first, and packed
 into parts of bounded size.  Queries are packed into blocks of bounded size.
 A part meets every block in one task, which holds the part and lets the
 blocks pass: a stated query set against all rows, in blocks.
@@ -47,13 +49,15 @@ TILE, ROWS, FIRST = 1024, 512, 8
 #: A pair is scored by itself if under this share of a tile is left, and in one product of the tile otherwise.
 SPARSE = 0.05
 NO_ID, LARGE = np.iinfo(np.int64).max - 1, np.iinfo(np.int64).max
+#: Less than any score; sums of whole doubles below this bound are exact; the first number beyond a long.
+NONE, EXACT, BEYOND = np.iinfo(np.int64).min, 2.0**53, 2.0**63
 
 
 class Best:
     """The k best (score, -vec_id) of each query, kept as two matrices."""
 
     def __init__(self, queries: int, k: int):
-        self.score = np.full((queries, k), -np.inf)
+        self.score = np.full((queries, k), NONE)
         self.id = np.full((queries, k), LARGE)
         self.k = k
 
@@ -65,7 +69,7 @@ class Best:
         q = np.concatenate([query, np.repeat(asked, self.k)])
         s = np.concatenate([score, self.score[asked].ravel()])
         v = np.concatenate([ids, self.id[asked].ravel()])
-        order = np.lexsort((v, -s, q))
+        order = np.lexsort((v, ~s, q))  # ~s falls as s rises, and has no overflow
         q, s, v = q[order], s[order], v[order]
         place = np.arange(len(q)) - np.searchsorted(q, q)
         keep = place < self.k
@@ -89,6 +93,8 @@ class Vectors:
     def __init__(self, x: np.ndarray, ids: np.ndarray, rows: np.ndarray, space: Space | None = None):
         self.x, self.id, self.row = x, ids, rows
         self.length = np.sqrt((x**2).sum(axis=1))
+        if len(x) and not np.isfinite(self.length).all():
+            raise OverflowError("a vector is too long for scores in whole numbers of 64 bits")
         if space is not None:
             self.turned = x @ space.turn
             parts = [(self.turned[:, a:b] ** 2).sum(axis=1) for a, b in zip(space.steps, space.steps[1:])]
@@ -100,6 +106,16 @@ class Vectors:
         return cls(np.frombuffer(row["x"]).reshape(len(ids), -1), ids, np.frombuffer(row["rows"], np.int64), space)
 
 
+def products(x: np.ndarray, y: np.ndarray, longest: float) -> np.ndarray:
+    """Inner products of rows as integers; ``longest`` bounds the product of two lengths."""
+    near = np.einsum("ij,ij->i", x, y)
+    if longest < EXACT:
+        return near.astype(np.int64)
+    if max(np.abs(x).max(initial=0), np.abs(y).max(initial=0)) >= BEYOND or np.abs(near).max(initial=0) >= BEYOND * (1 - 1e-9):
+        raise OverflowError("a score is beyond 64 bits")
+    return np.einsum("ij,ij->i", x.astype(np.int64), y.astype(np.int64))  # what overflows on the way comes back, as the sum fits
+
+
 def search(best: Best, threshold: np.ndarray, queries: Vectors, candidates: Vectors, space: Space) -> int:
     """Offer to ``best`` every candidate that may be among a query's k best; candidates in descending order of length.
 
@@ -129,24 +145,26 @@ def search(best: Best, threshold: np.ndarray, queries: Vectors, candidates: Vect
             rows, columns = np.nonzero(alive)
             if not len(rows):
                 continue
-            if len(rows) < SPARSE * alive.size:
-                score = np.einsum("ij,ij->i", queries.x[q[rows]], candidates.x[c[columns]])
+            longest = float(queries.length[q].max() * candidates.length[at])
+            if longest >= EXACT or len(rows) < SPARSE * alive.size:
+                score = products(queries.x[q[rows]], candidates.x[c[columns]], longest)
             else:
-                score = (queries.x[q] @ candidates.x[c].T)[rows, columns]
+                score = (queries.x[q] @ candidates.x[c].T)[rows, columns].astype(np.int64)
             enough = score >= need[q[rows]]
             best.offer(q[rows[enough]], score[enough], candidates.id[c[columns[enough]]])
     return scored
 
 
 def packs(rows: DataFrame, per_pack: int, dimension: int) -> DataFrame:
-    """``rows`` (id, row, x) packed: ids, rows and x of up to ``per_pack`` rows in a row's order, as bytes."""
+    """``rows`` (id, row, x) packed: ids, rows and x of up to ``per_pack`` rows in a row's order, as bytes, and the greatest length."""
 
     def run(batches):
         held, size = [], 0
 
         def done():
-            columns = [pa.array([np.concatenate([h[k] for h in held]).tobytes()], pa.binary()) for k in range(3)]
-            return pa.RecordBatch.from_arrays(columns, names=["ids", "rows", "x"])
+            columns = [np.concatenate([h[k] for h in held]) for k in range(3)]
+            longest = np.sqrt((columns[2].reshape(-1, dimension) ** 2).sum(axis=1).max())
+            return pa.RecordBatch.from_arrays([*(pa.array([c.tobytes()], pa.binary()) for c in columns), pa.array([longest])], names=["ids", "rows", "x", "longest"])
 
         for batch in batches:
             ids = common.column(batch, "id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
@@ -162,7 +180,7 @@ def packs(rows: DataFrame, per_pack: int, dimension: int) -> DataFrame:
         if size:
             yield done()
 
-    return rows.select("id", "row", "x").mapInArrow(run, "ids binary, rows binary, x binary")
+    return rows.select("id", "row", "x").mapInArrow(run, "ids binary, rows binary, x binary, longest double")
 
 
 def gram_of(rows: DataFrame, dimension: int) -> np.ndarray:
@@ -195,7 +213,9 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_
     spark = vectors.sparkSession
     v = F.col(vector_col)
     usable = v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
-    whole = F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("double"))
+    # beyond 2^53 a double is whole, and floor() would hold it within a long
+    down = lambda y: F.when(F.abs(y) < EXACT, F.floor(y).cast("double")).otherwise(y)
+    whole = F.transform(v, lambda x: down(x.cast("double") * scale))
     # Also the square of the length, an exact integer, to sort rows by.
     source = vectors.where(usable).select(F.col(id_col).cast("long").alias("id"), whole.alias("x")).withColumn("square", F.aggregate("x", F.lit(0.0), lambda a, b: a + b * b))
     sizes = source.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
@@ -212,24 +232,27 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_
     first = spark.sparkContext.broadcast((space, np.array([r["x"] for r in seed]), np.array([NO_ID if r["id"] is None else r["id"] for r in seed], np.int64), np.array([r["row"] for r in seed], np.int64)))
 
     def begun(batches):
-        """Each block's first k-th scores."""
+        """Each block's first k-th scores, and how long a candidate must be to reach one of them."""
         space, x, ids, rows = first.value
         longest = Vectors(x, ids, rows, space)
         for batch in batches:
-            scores = []
+            scores, wanted = [], []
             for row in batch.to_pylist():
                 queries = Vectors.packed(row, space)
                 best = Best(len(queries.x), k)
-                search(best, np.full(len(queries.x), -np.inf), queries, longest, space)
+                search(best, np.full(len(queries.x), NONE), queries, longest, space)
                 scores.append(best.score[:, -1].tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.binary())], names=[*batch.schema.names, "least"])
+                least = np.where(queries.length > 0, best.score[:, -1] / np.maximum(queries.length, 1e-300), np.where(best.score[:, -1] > 0, np.inf, 0))
+                wanted.append(float(least.min()) * (1 - 1e-6) - 1e-6)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.binary()), pa.array(wanted)], names=[*batch.schema.names, "least", "wanted"])
 
-    # Packs of candidates are numbered; every block of queries goes to every part, after the part itself.
+    # Packs of candidates are numbered; a block of queries goes to every part that is long enough, after the part itself.
     parts = common.written(packs(known, per_part, dimension).withColumn("part", F.monotonically_increasing_id()), "candidates")
-    blocks = common.written(packs(asked.repartition(common.scan_partitions(asked)), per_block, dimension).mapInArrow(begun, "ids binary, rows binary, x binary, least binary"), "queries")
-    numbers = [r["part"] for r in parts.select("part").collect()]  # one number per PART_BYTES of the table
+    blocks = common.written(packs(asked.repartition(common.scan_partitions(asked)), per_block, dimension).mapInArrow(begun, "ids binary, rows binary, x binary, longest double, least binary, wanted double"), "queries")
+    numbers = [(r["part"], r["longest"]) for r in parts.select("part", "longest").collect()]  # two numbers per PART_BYTES of the table
     places = parts.select("part", "ids", "rows", "x", F.lit(None).cast("binary").alias("least"))
-    passing = blocks.select(F.explode(F.lit(numbers)).alias("part"), "ids", "rows", "x", "least")
+    known_parts = F.array(*[F.struct(F.lit(n).alias("part"), F.lit(longest).alias("longest")) for n, longest in numbers])
+    passing = blocks.select(F.explode(F.filter(known_parts, lambda p: p["longest"] >= F.col("wanted"))).alias("to"), "ids", "rows", "x", "least").select("to.part", "ids", "rows", "x", "least")
     meeting = places.union(passing).repartition(len(numbers), "part").sortWithinPartitions("part", F.asc_nulls_first("least"))
 
     def run(batches):
@@ -242,11 +265,11 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_
                     continue
                 queries = Vectors.packed(row, space)
                 best = Best(len(queries.x), k)
-                search(best, np.frombuffer(row["least"]), queries, held, space)
-                q, place = np.nonzero(np.isfinite(best.score))
+                search(best, np.frombuffer(row["least"], np.int64), queries, held, space)
+                q, place = np.nonzero(best.id != LARGE)
                 ids = best.id[q, place]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(queries.row[q]), pa.array(queries.id[q]), pa.array(ids, mask=ids == NO_ID), pa.array(best.score[q, place].astype(np.int64))],
+                    [pa.array(queries.row[q]), pa.array(queries.id[q]), pa.array(ids, mask=ids == NO_ID), pa.array(best.score[q, place])],
                     names=["query", "query_id", "vec_id", "score"],
                 )
 

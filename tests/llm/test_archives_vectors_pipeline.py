@@ -135,13 +135,43 @@ def test_bounds_spare_most_pairs_of_a_decaying_spectrum():
     everything = top_k.Vectors(x, np.arange(4000), np.arange(4000), space)
     queries = top_k.Vectors(x[::40], np.arange(0, 4000, 40), np.arange(0, 4000, 40), space)
     best = top_k.Best(100, 5)
-    scored = top_k.search(best, np.full(100, -np.inf), queries, everything, space)
+    scored = top_k.search(best, np.full(100, top_k.NONE), queries, everything, space)
     score = x[::40] @ x.T
     score[np.arange(100), np.arange(0, 4000, 40)] = -np.inf
     assert (best.score == -np.sort(-score, axis=1)[:, :5]).all()
     assert scored < 0.5 * 100 * 4000
 
 
+@pytest.mark.parametrize("size", [1.0, 1e3, 1e5, 1e6])
+def test_scores_of_large_components_are_exact(spark, size):
+    x = np.random.default_rng(8).normal(size=(60, 64)) * size
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    got = top_k.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 5, 10).collect()
+    scores = {i: sorted((-sum(math.floor(256 * a) * math.floor(256 * b) for a, b in zip(v, w)), j) for j, w in rows if j != i) for i, v in rows if i % 10 == 0}
+    assert sorted(map(tuple, got)) == [(i, r, j, -s) for i, best in scores.items() for r, (s, j) in enumerate(best[:5], 1)]
+
+
+def test_a_score_beyond_a_long_raises(spark):
+    for value in (1e30, 1e200, 3e7):
+        rows = [(i, [value] * 64) for i in range(4)]
+        with pytest.raises(Exception, match="64 bits"):
+            top_k.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 5, 2).collect()
+
+
+def test_blocks_go_only_to_parts_that_can_reach_them(spark, monkeypatch):
+    monkeypatch.setattr(top_k, "SEED", 32)
+    x = np.abs(np.random.default_rng(9).normal(size=(600, 8))) * 100 * (0.99 ** np.arange(600))[:, None]
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    kept = {}
+    written = top_k.common.written
+    monkeypatch.setattr(top_k.common, "written", lambda df, name: kept.setdefault(name, written(df, name)))
+    got = top_k.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 3, 7, part_bytes=40 * 64, block_bytes=20 * 64).collect()
+    parts, blocks = ([r[c] for r in kept[name].collect()] for name, c in (("candidates", "longest"), ("queries", "wanted")))
+    assert 0 < sum(longest >= wanted for longest in parts for wanted in blocks) < 0.5 * len(parts) * len(blocks)
+    best = {q: sorted((-sum(math.floor(256 * a) * math.floor(256 * b) for a, b in zip(rows[q][1], w)), j) for j, w in rows if j != q)[:3] for q in range(0, 600, 7)}
+    assert sorted(map(tuple, got)) == [(q, r, j, -s) for q, found in best.items() for r, (s, j) in enumerate(found, 1)]
+
+
 def test_top_k_of_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     assert top_k.top_k(spark.createDataFrame([], schema)).count() == 0
