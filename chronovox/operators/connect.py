@@ -188,8 +188,18 @@ def dimension_search(data: DataFrame, priors: DataFrame, most: int = 20, window:
     return series.per_row(moments(rows), one, "scan_id string, i int, temporal int, spatial int, corr double, diff double, chosen int")
 
 
+def model_orders(data: DataFrame) -> DataFrame:
+    """scan_id and ``components``: how many principal components of a scan stand out, from the eigenvalues of its frames' covariance over voxels (linear.model_order())."""
+
+    def one(row):
+        g = series.square(row["gram"])
+        yield row["scan_id"], linear.model_order(linear.spectrum(g), g[-1, -1])
+
+    return series.per_row(moments(data), one, "scan_id string, components int")
+
+
 def separated(data: DataFrame, components: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """ICA of every scan_id: rows (scan_id, x, z) with traces and maps' weights, and the data.
+    """ICA of every scan_id: rows (scan_id, x, z) with traces and maps' weights, and the data; of no ``components``, each scan's own order (model_orders()).
 
     Whitening follows from second moments over voxels, and the cubic FastICA
     from fourth moments of the white variables.  Both are sums over voxels,
@@ -198,7 +208,8 @@ def separated(data: DataFrame, components: int, seed: int) -> tuple[DataFrame, D
     gram = written(moments(data), "second-moments")
 
     def white(row):
-        yield row["scan_id"], linear.whitening(series.square(row["gram"]), components).tolist()
+        g = series.square(row["gram"])
+        yield row["scan_id"], linear.whitening(g, components or linear.model_order(linear.spectrum(g), g[-1, -1])).tolist()
 
     turn = written(series.per_row(gram, white, "scan_id string, x array<array<double>>"), "whitening")
     rows = data.select("scan_id", F.concat("v", F.array(F.lit(1.0))).alias("v")).join(turn, "scan_id")
@@ -215,27 +226,29 @@ def separated(data: DataFrame, components: int, seed: int) -> tuple[DataFrame, D
     return data, written(series.per_row(fourth.join(turn, "scan_id").join(gram, "scan_id"), split, FITTED), "separated")
 
 
-def group_components(data: DataFrame, components: int, seed: int = 0) -> DataFrame:
+def group_components(data: DataFrame, components: int = 0, seed: int = 0) -> DataFrame:
     """Group ICA: (comp, voxel_id, value).
 
     Every scan is reduced to its own leading frame patterns, from its Gram
     matrix; the patterns of all scans are put after one another, voxel by
-    voxel, and separated like one scan.
+    voxel, and separated like one scan.  With ``components`` 0 the number comes
+    from the evidence, for each scan and then for all.
     """
     if data.agg(F.min(F.size("v")) != F.max(F.size("v"))).first()[0]:
         raise ValueError("scans have different numbers of frames")
 
     def patterns(row):
         values, vectors = np.linalg.eigh(series.square(row["gram"]))
-        yield row["scan_id"], vectors[:, ::-1][:, :components].T.tolist()
+        yield row["scan_id"], vectors[:, ::-1][:, : components or linear.model_order(values / row["voxels"], row["voxels"])].T.tolist()
 
-    basis = series.per_row(series.frame_gram(data, centre=True), patterns, "scan_id string, x array<array<double>>")
+    voxels = data.groupBy("scan_id").agg(F.count("*").cast("double").alias("voxels"))
+    basis = series.per_row(series.frame_gram(data, centre=True).join(voxels, "scan_id"), patterns, "scan_id string, x array<array<double>>")
     low = series.per_voxel(data.join(basis, "scan_id"), lambda y, x: np.array(x, float) @ (y - y.mean(axis=0)), "low array<double>", "x")
     merged = low.groupBy("voxel_id").agg(F.array_sort(F.collect_list(F.struct("scan_id", "low"))).alias("s"))
     merged = written(merged.select(F.lit("all").alias("scan_id"), "voxel_id", F.flatten("s.low").alias("v")), "merged-scans")
     return laid_out(*separated(merged, components, seed)).select("comp", "voxel_id", "value")
 
 
-def scan_components(data: DataFrame, components: int, seed: int = 0) -> DataFrame:
-    """ICA of each scan: kinds map and trace."""
+def scan_components(data: DataFrame, components: int = 0, seed: int = 0) -> DataFrame:
+    """ICA of each scan: kinds map and trace; ``components`` 0 takes each scan's own order."""
     return long_result(*separated(data.select("scan_id", "voxel_id", "v"), components, seed))

@@ -657,7 +657,7 @@ def c7(spark, d):
 
 @query("C8_dimension_search", "scan_id i temporal spatial chosen", "corr diff")
 def c8(spark, d):
-    return connect.dimension_search(emb_series(spark, d), one_prior(spark, d), 5, 3)
+    return connect.dimension_search(emb_series(spark, d), one_prior(spark, d))
 
 
 @query("C9_group_components", "comp voxel_id", "value")
@@ -670,6 +670,51 @@ def m1(spark, d):
     return connect.scan_components(series.to_series(line(spark, d)), 3)
 
 
+# Eigenvalues of a symmetric 3 x 3 matrix by the cosine formula; evidence of one and of two components.
+SPECTRUM = (
+    ("three", "SELECT label, voxel_id, " + ", ".join(f"avg(value) FILTER (WHERE t % 3 = {k}) AS f{k}" for k in range(3)) + " FROM emb GROUP BY ALL"),
+    ("cov", "SELECT label, count(*) AS n, " + ", ".join(f"covar_pop(f{i}, f{j}) AS c{i}{j}" for i in range(3) for j in range(i, 3)) + " FROM three GROUP BY label"),
+    ("mid", "SELECT *, (c00 + c11 + c22) / 3 AS q, sqrt(((c00 - (c00 + c11 + c22) / 3) ** 2 + (c11 - (c00 + c11 + c22) / 3) ** 2 + (c22 - (c00 + c11 + c22) / 3) ** 2 + 2 * (c01 ** 2 + c02 ** 2 + c12 ** 2)) / 6) AS p FROM cov"),
+    ("turned", "SELECT *, acos(greatest(-1, least(1, ((c00 - q) * ((c11 - q) * (c22 - q) - c12 ** 2) - c01 * (c01 * (c22 - q) - c12 * c02) + c02 * (c01 * c12 - (c11 - q) * c02)) / (2 * p ** 3)))) / 3 AS phi FROM mid"),
+    ("lam", "SELECT label, n, q + 2 * p * cos(phi) AS a, 3 * q - (q + 2 * p * cos(phi)) - (q + 2 * p * cos(phi + 2 * pi() / 3)) AS b, q + 2 * p * cos(phi + 2 * pi() / 3) AS c FROM turned"),
+)
+ONE = """-ln(2) + lgamma(1.5) - 1.5 * ln(pi()) - n / 2.0 * ln(a) - n * ln((b + c) / 2) + 1.5 * ln(2 * pi())
+    - (ln((2 / (b + c) - 1 / a) * (a - b)) + ln((2 / (b + c) - 1 / a) * (a - c)) + 2 * ln(n)) / 2 - ln(n) / 2"""
+TWO = """-2 * ln(2) + lgamma(1.5) - 2.5 * ln(pi()) - n / 2.0 * (ln(a) + ln(b) + ln(c)) + 2.5 * ln(2 * pi())
+    - (ln((1 / b - 1 / a) * (a - b)) + ln((1 / c - 1 / a) * (a - c)) + ln((1 / c - 1 / b) * (b - c)) + 3 * ln(n)) / 2 - ln(n)"""
+
+
+@query("C9_model_order", "scan_id components", "", f"SELECT label::VARCHAR AS scan_id, CASE WHEN {TWO} > {ONE} THEN 2 ELSE 1 END::INT AS components FROM lam", SPECTRUM)
+def c9_model_order(spark, d):
+    """Of the voxels of each label, over three frames that average all components of the vectors."""
+    three = [F.avg(F.when(F.col("t") % 3 == k, F.col("value"))) for k in range(3)]
+    data = emb(spark, d).groupBy(F.col("label").cast("string").alias("scan_id"), "voxel_id").agg(F.array(*three).alias("v"))
+    return connect.model_orders(data)
+
+
+@query("C9_group_components_by_evidence", "comp voxel_id", "value")
+def c9_order(spark, d):
+    return connect.group_components(series.to_series(line(spark, d)))
+
+
+@query("M1_scan_components_by_evidence", "scan_id kind comp idx", "value")
+def m1_order(spark, d):
+    return connect.scan_components(series.to_series(line(spark, d)))
+
+
+@query("M1_active_maps", "scan_id comp voxel_id", "value")
+def m1_active(spark, d):
+    """Every frame of the vectors as a map, cut to what the mixture calls active."""
+    maps = bold(spark, d).select("scan_id", F.col("t").alias("comp"), "voxel_id", "value")
+    return aroma.active(maps, aroma.mixtures(maps))
+
+
+@query("M3_fractions_of_active_maps", "comp", "edge_fraction csf_fraction")
+def m3_active(spark, d):
+    tissue = atlas(spark, d).select("voxel_id", *[(F.col("label") == k).alias(n) for k, n in ((4, "edge"), (2, "csf"), (5, "outside"))])
+    return aroma.fractions(aggregates.mask_weights(m1_active(spark, d).select("comp", "voxel_id", F.col("value").alias("weight")), tissue))
+
+
 @query("C10_edge_mask", "voxel_id", "", """
     SELECT a.voxel_id FROM part a WHERE a.x > 0 AND a.y > 0 AND a.z > 0 AND EXISTS (
         SELECT 1 FROM (SELECT unnest(range((SELECT max(x) + 1 FROM part)))::INT AS x) JOIN (SELECT unnest(range((SELECT max(y) + 1 FROM part)))::INT AS y) ON true JOIN (SELECT unnest(range((SELECT max(z) + 1 FROM part)))::INT AS z) ON true
@@ -695,7 +740,7 @@ def c11(spark, d):
 @query("M2_motion_correlation", "scan_id comp", "max_rp_corr")
 def m2(spark, d):
     parts = line(spark, d).groupBy("scan_id", (F.col("voxel_id") % 3).cast("int").alias("comp"), "t").agg(F.avg("value").alias("value"))
-    return aroma.max_motion_correlation(parts, aroma.motion_model(motion(spark, d)), 50)
+    return aroma.max_motion_correlation(parts, aroma.motion_model(motion(spark, d)))
 
 
 FRACTIONS = "CASE WHEN total = 0 THEN 0 WHEN total = csf THEN 1 ELSE (outside + edge) / (total - csf) END AS edge_fraction, CASE WHEN total = 0 THEN 0 WHEN total = csf THEN 1 ELSE csf / total END AS csf_fraction"
