@@ -157,3 +157,50 @@ def high_frequency_content(power: np.ndarray, tr: float, least: float = 0.01) ->
     power, f = power[f > least], f[f > least]
     share = np.cumsum(power, axis=0) / power.sum(axis=0)
     return ((f - least) / (nyquist - least))[np.argmin(np.abs(share - 0.5), axis=0)]
+
+
+def phase_shifted(rows: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """Rows of frames at ``shift`` frames later, by the phases of their Fourier series; each row's straight line is left where it is."""
+    n = rows.shape[1]
+    t = np.arange(n) - (n - 1) / 2
+    mean = rows.mean(axis=1, keepdims=True)
+    line = mean + (rows @ t / max((t**2).sum(), 1e-300))[:, None] * t
+    turn = np.exp(2j * np.pi * np.arange(n // 2 + 1) * np.asarray(shift, float)[:, None] / n)
+    return line + np.fft.irfft(np.fft.rfft(rows - line) * turn, n)
+
+
+def slow_curves(frames: int, waves: int) -> np.ndarray:
+    """Columns: a constant, a line, a parabola, and sines and cosines of 1 to ``waves`` turns."""
+    u = np.linspace(-1, 1, frames)
+    angle = 2 * np.pi * np.arange(frames) / frames
+    turns = [f(k * angle) for k in range(1, waves + 1) for f in (np.sin, np.cos)]
+    return np.stack([np.ones(frames), u, u**2, *turns], axis=1)
+
+
+def least_absolute(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> np.ndarray:
+    """Fitted values (frames, voxels) of the least sum of absolute residuals, by reweighted least squares whose floor falls with the rounds."""
+    size = np.maximum(np.abs(y - np.median(y, axis=0)).mean(axis=0), 1e-300)
+    w = np.ones_like(y)
+    for k in range(rounds):
+        normal = np.einsum("tp,tv,tq->vpq", x, w, x, optimize=True) + 1e-12 * np.eye(x.shape[1])
+        fitted = x @ np.linalg.solve(normal, np.einsum("tp,tv->vp", x, w * y)[..., None])[..., 0].T
+        w = size / np.maximum(np.abs(y - fitted), size * max(1e-9, 0.5**k))
+        w /= w.max(axis=0)
+    return fitted
+
+
+#: From how many deviations a frame is squashed, and where it ends at most.
+SQUASH_FROM, SQUASH_TO = 2.5, 4.0
+
+
+def despiked(y: np.ndarray, waves: int | None = None) -> np.ndarray:
+    """Series (frames, voxels) whose outliers from a slow curve (fitted by least absolute residuals) are drawn towards it; the other frames stay."""
+    n = len(y)
+    waves = n // 30 if waves is None else waves
+    curve = least_absolute(slow_curves(n, waves)[:, : max(1, min(3 + 2 * waves, n - 1))], y)
+    rest = y - curve
+    deviation = 1.4826 * np.median(np.abs(rest), axis=0)
+    s = np.divide(np.abs(rest), deviation, out=np.zeros_like(rest), where=deviation > 0)
+    reach = SQUASH_TO - SQUASH_FROM
+    near = SQUASH_FROM + reach * np.tanh((s - SQUASH_FROM) / reach)
+    return np.where(s > SQUASH_FROM, curve + np.sign(rest) * near * deviation, y)

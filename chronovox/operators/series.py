@@ -145,6 +145,25 @@ def square(cells) -> np.ndarray:
     return cells.reshape(round(np.sqrt(len(cells))), -1)
 
 
+def by_rows(data: DataFrame, kernel: Callable, *more: str, held: int = 1 << 19) -> DataFrame:
+    """scan_id, voxel_id, t and ``v`` after kernel(values (voxels, frames), *columns ``more``) on rows of one length at a time, of whatever scans."""
+    schema = T.StructType([data.schema[c] for c in ("scan_id", "voxel_id", "t")] + [T.StructField("v", T.ArrayType(T.DoubleType()))])
+
+    def run(batches):
+        for batch in batches:
+            column = lambda c, batch=batch: batch.column(batch.schema.get_field_index(c))
+            sizes = column("v").value_lengths().to_numpy()
+            for n in np.unique(sizes):
+                own = np.flatnonzero(sizes == n)
+                for at in range(0, len(own), max(1, held // max(1, int(n)))):
+                    rows = own[at : at + max(1, held // max(1, int(n)))]
+                    values = rows_of(column("v"), rows)
+                    out = kernel(values, *[column(c).to_numpy(zero_copy_only=False)[rows] for c in more]) if n else values
+                    yield pa.RecordBatch.from_arrays([*(column(c).take(pa.array(rows)) for c in ("scan_id", "voxel_id", "t")), lists_of(out)], names=["scan_id", "voxel_id", "t", "v"])
+
+    return data.mapInArrow(run, schema)
+
+
 def per_row(frame: DataFrame, kernel: Callable, schema: str) -> DataFrame:
     """kernel(row as a dict) yields tuples; for frames with one short row per scan."""
 

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..kernels import spatial
+from ..kernels import spatial, spectral
 from ..sources.shared import written
 from . import aggregates, bricks, frames, joins, series
 
@@ -213,16 +213,58 @@ def reference_volume(bold: DataFrame, frames_total: int, realign: Callable[[Data
     return reference
 
 
-def slice_timed(bold: DataFrame, grid: DataFrame, tr: float, slices: int, axis: str = "z") -> DataFrame:
-    """Values at the middle of each frame's acquisition, by linear interpolation between frames; slices in ascending order."""
-    from .frames import by_time
+def acquisition(slices: int, pattern: str) -> list[float]:
+    """When each slice is taken, in frames from the frame's start.
 
-    w = by_time("scan_id", "voxel_id")
-    offset = F.lit(0.5) - F.col(axis) / slices  # how far, in frames, the wanted time lies after the slice's own
-    before, after = F.lag("value").over(w), F.lead("value").over(w)
-    late = F.col("value") + offset * (F.coalesce(after, F.col("value")) - F.col("value"))
-    early = F.col("value") + offset * (F.col("value") - F.coalesce(before, F.col("value")))
-    return bold.join(grid.select("voxel_id", axis), "voxel_id").withColumn("new", F.when(offset >= 0, late).otherwise(early)).select("scan_id", "t", "voxel_id", F.col("new").alias("value"))
+    Patterns: seq+z and seq-z go up and down; alt+z takes every second slice
+    upwards from the first and then those between, alt+z2 from the second;
+    alt-z and alt-z2 the same downwards from the last.
+    """
+    starts = {"seq+z": None, "seq-z": None, "alt+z": 0, "alt-z": 0, "alt+z2": 1, "alt-z2": 1}
+    if pattern not in starts:
+        raise ValueError(f"unknown slice pattern: {pattern}")
+    first = starts[pattern]
+    order = list(range(slices)) if first is None else [*range(first, slices, 2), *range(1 - first, slices, 2)]
+    times = [0.0] * slices
+    for place, k in enumerate(order):
+        times[slices - 1 - k if "-" in pattern else k] = place / slices
+    return times
+
+
+def slice_timed(bold: DataFrame, grid: DataFrame, slices: int, axis: str = "z", pattern: str = "alt-z", method: str = "Fourier", at: float | None = None) -> DataFrame:
+    """Values as if all slices along ``axis`` were taken at ``at`` (in frames; by default the mean of their times).
+
+    Fourier turns the phases of each voxel's series, besides its straight
+    line; linear interpolates between frames.  A group is one voxel's frames.
+    """
+    times = acquisition(slices, pattern)
+    at = sum(times) / slices if at is None else at
+    late = F.element_at(F.array(*[F.lit(at - t) for t in times]), F.col(axis) + 1).alias("late")  # how far the wanted time lies after the slice's own
+    own = bold.join(grid.select("voxel_id", late), "voxel_id")
+    if method == "linear":
+        from .frames import by_time
+
+        w = by_time("scan_id", "voxel_id")
+        before, after = F.lag("value").over(w), F.lead("value").over(w)
+        forward = F.col("value") + F.col("late") * (F.coalesce(after, F.col("value")) - F.col("value"))
+        back = F.col("value") + F.col("late") * (F.col("value") - F.coalesce(before, F.col("value")))
+        return own.withColumn("new", F.when(F.col("late") >= 0, forward).otherwise(back)).select("scan_id", "t", "voxel_id", F.col("new").alias("value"))
+    if method != "Fourier":
+        raise ValueError(f"unknown interpolation in time: {method}")
+    rows = series.to_series(own.select("scan_id", "t", "voxel_id", "value")).join(grid.select("voxel_id", late), "voxel_id")
+    return series.to_bold(series.by_rows(rows.select("scan_id", "voxel_id", "t", "v", "late"), lambda v, late: spectral.phase_shifted(v, late), "late"))
+
+
+def despiked(data: DataFrame, waves: int | None = None) -> DataFrame:
+    """Series (scan_id, voxel_id, t, v) without spikes; waves: turns of the slow curve, a thirtieth of the frames by default."""
+    return series.by_rows(data.select("scan_id", "voxel_id", "t", "v"), lambda v: spectral.despiked(v.T, waves).T)
+
+
+def autobox(values: DataFrame, pad: int = 1, least: float = 0.0) -> DataFrame:
+    """Each scan (scan_id, x, y, z, value and more columns) cut to the box of its voxels over ``least``, ``pad`` voxels wider; coordinates count from the box's corner."""
+    ends = values.where(F.col("value") > least).groupBy("scan_id").agg(*[f(c).alias(f"{n}{c}") for c in "xyz" for n, f in (("low", F.min), ("high", F.max))])
+    inside = values.join(ends, "scan_id").where(" AND ".join(f"{c} BETWEEN low{c} - {pad} AND high{c} + {pad}" for c in "xyz"))
+    return inside.withColumns({c: (F.col(c) - F.greatest(F.col(f"low{c}") - pad, F.lit(0))).cast("int") for c in "xyz"}).drop(*[f"{n}{c}" for c in "xyz" for n in ("low", "high")])
 
 
 def reoriented(grid: DataFrame, direction: list[list[float]], shape: tuple[int, int, int]) -> DataFrame:

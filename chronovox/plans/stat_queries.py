@@ -1050,7 +1050,7 @@ def x7(spark, d):
     SELECT voxel_id, t, CASE WHEN o >= 0 THEN value + o * (coalesce(lead(value) OVER w, value) - value) ELSE value + o * (value - coalesce(lag(value) OVER w, value)) END AS value
     FROM (SELECT voxel_id, t, value, 0.5 - y / 10.0::DOUBLE AS o FROM emb JOIN grid USING (voxel_id)) WINDOW w AS (PARTITION BY voxel_id ORDER BY t)""")
 def x8(spark, d):
-    return volumes.slice_timed(bold(spark, d), grid(spark, d), 1.0, 10, "y")
+    return volumes.slice_timed(bold(spark, d), grid(spark, d), 10, "y", "seq+z", "linear", 0.5)
 
 
 @query("X13_template_spacing", "", "least", "SELECT min(p_size)::DOUBLE AS least FROM part")
