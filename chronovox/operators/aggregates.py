@@ -140,6 +140,13 @@ def variance_explained(fits: DataFrame, *keys: str) -> DataFrame:
     return fits.groupBy(*keys).agg((1 - ratio(F.var_pop("residual"), F.var_pop("value"))).alias("ve"))
 
 
+def variance_explained_by(fits: DataFrame, *sets: list[str]) -> DataFrame:
+    """The same for several sets of keys in one pass: all their columns (null where a set has none), ``level`` (a bit, from the last column up, for each that is missing) and ve."""
+    columns = list(dict.fromkeys(c for s in sets for c in s))
+    grouped = fits.groupingSets([[F.col(c) for c in s] for s in sets], *columns)
+    return grouped.agg(F.grouping_id().alias("level"), (1 - ratio(F.var_pop("residual"), F.var_pop("value"))).alias("ve"))
+
+
 def weighted_ve(by_slice: DataFrame) -> DataFrame:
     """Mean over slices (scan_id, slice, voxels, ve), weighted by voxels."""
     return by_slice.groupBy("scan_id").agg(ratio(F.sum(F.col("ve") * F.col("voxels")), F.sum("voxels").cast("double")).alias("ve"))

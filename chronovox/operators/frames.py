@@ -6,10 +6,13 @@ on original frames never has to be shifted for censored ones.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import options
+from ..sources.shared import dropped, written
 
 
 def by_time(*keys: str):
@@ -90,18 +93,52 @@ def non_binary(mask_values: DataFrame) -> DataFrame:
     return mask_values.where(~F.col("value").isin(0.0, 1.0) | F.col("value").isNull())
 
 
+#: Cells of a key's histogram in a round of order_statistic().
+CELLS = 1024
+
+
+def order_statistic(frame: DataFrame, value: Column, index: Callable[[Column], Column], *keys: str) -> DataFrame:
+    """keys and ``bound``: of each key's values, that at the (whole) index that ``index`` makes of their number, ascending from 0.
+
+    No task sorts a key's values.  Rounds of histograms, for all keys at once,
+    close in on the cell that holds the wanted place, until its least and
+    greatest values are one; a round narrows the range at least a thousandfold.
+    Nulls and NaN come last and give null; infinities count as the greatest
+    doubles.
+    """
+    large = 1.7976931348623157e308
+    v = value.cast("double")
+    own = written(frame.select(*keys, F.when(~F.isnan(v), F.greatest(F.least(v, F.lit(large)), F.lit(-large))).alias("v")), "values")
+    sizes = own.groupBy(*keys).agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("m"), index(F.count(F.lit(1))).cast("long").alias("place"))
+    state = written(sizes, "order-statistic")
+    while (open_ := state.where((F.col("low") < F.col("high")) & (F.col("place") < F.col("m")))).head(1):
+        near = own.join(open_.select(*keys, "low", "high", "place"), list(keys)).where(F.col("v").between(F.col("low"), F.col("high")))
+        share = (F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)  # halves, as the whole range may overflow
+        cell = F.least(F.floor(share * CELLS), F.lit(CELLS - 1)).alias("cell")
+        counts = near.groupBy(*keys, "place", cell).agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("low"), F.max("v").alias("high"))
+        upto = F.sum("m").over(Window.partitionBy(*keys).orderBy("cell"))  # at most CELLS rows a key
+        found = counts.withColumn("upto", upto).where((F.col("upto") > F.col("place")) & (F.col("upto") - F.col("m") <= F.col("place")))
+        found = found.select(*keys, F.struct("low", "high", "m", (F.col("place") - F.col("upto") + F.col("m")).alias("place")).alias("new"))
+        known = state.join(found, list(keys), "left")
+        before, state = state, written(known.select(*keys, *[F.coalesce(f"new.{c}", c).alias(c) for c in ("low", "high", "m", "place")]), "order-statistic")
+        dropped(before)
+    dropped(own)
+    return state.select(*keys, F.when(F.col("place") < F.col("m"), F.col("low")).alias("bound"))
+
+
 def top_percent(maps: DataFrame, percent: float, *keys: str) -> DataFrame:
     """Adds ``top``: whether abs(value) reaches the value at index int((1 - percent/100) n) of all, ascending."""
-    size = maps.groupBy(*keys).agg(F.count("*").alias("__n"))
-    w = Window.partitionBy(*keys).orderBy(F.abs("value").asc_nulls_last())
-    ranked = maps.withColumn("__rank", F.row_number().over(w))
-    at = F.floor(F.lit(1 - percent / 100) * F.col("__n")) + 1
-    bound = ranked.join(size, list(keys)).where(F.col("__rank") == at).select(*keys, F.abs("value").alias("threshold"))
-    return maps.join(bound, list(keys)).withColumn("top", F.abs("value") >= F.col("threshold"))
+    bound = order_statistic(maps, F.abs("value"), lambda n: F.floor(F.lit(1 - percent / 100) * n), *keys)
+    return maps.join(bound.withColumnRenamed("bound", "threshold"), list(keys)).withColumn("top", F.abs("value") >= F.col("threshold"))
+
+
+def map_value_at(maps: DataFrame, share: float, *keys: str) -> DataFrame:
+    """value_at() for keys with any number of rows."""
+    return order_statistic(maps, F.col("value"), lambda n: F.floor(n * share), *keys)
 
 
 def value_at(frame: DataFrame, share: float, *keys: str) -> DataFrame:
-    """The value at index int(n share) of all, ascending."""
+    """The value at index int(n share) of all, ascending; for short groups, such as a voxel's frames, which a task sorts."""
     size = frame.groupBy(*keys).agg(F.count("*").alias("__n"))
     ranked = frame.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.asc_nulls_last("value"))))
     return ranked.join(size, list(keys)).where(F.col("__rank") == F.floor(F.col("__n") * share) + 1).select(*keys, F.col("value").alias("bound"))

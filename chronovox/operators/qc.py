@@ -11,6 +11,9 @@ from ..kernels import spatial, spectral
 from ..sources.shared import dropped, written
 from . import aggregates, frames, series
 
+#: Rows of a block in sums over points.
+BLOCK = 4096
+
 
 def outliers(frame: DataFrame, column: str, threshold: float = 3.5, *keys: str) -> DataFrame:
     """Adds ``outlier``: abs of the modified z score over the threshold; null where the median deviation is 0."""
@@ -138,23 +141,26 @@ def bounds(frame: DataFrame, column: str, edge: float = 1.5) -> DataFrame:
 
 
 def density(frame: DataFrame, column: str, points: int = 50) -> DataFrame:
-    """Gaussian kernel density at evenly spaced points, by Scott's bandwidth.
-
-    Values are counted on a fine grid of the points first, so the sum is over
-    grid cells, not over pairs of values and points.
-    """
-    s = frame.agg(F.count(column).alias("n"), F.min(column).alias("a"), F.max(column).alias("b"), F.stddev_samp(column).alias("s")).first()
+    """Gaussian kernel density at evenly spaced points, by Scott's bandwidth; tasks sum their own rows over the points, in blocks."""
+    schema = "x double, density double"
+    own = frame.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
+    s = own.agg(F.count("v").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"), F.stddev_samp("v").alias("s")).first()
     if not s["n"] or not s["s"]:
-        return frame.sparkSession.createDataFrame([], "x double, density double")
-    fine, width = points * 20, (s["b"] - s["a"]) / (points * 20)
-    cell = F.least(F.floor((F.col(column) - s["a"]) / width), F.lit(fine - 1))
-    rows = frame.where(F.col(column).isNotNull()).groupBy(cell.alias("c")).count().collect()  # at most ``fine`` rows
-    h = s["s"] * s["n"] ** (-1 / 5)
-    at = np.array([s["a"] + (r["c"] + 0.5) * width for r in rows])
-    weight = np.array([r["count"] for r in rows], float)
-    x = np.linspace(s["a"], s["b"], points)
-    y = (np.exp(-0.5 * ((x[:, None] - at) / h) ** 2) * weight).sum(axis=1) / (s["n"] * h * np.sqrt(2 * np.pi))
-    return frame.sparkSession.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, density double")
+        return frame.sparkSession.createDataFrame([], schema)
+    x, h = np.linspace(s["a"], s["b"], points), s["s"] * s["n"] ** (-1 / 5)
+    size = s["n"] * h * np.sqrt(2 * np.pi)
+
+    def sums(batches):
+        import pandas as pd
+
+        total = np.zeros(points)
+        for batch in batches:
+            v = batch["v"].to_numpy(float)
+            for at in range(0, len(v), BLOCK):
+                total += np.exp(-0.5 * ((x[:, None] - v[at : at + BLOCK]) / h) ** 2).sum(axis=1)
+        yield pd.DataFrame({"x": x, "density": total / size})
+
+    return own.mapInPandas(sums, schema).groupBy("x").agg(F.sum("density").alias("density"))
 
 
 def density_2d(frame: DataFrame, x: str, y: str, points: int = 100, edge: float = 1.5, least: float = 0.2) -> DataFrame:
@@ -179,9 +185,10 @@ def density_2d(frame: DataFrame, x: str, y: str, points: int = 100, edge: float
 
         total = np.zeros((points, points))
         for batch in batches:
-            for px, py in batch.to_numpy(float):
-                dx, dy = gx[:, None] - px, gy[None, :] - py
-                total += np.exp(-0.5 * (back[0, 0] * dx**2 + 2 * back[0, 1] * dx * dy + back[1, 1] * dy**2))
+            p = batch.to_numpy(float)
+            for at in range(0, len(p), max(1, BLOCK // points)):
+                dx, dy = (g[:, None] - p[at : at + max(1, BLOCK // points), k] for k, g in enumerate((gx, gy)))
+                total += np.exp(-0.5 * (back[0, 0] * dx[:, None] ** 2 + 2 * back[0, 1] * dx[:, None] * dy + back[1, 1] * dy**2)).sum(axis=2)
         i, j = np.indices(total.shape)
         yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "x": gx[i.ravel()], "y": gy[j.ravel()], "density": total.ravel() / size})
 

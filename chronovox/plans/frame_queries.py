@@ -12,29 +12,33 @@ from ..operators import aggregates, connect, frames, joins
 from ..sources import images, manifest, synthetic, tables
 from . import views
 from .registry import corr, query
-from .views import atlas, bold, emb, grid, label_mask, line, motion, table, tissues, traces, work_dir
+from .views import atlas, bold, cubes, emb, grid, label_mask, line, motion, table, tissues, traces, work_dir
 
 # sources and sinks
 
 
-def emb_images(spark, d):
-    """Writes the grid of vectors as an image and gives its folder."""
+CUBE = (5, 5, 5)
+
+
+def cube_images(spark, d):
+    """Writes the cubes of vectors as images and gives their folder."""
     folder = work_dir(spark, "images")
-    images.write(bold(spark, d).join(grid(spark, d), "voxel_id"), folder, (1.0, 1.0, 1.0, 0.5))
+    images.write(cubes(spark, d), folder, (1.0, 1.0, 1.0, 0.5), CUBE)
     return folder
 
 
+FULL = ("whole", "SELECT * FROM (SELECT DISTINCT scan_id FROM cubes), (SELECT unnest(range(5))::INT AS x), (SELECT unnest(range(5))::INT AS y), (SELECT unnest(range(5))::INT AS z)")
+
+
 @query("S1_image_scan", "scan_id t x y z", "value", """
-    SELECT 'emb' AS scan_id, t, x, y, z, coalesce(value, 0.0)::FLOAT::DOUBLE AS value
-    FROM (SELECT unnest(range(10))::INT AS x) CROSS JOIN (SELECT unnest(range(10))::INT AS y) CROSS JOIN (SELECT unnest(range((SELECT max(z) + 1 FROM grid)))::INT AS z) CROSS JOIN (SELECT DISTINCT t FROM emb)
-    LEFT JOIN (SELECT t, x, y, z, value FROM emb JOIN grid USING (voxel_id)) USING (t, x, y, z)""")
+    SELECT scan_id, t, x, y, z, coalesce(value, 0.0)::FLOAT::DOUBLE AS value FROM whole CROSS JOIN (SELECT DISTINCT t FROM cubes) LEFT JOIN cubes USING (scan_id, t, x, y, z)""", (FULL,))
 def s1(spark, d):
-    return images.read(spark, emb_images(spark, d))
+    return images.read(spark, cube_images(spark, d))
 
 
-@query("S2_header_scan", "scan_id nx ny nz frames kind", "tr", "SELECT 'emb' AS scan_id, 10 AS nx, 10 AS ny, (SELECT max(z) + 1 FROM grid)::INT AS nz, (SELECT max(t) + 1 FROM emb)::INT AS frames, 'f4' AS kind, 0.5::DOUBLE AS tr")
+@query("S2_header_scan", "scan_id nx ny nz frames kind", "tr", "SELECT scan_id, 5 AS nx, 5 AS ny, 5 AS nz, (max(t) + 1)::INT AS frames, 'f4' AS kind, 0.5::DOUBLE AS tr FROM cubes GROUP BY scan_id")
 def s2(spark, d):
-    h = images.headers(spark, emb_images(spark, d))
+    h = images.headers(spark, cube_images(spark, d))
     return h.select(images.scan_of("path").alias("scan_id"), *[F.col("shape")[i].alias(n) for i, n in enumerate(("nx", "ny", "nz", "frames"))], "kind", "tr")
 
 
@@ -69,9 +73,10 @@ def s7(spark, d):
     return spark.createDataFrame([(manifest.lookup(views.manifest(spark, d), {"run": "0"}),)], "path string")
 
 
-@query("S8_tree_scan", "files", "", "SELECT 1::BIGINT AS files")
+@query("S8_tree_scan", "scan_id files", "", "SELECT scan_id, 1::BIGINT AS files FROM cubes GROUP BY scan_id")
 def s8(spark, d):
-    return images.find(spark, emb_images(spark, d)).where(F.col("path").contains("part-")).agg(F.count("*").alias("files"))
+    found = images.find(spark, cube_images(spark, d)).where(F.col("path").contains("part-"))
+    return found.groupBy(images.scan_of("path").alias("scan_id")).agg(F.count("*").alias("files"))
 
 
 @query("S9_stage_reload", "scan_id t voxel_id", "value", "SELECT scan_id, t, voxel_id, value FROM line")
@@ -117,17 +122,14 @@ def s13(spark, d):
 PLACED = (2.0, 3.0, 4.0, 1.0), (-5.0, 7.5, 11.0), ((0, -1, 0), (1, 0, 0), (0, 0, 1))
 
 
-@query("K1_recover_grid", "x y z", "value sx sy sz ox oy oz d01 d10", """
-    SELECT x, y, z, coalesce(value, 0.0)::FLOAT::DOUBLE AS value, 2::DOUBLE AS sx, 3::DOUBLE AS sy, 4::DOUBLE AS sz, -5::DOUBLE AS ox, 7.5::DOUBLE AS oy, 11::DOUBLE AS oz, -1::DOUBLE AS d01, 1::DOUBLE AS d10
-    FROM grid LEFT JOIN (SELECT voxel_id, avg(value) AS value FROM emb WHERE label = 1 GROUP BY ALL) USING (voxel_id)""")
+@query("K1_recover_grid", "scan_id x y z", "value sx sy sz ox oy oz d01 d10", """
+    SELECT scan_id, x, y, z, coalesce(value, 0.0)::FLOAT::DOUBLE AS value, 2::DOUBLE AS sx, 3::DOUBLE AS sy, 4::DOUBLE AS sz, -5::DOUBLE AS ox, 7.5::DOUBLE AS oy, 11::DOUBLE AS oz, -1::DOUBLE AS d01, 1::DOUBLE AS d10
+    FROM whole LEFT JOIN (SELECT scan_id, x, y, z, avg(value) AS value FROM cubes WHERE label = 1 GROUP BY ALL) USING (scan_id, x, y, z) WHERE scan_id IN (SELECT scan_id FROM cubes WHERE label = 1)""", (FULL,))
 def k1(spark, d):
-    """A masked map on its whole grid, written with its place in space, and read back."""
-    from ..operators import volumes
-
-    g, folder = grid(spark, d), work_dir(spark, "maps")
-    own = emb(spark, d).where("label = 1").groupBy("voxel_id").agg(F.avg("value").alias("value"))
-    shape = (10, 10, g.agg(F.max("z")).first()[0] + 1)
-    images.write(volumes.on_grid(g, own).where("value <> 0").withColumns({"scan_id": F.lit("emb"), "t": F.lit(0)}), folder, PLACED[0], shape, images.affine_of(*PLACED))
+    """Each scan's masked map on its whole grid, written with its place in space, and read back."""
+    folder = work_dir(spark, "maps")
+    own = cubes(spark, d).where("label = 1").groupBy("scan_id", "x", "y", "z").agg(F.avg("value").alias("value"))
+    images.write(own.withColumn("t", F.lit(0)), folder, PLACED[0], CUBE, images.affine_of(*PLACED))
     at = images.headers(spark, folder).select(images.scan_of("path").alias("scan_id"), "spacing", "origin", "direction")
     parts = {**{f"s{c}": F.col("spacing")[i] for i, c in enumerate("xyz")}, **{f"o{c}": F.col("origin")[i] for i, c in enumerate("xyz")}, "d01": F.col("direction")[0][1], "d10": F.col("direction")[1][0]}
     return images.read(spark, folder).join(at, "scan_id").withColumns(parts)
@@ -164,9 +166,25 @@ def k5(spark, d):
     return spark.read.text(folder)
 
 
-@query("K6_boilerplate", "text", "", "SELECT 'Linear trends were removed. Values were scaled (global_variance).' AS text")
+def by_part(spark, d, schema: str, row) -> DataFrame:
+    """A row of small helpers' results for each part: row(key, size) gives the columns after the key."""
+
+    def run(batches):
+        import pandas as pd
+
+        for batch in batches:
+            yield pd.DataFrame([(k, *row(k, n)) for k, n in zip(batch["p_partkey"], batch["p_size"], strict=True)], columns=[c.split()[0] for c in ("p_partkey long, " + schema).split(", ")])
+
+    return table(spark, d, "part").select("p_partkey", "p_size").mapInPandas(run, "p_partkey long, " + schema)
+
+
+@query("K6_boilerplate", "p_partkey text", "", """
+    SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'Means were removed.' WHEN 1 THEN 'Linear trends were removed.' ELSE 'Polynomial trends of order 2 were removed.' END
+        || CASE WHEN p_size % 2 = 0 THEN ' Values were scaled (global_variance).' ELSE '' END || CASE WHEN p_size > 25 THEN ' Images were smoothed with a Gaussian of ' || p_size || ' mm full width at half maximum.' ELSE '' END AS text FROM part""")
 def k6(spark, d):
-    return spark.createDataFrame([(tables.boilerplate({"order": 1, "scaling": "global_variance"}),)], "text string")
+    """Options that follow a part's size."""
+    chosen = lambda n: {"order": n % 3, "scaling": None if n % 2 else "global_variance", "fwhm": int(n) if n > 25 else None}
+    return by_part(spark, d, "text string", lambda k, n: (tables.boilerplate(chosen(n)),))
 
 
 # projections and filters
@@ -257,24 +275,26 @@ def p14(spark, d):
     return frames.non_binary(atlas(spark, d).select("voxel_id", F.col("label").cast("double").alias("value")))
 
 
-@query("P15_P16_P17_option_checks", "check_name passes", "", """SELECT unnest(['same directions', 'other directions', 'spacing', 'interval']) AS check_name, unnest([false, true, true, true]) AS passes""")
+@query("P15_P16_P17_option_checks", "p_partkey overlap spacing interval", "", """
+    SELECT p_partkey, NOT (p_size % 2 = 1 AND p_size % 3 = 0) AS overlap, p_size % 3 <> 0 AS spacing, p_size % 5 <> 0 AS interval FROM part""")
 def p15(spark, d):
+    """Which checks pass for origins, directions, a spacing and an interval that follow a part's size."""
     from ..operators import volumes
 
-    def passes(f):
+    def passes(check, *given):
         try:
-            f()
+            check(*given)
             return True
         except ValueError:
             return False
 
-    checks = {
-        "same directions": lambda: volumes.overlapping((0, 0, 0), (1, 0, 0), (1, 0), (1, 0)),
-        "other directions": lambda: volumes.overlapping((0, 0, 0), (1, 0, 0), (1, 0), (0, 1)),
-        "spacing": lambda: options.parse_spacing("0.2x0.2x0.3"),
-        "interval": lambda: options.parse_interval("3-end", 10),
-    }
-    return spark.createDataFrame([(k, passes(f)) for k, f in checks.items()], "check_name string, passes boolean")
+    def row(k, n):
+        n = int(n)
+        yield passes(volumes.overlapping, (n % 2, 0, 0), (0, 0, 0), (1, 0), (1, 0) if n % 3 == 0 else (0, 1))
+        yield passes(options.parse_spacing, f"{n}x0.2" + "x0.3" * (n % 3 > 0))
+        yield passes(options.parse_interval, "all" if n % 5 == 0 else f"{n % 4}-end", 10)
+
+    return by_part(spark, d, "overlap boolean, spacing boolean, interval boolean", row)
 
 
 @query("P18_least_frames", "scan_id", "", """
@@ -451,7 +471,7 @@ def w9(spark, d):
 
 @query("O1_percentile_bound", "t", "bound", "SELECT t, value AS bound FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY value) AS r, count(*) OVER (PARTITION BY t) AS n FROM emb) WHERE r = floor(n * 0.95) + 1")
 def o1(spark, d):
-    return frames.value_at(bold(spark, d), 0.95, "t")
+    return frames.map_value_at(bold(spark, d), 0.95, "t")
 
 
 @query("O2_strongest_voxels", "scan_id voxel_id", "value", """

@@ -132,7 +132,7 @@ def a16(spark, d):
     return aggregates.mean_std(maps(spark, d))
 
 
-@query("A17_group_prior", "network voxel_id", "value", "SELECT network, voxel_id, median(value) AS value FROM (SELECT scan_id, t % 3 AS network, voxel_id, avg(value) AS value FROM line GROUP BY ALL) GROUP BY ALL", digits=4)
+@query("A17_group_prior", "network voxel_id", "value", "SELECT network, voxel_id, median(value) AS value FROM (SELECT scan_id, t % 3 AS network, voxel_id, avg(value) AS value FROM line GROUP BY ALL) GROUP BY ALL")
 def a17(spark, d):
     m = line(spark, d).groupBy("scan_id", (F.col("t") % 3).alias("network"), "voxel_id").agg(F.avg("value").alias("value"))
     return aggregates.group_prior(m)
@@ -176,11 +176,8 @@ def a22(spark, d):
     UNION ALL SELECT 'voxel', voxel_id, NULL, 1 - var_pop(residual) / nullif(var_pop(value), 0) FROM residuals GROUP BY voxel_id
     UNION ALL SELECT 'frame', NULL, t, 1 - var_pop(residual) / nullif(var_pop(value), 0) FROM residuals GROUP BY t""", (LINE_FIT, RESIDUALS))
 def a23(spark, d):
-    fit = regress.detrend_line(bold(spark, d), 64)
-    none_v, none_t = F.lit(None).cast("long").alias("voxel_id"), F.lit(None).cast("int").alias("t")
-    total = aggregates.variance_explained(fit).select(F.lit("total").alias("level"), none_v, none_t, "ve")
-    voxel = aggregates.variance_explained(fit, "voxel_id").select(F.lit("voxel"), "voxel_id", none_t, "ve")
-    return total.union(voxel).union(aggregates.variance_explained(fit, "t").select(F.lit("frame"), none_v, "t", "ve"))
+    levels = aggregates.variance_explained_by(regress.detrend_line(bold(spark, d), 64), [], ["voxel_id"], ["t"])
+    return levels.select(F.when(F.col("level") == 3, "total").when(F.col("level") == 1, "voxel").otherwise("frame").alias("level"), "voxel_id", "t", "ve")
 
 
 @query("A24_weighted_ve", "scan_id", "ve", """
@@ -871,9 +868,18 @@ def q5_amplitude(spark, d):
     return qc.passing(scan_table(spark, d), 0.1, use_amplitude=True, threshold=1.2)
 
 
-@query("Q6_threshold_lookup", "network dice", "", "SELECT unnest([0, 1]) AS network, unnest([0.4::DOUBLE, 0.5::DOUBLE]) AS dice")
+@query("Q6_threshold_lookup", "p_partkey", "dice", "SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 0.4::DOUBLE WHEN 1 THEN 0.5::DOUBLE END AS dice FROM part")
 def q6(spark, d):
-    return spark.createDataFrame([(i, qc.threshold_of({"Dice": [0.4, 0.5], "Conf": [], "Amp": True}, i)["Dice"]) for i in (0, 1)], "network int, dice double")
+    """The threshold of the network that a part's size points at; null where the list is shorter."""
+    from .frame_queries import by_part
+
+    def row(k, n):
+        try:
+            yield qc.threshold_of({"Dice": [0.4, 0.5], "Conf": [], "Amp": True}, int(n % 3))["Dice"]
+        except ValueError:
+            yield None
+
+    return by_part(spark, d, "dice double", row)
 
 
 @query("Q7_scan_report", "scan_id included amplitude_outlier", "dice mean_fd", f"""
@@ -911,8 +917,8 @@ def q10(spark, d):
 
 
 @query("Q11_density", "", "x density", """
-    SELECT x, sum(n * exp(-0.5 * ((x - middle) / h) ** 2)) / (total * h * sqrt(2 * pi())) AS density FROM (SELECT a + (c + 0.5) * (b - a) / 1000 AS middle, n FROM fine, spread), (SELECT a + (b - a) * k / 49 AS x, s * total ** (-1 / 5.0::DOUBLE) AS h, total FROM spread, (SELECT unnest(range(50)) AS k)) GROUP BY x, h, total""",
-    (("spread", "SELECT count(fd) AS total, min(fd) AS a, max(fd) AS b, stddev_samp(fd) AS s FROM traces"), ("fine", "SELECT least(floor((fd - a) / ((b - a) / 1000)), 999) AS c, count(*) AS n FROM traces, spread GROUP BY c")))
+    SELECT x, sum(exp(-0.5 * ((x - fd) / h) ** 2)) / (total * h * sqrt(2 * pi())) AS density FROM traces, (SELECT a + (b - a) * k / 49 AS x, s * total ** (-1 / 5.0::DOUBLE) AS h, total FROM spread, (SELECT unnest(range(50)) AS k)) WHERE fd IS NOT NULL GROUP BY x, h, total""",
+    (("spread", "SELECT count(fd) AS total, min(fd) AS a, max(fd) AS b, stddev_samp(fd) AS s FROM traces"),))
 def q11(spark, d):
     return qc.density(traces(spark, d), "fd")
 

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import shared_dir as work_dir  # noqa: F401  for the queries
 
-#: Voxels of the view ``line``; it has a frame for every quarter up to the last that occurs.
-LINE_VOXELS = 50
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -39,6 +37,14 @@ def grid(spark, d) -> DataFrame:
     return table(spark, d, "embeddings").select(v.alias("voxel_id"), (v % 10).cast("int").alias("x"), (F.floor(v / 10) % 10).cast("int").alias("y"), F.floor(v / 100).cast("int").alias("z"))
 
 
+def cubes(spark, d) -> DataFrame:
+    """scan_id, t, x, y, z, label, value: a scan of 5 x 5 x 5 voxels for every 125 vectors, a frame per component."""
+    v = F.col("vec_id")
+    at = [v % 5, F.floor(v / 5) % 5, F.floor(v / 25) % 5]
+    e = table(spark, d, "embeddings").select(F.concat(F.lit("c"), F.floor(v / 125).cast("string")).alias("scan_id"), *[a.cast("int").alias(c) for a, c in zip(at, "xyz")], "label", F.posexplode("embedding").alias("t", "value"))
+    return e.withColumn("value", F.col("value").cast("double"))
+
+
 #: The grid of the view ``texture``: 500 vectors of 64 components are one volume.
 TEXTURE = (40, 40, 20)
 
@@ -74,11 +80,13 @@ def line_frames(spark, d) -> int:
 
 
 def line(spark, d) -> DataFrame:
-    """Six scans on a full grid; cells without rows are 0."""
-    li = table(spark, d, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("scan_id"), (F.col("l_suppkey") % LINE_VOXELS).alias("voxel_id"), quarter().alias("t"), "l_extendedprice")
+    """Six scans on a full grid: a voxel for every supplier that occurs, a frame for every quarter up to the last; cells without rows are 0."""
+    li = table(spark, d, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("scan_id"), F.col("l_suppkey").alias("voxel_id"), quarter().alias("t"), "l_extendedprice")
     own = li.groupBy("scan_id", "voxel_id", "t").agg(F.avg("l_extendedprice").alias("value"))
     frames = F.explode(F.sequence(F.lit(0), F.lit(line_frames(spark, d) - 1))).alias("t")
-    cells = li.select("scan_id").distinct().select("scan_id", F.explode(F.sequence(F.lit(0), F.lit(LINE_VOXELS - 1)).cast("array<long>")).alias("voxel_id")).select("scan_id", "voxel_id", frames)
+    # each voxel of each scan, from one pass over the pairs that occur: those of any scan belong to all
+    scans = F.array(*[F.lit(r["scan_id"]) for r in li.select("scan_id").distinct().orderBy("scan_id").collect()])  # combinations of two flags
+    cells = li.select("voxel_id").distinct().select("voxel_id", F.explode(scans).alias("scan_id")).select("scan_id", "voxel_id", frames)
     return cells.join(own, ["scan_id", "voxel_id", "t"], "left").select("scan_id", "t", "voxel_id", F.coalesce("value", F.lit(0.0)).alias("value"))
 
 
@@ -108,12 +116,13 @@ def manifest(spark, d) -> DataFrame:
 
 SQL = {
     "emb": "SELECT 'emb' AS scan_id, vec_id AS voxel_id, label, unnest(range(len(embedding)))::INT AS t, unnest(embedding)::DOUBLE AS value FROM embeddings",
+    "cubes": "SELECT 'c' || vec_id // 125 AS scan_id, (vec_id % 5)::INT AS x, (vec_id // 5 % 5)::INT AS y, (vec_id // 25 % 5)::INT AS z, label, unnest(range(len(embedding)))::INT AS t, unnest(embedding)::DOUBLE AS value FROM embeddings",
     "grid": "SELECT vec_id AS voxel_id, (vec_id % 10)::INT AS x, ((vec_id // 10) % 10)::INT AS y, (vec_id // 100)::INT AS z FROM embeddings",
     "atlas": "SELECT vec_id AS voxel_id, label FROM embeddings",
     "tissues": "SELECT CASE label WHEN 1 THEN 'WM_signal' WHEN 2 THEN 'CSF_signal' ELSE 'vascular_signal' END AS mask_name, vec_id AS voxel_id FROM embeddings WHERE label IN (1, 2, 3)",
-    "cells": f"SELECT l_returnflag || l_linestatus AS scan_id, l_suppkey % {LINE_VOXELS} AS voxel_id, ((year(l_shipdate) - 1995) * 4 + quarter(l_shipdate) - 1)::INT AS t, l_extendedprice, l_discount, l_tax, l_quantity, l_linenumber FROM lineitem",
+    "cells": f"SELECT l_returnflag || l_linestatus AS scan_id, l_suppkey AS voxel_id, ((year(l_shipdate) - 1995) * 4 + quarter(l_shipdate) - 1)::INT AS t, l_extendedprice, l_discount, l_tax, l_quantity, l_linenumber FROM lineitem",
     "line": f"""SELECT scan_id, t, voxel_id, coalesce(value, 0.0) AS value
-        FROM (SELECT DISTINCT scan_id FROM cells) CROSS JOIN (SELECT unnest(range({LINE_VOXELS})) AS voxel_id) CROSS JOIN (SELECT unnest(range((SELECT max(t) + 1 FROM cells)))::INT AS t)
+        FROM (SELECT DISTINCT scan_id FROM cells) CROSS JOIN (SELECT DISTINCT voxel_id FROM cells) CROSS JOIN (SELECT unnest(range((SELECT max(t) + 1 FROM cells)))::INT AS t)
         LEFT JOIN (SELECT scan_id, voxel_id, t, avg(l_extendedprice) AS value FROM cells GROUP BY ALL) USING (scan_id, voxel_id, t)""",
     "motion": f"""SELECT scan_id, t, avg(l_quantity) AS mov1, avg(l_discount) AS mov2, avg(l_tax) AS mov3, avg(l_linenumber) AS rot1,
         avg(l_extendedprice * l_discount / 1e4) AS rot2, avg(l_extendedprice * l_tax / 1e4) AS rot3 FROM cells GROUP BY ALL""",
