@@ -21,13 +21,18 @@ document, and every document is scored.
 Defined cases: a null text has no words and fails; repeated rows count each;
 labels with a null or repeated id: null ids are ignored, an id counts as good
 if every label of it says so; without any good label all scores are 0; without
-labels of both kinds every document that passes the rules is kept.
+labels of both kinds every document that passes the rules is kept.  A text may
+be of any length: it is gone through in blocks of 256 KB with carried borders,
+and what is held of all of it are two hashes a word,
+and up to 150 bytes a word while repeated windows are sought.  Further columns are
+passed over, whatever their names, or kept where documents are returned.
 """
 
 from __future__ import annotations
 
 import dataclasses
 import functools
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +62,7 @@ def _table(chars: bytes) -> np.ndarray:
     return out
 
 
+A_BLANK = re.compile(b"[" + BLANK + b"]")
 IS_BLANK, IS_SYMBOL = _table(BLANK), _table(SYMBOLS)
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
@@ -130,33 +136,111 @@ def repeated_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def measured(some: list[bytes]) -> dict[str, np.ndarray]:
-    """The rules' numbers of each text."""
+def pieces_of(all_texts: list[bytes]):
+    """(text's number, piece) of all texts in order: a long text is cut before blanks every BLOCK bytes or so, and a longer run without a blank is a piece of its own."""
+    for i, text in enumerate(all_texts):
+        at = 0
+        while len(text) - at > BLOCK:
+            found = A_BLANK.search(text, at + BLOCK)
+            cut = found.start() if found else len(text)
+            if cut - at > 2 * BLOCK:
+                begins = max(text.rfind(bytes([c]), at, at + BLOCK) for c in BLANK) + 1
+                if begins > at:
+                    yield i, text[at:begins]
+                    at = begins
+            yield i, text[at:cut]
+            at = cut
+        yield i, text[at:]
+
+
+def run_hash(word: bytes, base: int) -> np.ndarray:
+    """span_hashes() of one word, a block at a time."""
+    up, _ = powers(base, BLOCK)
+    total, factor = np.zeros(1, np.uint64), np.ones(1, np.uint64)
+    for at in range(0, len(word), BLOCK):
+        part = np.frombuffer(word[at : at + BLOCK], np.uint8)
+        total = total + factor * ((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)]).sum(dtype=np.uint64)
+        factor = factor * up[BLOCK]
+    return common.doubling_hash(total, 0)
+
+
+BASES = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
+
+
+def words_of(some: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each word's text and two hashes, and the texts' characters in words and symbols."""
+    if len(some) == 1 and len(some[0]) > 2 * BLOCK:  # a run without a blank, as pieces_of() cuts
+        run, sums = some[0], np.zeros(2, np.int64)
+        for at in range(0, len(run), BLOCK):
+            part = np.frombuffer(run[at : at + BLOCK], np.uint8)
+            sums += (((part & 0xC0) != 0x80).sum(), IS_SYMBOL[part].sum())
+        return np.zeros(1, np.int64), run_hash(run, BASES[0]), run_hash(run, BASES[1]), sums[:1], sums[1:]
     data, start, end = laid_out(some)
     blank = IS_BLANK[data]
     before = np.concatenate([[True], blank[:-1]])
     word_start = np.flatnonzero(~blank & before)
     word_end = np.flatnonzero(blank & ~before)
-    word_text = np.searchsorted(start, word_start, side="right") - 1
-    one, two = span_hashes(data, word_start, word_end, 0x5851F42D4C957F2D), span_hashes(data, word_start, word_end, 0x14057B7EF767814F)
+    one, two = (span_hashes(data, word_start, word_end, base) for base in BASES)
+    return np.searchsorted(start, word_start, side="right") - 1, one, two, per_text(~blank & ((data & 0xC0) != 0x80), start, end), per_text(IS_SYMBOL[data], start, end)
+
+
+def measured(some: list[bytes]) -> dict[str, np.ndarray]:
+    """The rules' numbers of each text; of a long text, only its words' hashes are held at once."""
+    chars, symbols, found = np.zeros(len(some), np.int64), np.zeros(len(some), np.int64), []
+
+    def add(owners, pieces):
+        text, one, two, own_chars, own_symbols = words_of(pieces)
+        owner = np.array(owners)
+        found.append((owner[text], one, two))
+        np.add.at(chars, owner, own_chars)
+        np.add.at(symbols, owner, own_symbols)
+
+    owners, pieces, size = [], [], 0
+    for i, piece in pieces_of(some):
+        if len(piece) > 2 * BLOCK:
+            if pieces:
+                add(owners, pieces)
+                owners, pieces, size = [], [], 0
+            add([i], [piece])
+            continue
+        owners.append(i)
+        pieces.append(piece)
+        size += len(piece)
+        if size >= BLOCK:
+            add(owners, pieces)
+            owners, pieces, size = [], [], 0
+    if pieces:
+        add(owners, pieces)
+    word_text, one, two = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, kind) for k, kind in enumerate((np.int64, np.uint64, np.uint64)))
     return {
         "n_words": np.bincount(word_text, minlength=len(some)),
-        "word_chars": per_text(~blank & ((data & 0xC0) != 0x80), start, end),
-        "n_symbols": per_text(IS_SYMBOL[data], start, end),
+        "word_chars": chars,
+        "n_symbols": symbols,
         "n_dup_lines": np.array([repeated_lines(t) for t in some], np.int64),
         "n_repeat_words": repeated_words(word_text, one, two, len(some)),
     }
 
 
 def ngrams(some: list[bytes]):
-    """Per order: buckets of all n-grams, and each n-gram's text."""
+    """Buckets of n-grams, and each n-gram's text; all of an order together, or of a long text a block after the other."""
+    if sum(map(len, some)) > 2 * BLOCK:
+        for i, text in enumerate(some):
+            for at in range(0, max(1, len(text)), BLOCK):
+                for n in ORDERS:  # what a block's last n-grams need of the next goes along
+                    for bucket, own in grams(n, [text[at : at + BLOCK + n - 1]]):
+                        yield bucket, own + i
+        return
+    for n in ORDERS:
+        yield from grams(n, some)
+
+
+def grams(n: int, some: list[bytes]):
+    """Buckets of all n-grams of one length, and each n-gram's text."""
     data, start, end = laid_out(some)
     low = LOWER[data].astype(np.uint64)
     text = np.repeat(np.arange(len(some)), end - start + 1)
-    for n in ORDERS:
-        size = len(data) - n + 1
-        if size < 1:
-            continue
+    size = len(data) - n + 1
+    if size > 0:
         inside = np.arange(size) + n <= end[text[:size]]
         packed = functools.reduce(lambda a, k: a << np.uint64(8) | low[k : k + size], range(n), np.zeros(size, np.uint64))
         yield (common.doubling_hash(packed[inside], n) >> np.uint64(48)).astype(np.int64) % BUCKETS, text[:size][inside]

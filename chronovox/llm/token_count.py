@@ -17,8 +17,10 @@ over the whole text; a vocabulary with such a piece is refused.  Words repeat,
 so a worker keeps a bounded cache from word to count.
 
 Defined cases: a null or empty text has no tokens; rows are counted each; a
-text may be of any length, and the tables of the dynamic programming, two
-numbers a character, are those of one word and no longer kept than it.
+text may be of any length, and the tables of the dynamic programming reach
+back over the longest piece only, so a word may be, too.  Words of over 200
+characters are not kept.  Further columns are passed over, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -39,6 +41,17 @@ CACHE_WORDS = 700_000
 MARKED_WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 
 
+def _start(match: tuple) -> int:
+    return match[0]
+
+
+class ShortWords(TwoAges):
+    """A cache that long words pass by."""
+
+    def __missing__(self, key):
+        return self.make(key) if len(key) > 200 else super().__missing__(key)
+
+
 class Unigram:
     """Counts for pieces with scores; ``runs`` keeps marks in a row in one word."""
 
@@ -49,6 +62,7 @@ class Unigram:
             raise ValueError("a piece goes on into the next word")
         self.runs = runs
 
+        self.longest = max([1, *(len(p) for p, _ in vocabulary)])
         self.find = ahocorasick.Automaton()
         for piece, score in vocabulary:
             if piece:
@@ -56,34 +70,36 @@ class Unigram:
         self.find.make_automaton()
         self.unknown = min(s for _, s in vocabulary) - UNKNOWN_COST
         self.byte_pieces = byte_pieces
-        self.of_word = TwoAges(self.count_word, cache_words // 2)
+        self.of_word = ShortWords(self.count_word, cache_words // 2)
 
     def count_word(self, word: str) -> int:
-        n = len(word)
-        ends: list[list] = [[] for _ in range(n + 1)]
-        single = [False] * n
-        for last, (size, score) in self.find.iter(word):
-            ends[last + 1].append((last + 1 - size, score))
-            if size == 1:
-                single[last] = True
-        # Per place: best score, pieces before the last run of unknown characters, bytes of that run.
-        best = [(0.0, 0, 0)] + [None] * n
-        for end in range(1, n + 1):
-            top = None
-            if not single[end - 1]:
-                ends[end].append((end - 1, None))
+        # Per place, as far back as a piece reaches: best score, pieces before the last run of unknown characters, bytes of that run.
+        held = self.longest + 1
+        best: list = [(0.0, 0, 0)] + [None] * self.longest
+        matches = self.find.iter(word)
+        match = next(matches, None)
+        for end in range(1, len(word) + 1):
+            top, found, single = None, [], False
+            while match is not None and match[0] == end - 1:
+                size, score = match[1]
+                found.append((end - size, score))
+                single |= size == 1
+                match = next(matches, None)
+            if not single:
+                found.append((end - 1, None))
             # by start, so that of equal scores the earliest start stays
-            for start, score in sorted(ends[end], key=lambda m: m[0]):
-                value = best[start][0] + (self.unknown if score is None else score)
+            found.sort(key=_start)
+            for start, score in found:
+                value = best[start % held][0] + (self.unknown if score is None else score)
                 if top is None or value > top[0]:
                     top = (value, start, score is None)
             value, start, odd = top
-            _, pieces, run = best[start]
+            _, pieces, run = best[start % held]
             if odd:
-                best[end] = (value, pieces, run + len(word[start].encode("utf-8", "replace")))
+                best[end % held] = (value, pieces, run + len(word[start].encode("utf-8", "replace")))
             else:
-                best[end] = (value, pieces + self._run(run) + 1, 0)
-        _, pieces, run = best[n]
+                best[end % held] = (value, pieces + self._run(run) + 1, 0)
+        _, pieces, run = best[len(word) % held]
         return pieces + self._run(run)
 
     def _run(self, size: int) -> int:
