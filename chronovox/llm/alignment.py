@@ -45,6 +45,8 @@ from . import bpe, common
 BLOCK = 1 << 16
 #: Postings of one A id in one part of the join, and those that are laid out by pair together.
 PART_POSTINGS, TOGETHER = 1_000_000, 1 << 20
+#: Documents that are laid out together at most, so that their places fit two bytes.
+MOST_ROWS = 32_767
 #: Fixed value: the mark for a space in pieces.
 MARK = "▁"
 CUT = re.compile(r"(?<=\S)(?= )")
@@ -148,10 +150,10 @@ COLUMNS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string
 
 
 def tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of documents (``base``, ``row``, id, counts of tokens, groups and links, digest of the groups) and, with ``a`` set, of postings: ``rows`` and ``times`` of one pair from ``base`` on."""
+    """Rows of documents (``base``, ``row``, id, counts of tokens, groups and links, digest of the groups) and, with ``a`` set, of postings: ``rows`` and ``times`` (``few``, if none is over 127) of one pair from ``base`` on."""
     common.text_session(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = f"base long, row int, id {source.schema['id'].dataType.simpleString()}, {COLUMNS}, a int, b int, rows array<int>, times array<int>"
+    schema = f"base long, row int, id {source.schema['id'].dataType.simpleString()}, {COLUMNS}, a int, b int, rows array<smallint>, few array<tinyint>, times array<int>"
     arrow = to_arrow_schema(T._parse_datatype_string(schema))
     names = [f.name for f in T._parse_datatype_string(COLUMNS).fields]
 
@@ -163,14 +165,17 @@ def tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
         yield filled(n, base=pa.repeat(base, n), row=pa.array(np.arange(n)), id=pa.concat_arrays(ids), **{c: pa.array(v) for c, v in zip(names, zip(*counts, strict=True), strict=True)})
         keys, times, rows = *(np.concatenate([x[i] for x in lists]) for i in (0, 1)), np.repeat(np.arange(n), [len(k) for k, _ in lists])
         order = np.argsort(keys, kind="stable")
-        keys, times, rows = keys[order], times[order], rows[order].astype(np.int32)
+        keys, times, rows = keys[order], times[order], rows[order].astype(np.int16)
         starts = np.flatnonzero(np.diff(keys, prepend=-1))
-        bounds = [*range(0, len(starts), 1 << 16), len(starts)]
-        for at, to in zip(bounds, bounds[1:], strict=False):
-            some, end = starts[at:to], starts[to] if to < len(starts) else len(keys)
-            offsets = pa.array(np.append(some - some[0], end - some[0]).astype(np.int32))
-            listed = {c: pa.ListArray.from_arrays(offsets, pa.array(v[some[0] : end].astype(np.int32))) for c, v in (("rows", rows), ("times", times))}
-            yield filled(to - at, base=pa.repeat(base, to - at), a=pa.array(keys[some] >> 32), b=pa.array(keys[some] & 0xFFFFFFFF), **listed)
+        many = np.maximum.reduceat(times, starts) > 127 if len(starts) else np.zeros(0, bool)
+        sizes = np.diff(starts, append=len(keys))
+        for of, name, kind in ((np.flatnonzero(~many), "few", np.int8), (np.flatnonzero(many), "times", np.int32)):
+            for at in range(0, len(of), 1 << 16):
+                some = of[at : at + (1 << 16)]
+                offsets = np.concatenate([[0], np.cumsum(sizes[some])])
+                place = np.arange(offsets[-1]) + np.repeat(starts[some] - offsets[:-1], sizes[some])
+                listed = {c: pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(v[place].astype(k))) for c, v, k in (("rows", rows, np.int16), (name, times, kind))}
+                yield filled(len(some), base=pa.repeat(base, len(some)), a=pa.array(keys[starts[some]] >> 32), b=pa.array(keys[starts[some]] & 0xFFFFFFFF), **listed)
 
     def run(batches):
         pair, base = loaded(path_a, path_b), TaskContext.get().partitionId() << 33
@@ -189,7 +194,7 @@ def tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
                     counts.append((len(found[0]), len(found[1]), len(ends[0]), links, digest(pair, *found, *ends)))
                     lists.append((keys, times))
                 held += len(lists[-1][0]) + 1
-                if held >= TOGETHER:
+                if held >= TOGETHER or len(ids) >= MOST_ROWS:
                     yield from laid_out(base, ids, counts, lists)
                     base += len(ids)
                     ids, counts, lists, held = [], [], [], 0
@@ -202,7 +207,7 @@ def tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
 def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", part_postings: int = PART_POSTINGS) -> DataFrame:
     """One row per document: id, n_a, n_b, n_groups, n_links, groups_sha256, n_best and count_sum."""
     coded = common.written(tokens(docs, path_a, path_b, id_col, text_col), "alignment-postings")
-    posted = coded.filter("a IS NOT NULL").select("base", "a", "b", "rows", "times")
+    posted = coded.filter("a IS NOT NULL").select("base", "a", "b", "rows", "few", "times")
     counts = common.written(posted.groupBy("a", "b").agg(F.sum(F.size("rows").cast("long")).alias("n")), "alignment-counts")
     tops = counts.groupBy("a").agg(F.max("n").alias("most"), F.ceil(F.sum("n") / part_postings).cast("int").alias("parts"))
     # A ids in several parts are no more than the vocabulary has
@@ -211,7 +216,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     known = counts.join(tops, "a").select("a", "b", "n", (F.col("n") == F.col("most")).alias("best"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     # both sides by side id, so that a pair's postings and its counts meet, sorted by pair
     met = dealt.repartition("a", "part").join(known.repartition("a", "part").hint("merge"), ["a", "part", "b"])
-    each = met.select("base", "n", "best", F.explode(F.arrays_zip("rows", "times")).alias("p")).select("base", "p.rows", "p.times", "n", "best")
+    times = F.coalesce("times", F.col("few").cast("array<int>")).alias("times")
+    each = met.select("base", "n", "best", F.explode(F.arrays_zip("rows", times)).alias("p")).select("base", "p.rows", "p.times", "n", "best")
     sums = each.groupBy("base", F.col("rows").alias("row")).agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     found = coded.filter("a IS NULL").select("base", "row", "id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
