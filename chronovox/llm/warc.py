@@ -184,12 +184,15 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0, segment: int = SE
     html = F.coalesce("html", F.lit(""))
     source = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), html.alias("html"), F.when(F.octet_length(html) >= least_bytes, F.sha1(html)).alias("digest"))
     numbered = common.written(source.withColumn("row", F.monotonically_increasing_id()), "numbered-pages")
-    # Only payloads that occur again are looked up. Written, so that a payload of very many pages is split in the join.
+    # Only payloads that occur again are looked up, by narrow rows. Written, so that a payload of very many pages is split in the join.
     last = F.max(F.struct("page_id", "row")).alias("last")
     again = numbered.where("digest is not null").select("digest", "page_id", "row").groupBy("digest").agg(last, F.count("*").alias("n")).where("n > 1").select("digest", "last.*")
     again = common.written(again.withColumnsRenamed({"page_id": "target", "row": "target_row"}), "repeated-payloads")
     revisit = ~F.col("page_id").eqNullSafe(F.col("target"))
-    matched = numbered.join(again, "digest", "left").select("page_id", "row", "url", "html", F.when(revisit, F.col("target")).alias("target"), "target_row")
+    marks = numbered.where("digest is not null").select("digest", "page_id", "row").join(again, "digest").where(revisit).select("row", "target", "target_row")
+    # Payloads meet their marks by row, which spreads them evenly; where the marks are small, they go to the payloads.
+    marks = common.written(marks, "revisits")
+    matched = numbered.join(marks, "row", "left").select("page_id", "row", "url", "html", "target", "target_row")
 
     def run(batches):
         held, size = [], 0
@@ -210,7 +213,7 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0, segment: int = SE
 
     files = matched.mapInArrow(run, "file binary").select(F.col("file").cast("string"))
     files.write.option("lineSep", NOTHING.decode("latin-1")).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 1).text(folder)
-    common.dropped(numbered, again)
+    common.dropped(numbered, again, marks)
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,6 +4,7 @@ import base64
 import glob
 import hashlib
 import math
+import re
 import os
 import random
 import zlib
@@ -255,3 +256,23 @@ def test_stages_with_clashing_names_repeated_and_null_ids(spark, tmp_path):
         assert sorted(r.text for r in rows) == sorted(body + [body[0]] * (name in ("quality rules", "line dedup"))), name
     packed = corpus_pipeline.STAGES[-1][1](spark, at, str(tmp_path)).collect()
     assert len(packed) == 6 and len({(r.sequence_id, r.offset) for r in packed}) == 6
+
+
+def test_no_payload_goes_through_a_join_by_digest(spark, monkeypatch, tmp_path):
+    """Digests meet narrow rows only; payloads meet the marks by row."""
+    plans = []
+    written = warc.common.written
+
+    def kept(df, name):
+        if name == "revisits":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(warc.common, "written", kept)
+    pages = spark.createDataFrame([(i, f"u{i}", "same" if i % 2 else f"own {i}") for i in range(20)] + [(None, "u", "same")], "page_id long, url string, html string")
+    warc.write(pages, f"{tmp_path}/out")
+    found = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.read(spark, f"{tmp_path}/out").collect()}
+    assert found == {i: ("revisit", 19) if i % 2 and i != 19 else ("response", None) for i in range(20)} | {None: ("revisit", 19)}
+    (plan,) = plans
+    read = re.findall("ReadSchema: (.*)", plan)
+    assert len(read) >= 2 and all("digest" in r and "html" not in r for r in read)
