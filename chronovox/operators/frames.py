@@ -108,7 +108,7 @@ def order_statistic(frame: DataFrame, value: Column, index: Callable[[Column], C
     """
     large = 1.7976931348623157e308
     v = value.cast("double")
-    own = written(frame.select(*keys, F.when(~F.isnan(v), F.greatest(F.least(v, F.lit(large)), F.lit(-large))).alias("v")), "values")
+    own = written(frame.select(*keys, F.when(v.isNotNull() & ~F.isnan(v), F.greatest(F.least(v, F.lit(large)), F.lit(-large))).alias("v")), "values")
     sizes = own.groupBy(*keys).agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("m"), index(F.count(F.lit(1))).cast("long").alias("place"))
     state = written(sizes, "order-statistic")
     while (open_ := state.where((F.col("low") < F.col("high")) & (F.col("place") < F.col("m")))).head(1):
