@@ -23,10 +23,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` as Parquet to the shared folder and read it back with the same schema."""
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Cut lineage: write ``df`` as Parquet to the shared folder (with the writer's options) and read it back with the same schema."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
