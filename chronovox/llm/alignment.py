@@ -206,7 +206,7 @@ def tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
 
 def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", part_postings: int = PART_POSTINGS) -> DataFrame:
     """One row per document: id, n_a, n_b, n_groups, n_links, groups_sha256, n_best and count_sum."""
-    coded = common.written(tokens(docs, path_a, path_b, id_col, text_col), "alignment-postings")
+    coded = common.written(tokens(docs, path_a, path_b, id_col, text_col), "alignment-postings", compression="zstd")
     posted = coded.filter("a IS NOT NULL").select("base", "a", "b", "rows", "few", "times")
     counts = common.written(posted.groupBy("a", "b").agg(F.sum(F.size("rows").cast("long")).alias("n")), "alignment-counts")
     tops = counts.groupBy("a").agg(F.max("n").alias("most"), F.ceil(F.sum("n") / part_postings).cast("int").alias("parts"))
