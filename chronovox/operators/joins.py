@@ -29,16 +29,25 @@ def first_by_entities(scans: DataFrame, files: DataFrame) -> DataFrame:
     return scans.join(f, on, "left").withColumn("__i", F.row_number().over(first)).where("__i = 1").drop("__i", "__s", "__e")
 
 
-def _parts(scans: DataFrame, names: DataFrame) -> DataFrame:
-    """scan_id and every part of it that is as long as some name; lengths are a handful of numbers."""
-    none = F.array().cast("array<string>")
+#: Bytes of a list of names that are sent to every task; a longer list is joined by a sort.
+SENT_NAMES = 32 << 20
 
-    def of_length(n: int):
-        cut = F.transform(F.sequence(F.lit(1), F.length("scan_id") - n + 1), lambda i: F.substring(F.col("scan_id"), i, F.lit(n)))
-        return F.when(F.length("scan_id") >= n, cut).otherwise(none)
 
-    lengths = [r["n"] for r in names.select(F.length("name").alias("n")).distinct().collect()]
-    return scans.select("scan_id", F.explode(F.array_distinct(F.concat(none, *map(of_length, lengths)))).alias("name"))
+def _met(scans: DataFrame, names: DataFrame) -> DataFrame:
+    """``names`` beside each scan_id that holds the name, once for every place of it.
+
+    A scan gives its parts that are as long as some name, row by row in the
+    task that reads it, and they look the names up there: the short list goes
+    to the scans, not their parts (some dozens a scan) to the names.
+    """
+    names = names.where(F.col("name").isNotNull())
+    n = F.length("name")
+    size = names.agg(F.array_sort(F.collect_set(n)).alias("lengths"), F.coalesce(F.sum(F.octet_length("name") + 64), F.lit(0)).alias("bytes")).first()
+    lengths = F.array(*map(F.lit, size["lengths"])) if size["lengths"] else F.array().cast("array<int>")  # a handful of numbers
+    cut = scans.select("scan_id", F.explode(lengths).alias("n")).where(F.length("scan_id") >= F.col("n"))
+    cut = cut.select("scan_id", "n", F.explode(F.sequence(F.lit(1), F.length("scan_id") - F.col("n") + 1)).alias("i"))
+    parts = cut.select("scan_id", F.substring("scan_id", F.col("i"), F.col("n")).alias("name"))
+    return parts.join(names.hint("broadcast" if size["bytes"] <= SENT_NAMES else "merge"), "name")
 
 
 def name_contains(scans: DataFrame, names: DataFrame, unique: bool = False) -> DataFrame:
@@ -47,26 +56,26 @@ def name_contains(scans: DataFrame, names: DataFrame, unique: bool = False) -> D
     Parts of the scan's own text are joined with the names as equal strings,
     not all pairs.
     """
-    met = _parts(scans, names).join(names, "name")
     place = "ord" if "ord" in names.columns else "name"
-    first = Window.partitionBy("scan_id").orderBy(place, "name")
-    out = met.withColumn("__i", F.row_number().over(first)).where("__i = 1").drop("__i")
-    if unique:
-        n = F.count("*").over(Window.partitionBy("name"))
-        message = F.concat(F.lit("several scans hold "), F.col("name"))
-        out = out.withColumn("__n", n).withColumn("name", F.when(F.col("__n") == 1, F.col("name")).otherwise(F.raise_error(message))).drop("__n")
-    return out
+    whole = F.struct(*names.columns)
+    first = _met(scans, names).groupBy("scan_id").agg(F.min_by(whole, F.struct(place, "name")).alias("own"))
+    rest = [c for c in names.columns if c != "name"]
+    if not unique:
+        return first.select("own.name", "scan_id", *[f"own.{c}" for c in rest])
+    held = first.groupBy(F.col("own.name").alias("name")).agg(F.count("*").alias("n"), F.min("scan_id").alias("scan_id"), F.min_by("own", "scan_id").alias("own"))
+    message = F.concat(F.lit("several scans hold "), F.col("name"))
+    return held.select(F.when(F.col("n") == 1, F.col("name")).otherwise(F.raise_error(message)).alias("name"), "scan_id", *[f"own.{c}" for c in rest])
 
 
 def include(scans: DataFrame, names: DataFrame) -> DataFrame:
     """Scans named in the list, in its order, repeats kept; ``matched`` is false where a name is in no scan."""
-    first = _parts(scans, names).join(names.select("name").distinct(), "name").groupBy("name").agg(F.min("scan_id").alias("scan_id"))
+    first = _met(scans, names.select("name").distinct()).groupBy("name").agg(F.min("scan_id").alias("scan_id"))
     return names.join(first, "name", "left").select("ord", "name", "scan_id", F.col("scan_id").isNotNull().alias("matched"))
 
 
 def exclude(scans: DataFrame, names: DataFrame) -> DataFrame:
     """Scans that contain none of the names."""
-    return scans.join(name_contains(scans.select("scan_id").distinct(), names).select("scan_id"), "scan_id", "left_anti")
+    return scans.join(_met(scans, names.select("name").distinct()).select("scan_id").distinct(), "scan_id", "left_anti")
 
 
 def for_each_seed(scans: DataFrame, seed_names: list[str]) -> DataFrame:

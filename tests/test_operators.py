@@ -65,6 +65,20 @@ def test_tables_and_manifest(spark, tmp_path):
         manifest.from_paths(spark.createDataFrame([("x_bold.nii",)], "path string")).collect()
 
 
+def test_containment_sends_the_names_not_the_parts(spark, tmp_path):
+    """A file says little about the size of its scans' parts; whoever goes by it sends them all to every task."""
+    spark.range(2000).select(F.format_string("sub-%d_task-rest_bold", "id").alias("scan_id")).write.parquet(str(tmp_path / "scans"))
+    scans = spark.read.parquet(str(tmp_path / "scans"))
+    names = spark.createDataFrame([(0, "sub-7_"), (1, "b-7_"), (2, None), (3, "sub-7_"), (4, "a-")], "ord int, name string")
+    for found in (joins.name_contains(scans, names), joins.include(scans, names), joins.exclude(scans, names)):
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        sent = [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "name" in line]
+        assert all("BuildRight" in line for line in sent) and sent
+    assert [tuple(r) for r in joins.name_contains(scans, names).select("scan_id", "name", "ord").collect()] == [("sub-7_task-rest_bold", "sub-7_", 0)]
+    assert [tuple(r) for r in joins.include(scans, names).orderBy("ord").collect()] == [(0, "sub-7_", "sub-7_task-rest_bold", True), (1, "b-7_", "sub-7_task-rest_bold", True), (2, None, None, False), (3, "sub-7_", "sub-7_task-rest_bold", True), (4, "a-", None, False)]
+    assert joins.exclude(scans, names).count() == 1999
+
+
 def test_containment_and_cardinality(spark):
     scans = spark.createDataFrame([("sub-1_x",), ("sub-10_x",), ("sub-2",)], "scan_id string")
     names = spark.createDataFrame([(0, "sub-10"), (1, "sub-1")], "ord int, name string")
