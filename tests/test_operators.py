@@ -121,6 +121,18 @@ def test_matrix_is_symmetric_with_unit_diagonal(spark):
     assert np.allclose(got, np.corrcoef(y.T))
 
 
+def test_matrix_parts_are_few_and_pairs_come_in_tiles(spark, monkeypatch):
+    assert connect.parts_of(60_000, 28, 16) == 8 and connect.parts_of(30, 20, 7) == 5 and connect.parts_of(0, 1, 16) == 1
+    assert connect.parts_of(1_000_000, 1000, 16) == -(-8_000_000_000 // connect.SIDE_BYTES)
+    monkeypatch.setattr(connect, "TILE", 16)
+    y = np.random.default_rng(2).normal(size=(20, 30))
+    y[:, 3] = 1
+    both = made(spark, y).union(made(spark, y[:, ::-1], "other"))
+    found = connect.voxel_matrix(series.to_series(both), 4).collect()
+    assert len(found) == 2 * 900 and len({tuple(r)[:3] for r in found}) == 2 * 900
+    assert all((r.r is None) == ((3 if r.scan_id == "s" else 26) in (r.voxel_i, r.voxel_j)) for r in found)
+
+
 def test_regression_kernel_and_singular_designs(spark):
     y, x = np.random.default_rng(3).normal(size=(20, 4)), np.random.default_rng(4).normal(size=(20, 3))
     design = spark.createDataFrame([("s", x.T.tolist())], "scan_id string, x array<array<double>>")
