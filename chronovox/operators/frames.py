@@ -127,7 +127,12 @@ def order_statistic(frame: DataFrame, value: Column, index: Callable[[Column], C
 
 
 def top_percent(maps: DataFrame, percent: float, *keys: str) -> DataFrame:
-    """Adds ``top``: whether abs(value) reaches the value at index int((1 - percent/100) n) of all, ascending."""
+    """Adds ``top``: whether abs(value) reaches the value at index int((1 - percent/100) n) of all, ascending.
+
+    The values are written once: sums of doubles that are made again may
+    differ in the last digit from those that gave the bound.
+    """
+    maps = written(maps, "maps")
     bound = order_statistic(maps, F.abs("value"), lambda n: F.floor(F.lit(1 - percent / 100) * n), *keys)
     return maps.join(bound.withColumnRenamed("bound", "threshold"), list(keys)).withColumn("top", F.abs("value") >= F.col("threshold"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates, aroma, connect, frames, qc, regress, series, volumes
 from ..sources import tables
+from ..sources.shared import written
 from . import views
 from .registry import corr, orthogonal, query
 from .views import atlas, bold, emb, emb_series, grid, label_mask, line, motion, table, tissues, traces, work_dir
@@ -843,8 +844,12 @@ def q4(spark, d):
 
 
 def scan_table(spark, d):
-    m = maps(spark, d)
-    out = aggregates.amplitude(m, "scan_id").join(qc.network_dice(m, prior(spark, d), 20), "scan_id").join(covariate(spark, d).withColumnRenamed("x", "mean_fd"), "scan_id")
+    early = F.when(F.col("t") < 9, F.col("value"))
+    # maps and prior from one pass over the cells
+    m = written(line(spark, d).groupBy("scan_id", "voxel_id").agg(F.avg("value").alias("value"), F.sum(early).alias("early"), F.count(early).alias("n")), "scan-maps")
+    p = m.groupBy("voxel_id").agg(F.try_divide(F.sum("early"), F.sum("n")).alias("value"))
+    m = m.drop("early", "n")
+    out = aggregates.amplitude(m, "scan_id").join(qc.network_dice(m, p, 20), "scan_id").join(covariate(spark, d).withColumnRenamed("x", "mean_fd"), "scan_id")
     return out.withColumn("conf_corr", F.abs(F.col("dice") - 0.3))
 
 

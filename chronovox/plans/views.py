@@ -83,9 +83,10 @@ def line(spark, d) -> DataFrame:
     """Six scans on a full grid: a voxel for every supplier that occurs, a frame for every quarter up to the last; cells without rows are 0."""
     li = table(spark, d, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("scan_id"), F.col("l_suppkey").alias("voxel_id"), quarter().alias("t"), "l_extendedprice")
     own = li.groupBy("scan_id", "voxel_id", "t").agg(F.avg("l_extendedprice").alias("value"))
-    frames = F.explode(F.sequence(F.lit(0), F.lit(line_frames(spark, d) - 1))).alias("t")
+    known = li.agg(F.max("t").alias("last"), F.array_sort(F.collect_set("scan_id")).alias("scans")).first()
+    frames = F.explode(F.sequence(F.lit(0), F.lit(known["last"]))).alias("t")
     # each voxel of each scan, from one pass over the pairs that occur: those of any scan belong to all
-    scans = F.array(*[F.lit(r["scan_id"]) for r in li.select("scan_id").distinct().orderBy("scan_id").collect()])  # combinations of two flags
+    scans = F.array(*map(F.lit, known["scans"]))  # combinations of two flags
     cells = li.select("voxel_id").distinct().select("voxel_id", F.explode(scans).alias("scan_id")).select("scan_id", "voxel_id", frames)
     return cells.join(own, ["scan_id", "voxel_id", "t"], "left").select("scan_id", "t", "voxel_id", F.coalesce("value", F.lit(0.0)).alias("value"))
 

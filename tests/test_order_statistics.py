@@ -63,3 +63,19 @@ def test_densities_in_blocks_are_those_of_all_rows(spark, monkeypatch):
     small = {(r["i"], r["j"]): r["density"] for r in qc.density_2d(frame, "a", "b", 8).collect()}
     monkeypatch.setattr(qc, "BLOCK", 100_000)
     assert {(r["i"], r["j"]): r["density"] for r in qc.density_2d(frame, "a", "b", 8).collect()} == pytest.approx(small)
+
+
+def test_strongest_values_are_those_that_gave_the_bound(spark):
+    """A plan that is read twice may add doubles in another order; here its values are even drawn anew."""
+    drawn = F.udf(lambda i: random.random(), "double").asNondeterministic()
+    maps = spark.range(2000).select(F.lit("m").alias("name"), F.col("id").alias("voxel_id"), drawn("id").alias("value"))
+    found = [r for r in frames.top_percent(maps, 10, "name").collect() if r["top"]]
+    assert len(found) == 200 and min(r["value"] for r in found) == found[0]["threshold"]
+
+
+def test_quality_thresholds_read_line_items_once_for_maps(spark):
+    from chronovox import plans
+
+    for name in ("Q5_thresholds", "Q5_amplitude_loop"):
+        plan = plans.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("lineitem.parquet") <= 1  # motion, which is another aggregate
