@@ -101,3 +101,25 @@ def test_a_template_of_moved_copies(spark):
     far = lambda a: np.sqrt(((a - plain)[inner] ** 2).mean()) / plain[inner].std()
     assert far(out) < 0.05 < far(first)
     assert all(away(r["matrix"], moves[int(r["scan_id"][1])]) < 0.2 for r in matrices.collect())
+
+
+def test_only_frames_asked_for_are_made(spark):
+    from chronovox.plans import space_queries
+
+    _, shown = space_queries.moved_frames(spark, "/root/testdata/sf0.001", (1,))
+    assert [tuple(r) for r in shown.groupBy("scan_id", "t").count().collect()] == [("v0", 1, 32000)]
+
+
+def test_joint_histograms_are_those_of_plain_interpolation():
+    rng, halo, shape = np.random.default_rng(1), 2, (20, 17, 9)
+    box, corner = rng.normal(size=(20, 20, 20)), np.array([0, 0, 0])
+    core, m = np.full((16, 16, 16), np.nan), registration.matrix_about_centre(np.array([0.4, -0.3, 0.2, 0.02, 0.01, -0.02]))
+    core[2:14, 2:14, 1:7] = 0.5
+    got = registration.joint(box, core, corner, halo, shape, m[None], np.array([0.0, 1.0, -4.0, 4.0]))[0]
+    centre = (np.array(shape) - 1) / 2
+    q = (np.stack(np.nonzero(np.isfinite(core)), axis=1) - centre) @ m[:3, :3].T + m[:3, 3] + centre
+    q = np.clip(q, 0, np.array(shape) - 1)
+    v = spatial.interpolated(box, q, "linear", shape, corner - halo)
+    place = np.clip((v + 4) / 8, 0, 1) * 31
+    want = np.bincount(place.astype(int), 1 - place % 1, 33)[:32] + np.bincount(place.astype(int) + 1, place % 1, 33)[:32]
+    assert np.allclose(got[16], want) and got.sum() == pytest.approx(len(q))
