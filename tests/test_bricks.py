@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chronovox.kernels import spatial
 from chronovox.operators import bricks, regress, volumes
+from chronovox.sources.shared import BATCH_BYTES, small_batches
 
 RNG = np.random.default_rng(11)
 SHAPE = (9, 7, 11)
@@ -103,3 +104,21 @@ def test_frames_realigned_by_their_own_motion(spark):
         turn = spatial.rigid(m)
         at = (turn[:3, :3] @ np.indices(SHAPE).reshape(3, -1) + turn[:3, 3:]).T
         assert np.allclose(volume_of(found.where(f"t = {t}"), SHAPE).ravel(), whole(v, at, "linear"), atol=1e-12)
+
+
+def test_batches_of_long_rows_are_small(spark):
+    long = spark.range(400, numPartitions=1).select("id", F.expr("transform(sequence(0, 5831), i -> named_struct('place', i, 'value', double(i)))").alias("cells"))
+    seen = bricks.dense(long, 5832, "box", then=lambda rows: np.full_like(rows, len(rows))).agg(F.max(F.col("box")[0])).first()[0]
+    assert seen * 5832 * 12 < 1.1 * BATCH_BYTES
+
+
+def test_a_smaller_batch_that_the_session_asks_for_stays(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for asked, kept in (("1m", "1m"), ("4096", "4096"), ("64mb", str(BATCH_BYTES)), ("67108864b", str(BATCH_BYTES))):
+            spark.conf.set(key, asked)
+            small_batches(spark)
+            assert spark.conf.get(key) == kept
+    finally:
+        spark.conf.set(key, before)
