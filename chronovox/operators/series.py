@@ -13,13 +13,18 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.shared import small_batches
+
 DOUBLES = pa.list_(pa.float64())
 #: Cells of Gram matrices that a task holds before it passes them on.
 HELD_CELLS = 4_000_000
+#: Cells of series that a kernel gets at a time.
+KERNEL_CELLS = 1 << 18
 
 
 def to_series(bold: DataFrame) -> DataFrame:
@@ -60,19 +65,31 @@ def by_scan(batch: pa.RecordBatch, names: list[str]):
         yield scans[k] if k >= 0 else None, np.flatnonzero(own == k)
 
 
+def pieces(batches, name: str):
+    """Batches in pieces whose lists ``name`` have at most KERNEL_CELLS elements, or one row."""
+    for batch in batches:
+        longest = pc.max(batch.column(batch.schema.get_field_index(name)).value_lengths()).as_py() or 1
+        most = max(1, KERNEL_CELLS // longest)
+        for at in range(0, max(1, batch.num_rows), most):
+            yield batch.slice(at, most)
+
+
 def per_voxel(series: DataFrame, kernel: Callable, added: str, *more: str) -> DataFrame:
     """Add array columns ``added`` ("a array<double>, ...") from kernel(values (frames, voxels), *scan columns).
 
-    Rows of a batch that share a scan go to the kernel together.  A kernel
-    that raises LinAlgError gives nulls: the scan cannot be fitted.
+    Rows that share a scan go to the kernel together, up to KERNEL_CELLS at
+    once, as a kernel holds several copies of what it gets.  A kernel that
+    raises LinAlgError gives nulls: the scan cannot be fitted.
     """
+    if more:
+        small_batches(series.sparkSession)  # each row brings its scan's matrix along
     fields = T._parse_datatype_string(added).fields
     schema = T.StructType([*series.schema.fields, *fields])
     names = series.columns
     kinds = [DOUBLES if isinstance(f.dataType, T.ArrayType) else pa.float64() for f in fields]
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches, "v"):
             order, outs = [np.zeros(0, np.int64)], [[pa.array([], k)] for k in kinds]
             for scan, rows in by_scan(batch, names):
                 extra = [batch.column(names.index(m))[int(rows[0])].as_py() for m in more]
@@ -107,7 +124,7 @@ def frame_gram(series: DataFrame, centre: bool = True) -> DataFrame:
 
     def part(batches):
         sums, held = {}, 0
-        for batch in batches:
+        for batch in pieces(batches, "v"):
             for scan, rows in by_scan(batch, ["scan_id", "v"]):
                 y = rows_of(batch.column(1), rows)
                 y = y - y.mean(axis=1, keepdims=True) if centre else y

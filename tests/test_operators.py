@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chronovox.functions import options
 from chronovox.operators import aggregates, aroma, connect, frames, joins, qc, regress, series, volumes
 from chronovox.sources import images, manifest, synthetic, tables
+from chronovox.sources.shared import BATCH_BYTES
 
 
 def made(spark, values, scan="s"):
@@ -403,3 +404,19 @@ def test_group_components_recover_shared_maps(spark):
     for r in connect.group_components(series.to_series(frame), 2).collect():
         got[r.comp, r.voxel_id] = r.value
     assert np.abs(np.corrcoef(got, maps))[:2, 2:].max(axis=1).min() > 0.97
+
+
+@pytest.mark.parametrize("frames", [64, 3])
+def test_kernels_get_bounded_parts(spark, frames):
+    rows = 2 * series.KERNEL_CELLS // 64
+    data = spark.range(rows, numPartitions=1).select(F.lit("s").alias("scan_id"), F.col("id").alias("voxel_id"), F.expr(f"transform(sequence(0, {frames - 1}), i -> double(id + i))").alias("v"))
+    out = series.per_voxel(data, lambda y: (2 * y, np.full(y.shape[1], float(y.size))), "twice array<double>, cells double")
+    wrong = out.where(f"NOT twice = transform(v, x -> 2 * x) OR size(twice) != {frames}").count()
+    assert wrong == 0 and out.count() == rows and out.agg(F.max("cells")).first()[0] <= series.KERNEL_CELLS
+    assert series.per_voxel(data.limit(0), lambda y: 2 * y, "twice array<double>").count() == 0
+
+
+def test_rows_with_a_matrix_come_in_small_batches(spark):
+    rows = spark.range(3000, numPartitions=1).select(F.lit("s").alias("scan_id"), F.col("id").alias("voxel_id"), F.expr("array(double(id), 1D)").alias("v"), F.expr("array(transform(sequence(0, 999), i -> double(i)))").alias("x"))
+    out = series.per_voxel(rows, lambda y, x: np.full(y.shape[1], float(y.shape[1])), "together double", "x")
+    assert out.agg(F.max("together")).first()[0] * 8000 < 1.1 * BATCH_BYTES
