@@ -112,6 +112,49 @@ def test_a_long_text_and_one_word(spark):
     assert found == [(i, *x) for i, x in enumerate(answers(texts))]
 
 
+def test_a_last_space_is_no_block_of_its_own(monkeypatch):
+    monkeypatch.setattr(alignment, "BLOCK", 4)
+    pair, (ids_a, ids_b) = alignment.Pair(BYTE, PIECES), libraries()
+    for text in ("trail ", "a trail ", "trail  ", "trail \n"):
+        found = pair.encode(text)
+        assert found and (found[0].tolist(), found[1].tolist()) == ([i for i, _ in ids_a(text)], [i for i, _ in ids_b(text)]), text
+
+
+@pytest.mark.parametrize(("block", "memory", "longest"), [(1 << 16, 1 << 26, 64), (2, 1 << 26, 64), (40, 2_000, 3), (1 << 16, 0, 0)])
+def test_words_one_by_one_make_the_whole_text(monkeypatch, block, memory, longest):
+    pair = alignment.Pair(BYTE, PIECES)
+    texts = [*TEXTS, "the cat \n sat", "unbelievable ÿþ漢字🙂", *TEXTS[::-1], "the unbelievable cat sat " * 20]
+    want = []
+    for text in texts:
+        if not text or (found := pair.encode(text)) is None:
+            want.append(((0, 0, 0, 0, ""), [], []))
+            continue
+        ends = alignment.groups(pair, *found)
+        keys, times, links = alignment.postings(*found, *ends)
+        written = "".join(alignment.written(pair, *found, *ends))[:-1]
+        want.append(((len(found[0]), len(found[1]), len(ends[0]), links, hashlib.sha256(written.encode()).hexdigest()), keys.tolist(), times.tolist()))
+    for name, value in (("BLOCK", block), ("MEMORY", memory), ("LONGEST", longest), ("LAID_OUT", 2)):
+        monkeypatch.setattr(alignment, name, value)
+    words = alignment.Words(pair)
+    assert [(n, k.tolist(), t.tolist()) for n, k, t in words.documents(texts)] == want
+
+
+def test_known_words_are_not_encoded_again(monkeypatch):
+    pair, encoded = alignment.Pair(BYTE, PIECES), []
+    encode = pair.encode
+    monkeypatch.setattr(pair, "encode", lambda text: encoded.append(text) or encode(text))
+    words = alignment.Words(pair)
+    assert len(list(words.documents(["the cat sat on the mat", "on the mat the cat sat "] * 500 + ["a cat"]))) == 1001
+    assert sorted(w for text in encoded for w in text.split()) == ["a", "cat", "mat", "on", "sat", "sat", "the"]
+    # when memory is full, words used more than once stay
+    monkeypatch.setattr(alignment, "MEMORY", words.held + 800)
+    list(words.documents([f"the {i} cat" for i in range(100)]))
+    for i in range(100, 200):
+        list(words.documents([f"the {i} cat"]))
+    assert "the" in words.known and "cat" in words.known and "7" not in words.known and words.held <= alignment.MEMORY + 1000
+    assert len(words.texts) < 20
+
+
 def test_the_query(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
