@@ -55,7 +55,7 @@ MARK = "▁"
 CUT = re.compile(r"(?<=\S)(?= .)", re.DOTALL)  # a last space alone would be no text for B
 NO_CUT = re.compile(r"\s(?: |\Z)")
 #: Characters of a word up to which it is remembered, and bytes of a process's memory of words, roughly.
-LONGEST, MEMORY = 64, 64 << 20
+LONGEST, MEMORY = 64, 32 << 20
 #: Links of a group up to which they are laid out one by one; beyond, by distinct ids and their counts.
 LAID_OUT = 64
 
