@@ -83,7 +83,8 @@ def plan(counts: dict[int, int], capacity: int, documents: int, cost: int, weigh
 
 def ranked(items: DataFrame, length_col: str) -> DataFrame:
     """item (a row of ``items``), length, task and rank (place among the task's items of that length), written to the shared folder."""
-    source = items.select(F.struct(*items.columns).alias("item"), F.col(length_col).cast("long").alias("length"))
+    # Written first: items that Python makes would be numbered in the same stage, by a second Python worker for each core.
+    source = common.written(items.select(F.struct(*items.columns).alias("item"), F.col(length_col).cast("long").alias("length")), "items")
 
     def number(batches):
         task, seen = TaskContext.get().partitionId(), {}
@@ -95,7 +96,9 @@ def ranked(items: DataFrame, length_col: str) -> DataFrame:
                 seen[n] = ranks[-1] + 1
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([task] * len(lengths), pa.int32()), pa.array(ranks, pa.int64())], names=["item", "length", "task", "rank"])
 
-    return common.written(source.mapInArrow(number, common.wider(source.schema, task="int", rank="long")), "pieces")
+    out = common.written(source.mapInArrow(number, common.wider(source.schema, task="int", rank="long")), "pieces")
+    common.dropped(source)
+    return out
 
 
 def pack(items: DataFrame, length_col: str = "length", capacity: int = 1024, documents: int | None = None, cost: int | None = None, weights=(1.0, 1e-3, 1e-3), score: str = "norm") -> DataFrame:

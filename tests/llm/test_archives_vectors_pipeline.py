@@ -15,7 +15,7 @@ import pytest
 from test_text_ops import plain_components, plain_dedup, plain_fingerprint, plain_measures
 from tokenizers import Tokenizer
 
-from chronovox.llm import secret_scan, top_k, warc
+from chronovox.llm import common, secret_scan, top_k, warc
 
 PAGES = "page_id long, url string, html string"
 
@@ -258,6 +258,43 @@ def test_stages_with_clashing_names_repeated_and_null_ids(spark, tmp_path):
     assert len(packed) == 6 and len({(r.sequence_id, r.offset) for r in packed}) == 6
 
 
+def python_steps(plan) -> int:
+    """The most steps in Python that one Spark stage of the plan has in a row, each with a worker of its own."""
+    most = 0
+
+    def walk(node, above):
+        nonlocal most
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.inputPlan()
+        above = 0 if "Exchange" in node.nodeName() else above + (node.nodeName() == "MapInArrow")
+        most = max(most, above)
+        for i in range(node.children().size()):
+            walk(node.children().apply(i), above)
+
+    walk(plan, 0)
+    return most
+
+
+def test_no_stage_of_the_pipeline_needs_two_python_workers_a_core(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices(["an", "other", "into", "tied"], k=60)) for _ in range(20)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    steps, plain = {}, common.written
+
+    def written(df, name, **options):
+        steps[name] = python_steps(df._jdf.queryExecution().executedPlan())
+        return plain(df, name, **options)
+
+    monkeypatch.setattr(common, "written", written)
+    last = corpus_pipeline.run(spark, str(tmp_path))
+    assert steps["quality-rules"] == steps["pieces"] == python_steps(last._jdf.queryExecution().executedPlan()) == 1
+    assert max(steps.values()) == 1, steps
+    assert sorted({r.doc_id for r in last.collect()}) == list(range(20))
+
+
 def test_no_payload_goes_through_a_join_by_digest(spark, monkeypatch, tmp_path):
     """Digests meet narrow rows only; payloads meet the marks by row."""
     plans = []
