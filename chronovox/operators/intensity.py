@@ -109,7 +109,8 @@ def corrected(images: DataFrame, shape: tuple[int, int, int], levels: tuple[int,
                     if len(total) > 256:
                         yield out(total)
                         total = {}
-            yield out(total)
+            if total:  # a batch without scans would have no type
+                yield out(total)
 
         def out(total):
             return pa.RecordBatch.from_arrays([pa.array(list(total)), bricks.lists_of(np.array(list(total.values())).reshape(-1, size))], names=["scan_id", "sums"])

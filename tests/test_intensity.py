@@ -70,3 +70,16 @@ def test_scans_apart_voxels_without_a_logarithm_and_empty_tables(spark):
     assert all(r["value"] == 0 for r in rows if r["scan_id"] == "b" and holes[r["x"], r["y"], r["z"]] == 0)
     assert len(rows) == 2 * plain.size
     assert intensity.corrected(frame(spark, a=plain).limit(0), SHAPE, levels=(1,), rounds=1).count() == 0
+
+
+def test_a_task_whose_last_sums_have_left_it(spark, monkeypatch):
+    """257 scans in one task: what it holds is passed on with the last one, and nothing is left."""
+    monkeypatch.setattr(intensity, "BINS", 8)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        images = spark.range(257 * 8).selectExpr("concat('s', id div 8) AS scan_id", "int(id % 2) AS x", "int(id div 2 % 2) AS y", "int(id div 4 % 2) AS z", "double(1 + id % 8) AS value")
+        found = intensity.corrected(images, (2, 2, 2), levels=(1,), rounds=1)
+        assert found.groupBy("scan_id").count().collect() and found.count() == 257 * 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
