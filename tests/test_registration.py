@@ -123,3 +123,18 @@ def test_joint_histograms_are_those_of_plain_interpolation():
     place = np.clip((v + 4) / 8, 0, 1) * 31
     want = np.bincount(place.astype(int), 1 - place % 1, 33)[:32] + np.bincount(place.astype(int) + 1, place % 1, 33)[:32]
     assert np.allclose(got[16], want) and got.sum() == pytest.approx(len(q))
+
+
+def test_a_fixed_volume_for_all_scans_is_not_repeated(spark):
+    still = image(np.eye(4))
+    moving = frame(spark, a=image(RIGID), b=image(np.eye(4)))
+    found = [{r["scan_id"]: r["matrix"] for r in registration.registered(moving, fixed, SHAPE, "Rigid", levels=(3.0,), rounds=2).collect()} for fixed in (frame(spark, a=still, b=still), frame(spark, a=still).drop("scan_id"))]
+    assert set(found[0]) == set(found[1]) == {"a", "b"} and all(np.allclose(found[0][k], found[1][k], atol=1e-6) for k in "ab")
+
+
+def test_one_volume_at_the_motions_of_several_frames(spark):
+    still = frame(spark, a=image(np.eye(4)))
+    motions = spark.createDataFrame([("a", t, 0.3 * t, 0.0, 0.1, 0.0, 0.02 * t, 0.0) for t in range(3)], "scan_id string, t int, mov1 double, mov2 double, mov3 double, rot1 double, rot2 double, rot3 double")
+    copies = still.crossJoin(spark.range(3).selectExpr("int(id) AS t"))
+    one, many = ({(r["t"], r["x"], r["y"], r["z"]): r["value"] for r in volumes.realigned(v, SHAPE, motions).collect()} for v in (still, copies))
+    assert len(one) == 3 * np.prod(SHAPE) and one == many
